@@ -123,3 +123,91 @@ SELECT page_id, chunk_index, {O.vector_id('p.dataset', 'c.text')} AS id
 FROM {PAGE_CHUNKS_SQL} c JOIN clean_pages p USING (page_id)""", "clean_pages"))
 def q_vector_ids(spark, base):
     return page_chunks(spark, base).select("page_id", "chunk_index", "id")
+
+
+# ======================================================= 2. sources and domain rules
+from webcorpus.sources import raw_store as R  # noqa: E402
+from webcorpus.sources.robots import robots_allowed  # noqa: E402
+from webcorpus.sources.seeds import same_domain, seed_urls  # noqa: E402
+from webcorpus.sources.sitemaps import expand_sitemaps, sitemap_urls  # noqa: E402
+
+
+@register("sitemap_urls", O.with_ctes(
+    "SELECT DISTINCT 'https://' || host || '/sitemap-' || CAST(part AS VARCHAR) || '.xml' AS sitemap_url, url "
+    "FROM placed", "placed"))
+def q_sitemap_urls(spark, base):
+    docs = X.sitemap_documents(spark, base)
+    return sitemap_urls(docs.where(F.col("xml").contains("<urlset")))
+
+
+def _expanded(spark, base):
+    seeds = X.sitemap_seeds(spark, base).select("dataset", F.col("source").alias("sitemap_url"))
+    return expand_sitemaps(seeds, X.sitemap_documents(spark, base))
+
+
+@register("sitemap_index_expand", O.with_ctes(f"""
+SELECT DISTINCT s.dataset, p.url FROM web_pages s JOIN web_pages p ON {O.host('s.url')} = {O.host('p.url')}""",
+                                              "web_pages"))
+def q_sitemap_index_expand(spark, base):
+    return _expanded(spark, base)
+
+
+@register("seed_urls", O.with_ctes("SELECT DISTINCT dataset, source AS url FROM url_seeds "
+                                   "WHERE source_type IN ('url', 'urls')", "url_seeds"))
+def q_seed_urls(spark, base):
+    return seed_urls(X.url_seeds(spark, base))
+
+
+@register("same_domain", O.with_ctes(f"""
+SELECT DISTINCT s.dataset, p.url
+FROM web_pages s JOIN web_pages p ON {O.host('s.url')} = {O.host('p.url')}
+JOIN base_urls b ON b.dataset = s.dataset
+WHERE {O.host('p.url')} = {O.host('b.base_url')}""", "web_pages", "base_urls"))
+def q_same_domain(spark, base):
+    return same_domain(_expanded(spark, base), X.dataset_base_urls(spark, base))
+
+
+@register("robots_filter", O.with_ctes(
+    f"SELECT dataset, url, allowed FROM {O.robots_allowed_sql('(SELECT dataset, url FROM web_pages)')}",
+    "web_pages", "robots_rules"))
+def q_robots_filter(spark, base):
+    urls = X.web_pages(spark, base).select("dataset", "url")
+    return robots_allowed(urls, X.robots_rules(spark, base), X.AGENT)
+
+
+@register("html_pages_only", O.with_ctes(
+    "SELECT page_id, dataset, url FROM fetched_pages WHERE lower(content_type) LIKE '%text/html%'",
+    "fetched_pages"))
+def q_html_pages_only(spark, base):
+    return R.html_only(X.fetched_pages(spark, base)).select("page_id", "dataset", "url")
+
+
+def _raw_store(spark, base):
+    return R.with_raw_keys(X.web_pages(spark, base))
+
+
+def _probe_keys(spark, base):
+    pages = X.web_pages(spark, base)
+    other = F.concat(F.lit("d"), (1 - F.col("page_id") % 2).cast("string"))
+    return (_raw_store(spark, base).select("raw_key")
+            .unionByName(pages.select(K.raw_key(other, F.col("url")).alias("raw_key"))))
+
+
+@register("raw_keys", O.with_ctes("SELECT page_id, dataset, url, raw_key, raw_hash FROM raw_store",
+                                  "raw_store"))
+def q_raw_keys(spark, base):
+    return _raw_store(spark, base).select("page_id", "dataset", "url", "raw_key", "raw_hash")
+
+
+@register("raw_lookup", O.with_ctes(
+    "SELECT k.raw_key, s.html FROM raw_probe_keys k LEFT JOIN raw_store s USING (raw_key)",
+    "raw_store", "raw_probe_keys"))
+def q_raw_lookup(spark, base):
+    return R.lookup_raw(_probe_keys(spark, base), _raw_store(spark, base))
+
+
+@register("raw_exists", O.with_ctes(
+    "SELECT k.raw_key, EXISTS (SELECT 1 FROM raw_store s WHERE s.raw_key = k.raw_key) AS \"exists\" "
+    "FROM raw_probe_keys k", "raw_store", "raw_probe_keys"))
+def q_raw_exists(spark, base):
+    return R.raw_exists(_probe_keys(spark, base), _raw_store(spark, base))

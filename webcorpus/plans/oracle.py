@@ -167,3 +167,69 @@ def with_ctes(body: str, *names: str) -> str:
     if not order:
         return body
     return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in order) + "\n" + body
+
+
+# ------------------------------------------------------------------ step 2 fixtures
+CTES["hosts_n"] = f"""
+SELECT {host('url')} AS host, count(*) AS n,
+       CAST(greatest(1, ceil(count(*) / {SITEMAP_MAX_URLS})) AS BIGINT) AS files
+FROM web_pages GROUP BY 1"""
+
+CTES["placed"] = f"""
+SELECT p.dataset, p.url, h.host, {hex_bucket('p.url', 'h.files')} AS part
+FROM web_pages p JOIN hosts_n h ON {host('p.url')} = h.host"""
+
+CTES["url_seeds"] = """
+SELECT dataset, 'urls' AS source_type, url AS source FROM web_pages
+UNION ALL
+SELECT dataset, 'url' AS source_type, url AS source FROM web_pages WHERE page_id % 5 = 0"""
+
+CTES["base_urls"] = """
+SELECT dataset, arg_min(url, page_id) AS base_url FROM web_pages GROUP BY dataset"""
+
+
+def _robots_values() -> str:
+    from webcorpus.sources.fixtures import ROBOTS_TEMPLATES
+
+    def lit(v):
+        if v is None:
+            return "NULL"
+        if isinstance(v, bool):
+            return "true" if v else "false"
+        if isinstance(v, int):
+            return str(v)
+        return sql_str(v)
+    return ", ".join("(" + ", ".join(lit(v) for v in row) + ")" for row in ROBOTS_TEMPLATES)
+
+
+CTES["robots_rules"] = f"""
+SELECT h.host, t.agent, t.seq, t.allow, t.path_prefix, t.outcome
+FROM (SELECT DISTINCT {host('url')} AS host FROM web_pages) h
+JOIN (VALUES {_robots_values()}) AS t(bucket, agent, seq, allow, path_prefix, outcome)
+  ON {hex_bucket('h.host', 8)} = t.bucket"""
+
+CTES["raw_store"] = f"""
+SELECT page_id, dataset, url, html, {raw_key('dataset', 'url')} AS raw_key, sha256(html) AS raw_hash
+FROM web_pages"""
+
+CTES["raw_probe_keys"] = f"""
+SELECT raw_key FROM raw_store
+UNION ALL
+SELECT {raw_key("'d' || CAST(1 - page_id % 2 AS VARCHAR)", 'url')} AS raw_key FROM web_pages"""
+
+
+def robots_allowed_sql(urls: str, agent: str = AGENT) -> str:
+    """``urls(dataset, url)`` + ``allowed`` by a correlated first-match lookup."""
+    path = T.robots_path_sql("u.url")
+    return f"""
+(SELECT u.*, CASE WHEN o.outcome IS NULL OR o.outcome IN ('unreachable', 'denied') THEN false
+                  WHEN o.outcome = 'missing' THEN true
+                  ELSE coalesce((SELECT arg_min(r.allow, r.seq) FROM robots_rules r
+                                 WHERE r.host = o.host AND r.path_prefix IS NOT NULL
+                                   AND starts_with({path}, r.path_prefix)
+                                   AND CASE WHEN o.has_own THEN lower(r.agent) = {sql_str(agent.lower())}
+                                            ELSE r.agent = '*' END), true) END AS allowed
+ FROM {urls} u
+ LEFT JOIN (SELECT host, max(outcome) AS outcome,
+                   coalesce(bool_or(lower(agent) = {sql_str(agent.lower())}), false) AS has_own
+            FROM robots_rules GROUP BY host) o ON o.host = {host('u.url')})"""

@@ -18,6 +18,7 @@ def get_session(app: str = "webcorpus", cores: int | None = None,
     cores = cores or int(os.environ.get("BENCH_CPUS", "8"))
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.coalescePartitions.enabled", "true")

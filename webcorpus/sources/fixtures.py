@@ -84,7 +84,8 @@ def sitemap_documents(spark: SparkSession, base: str) -> DataFrame:
     per_host = pages.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
     files = F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(SITEMAP_MAX_URLS)))
     placed = (pages.join(per_host, "host")
-              .withColumn("part", F.pmod(F.xxhash64("url"), files.cast("bigint"))))
+              .withColumn("part", F.pmod(F.conv(F.substring(F.sha2("url", 256), 1, 8), 16, 10)
+                                         .cast("bigint"), files.cast("bigint"))))
     chunk_url = F.concat(F.lit("https://"), F.col("host"), F.lit("/sitemap-"),
                          F.col("part").cast("string"), F.lit(".xml"))
     urlsets = (placed.groupBy("host", "part")
@@ -121,30 +122,36 @@ def dataset_base_urls(spark: SparkSession, base: str) -> DataFrame:
     return pages.groupBy("dataset").agg(F.min_by("url", "page_id").alias("base_url"))
 
 
+# Robots rule templates by host bucket (hash mod 8):
+# (bucket, agent, seq, allow, path_prefix, outcome).
+ROBOTS_TEMPLATES = [
+    (0, None, None, None, None, "unreachable"),
+    (1, "*", 0, True, "/fr/1", "ok"),
+    (1, "*", 1, False, "/fr", "ok"),
+    (2, None, None, None, None, "ok"),
+    (3, "*", 0, False, "/", "ok"),
+    (4, None, None, None, None, "unreachable"),
+    (5, "*", 0, True, "/fr/1", "ok"),
+    (5, "*", 1, False, "/fr", "ok"),
+    (6, None, None, None, None, "ok"),
+    (7, "*", 0, False, "/", "ok"),
+    (7, AGENT, 0, False, "/fr", "ok"),
+]
+ROBOTS_SCHEMA = ("bucket int, agent string, seq int, allow boolean, path_prefix string, "
+                 "outcome string")
+
+
 def robots_rules(spark: SparkSession, base: str) -> DataFrame:
-    """``host, agent, seq, allow, path_prefix, outcome`` by host hash mod 8:
-    0/4 robots unreadable (deny), 1/5 allow ``/fr/1`` then disallow ``/fr``,
-    2/6 readable without rules, 3 disallow ``/``, 7 disallow ``/`` for ``*``
-    but an own-agent group that only disallows ``/fr``."""
+    """``host, agent, seq, allow, path_prefix, outcome``: every page host gets
+    the templates of its bucket — robots unreadable (0, 4), allow ``/fr/1``
+    then disallow ``/fr`` (1, 5), readable without rules (2, 6), disallow
+    everything (3), disallow everything for ``*`` but an own-agent group that
+    only disallows ``/fr`` (7)."""
     hosts = web_pages(spark, base).select(authority(F.col("url")).alias("host")).distinct()
-    h = hex_bucket(F.col("host"), 8)
-    rule = F.struct
-    rules = F.when(h % 4 == 0, F.array(rule(F.lit(None).cast("string").alias("agent"),
-                                            F.lit(None).cast("int").alias("seq"),
-                                            F.lit(None).cast("boolean").alias("allow"),
-                                            F.lit(None).cast("string").alias("path_prefix"),
-                                            F.lit("unreachable").alias("outcome")))) \
-        .when(h % 4 == 1, F.array(rule(F.lit("*").alias("agent"), F.lit(0).alias("seq"),
-                                       F.lit(True).alias("allow"), F.lit("/fr/1").alias("path_prefix"),
-                                       F.lit("ok").alias("outcome")),
-                                  rule(F.lit("*"), F.lit(1), F.lit(False), F.lit("/fr"), F.lit("ok")))) \
-        .when(h % 4 == 2, F.array(rule(F.lit(None).cast("string"), F.lit(None).cast("int"),
-                                       F.lit(None).cast("boolean"), F.lit(None).cast("string"),
-                                       F.lit("ok")))) \
-        .when(h == 3, F.array(rule(F.lit("*"), F.lit(0), F.lit(False), F.lit("/"), F.lit("ok")))) \
-        .otherwise(F.array(rule(F.lit("*"), F.lit(0), F.lit(False), F.lit("/"), F.lit("ok")),
-                           rule(F.lit(AGENT), F.lit(0), F.lit(False), F.lit("/fr"), F.lit("ok"))))
-    return hosts.select("host", F.inline(rules))
+    templates = spark.createDataFrame(ROBOTS_TEMPLATES, ROBOTS_SCHEMA)
+    return (hosts.withColumn("bucket", hex_bucket(F.col("host"), 8).cast("int"))
+            .join(F.broadcast(templates), "bucket")
+            .select("host", "agent", "seq", "allow", "path_prefix", "outcome"))
 
 
 def previous_crawl_state(spark: SparkSession, base: str) -> DataFrame:
