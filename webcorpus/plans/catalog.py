@@ -188,7 +188,7 @@ def _raw_store(spark, base):
 
 def _probe_keys(spark, base):
     pages = X.web_pages(spark, base)
-    other = F.concat(F.lit("d"), (1 - F.col("page_id") % 2).cast("string"))
+    other = F.concat(F.lit("site"), (1 - F.col("page_id") % 2).cast("string"))
     return (_raw_store(spark, base).select("raw_key")
             .unionByName(pages.select(K.raw_key(other, F.col("url")).alias("raw_key"))))
 
@@ -211,3 +211,116 @@ def q_raw_lookup(spark, base):
     "FROM raw_probe_keys k", "raw_store", "raw_probe_keys"))
 def q_raw_exists(spark, base):
     return R.raw_exists(_probe_keys(spark, base), _raw_store(spark, base))
+
+
+# ======================================================= 3. incremental state
+from webcorpus.operators import state as S  # noqa: E402
+
+TS_FMT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+TS_FMT_SQL = "'%Y-%m-%dT%H:%M:%SZ'"
+
+
+@register("crawl_delta", O.with_ctes(f"""
+SELECT f.dataset, f.url, {O.raw_key('f.dataset', 'f.url')} AS raw_key, sha256(f.html) AS raw_hash
+FROM fetched_pages f
+WHERE lower(f.content_type) LIKE '%text/html%'
+  AND NOT EXISTS (SELECT 1 FROM prev_crawl s
+                  WHERE s.key = {O.state_key('f.dataset', 'f.url')} AND s.raw_hash = sha256(f.html))""",
+                                     "fetched_pages", "prev_crawl"))
+def q_crawl_delta(spark, base):
+    pages = R.with_raw_keys(R.html_only(X.fetched_pages(spark, base)))
+    return S.crawl_delta(pages, X.previous_crawl_state(spark, base)) \
+        .select("dataset", "url", "raw_key", "raw_hash")
+
+
+def _crawl_outcomes(spark, base):
+    fetched = X.fetched_pages(spark, base)
+    allowed = robots_allowed(fetched, X.robots_rules(spark, base), X.AGENT)
+    ok = F.col("allowed") & F.lower(F.col("content_type")).contains("text/html")
+    fetched = allowed.select("dataset", "url", F.sha2("html", 256).alias("raw_hash"), ok.alias("ok"))
+    frontier = seed_urls(X.url_seeds(spark, base))
+    return S.crawl_outcomes(frontier, fetched, X.previous_crawl_state(spark, base))
+
+
+@register("crawl_counts", O.with_ctes(f"""
+SELECT dataset, count(*) FILTER (WHERE outcome = 'processed') AS processed,
+       count(*) FILTER (WHERE outcome = 'skipped') AS skipped,
+       count(*) FILTER (WHERE outcome = 'failed') AS failed, count(*) AS total
+FROM (SELECT f.dataset,
+             CASE WHEN NOT (f.allowed AND lower(f.content_type) LIKE '%text/html%') THEN 'failed'
+                  WHEN s.raw_hash = sha256(f.html) THEN 'skipped' ELSE 'processed' END AS outcome
+      FROM {O.robots_allowed_sql('fetched_pages')} f
+      LEFT JOIN prev_crawl s ON s.key = {O.state_key('f.dataset', 'f.url')})
+GROUP BY dataset""", "fetched_pages", "prev_crawl", "robots_rules"))
+def q_crawl_counts(spark, base):
+    return S.outcome_counts(_crawl_outcomes(spark, base))
+
+
+@register("process_delta", O.with_ctes("""
+SELECT c.dataset, c.url, c.text_hash FROM clean_keyed c
+WHERE NOT EXISTS (SELECT 1 FROM process_state s WHERE s.key = """ + O.state_key('c.dataset', 'c.url') + """
+                  AND s.status = 'processed' AND s.text_hash = c.text_hash)""", "clean_keyed", "process_state"))
+def q_process_delta(spark, base):
+    clean = clean_pages(X.web_pages(spark, base))
+    return S.process_delta(clean, X.process_state(spark, base)).select("dataset", "url", "text_hash")
+
+
+def _probe_keys_ds(spark, base):
+    return _probe_keys(spark, base).withColumn("dataset", F.substring_index("raw_key", "/", 1))
+
+
+def _process_outcomes(spark, base):
+    return S.process_outcomes(_probe_keys_ds(spark, base), _raw_store(spark, base),
+                              X.process_state(spark, base), F.sha2(T.clean_html("html"), 256))
+
+
+@register("state_by_raw_key", O.with_ctes("""
+SELECT k.raw_key, s.url, s.status FROM (SELECT raw_key, split_part(raw_key, '/', 1) AS dataset
+                                       FROM raw_probe_keys) k
+LEFT JOIN (SELECT dataset, raw_key, arg_min(url, key) AS url, arg_min(status, key) AS status
+           FROM process_state GROUP BY dataset, raw_key) s USING (dataset, raw_key)""",
+                                          "raw_probe_keys", "process_state"))
+def q_state_by_raw_key(spark, base):
+    return S.state_by_raw_key(_probe_keys_ds(spark, base), X.process_state(spark, base)) \
+        .select("raw_key", "url", "status")
+
+
+@register("process_outcomes", O.with_ctes(
+    "SELECT raw_key, url, outcome FROM probe_outcomes", "probe_outcomes"))
+def q_process_outcomes(spark, base):
+    return _process_outcomes(spark, base).select("raw_key", "url", "outcome")
+
+
+@register("state_upsert", O.with_ctes(f"""
+SELECT key, dataset, url, text_hash, status, strftime(updated_at, {TS_FMT_SQL}) AS updated_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY updated_at DESC, src DESC) AS rn FROM (
+    SELECT key, dataset, url, text_hash, status, updated_at, 0 AS src FROM process_state
+    UNION ALL
+    SELECT {O.state_key('p.dataset', 'p.url')}, p.dataset, p.url, p.new_text_hash, 'processed',
+           TIMESTAMP '{O.AS_OF}', 1
+    FROM probe_outcomes p WHERE outcome = 'processed'))
+WHERE rn = 1""", "probe_outcomes", "process_state"))
+def q_state_upsert(spark, base):
+    done = _process_outcomes(spark, base).where(F.col("outcome") == "processed")
+    new = S.new_state_rows(done.withColumn("raw_hash", F.lit(None).cast("string")), "processed",
+                           F.to_timestamp(F.lit(X.AS_OF)))
+    snap = S.upsert_state(X.process_state(spark, base), new)
+    return snap.select("key", "dataset", "url", "text_hash", "status",
+                       F.date_format("updated_at", TS_FMT).alias("updated_at"))
+
+
+@register("process_counts", O.with_ctes(f"""
+SELECT o.dataset, count(*) FILTER (WHERE outcome = 'processed') AS processed,
+       count(*) FILTER (WHERE outcome = 'skipped') AS skipped,
+       count(*) FILTER (WHERE outcome = 'failed') AS failed, count(*) AS total,
+       CAST(coalesce(sum(n.n_chunks) FILTER (WHERE outcome = 'processed'), 0) AS BIGINT) AS total_chunks
+FROM probe_outcomes o
+LEFT JOIN (SELECT page_id, count(*) AS n_chunks FROM {PAGE_CHUNKS_SQL} GROUP BY page_id) n
+  ON n.page_id = (SELECT c.page_id FROM clean_keyed c WHERE c.raw_key = o.raw_key)
+GROUP BY o.dataset""", "probe_outcomes", "clean_keyed"))
+def q_process_counts(spark, base):
+    outcomes = _process_outcomes(spark, base)
+    chunks = page_chunks(spark, base).groupBy("dataset", "url").agg(F.count(F.lit(1)).alias("n_chunks"))
+    joined = outcomes.join(chunks, ["dataset", "url"], "left")
+    return S.outcome_counts(joined, {"total_chunks": F.coalesce(
+        F.sum(F.when(F.col("outcome") == "processed", F.col("n_chunks"))), F.lit(0)).cast("bigint")})

@@ -57,7 +57,7 @@ def xml_escape(e: str) -> str:
 CTES: dict[str, str] = {}
 
 CTES["web_pages"] = """
-SELECT page_id, 'd' || CAST(page_id % 2 AS VARCHAR) AS dataset, url, html FROM pages"""
+SELECT page_id, 'site' || CAST(page_id % 2 AS VARCHAR) AS dataset, url, html FROM pages"""
 
 CTES["fetched_pages"] = """
 SELECT *, CASE WHEN page_id % 10 = 0 THEN 'application/pdf'
@@ -215,7 +215,7 @@ FROM web_pages"""
 CTES["raw_probe_keys"] = f"""
 SELECT raw_key FROM raw_store
 UNION ALL
-SELECT {raw_key("'d' || CAST(1 - page_id % 2 AS VARCHAR)", 'url')} AS raw_key FROM web_pages"""
+SELECT {raw_key("'site' || CAST(1 - page_id % 2 AS VARCHAR)", 'url')} AS raw_key FROM web_pages"""
 
 
 def robots_allowed_sql(urls: str, agent: str = AGENT) -> str:
@@ -233,3 +233,36 @@ def robots_allowed_sql(urls: str, agent: str = AGENT) -> str:
  LEFT JOIN (SELECT host, max(outcome) AS outcome,
                    coalesce(bool_or(lower(agent) = {sql_str(agent.lower())}), false) AS has_own
             FROM robots_rules GROUP BY host) o ON o.host = {host('u.url')})"""
+
+
+# ------------------------------------------------------------------ step 3 fixtures
+CTES["prev_crawl"] = f"""
+SELECT {state_key('dataset', 'url')} AS key, dataset, url,
+       CASE WHEN page_id % 3 = 0 THEN sha256(html) ELSE '{ZERO_HASH}' END AS raw_hash
+FROM web_pages WHERE page_id % 3 <> 2"""
+
+CTES["clean_keyed"] = f"""
+SELECT page_id, dataset, url, {raw_key('dataset', 'url')} AS raw_key, sha256(text) AS text_hash
+FROM clean_pages"""
+
+CTES["process_state"] = f"""
+SELECT {state_key('c.dataset', 'c.url')} AS key, c.dataset, c.url, sha256(c.url) AS url_hash,
+       sha256(w.html) AS raw_hash,
+       CASE WHEN c.page_id % 3 IN (0, 1) THEN c.text_hash END AS text_hash,
+       c.raw_key, CASE WHEN c.page_id % 3 = 0 THEN 'processed' ELSE 'scraped' END AS status,
+       TIMESTAMP '{PREVIOUS_AS_OF}' AS updated_at
+FROM clean_keyed c JOIN web_pages w USING (page_id)"""
+
+CTES["probe_outcomes"] = """
+SELECT k.raw_key, split_part(k.raw_key, '/', 1) AS dataset, s.url,
+       CASE WHEN r.html IS NULL OR s.key IS NULL THEN 'failed'
+            WHEN s.status = 'processed' AND s.text_hash = c.text_hash THEN 'skipped'
+            ELSE 'processed' END AS outcome,
+       c.text_hash AS new_text_hash
+FROM raw_probe_keys k
+LEFT JOIN raw_store r USING (raw_key)
+LEFT JOIN clean_keyed c USING (raw_key)
+LEFT JOIN (SELECT dataset, raw_key, arg_min(key, key) AS key, arg_min(url, key) AS url,
+                  arg_min(status, key) AS status, arg_min(text_hash, key) AS text_hash
+           FROM process_state GROUP BY dataset, raw_key) s
+  ON s.raw_key = k.raw_key AND s.dataset = split_part(k.raw_key, '/', 1)"""

@@ -25,7 +25,7 @@ ZERO_HASH = "0" * 64
 
 
 def page_dataset(page_id: Column) -> Column:
-    return F.concat(F.lit("d"), (page_id % 2).cast("string"))
+    return F.concat(F.lit("site"), (page_id % 2).cast("string"))
 
 
 def web_pages(spark: SparkSession, base: str) -> DataFrame:
@@ -229,3 +229,20 @@ def questions(spark: SparkSession, base: str) -> DataFrame:
         F.concat(F.lit("d"), (F.col("label") % 3).cast("string")).alias("dataset"),
         F.concat(F.lit("what about item "), vid.cast("string"), F.lit(" & more?")).alias("query"),
         F.lit(5).alias("top_k"), F.lit("production").alias("namespace"), "embedding")
+
+
+def process_state(spark: SparkSession, base: str) -> DataFrame:
+    """State when processing starts: every page scraped; page_id % 3 = 0 also
+    processed with the current text hash, 1 scraped with the current text
+    hash recorded, 2 scraped without a text hash."""
+    from webcorpus.functions.keys import raw_key, state_key
+    from webcorpus.functions.text import clean_html
+    pages = web_pages(spark, base)
+    pid = F.col("page_id")
+    return pages.select(
+        state_key(F.col("dataset"), F.col("url")).alias("key"), "dataset", "url",
+        url_hash(F.col("url")).alias("url_hash"), F.sha2("html", 256).alias("raw_hash"),
+        F.when(pid % 3 != 2, F.sha2(clean_html("html"), 256)).alias("text_hash"),
+        raw_key(F.col("dataset"), F.col("url")).alias("raw_key"),
+        F.when(pid % 3 == 0, F.lit("processed")).otherwise(F.lit("scraped")).alias("status"),
+        F.to_timestamp(F.lit(PREVIOUS_AS_OF)).alias("updated_at"))
