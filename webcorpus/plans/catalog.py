@@ -324,3 +324,130 @@ def q_process_counts(spark, base):
     joined = outcomes.join(chunks, ["dataset", "url"], "left")
     return S.outcome_counts(joined, {"total_chunks": F.coalesce(
         F.sum(F.when(F.col("outcome") == "processed", F.col("n_chunks"))), F.lit(0)).cast("bigint")})
+
+
+# ======================================================= 4. vectors and search
+from webcorpus.operators import embed as E  # noqa: E402
+from webcorpus.operators import search as Q  # noqa: E402
+from webcorpus.operators import vectors as V  # noqa: E402
+
+
+@register("embed_hashed", O.with_ctes(
+    f"SELECT item_id, dim, round(value, 6) AS value FROM {O.hashed_embedding_rows('benchmark', 'item_id')}"))
+def q_embed_hashed(spark, base):
+    items = read_table(spark, base, "benchmark", ["item_id", "text"])
+    emb = E.with_hashed_embedding(items).select(
+        "item_id", F.posexplode("embedding").alias("dim", "value"))
+    return emb.where(F.col("value") != 0).select(
+        "item_id", F.col("dim").cast("bigint").alias("dim"), F.round("value", 6).alias("value"))
+
+
+def _staged_chunks(spark, base):
+    return V.chunk_vectors(page_chunks(spark, base), "staging", F.to_timestamp(F.lit(X.AS_OF)))
+
+
+CHUNK_VECTORS_SQL = f"""
+(SELECT 'staging' AS namespace, {O.vector_id('p.dataset', 'c.text')} AS id, c.text, p.dataset, p.url, p.title,
+        CAST(c.chunk_index AS INTEGER) AS chunk_index, TIMESTAMP '{O.AS_OF}' AS updated_at
+ FROM {PAGE_CHUNKS_SQL} c JOIN clean_pages p USING (page_id))"""
+
+
+@register("chunk_dedup", O.with_ctes(f"""
+SELECT namespace, id, url, CAST(chunk_index AS INTEGER) AS chunk_index FROM (
+  SELECT *, row_number() OVER (PARTITION BY namespace, id ORDER BY updated_at DESC, url DESC, chunk_index DESC) AS rn
+  FROM {CHUNK_VECTORS_SQL}) WHERE rn = 1""", "clean_pages"))
+def q_chunk_dedup(spark, base):
+    return V.dedup_vectors(_staged_chunks(spark, base)).select("namespace", "id", "url", "chunk_index")
+
+
+def _reupserted(spark, base):
+    old = X.vectors(spark, base)
+    again = (old.where((F.col("namespace") == "staging") & (F.col("vec_id") % 5 == 0))
+             .withColumn("title", F.concat(F.col("title"), F.lit(" v2")))
+             .withColumn("updated_at", F.to_timestamp(F.lit(X.AS_OF))))
+    return old, again
+
+
+@register("vector_upsert", O.with_ctes(f"""
+SELECT namespace, id, dataset, url, title, CAST(chunk_index AS INTEGER) AS chunk_index FROM (
+  SELECT *, row_number() OVER (PARTITION BY namespace, id ORDER BY updated_at DESC, url DESC, chunk_index DESC) AS rn
+  FROM (SELECT namespace, id, dataset, url, title, chunk_index, updated_at FROM vectors
+        UNION ALL
+        SELECT namespace, id, dataset, url, title || ' v2', chunk_index, TIMESTAMP '{O.AS_OF}' FROM vectors
+        WHERE namespace = 'staging' AND vec_id % 5 = 0
+        UNION ALL
+        SELECT namespace, id, dataset, url, title, chunk_index, updated_at FROM {CHUNK_VECTORS_SQL}))
+WHERE rn = 1""", "vectors", "clean_pages"))
+def q_vector_upsert(spark, base):
+    old, again = _reupserted(spark, base)
+    new = again.select(*V.VECTOR_COLUMNS).unionByName(_staged_chunks(spark, base).select(*V.VECTOR_COLUMNS))
+    snap = V.upsert_vectors(old, new)
+    return snap.select("namespace", "id", "dataset", "url", "title", "chunk_index")
+
+
+@register("cosine_scores", O.with_ctes(f"""
+SELECT g.query, v.namespace, v.id, round({O.cosine('g.embedding', 'v.embedding')}, 6) AS score
+FROM (SELECT qid, query, dataset, embedding, unnest(expected_citations) AS url FROM golden) g
+JOIN vectors v ON v.dataset = g.dataset AND v.url = g.url""", "golden", "vectors"))
+def q_cosine_scores(spark, base):
+    g = X.golden_queries(spark, base).select(
+        "query", "dataset", F.col("embedding").alias("q_emb"), F.explode("expected_citations").alias("url"))
+    v = X.vectors(spark, base).select("namespace", "id", "dataset", "url", "embedding")
+    return g.join(v, ["dataset", "url"]).select(
+        "query", "namespace", "id", F.round(V.cosine(F.col("q_emb"), F.col("embedding")), 6).alias("score"))
+
+
+def _questions_to(spark, base, namespace, k):
+    qs = X.questions(spark, base).withColumn("namespace", F.lit(namespace))
+    return qs.withColumn("top_k", F.lit(k))
+
+
+@register("filtered_topk", O.with_ctes(f"""
+SELECT qid, rank, id, round(score, 6) AS score, url FROM {O.topk_sql(
+    "(SELECT qid, dataset, 'staging' AS namespace, 3 AS top_k, embedding FROM questions)",
+    "(SELECT * FROM vectors WHERE lang = 'en')", 3, 'v.url')}""", "questions", "vectors"))
+def q_filtered_topk(spark, base):
+    vecs = Q.metadata_filter(X.vectors(spark, base), lang="en")
+    hits = Q.topk_search(_questions_to(spark, base, "staging", 3), vecs, k=3, payload=("url",))
+    return hits.select("qid", "rank", "id", F.round("score", 6).alias("score"), "url")
+
+
+def _golden_hits(spark, base, k=5):
+    g = X.golden_queries(spark, base).select(
+        "qid", "dataset", F.lit("staging").alias("namespace"), F.lit(k).alias("top_k"), "embedding")
+    return Q.topk_search(g, X.vectors(spark, base), k=k, payload=("url",))
+
+
+@register("topk_per_query", O.with_ctes(f"""
+SELECT qid, rank, id, round(score, 6) AS score, url FROM {O.topk_sql(
+    "(SELECT qid, dataset, 'staging' AS namespace, 5 AS top_k, embedding FROM golden)", 'vectors', 5, 'v.url')}""",
+                                        "golden", "vectors"))
+def q_topk_per_query(spark, base):
+    return _golden_hits(spark, base).select("qid", "rank", "id", F.round("score", 6).alias("score"), "url")
+
+
+def retrieval_results(spark, base):
+    """Questions → top-k in production with citations, one row per
+    question with its ``results`` array and ``count``."""
+    qs = X.questions(spark, base)
+    hits = Q.with_citation(Q.topk_search(qs, X.vectors(spark, base), k=5,
+                                         payload=("url", "title", "text")))
+    per_q = hits.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct(
+        "rank", "id", "score", "text", "citation"))).alias("results"))
+    return (qs.select("qid", "dataset", "query").join(per_q, "qid", "left")
+            .withColumn("results", F.coalesce("results", F.array().cast(per_q.schema["results"].dataType)))
+            .withColumn("count", F.size("results").cast("bigint")))
+
+
+@register("retrieval", O.with_ctes(f"""
+SELECT q.qid, q.dataset, q.query, CAST(count(h.id) OVER (PARTITION BY q.qid) AS BIGINT) AS count,
+       h.rank, h.id, round(h.score, 6) AS score, coalesce(h.url, '') AS citation_url,
+       coalesce(h.title, '') AS citation_title
+FROM questions q LEFT JOIN {O.topk_sql('questions', 'vectors', 5)} h USING (qid)""", "questions", "vectors"))
+def q_retrieval(spark, base):
+    r = retrieval_results(spark, base)
+    flat = r.select("qid", "dataset", "query", "count", F.explode_outer("results").alias("h"))
+    return flat.select("qid", "dataset", "query", "count", "h.rank", "h.id",
+                       F.round("h.score", 6).alias("score"),
+                       F.col("h.citation.url").alias("citation_url"),
+                       F.col("h.citation.title").alias("citation_title"))

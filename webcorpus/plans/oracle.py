@@ -266,3 +266,56 @@ LEFT JOIN (SELECT dataset, raw_key, arg_min(key, key) AS key, arg_min(url, key)
                   arg_min(status, key) AS status, arg_min(text_hash, key) AS text_hash
            FROM process_state GROUP BY dataset, raw_key) s
   ON s.raw_key = k.raw_key AND s.dataset = split_part(k.raw_key, '/', 1)"""
+
+
+# ------------------------------------------------------------------ step 4 fixtures
+CTES["vectors"] = f"""
+SELECT CASE WHEN e.vec_id % 2 = 0 THEN 'production' ELSE 'staging' END AS namespace,
+       substr(sha256('d' || CAST(e.label % 3 AS VARCHAR) || ':' || CAST(e.vec_id AS VARCHAR)), 1, 32) AS id,
+       e.vec_id, e.embedding, coalesce(d.text, '') AS text, 'd' || CAST(e.label % 3 AS VARCHAR) AS dataset,
+       CASE WHEN e.vec_id % 17 = 0 THEN '' ELSE 'https://example.org/' || CAST(e.vec_id AS VARCHAR) END AS url,
+       'Doc ' || CAST(e.vec_id AS VARCHAR) AS title, 0 AS chunk_index, d.lang,
+       TIMESTAMP '{PREVIOUS_AS_OF}' AS updated_at
+FROM embeddings e LEFT JOIN documents d ON d.doc_id = e.vec_id"""
+
+CTES["questions"] = """
+SELECT vec_id AS qid, 'd' || CAST(label % 3 AS VARCHAR) AS dataset,
+       'what about item ' || CAST(vec_id AS VARCHAR) || ' & more?' AS query, 5 AS top_k,
+       'production' AS namespace, embedding
+FROM embeddings"""
+
+CTES["golden"] = """
+SELECT vec_id AS qid, 'd' || CAST(label % 3 AS VARCHAR) AS dataset, 'golden ' || CAST(vec_id AS VARCHAR) AS query,
+       CASE WHEN vec_id % 3 = 0 THEN [own, 'https://example.org/missing/' || CAST(vec_id AS VARCHAR)]
+            ELSE [own] END AS expected_citations,
+       CASE WHEN vec_id % 4 = 0 THEN 1.01 ELSE CAST(NULL AS DOUBLE) END AS min_score, embedding
+FROM (SELECT *, CASE WHEN vec_id % 17 = 0 THEN '' ELSE 'https://example.org/' || CAST(vec_id AS VARCHAR) END AS own
+      FROM embeddings)"""
+
+
+def cosine(a: str, b: str) -> str:
+    return (f"(list_dot_product(CAST({a} AS DOUBLE[]), CAST({b} AS DOUBLE[])) / "
+            f"sqrt(list_dot_product(CAST({a} AS DOUBLE[]), CAST({a} AS DOUBLE[])) * "
+            f"list_dot_product(CAST({b} AS DOUBLE[]), CAST({b} AS DOUBLE[]))))")
+
+
+def topk_sql(queries: str, vectors: str, k: int = 5, cols: str = "v.url, v.title, v.text") -> str:
+    """Every (query, vector) pair of the same namespace and dataset scored, then
+    ranked — the brute-force form of the top-k search."""
+    return f"""
+(SELECT * FROM (
+   SELECT q.qid, v.id, {cosine('q.embedding', 'v.embedding')} AS score, {cols},
+          CAST(row_number() OVER (PARTITION BY q.qid ORDER BY {cosine('q.embedding', 'v.embedding')} DESC, v.id)
+               AS INTEGER) AS rank,
+          least(coalesce(q.top_k, {k}), {k}) AS _k
+   FROM {queries} q JOIN {vectors} v ON v.namespace = q.namespace AND v.dataset = q.dataset)
+ WHERE rank <= _k)"""
+
+
+def hashed_embedding_rows(src: str, key: str, dim: int = 64) -> str:
+    """``key, dim, value`` of the non-zero buckets of the hashed embedding."""
+    return f"""
+(WITH toks AS (SELECT {key}, unnest(regexp_extract_all(lower(text), {sql_str(P.TOKEN)})) AS t FROM {src}),
+ cnt AS (SELECT {key}, {hex_bucket('t', dim)} AS dim, count(*) AS c FROM toks GROUP BY ALL),
+ nrm AS (SELECT {key}, sqrt(sum(c * c)) AS n FROM cnt GROUP BY ALL)
+ SELECT {key}, CAST(dim AS BIGINT) AS dim, c / n AS value FROM cnt JOIN nrm USING ({key}))"""

@@ -186,7 +186,7 @@ def vectors(spark: SparkSession, base: str) -> DataFrame:
     staging; dataset ``d<label % 3>``; text from the document of the same id;
     every 17th URL empty."""
     emb = read_table(spark, base, "embeddings", ["vec_id", "embedding", "label"])
-    docs = read_table(spark, base, "documents", ["doc_id", "text"])
+    docs = read_table(spark, base, "documents", ["doc_id", "text", "lang"])
     vid = F.col("vec_id")
     joined = emb.join(docs, emb.vec_id == docs.doc_id, "left")
     dataset = F.concat(F.lit("d"), (F.col("label") % 3).cast("string"))
@@ -198,7 +198,8 @@ def vectors(spark: SparkSession, base: str) -> DataFrame:
         F.when(vid % 17 == 0, F.lit("")).otherwise(
             F.concat(F.lit("https://example.org/"), vid.cast("string"))).alias("url"),
         F.concat(F.lit("Doc "), vid.cast("string")).alias("title"),
-        F.lit(0).alias("chunk_index"))
+        F.lit(0).alias("chunk_index"), "lang",
+        F.to_timestamp(F.lit(PREVIOUS_AS_OF)).alias("updated_at"))
 
 
 def golden_queries(spark: SparkSession, base: str) -> DataFrame:
@@ -212,6 +213,7 @@ def golden_queries(spark: SparkSession, base: str) -> DataFrame:
     expected = F.when(vid % 3 == 0, F.array(own, F.concat(F.lit("https://example.org/missing/"),
                                                           vid.cast("string")))).otherwise(F.array(own))
     return emb.select(
+        vid.alias("qid"),
         F.concat(F.lit("d"), (F.col("label") % 3).cast("string")).alias("dataset"),
         F.concat(F.lit("golden "), vid.cast("string")).alias("query"),
         expected.alias("expected_citations"),
