@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webcorpus.functions import keys as K
+from webcorpus.functions import patterns as P
+from webcorpus.functions.patterns import sql_str
 from webcorpus.functions import text as T
 from webcorpus.operators.chunking import chunk_documents
 from webcorpus.operators.cleaning import clean_pages
@@ -451,3 +453,93 @@ def q_retrieval(spark, base):
                        F.round("h.score", 6).alias("score"),
                        F.col("h.citation.url").alias("citation_url"),
                        F.col("h.citation.title").alias("citation_title"))
+
+
+# ======================================================= 5. evaluation and promotion
+from webcorpus.operators import evaluate as EV  # noqa: E402
+from webcorpus.operators.promote import promote  # noqa: E402
+
+
+def _golden_json(spark, base):
+    return EV.golden_to_json(X.golden_queries(spark, base))
+
+
+@register("golden_write")
+def q_golden_write(spark, base):
+    return _golden_json(spark, base)
+
+
+@register("golden_read", O.with_ctes("""
+SELECT dataset, query, array_to_string(expected_citations, ' ') AS expected,
+       coalesce(min_score, 0.7) AS min_score FROM golden""", "golden"))
+def q_golden_read(spark, base):
+    g = EV.golden_from_json(_golden_json(spark, base))
+    return g.select("dataset", "query", F.array_join("expected_citations", " ").alias("expected"),
+                    F.coalesce("min_score", F.lit(EV.DEFAULT_MIN_SCORE)).alias("min_score"))
+
+
+def _checks(spark, base):
+    golden = X.golden_queries(spark, base)
+    return EV.golden_checks(golden, _golden_hits(spark, base))
+
+
+@register("golden_checks", O.with_ctes("""
+SELECT qid, dataset, query, passed, round(top_score, 6) AS top_score,
+       array_to_string(citations_found, ' ') AS citations_found, array_to_string(issues, ' | ') AS issues
+FROM checks""", "checks"))
+def q_golden_checks(spark, base):
+    c = _checks(spark, base)
+    return c.select("qid", "dataset", "query", "passed", F.round("top_score", 6).alias("top_score"),
+                    F.array_join("citations_found", " ").alias("citations_found"),
+                    F.array_join("issues", " | ").alias("issues"))
+
+
+def _all_vectors(spark, base):
+    staged = _staged_chunks(spark, base)
+    return V.upsert_vectors(X.vectors(spark, base), staged)
+
+
+def _report(spark, base):
+    datasets = _all_vectors(spark, base).select("dataset")
+    return EV.eval_report(_checks(spark, base), datasets)
+
+
+@register("eval_report", O.with_ctes("SELECT * FROM report", "report"))
+def q_eval_report(spark, base):
+    return _report(spark, base)
+
+
+@register("validate_citations", O.with_ctes("""
+SELECT dataset, count(*) FILTER (WHERE coalesce(url, '') = '') = 0 AS passed, count(*) AS n_chunks,
+       count(*) FILTER (WHERE coalesce(url, '') = '') AS n_missing
+FROM (SELECT dataset, url FROM vectors UNION ALL
+      SELECT dataset, url FROM (SELECT DISTINCT namespace, id, dataset, url FROM (
+        SELECT *, row_number() OVER (PARTITION BY namespace, id ORDER BY url DESC, chunk_index DESC) rn
+        FROM page_vectors) WHERE rn = 1))
+GROUP BY dataset""", "vectors", "page_vectors"))
+def q_validate_citations(spark, base):
+    return EV.citation_report(_all_vectors(spark, base))
+
+
+@register("chunk_integrity", O.with_ctes(f"""
+SELECT page_id, chunk_index,
+       NOT regexp_matches(regexp_replace(c.text, {sql_str(P.WS + '+' + chr(92) + 'z')}, ''),
+                          {sql_str(P.SENTENCE_END)}) AS ends_mid_sentence,
+       true AS passed
+FROM {PAGE_CHUNKS_SQL} c""", "clean_pages"))
+def q_chunk_integrity(spark, base):
+    chunks = chunk_documents(_clean(spark, base), ["page_id"])
+    return EV.chunk_integrity(chunks).select("page_id", "chunk_index", "ends_mid_sentence", "passed")
+
+
+@register("promote", O.with_ctes("""
+SELECT r.dataset, r.passed AS success, CASE WHEN NOT r.passed THEN 'evaluation_failed' END AS reason,
+       CAST(coalesce(n.n, 0) AS BIGINT) AS n_copied
+FROM report r LEFT JOIN (
+  SELECT dataset, count(*) AS n FROM (
+    SELECT DISTINCT id, dataset FROM (SELECT id, dataset FROM vectors WHERE namespace = 'staging'
+                                     UNION ALL SELECT id, dataset FROM page_vectors)) GROUP BY dataset) n
+  ON n.dataset = r.dataset AND r.passed""", "report", "vectors", "page_vectors"))
+def q_promote(spark, base):
+    _, result = promote(_all_vectors(spark, base), _report(spark, base))
+    return result

@@ -319,3 +319,50 @@ def hashed_embedding_rows(src: str, key: str, dim: int = 64) -> str:
  cnt AS (SELECT {key}, {hex_bucket('t', dim)} AS dim, count(*) AS c FROM toks GROUP BY ALL),
  nrm AS (SELECT {key}, sqrt(sum(c * c)) AS n FROM cnt GROUP BY ALL)
  SELECT {key}, CAST(dim AS BIGINT) AS dim, c / n AS value FROM cnt JOIN nrm USING ({key}))"""
+
+
+# ------------------------------------------------------------------ step 5
+def golden_checks_sql(golden: str, hits: str) -> str:
+    """Checks of ``golden(qid, dataset, query, expected_citations, min_score)``
+    against ``hits(qid, rank, score, url)``."""
+    return f"""
+(WITH h AS (SELECT qid, count(*) AS n, max(CASE WHEN rank = 1 THEN score END) AS top,
+                   list_filter(list(coalesce(url, '') ORDER BY rank), lambda u: u <> '') AS found
+            FROM {hits} GROUP BY qid),
+ j AS (SELECT g.*, coalesce(h.n, 0) AS n, coalesce(h.top, 0.0) AS top,
+              coalesce(h.found, []::VARCHAR[]) AS found,
+              coalesce(g.expected_citations, []::VARCHAR[]) AS expected
+       FROM {golden} g LEFT JOIN h USING (qid)),
+ m AS (SELECT *, list_sort(list_distinct(list_filter(expected, lambda x: NOT list_contains(found, x)))) AS missing
+       FROM j)
+ SELECT qid, dataset, query, found AS citations_found, top AS top_score,
+        list_filter([CASE WHEN n = 0 THEN {sql_str('No results found for query')}
+                          WHEN top < coalesce(min_score, 0.7)
+                          THEN printf('Top result score %.3f below minimum %s', top,
+                                      CAST(coalesce(min_score, 0.7) AS VARCHAR)) END,
+                     CASE WHEN len(expected) > 0 AND len(missing) > 0
+                          THEN 'Missing expected citations: [' ||
+                               array_to_string(list_transform(missing, lambda x: '''' || x || ''''), ', ')
+                               || ']' END], lambda x: x IS NOT NULL) AS issues
+ FROM m)"""
+
+
+CTES["golden_hits"] = f"""
+SELECT qid, rank, score, url FROM {topk_sql(
+    "(SELECT qid, dataset, 'staging' AS namespace, 5 AS top_k, embedding FROM golden)", 'vectors', 5, 'v.url')}"""
+
+CTES["checks"] = f"""
+SELECT *, len(issues) = 0 AS passed FROM {golden_checks_sql('golden', 'golden_hits')}"""
+
+CTES["page_vectors"] = f"""
+SELECT 'staging' AS namespace, {vector_id('p.dataset', 'c.text')} AS id, p.dataset, p.url, c.chunk_index,
+       TIMESTAMP '{AS_OF}' AS updated_at
+FROM {chunks_sql(sections_sql('clean_pages', 'page_id'), 'page_id')} c JOIN clean_pages p USING (page_id)"""
+
+CTES["report"] = f"""
+SELECT d.dataset, coalesce(c.ok, true) AS passed,
+       CASE WHEN c.ok IS NULL THEN {sql_str('No golden queries defined for dataset')} END AS warning,
+       coalesce(c.total, 0) AS total_queries, coalesce(c.np, 0) AS passed_queries
+FROM (SELECT dataset FROM vectors UNION SELECT dataset FROM page_vectors UNION SELECT dataset FROM checks) d
+LEFT JOIN (SELECT dataset, bool_and(passed) AS ok, count(*) AS total, count(*) FILTER (WHERE passed) AS np
+           FROM checks GROUP BY dataset) c USING (dataset)"""
