@@ -543,3 +543,95 @@ FROM report r LEFT JOIN (
 def q_promote(spark, base):
     _, result = promote(_all_vectors(spark, base), _report(spark, base))
     return result
+
+
+# ======================================================= 6. answers
+from webcorpus.functions import facts as FA  # noqa: E402
+from webcorpus.operators import answers as AN  # noqa: E402
+
+
+@register("extract_facts", f"""
+SELECT doc_id, CAST(fact_no AS BIGINT) AS fact_no, fact FROM (
+  SELECT doc_id, unnest(generate_series(1, len(f))) AS fact_no, unnest(f) AS fact
+  FROM (SELECT doc_id, {FA.facts_sql('text', FA.MAX_FACTS)} AS f FROM documents))""")
+def q_extract_facts(spark, base):
+    docs = read_table(spark, base, "documents", ["doc_id", "text"])
+    f = docs.select("doc_id", F.posexplode(FA.facts(F.col("text"))).alias("i", "fact"))
+    return f.select("doc_id", (F.col("i") + 1).cast("bigint").alias("fact_no"), "fact")
+
+
+def _question_hits(spark, base):
+    return Q.topk_search(X.questions(spark, base), X.vectors(spark, base), k=5,
+                         payload=("url", "title", "text"))
+
+
+@register("fact_cards", O.with_ctes(
+    "SELECT qid, rank, CAST(fact_no AS BIGINT) AS fact_no, fact, source, title, 'statement' AS type FROM q_cards",
+    "q_cards", "questions", "vectors"))
+def q_fact_cards(spark, base):
+    cards = AN.hit_cards(_question_hits(spark, base))
+    flat = cards.select("qid", "rank", F.posexplode("cards").alias("i", "c"))
+    return flat.select("qid", "rank", (F.col("i") + 1).cast("bigint").alias("fact_no"), "c.fact",
+                       "c.source", "c.title", "c.type")
+
+
+def _answers(spark, base):
+    qs = X.questions(spark, base)
+    return AN.answers(qs, _question_hits(spark, base))
+
+
+def _flat_answers(ans):
+    return ans.select("qid", "dataset", "query", "query_hash", "summary",
+                      F.size("fact_cards").cast("bigint").alias("n_cards"),
+                      F.size("citations").cast("bigint").alias("n_citations"), "handoff_url", "qr_url")
+
+
+@register("answers", O.with_ctes("SELECT * FROM q_answers", "q_answers", "q_cards", "questions", "vectors"))
+def q_answers(spark, base):
+    return _flat_answers(_answers(spark, base))
+
+
+@register("answer_citations", O.with_ctes("""
+SELECT qid, CAST(row_number() OVER (PARTITION BY qid ORDER BY first_rank) AS BIGINT) AS cite_no, url, title
+FROM (SELECT qid, url, min(rank) AS first_rank, arg_min(coalesce(title, ''), rank) AS title
+      FROM q_hits WHERE coalesce(url, '') <> '' GROUP BY qid, url)""", "q_hits", "questions", "vectors"))
+def q_answer_citations(spark, base):
+    a = _answers(spark, base)
+    c = a.select("qid", F.posexplode("citations").alias("i", "c"))
+    return c.select("qid", (F.col("i") + 1).cast("bigint").alias("cite_no"), "c.url", "c.title")
+
+
+def _answer_store(spark, base):
+    """Precomputed answers: the questions with an even id."""
+    return AN.answer_records(_answers(spark, base).where(F.col("qid") % 2 == 0))
+
+
+@register("answer_json")
+def q_answer_json(spark, base):
+    return _answer_store(spark, base)
+
+
+@register("answer_cache_lookup", O.with_ctes("""
+SELECT qid, qid % 2 = 0 AS hit, CASE WHEN qid % 2 = 0 THEN summary END AS summary FROM q_answers""",
+                                             "q_answers", "q_cards", "questions", "vectors"))
+def q_answer_cache_lookup(spark, base):
+    looked = AN.lookup_answers(X.questions(spark, base), _answer_store(spark, base))
+    return looked.select("qid", F.col("cached").isNotNull().alias("hit"),
+                         F.col("cached.summary").alias("summary"))
+
+
+@register("answers_cached_or_new", O.with_ctes("""
+SELECT qid, CASE WHEN qid % 2 = 0 THEN 'cache' ELSE 'generated' END AS source, summary, n_cards, n_citations
+FROM q_answers""", "q_answers", "q_cards", "questions", "vectors"))
+def q_answers_cached_or_new(spark, base):
+    qs = X.questions(spark, base)
+    vecs = X.vectors(spark, base)
+
+    def generate(missing):
+        hits = Q.topk_search(missing, vecs, k=5, payload=("url", "title", "text"))
+        return AN.answers(missing, hits)
+
+    merged = AN.cached_or_generated(qs, _answer_store(spark, base), generate)
+    return merged.select("qid", "source", "summary",
+                         F.size("fact_cards").cast("bigint").alias("n_cards"),
+                         F.size("citations").cast("bigint").alias("n_citations"))

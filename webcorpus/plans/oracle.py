@@ -366,3 +366,34 @@ SELECT d.dataset, coalesce(c.ok, true) AS passed,
 FROM (SELECT dataset FROM vectors UNION SELECT dataset FROM page_vectors UNION SELECT dataset FROM checks) d
 LEFT JOIN (SELECT dataset, bool_and(passed) AS ok, count(*) AS total, count(*) FILTER (WHERE passed) AS np
            FROM checks GROUP BY dataset) c USING (dataset)"""
+
+
+# ------------------------------------------------------------------ step 6
+def _facts(e: str, n: int) -> str:
+    from webcorpus.functions.facts import facts_sql
+    return facts_sql(e, n)
+
+
+def _summary(e: str) -> str:
+    from webcorpus.functions.facts import summary_sql
+    return summary_sql(e)
+
+
+CTES["q_hits"] = f"SELECT * FROM {topk_sql('questions', 'vectors', 5)}"
+
+CTES["q_cards"] = f"""
+SELECT qid, rank, coalesce(url, '') AS source, coalesce(title, '') AS title,
+       unnest(generate_series(1, len(f))) AS fact_no, unnest(f) AS fact
+FROM (SELECT qid, rank, url, title, {_facts('text', 3)} AS f FROM q_hits)"""
+
+CTES["q_answers"] = f"""
+SELECT q.qid, q.dataset, q.query, substr(sha256(q.query), 1, 16) AS query_hash,
+       {_summary("coalesce(c.facts, []::VARCHAR[])")} AS summary,
+       CAST(least(coalesce(len(c.facts), 0), 10) AS BIGINT) AS n_cards,
+       CAST(coalesce(t.n, 0) AS BIGINT) AS n_citations,
+       '/dataset/' || q.dataset || '/query?q=' || q.query AS handoff_url,
+       '/dataset/' || q.dataset || '/query?q=' || q.query AS qr_url
+FROM questions q
+LEFT JOIN (SELECT qid, list(fact ORDER BY rank, fact_no) AS facts FROM q_cards GROUP BY qid) c USING (qid)
+LEFT JOIN (SELECT qid, count(DISTINCT url) AS n FROM q_hits WHERE coalesce(url, '') <> '' GROUP BY qid) t
+  USING (qid)"""
