@@ -80,7 +80,9 @@ def q_paragraphs(spark, base):
         .select("doc_id", F.col("para_no").cast("bigint").alias("para_no"), "text")
 
 
-@register("line_kinds")
+@register("line_kinds", O.with_ctes(
+    f"SELECT doc_id, CAST(pos AS BIGINT) AS pos, kind, section_no FROM {O.line_kinds_sql('sdocs', 'doc_id')}",
+    "sdocs"))
 def q_line_kinds(spark, base):
     docs = X.structured_documents(spark, base)
     kinds = line_kinds(explode_lines(docs, ["doc_id"]), ["doc_id"])
@@ -635,3 +637,28 @@ def q_answers_cached_or_new(spark, base):
     return merged.select("qid", "source", "summary",
                          F.size("fact_cards").cast("bigint").alias("n_cards"),
                          F.size("citations").cast("bigint").alias("n_citations"))
+
+
+# ======================================================= 7. streaming
+import uuid  # noqa: E402
+
+from webcorpus.session import ensure_checkpoint_dir  # noqa: E402
+from webcorpus.streaming.pages_stream import latest, start_page_stream  # noqa: E402
+
+
+@register("stream_process", O.with_ctes("""
+SELECT namespace, id, dataset, url, CAST(chunk_index AS INTEGER) AS chunk_index FROM (
+  SELECT *, row_number() OVER (PARTITION BY namespace, id ORDER BY updated_at DESC, url DESC, chunk_index DESC) rn
+  FROM page_vectors) WHERE rn = 1""", "page_vectors"))
+def q_stream_process(spark, base):
+    """The pages table arrives as a file stream; every micro-batch runs the
+    process job against the previous epoch's snapshots (foreachBatch)."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    src_schema = read_table(spark, base, "pages", ["page_id", "url", "html"]).schema
+    query = start_page_stream(
+        spark, base, f"{root}/store", f"{root}/checkpoint", X.AS_OF,
+        schema=src_schema, glob="pages.parquet",
+        prepare=lambda df: df.withColumn("dataset", X.page_dataset(F.col("page_id"))))
+    query.awaitTermination()
+    vectors = latest(spark, f"{root}/store", "vectors")
+    return vectors.select("namespace", "id", "dataset", "url", "chunk_index")

@@ -80,8 +80,8 @@ SELECT doc_id, array_to_string(list_transform(string_split(text, {NL}), lambda l
 FROM documents"""
 
 
-def sections_sql(src: str, key: str) -> str:
-    """Sections of ``src(key, text)`` by the window formulation."""
+def line_kinds_sql(src: str, key: str) -> str:
+    """Every line of ``src(key, text)`` with ``pos, line, kind, section_no``."""
     s = strip("line")
     return f"""
 (WITH lines AS (
@@ -116,8 +116,14 @@ def sections_sql(src: str, key: str) -> str:
  k7 AS (
    SELECT *, CAST(sum(st) OVER (PARTITION BY {key} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS section_no
    FROM k6)
- SELECT {key}, section_no, string_agg(line, {NL} ORDER BY pos) AS text
- FROM k7 GROUP BY {key}, section_no
+ SELECT {key}, pos, line, kind, section_no FROM k7)"""
+
+
+def sections_sql(src: str, key: str) -> str:
+    """Sections of ``src(key, text)`` by the window formulation."""
+    return f"""
+(SELECT {key}, section_no, string_agg(line, {NL} ORDER BY pos) AS text
+ FROM {line_kinds_sql(src, key)} GROUP BY {key}, section_no
  HAVING {T.has_text_sql(f"string_agg(line, {NL} ORDER BY pos)")})"""
 
 
