@@ -12,14 +12,20 @@ from webcorpus.operators.sections import sections
 
 
 def chunk_documents(docs: DataFrame, keys: Sequence[str], text_col: str = "text",
-                    target: int = TARGET_TOKENS, max_tokens: int = MAX_TOKENS) -> DataFrame:
-    """``keys…, chunk_index, text, n_tokens, n_items, oversize``.
+                    target: int = TARGET_TOKENS, max_tokens: int = MAX_TOKENS,
+                    carry: Sequence[str] = ()) -> DataFrame:
+    """``keys…, carry…, chunk_index, text, n_tokens, n_items, oversize``.
 
-    One shuffle (on ``keys``) for the whole chain: the section windows, the
-    section concat, the fold and the chunk concat all group on ``keys``.
-    Documents with no non-blank section yield no rows.
+    One shuffle for the whole chain: the document rows are hash-partitioned
+    on ``keys`` once, and the section windows, the section concat, the fold
+    and the chunk concat all run inside that partitioning.  ``carry`` columns
+    (per-document metadata such as url or title) ride along in the grouping
+    keys after the shuffle, so no join brings them back.  Documents with no
+    non-blank section yield no rows.
     """
-    secs = sections(docs.select(*keys, text_col), keys, text_col)
-    chunks = pack(section_items(secs, keys, max_tokens), keys, target, max_tokens)
-    return chunks.select(*keys, F.col("chunk_index").cast("bigint").alias("chunk_index"), "text",
+    keys, carry = list(keys), list(carry)
+    docs = docs.select(*keys, *carry, text_col).repartition(*keys)
+    secs = sections(docs, keys, text_col, carry)
+    chunks = pack(section_items(secs, keys + carry, max_tokens), keys + carry, target, max_tokens)
+    return chunks.select(*keys, *carry, F.col("chunk_index").cast("bigint").alias("chunk_index"), "text",
                          "n_tokens", "n_items", (F.col("n_tokens") > max_tokens).alias("oversize"))

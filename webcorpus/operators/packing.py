@@ -43,7 +43,8 @@ ITEM = T.StructType([
 def section_items(sections: DataFrame, keys: Sequence[str], max_tokens: int = MAX_TOKENS,
                   count_tokens=token_count) -> DataFrame:
     """One ``item`` struct per row: a whole section, or one of its paragraphs."""
-    n = count_tokens(F.col("text"))
+    sections = sections.withColumn("_n", count_tokens(F.col("text")))
+    n = F.col("_n")
     whole = F.array(F.struct(F.col("section_no").alias("sec"), F.lit(0).alias("para"),
                              n.alias("n"), F.lit(False).alias("is_para"),
                              F.col("text").alias("text")))
@@ -68,7 +69,8 @@ def _step(target: int, max_tokens: int):
              .otherwise(joined).alias("tok"),
             F.when(overflow, F.lit(True)).when(closes, F.lit(False))
              .otherwise(F.lit(True)).alias("open"),
-            F.concat(acc["nos"], F.array(no)).alias("nos"))
+            F.concat(acc["nos"], F.array(no)).alias("nos"),
+            acc["done"].alias("done"))
     return step
 
 
@@ -78,6 +80,8 @@ def _fold(items: Column, target: int, max_tokens: int, block: int = FOLD_BLOCK)
     The fold runs over blocks of ``block`` items: the inner fold appends to a
     block-sized array, the outer one to an array of blocks, so array copying
     stays O(n·block + (n/block)²) instead of O(n²) on very long documents.
+    Each block is folded once: the finished block array is appended by the
+    inner fold's ``finish`` function.
     """
     n_blocks = F.ceil(F.size(items) / F.lit(block)).cast("int")
     blocks = F.transform(F.sequence(F.lit(0), n_blocks - 1),
@@ -85,17 +89,17 @@ def _fold(items: Column, target: int, max_tokens: int, block: int = FOLD_BLOCK)
     blocks = F.when(n_blocks > 0, blocks).otherwise(F.array().cast(
         T.ArrayType(T.ArrayType(ITEM))))
     zero = F.struct(F.lit(0).alias("c"), F.lit(0).cast("bigint").alias("tok"),
-                    F.lit(False).alias("open"),
+                    F.lit(False).alias("open"), F.array().cast("array<int>").alias("nos"),
                     F.array().cast("array<array<int>>").alias("done"))
     step = _step(target, max_tokens)
 
+    def finish(acc):
+        return F.struct(acc["c"].alias("c"), acc["tok"].alias("tok"), acc["open"].alias("open"),
+                        F.array().cast("array<int>").alias("nos"),
+                        F.concat(acc["done"], F.array(acc["nos"])).alias("done"))
+
     def outer(acc, blk):
-        start = F.struct(acc["c"].alias("c"), acc["tok"].alias("tok"), acc["open"].alias("open"),
-                         F.array().cast("array<int>").alias("nos"))
-        inner = F.aggregate(blk, start, step)
-        return F.struct(inner["c"].alias("c"), inner["tok"].alias("tok"),
-                        inner["open"].alias("open"),
-                        F.concat(acc["done"], F.array(inner["nos"])).alias("done"))
+        return F.aggregate(blk, acc, step, finish)
 
     return F.flatten(F.aggregate(blocks, zero, outer)["done"])
 

@@ -84,9 +84,12 @@ def ordered_concat(order_col: str, text_col: str, sep: str) -> Column:
     return F.array_join(F.transform(items, lambda x: x["t"]), sep)
 
 
-def sections(docs: DataFrame, keys: Sequence[str], text_col: str = "text") -> DataFrame:
-    """``keys…, section_no, text`` — the non-blank sections of each document."""
-    kinds = line_kinds(explode_lines(docs, keys, text_col), keys)
-    out = (kinds.groupBy(*keys, "section_no")
+def sections(docs: DataFrame, keys: Sequence[str], text_col: str = "text",
+             carry: Sequence[str] = ()) -> DataFrame:
+    """``keys…, carry…, section_no, text`` — the non-blank sections of each
+    document (``carry`` columns are per-document and pass through)."""
+    keys, carry = list(keys), list(carry)
+    kinds = line_kinds(explode_lines(docs, keys + carry, text_col), keys)
+    out = (kinds.groupBy(*keys, *carry, "section_no")
            .agg(ordered_concat("pos", "line", "\n").alias("text")))
     return out.where(has_text("text"))

@@ -23,7 +23,7 @@ from webcorpus.operators.cleaning import clean_pages
 from webcorpus.operators.sections import explode_lines, line_kinds, sections
 from webcorpus.plans import oracle as O
 from webcorpus.sources import fixtures as X
-from webcorpus.sources.tables import read_table
+from webcorpus.sources.tables import read_table, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,13 +60,13 @@ def q_page_metadata(spark, base):
 
 @register("content_hash", "SELECT page_id, sha256(html) AS raw_hash FROM pages")
 def q_content_hash(spark, base):
-    pages = read_table(spark, base, "pages", ["page_id", "html"])
+    pages = spread(read_table(spark, base, "pages", ["page_id", "html"]), "page_id")
     return pages.select("page_id", K.sha256_hex(F.col("html")).alias("raw_hash"))
 
 
 @register("token_count", f"SELECT doc_id, {O.tok('text')} AS n_tokens FROM documents")
 def q_token_count(spark, base):
-    docs = read_table(spark, base, "documents", ["doc_id", "text"])
+    docs = spread(read_table(spark, base, "documents", ["doc_id", "text"]), "doc_id")
     return docs.select("doc_id", T.token_count("text").alias("n_tokens"))
 
 
@@ -115,11 +115,9 @@ def q_chunk_pipeline(spark, base):
 
 def page_chunks(spark, base):
     pages = _clean(spark, base)
-    chunks = chunk_documents(pages, ["page_id"])
-    meta = pages.select("page_id", "dataset", "url", "title", "description")
-    return (chunks.join(meta, "page_id")
-            .select("page_id", "dataset", "url", "title", "description", "chunk_index", "text",
-                    "n_tokens", "oversize", K.vector_id(F.col("dataset"), F.col("text")).alias("id")))
+    chunks = chunk_documents(pages, ["page_id"], carry=["dataset", "url", "title", "description"])
+    return chunks.select("page_id", "dataset", "url", "title", "description", "chunk_index", "text",
+                         "n_tokens", "oversize", K.vector_id(F.col("dataset"), F.col("text")).alias("id"))
 
 
 @register("vector_ids", O.with_ctes(f"""
@@ -557,7 +555,7 @@ SELECT doc_id, CAST(fact_no AS BIGINT) AS fact_no, fact FROM (
   SELECT doc_id, unnest(generate_series(1, len(f))) AS fact_no, unnest(f) AS fact
   FROM (SELECT doc_id, {FA.facts_sql('text', FA.MAX_FACTS)} AS f FROM documents))""")
 def q_extract_facts(spark, base):
-    docs = read_table(spark, base, "documents", ["doc_id", "text"])
+    docs = spread(read_table(spark, base, "documents", ["doc_id", "text"]), "doc_id")
     f = docs.select("doc_id", F.posexplode(FA.facts(F.col("text"))).alias("i", "fact"))
     return f.select("doc_id", (F.col("i") + 1).cast("bigint").alias("fact_no"), "fact")
 

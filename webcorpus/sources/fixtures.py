@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from webcorpus.functions.keys import hex_bucket, url_hash
 from webcorpus.functions.text import authority
-from webcorpus.sources.tables import read_table
+from webcorpus.sources.tables import read_table, spread
 
 # Fixed values used by the recipes.
 AGENT = "webcorpusbot"
@@ -30,7 +30,7 @@ def page_dataset(page_id: Column) -> Column:
 
 def web_pages(spark: SparkSession, base: str) -> DataFrame:
     """``pages`` with a dataset name: ``page_id, dataset, url, html``."""
-    pages = read_table(spark, base, "pages", ["page_id", "url", "html"])
+    pages = spread(read_table(spark, base, "pages", ["page_id", "url", "html"]), "page_id")
     return pages.select("page_id", page_dataset(F.col("page_id")).alias("dataset"), "url", "html")
 
 
@@ -46,7 +46,7 @@ def fetched_pages(spark: SparkSession, base: str) -> DataFrame:
 def structured_documents(spark: SparkSession, base: str) -> DataFrame:
     """``documents`` with line prefixes by position: 1 ``# ``, 2 ``- ``,
     3 ``1. ``, 4 ``a) ``, 5 `` | `` appended, 6 a blank line before, 0 as is."""
-    docs = read_table(spark, base, "documents", ["doc_id", "text"])
+    docs = spread(read_table(spark, base, "documents", ["doc_id", "text"]), "doc_id")
 
     def mark(line, i):
         m = i % 7
@@ -185,7 +185,7 @@ def vectors(spark: SparkSession, base: str) -> DataFrame:
     """The ``vectors`` table from ``embeddings``: even ids in production, odd in
     staging; dataset ``d<label % 3>``; text from the document of the same id;
     every 17th URL empty."""
-    emb = read_table(spark, base, "embeddings", ["vec_id", "embedding", "label"])
+    emb = spread(read_table(spark, base, "embeddings", ["vec_id", "embedding", "label"]), "vec_id")
     docs = read_table(spark, base, "documents", ["doc_id", "text", "lang"])
     vid = F.col("vec_id")
     joined = emb.join(docs, emb.vec_id == docs.doc_id, "left")

@@ -14,3 +14,18 @@ def read_table(spark: SparkSession, base: str, name: str,
                columns: Sequence[str] | None = None) -> DataFrame:
     df = spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give a CPU-heavy row stage enough tasks.
+
+    A scan of a few large files can yield fewer partitions than the cluster
+    has cores; then hash-partition on the row's key (the partitioning the
+    later per-key windows and aggregates need anyway, so the shuffle they
+    would add is the one spent here).  A scan with enough splits — the
+    normal case on big inputs — is left as it is.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)

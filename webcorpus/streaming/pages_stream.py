@@ -47,9 +47,8 @@ def process_pages(pages: DataFrame, state: DataFrame, vectors: DataFrame,
     stamp = F.to_timestamp(F.lit(as_of))
     clean = clean_pages(pages.withColumn("raw_hash", F.sha2("html", 256)))
     todo = process_delta(clean, state)
-    chunks = chunk_documents(todo.select("page_id", "text"), ["page_id"])
-    meta = todo.select("page_id", "dataset", "url", "title")
-    staged = chunk_vectors(chunks.join(meta, "page_id"), "staging", stamp)
+    chunks = chunk_documents(todo, ["page_id"], carry=["dataset", "url", "title"])
+    staged = chunk_vectors(chunks, "staging", stamp)
     next_vectors = upsert_vectors(vectors, staged)
     next_state = upsert_state(state, new_state_rows(todo, "processed", stamp))
     return next_vectors, next_state
