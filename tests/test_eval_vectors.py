@@ -73,3 +73,15 @@ def test_citation_report_and_promotion(spark):
     assert snap.where("namespace = 'production'").count() == 2
     again, _ = promote(snap, report)              # re-promoting changes nothing
     assert again.count() == snap.count()
+
+
+def test_single_query_topk_matches_batch_search(spark):
+    from tests.conftest import SF01
+    from webcorpus.operators.search import topk_one, topk_search
+    from webcorpus.sources import fixtures as X
+    vecs = X.vectors(spark, SF01)
+    q = X.questions(spark, SF01).where("qid = 7").first()
+    one = [(r["rank"], r["id"]) for r in topk_one(vecs, q["embedding"], q["dataset"], "production", 5).collect()]
+    qs = X.questions(spark, SF01).where("qid = 7")
+    many = [(r["rank"], r["id"]) for r in topk_search(qs, vecs, k=5).orderBy("rank").collect()]
+    assert one == many and len(one) == 5

@@ -189,3 +189,21 @@ def metadata_filter(vectors: DataFrame, dataset: Column | None = None, **equals)
     for name, value in equals.items():
         out = out.where(F.col(name) == F.lit(value))
     return out
+
+
+def topk_one(vectors: DataFrame, query_embedding: Sequence[float], dataset: str,
+             namespace: str = "staging", k: int = TOP_K, filters: dict | None = None,
+             payload: Sequence[str] = ("url", "title", "text", "chunk_index")) -> DataFrame:
+    """K2: top ``k`` of one query — the API's ``query(embedding, dataset,
+    top_k, namespace, filter)``.  The dataset is always forced into the
+    filter; the score is a column expression against the literal query
+    vector, and ``orderBy(...).limit(k)`` plans as ``TakeOrderedAndProject``
+    (a per-partition top-k, then a k-row merge)."""
+    from webcorpus.operators.vectors import cosine
+    conds = dict(filters or {})
+    conds["dataset"] = dataset
+    v = metadata_filter(vectors.where(F.col("namespace") == namespace), **conds)
+    q = F.array(*[F.lit(float(x)) for x in query_embedding])
+    scored = v.select("id", cosine(q, F.col("embedding")).alias("score"), *payload)
+    return (scored.orderBy(F.col("score").desc(), F.col("id").asc()).limit(k)
+            .withColumn("rank", F.row_number().over(Window.orderBy(F.col("score").desc(), F.col("id")))))
