@@ -183,7 +183,7 @@ def with_citation(hits: DataFrame) -> DataFrame:
                                                 F.coalesce(F.col("title"), F.lit("")).alias("title")))
 
 
-def metadata_filter(vectors: DataFrame, dataset: Column | None = None, **equals) -> DataFrame:
+def metadata_filter(vectors: DataFrame, **equals) -> DataFrame:
     """Equality predicates on vector metadata (and namespace)."""
     out = vectors
     for name, value in equals.items():
