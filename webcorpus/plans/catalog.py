@@ -464,7 +464,12 @@ def _golden_json(spark, base):
     return EV.golden_to_json(X.golden_queries(spark, base))
 
 
-@register("golden_write")
+@register("golden_write", O.with_ctes("""
+SELECT dataset, CASE WHEN min_score IS NULL
+                     THEN json_object('query', query, 'expected_citations', expected_citations)
+                     ELSE json_object('query', query, 'expected_citations', expected_citations,
+                                      'min_score', min_score) END::VARCHAR AS json
+FROM golden""", "golden"))
 def q_golden_write(spark, base):
     return _golden_json(spark, base)
 
@@ -606,7 +611,12 @@ def _answer_store(spark, base):
     return AN.answer_records(_answers(spark, base).where(F.col("qid") % 2 == 0))
 
 
-@register("answer_json")
+@register("answer_json", O.with_ctes("""
+SELECT dataset, query_hash,
+       to_json({'query': query, 'summary': summary, 'fact_cards': fact_cards, 'citations': citations,
+                'handoff_url': handoff_url, 'qr_url': qr_url})::VARCHAR AS json
+FROM q_answer_struct WHERE qid % 2 = 0""", "q_answer_struct", "q_answers", "q_cards", "q_hits", "questions",
+                                     "vectors"))
 def q_answer_json(spark, base):
     return _answer_store(spark, base)
 

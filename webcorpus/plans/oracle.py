@@ -403,3 +403,16 @@ FROM questions q
 LEFT JOIN (SELECT qid, list(fact ORDER BY rank, fact_no) AS facts FROM q_cards GROUP BY qid) c USING (qid)
 LEFT JOIN (SELECT qid, count(DISTINCT url) AS n FROM q_hits WHERE coalesce(url, '') <> '' GROUP BY qid) t
   USING (qid)"""
+
+
+CTES["q_answer_struct"] = """
+SELECT a.qid, a.dataset, a.query_hash, a.query, a.summary,
+       coalesce(c.cards, []) AS fact_cards, coalesce(t.cites, []) AS citations, a.handoff_url, a.qr_url
+FROM q_answers a
+LEFT JOIN (SELECT qid, list({'fact': fact, 'source': source, 'title': title, 'type': 'statement'}
+                            ORDER BY rank, fact_no)[1:10] AS cards
+           FROM q_cards GROUP BY qid) c USING (qid)
+LEFT JOIN (SELECT qid, list({'url': url, 'title': title} ORDER BY first_rank) AS cites
+           FROM (SELECT qid, url, min(rank) AS first_rank, arg_min(coalesce(title, ''), rank) AS title
+                 FROM q_hits WHERE coalesce(url, '') <> '' GROUP BY qid, url)
+           GROUP BY qid) t USING (qid)"""
