@@ -390,11 +390,16 @@ def q_vector_upsert(spark, base):
 @register("cosine_scores", O.with_ctes(f"""
 SELECT g.query, v.namespace, v.id, round({O.cosine('g.embedding', 'v.embedding')}, 6) AS score
 FROM (SELECT qid, query, dataset, embedding, unnest(expected_citations) AS url FROM golden) g
-JOIN vectors v ON v.dataset = g.dataset AND v.url = g.url""", "golden", "vectors"))
+JOIN vectors v ON v.dataset = g.dataset AND v.url = g.url
+WHERE g.url <> ''""", "golden", "vectors"))
 def q_cosine_scores(spark, base):
+    """K1 on explicit pairs: each golden query against the vectors of its
+    expected citations (an empty URL is no citation, and would pair every
+    uncited vector with every such query)."""
     g = X.golden_queries(spark, base).select(
         "query", "dataset", F.col("embedding").alias("q_emb"), F.explode("expected_citations").alias("url"))
-    v = X.vectors(spark, base).select("namespace", "id", "dataset", "url", "embedding")
+    g = g.where(F.col("url") != "")
+    v = X.vectors(spark, base).select("namespace", "id", "dataset", "url", "embedding").where(F.col("url") != "")
     return g.join(v, ["dataset", "url"]).select(
         "query", "namespace", "id", F.round(V.cosine(F.col("q_emb"), F.col("embedding")), 6).alias("score"))
 
