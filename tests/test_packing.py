@@ -58,3 +58,12 @@ def test_fold_matches_sequential(spark):
             items = docs[r["doc"]][1]
             want = pack_rows([(i["sec"], i["n"], i["is_para"]) for i in items], 500, 800)
             assert list(r["nos"]) == want
+
+
+def test_pluggable_token_counter(spark):
+    from webcorpus.functions.text import model_token_counter
+    counter = model_token_counter(lambda: str.split)      # a whitespace "codec"
+    text = "\n".join(["# a " + words(298), "# b " + words(298), "# c " + words(98)])
+    df = spark.createDataFrame([(0, text)], "doc bigint, text string")
+    rows = chunk_documents(df, ["doc"], count_tokens=counter).orderBy("chunk_index").collect()
+    assert [r["n_tokens"] for r in rows] == [600, 100]

@@ -7,6 +7,9 @@ two engines are checked against one written contract.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -90,6 +93,20 @@ def token_count(col) -> Column:
     return F.regexp_count(_c(col), F.lit(P.TOKEN)).cast("bigint")
 
 
+def model_token_counter(make_encoder):
+    """Token counter backed by a user codec (e.g. a BPE encoder): an iterator
+    Pandas UDF that builds ``make_encoder()`` once per Python worker and
+    returns ``text -> len(encoder(text))`` over Arrow batches.  Usable
+    wherever a ``count_tokens`` column function is taken."""
+    @F.pandas_udf("bigint")
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encode = make_encoder()
+        for texts in batches:
+            yield texts.fillna("").map(lambda t: len(encode(t))).astype("int64")
+
+    return lambda col: count(_c(col))
+
+
 def token_count_sql(expr: str) -> str:
     return f"CAST(len(regexp_extract_all({expr}, {sql_str(P.TOKEN)})) AS BIGINT)"
 

@@ -13,7 +13,7 @@ from webcorpus.operators.sections import sections
 
 def chunk_documents(docs: DataFrame, keys: Sequence[str], text_col: str = "text",
                     target: int = TARGET_TOKENS, max_tokens: int = MAX_TOKENS,
-                    carry: Sequence[str] = ()) -> DataFrame:
+                    carry: Sequence[str] = (), count_tokens=None) -> DataFrame:
     """``keys…, carry…, chunk_index, text, n_tokens, n_items, oversize``.
 
     One shuffle for the whole chain: the document rows are hash-partitioned
@@ -21,11 +21,14 @@ def chunk_documents(docs: DataFrame, keys: Sequence[str], text_col: str = "text"
     and the chunk concat all run inside that partitioning.  ``carry`` columns
     (per-document metadata such as url or title) ride along in the grouping
     keys after the shuffle, so no join brings them back.  Documents with no
-    non-blank section yield no rows.
+    non-blank section yield no rows.  ``count_tokens`` swaps the default
+    regex counter for another column function (e.g. ``model_token_counter``).
     """
     keys, carry = list(keys), list(carry)
     docs = docs.select(*keys, *carry, text_col).repartition(*keys)
     secs = sections(docs, keys, text_col, carry)
-    chunks = pack(section_items(secs, keys + carry, max_tokens), keys + carry, target, max_tokens)
+    items = (section_items(secs, keys + carry, max_tokens) if count_tokens is None
+             else section_items(secs, keys + carry, max_tokens, count_tokens))
+    chunks = pack(items, keys + carry, target, max_tokens)
     return chunks.select(*keys, *carry, F.col("chunk_index").cast("bigint").alias("chunk_index"), "text",
                          "n_tokens", "n_items", (F.col("n_tokens") > max_tokens).alias("oversize"))

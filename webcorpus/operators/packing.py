@@ -42,19 +42,19 @@ ITEM = T.StructType([
 
 def section_items(sections: DataFrame, keys: Sequence[str], max_tokens: int = MAX_TOKENS,
                   count_tokens=token_count) -> DataFrame:
-    """One ``item`` struct per row: a whole section, or one of its paragraphs."""
-    sections = sections.withColumn("_n", count_tokens(F.col("text")))
-    n = F.col("_n")
-    whole = F.array(F.struct(F.col("section_no").alias("sec"), F.lit(0).alias("para"),
-                             n.alias("n"), F.lit(False).alias("is_para"),
-                             F.col("text").alias("text")))
-    split = F.transform(
-        paragraphs("text"),
-        lambda p, j: F.struct(F.col("section_no").alias("sec"), j.alias("para"),
-                              count_tokens(p).alias("n"), F.lit(True).alias("is_para"),
-                              p.alias("text")))
-    return sections.select(*keys, F.explode(F.when(n <= max_tokens, whole).otherwise(split))
-                           .alias("item"))
+    """One ``item`` struct per row: a whole section, or one of its paragraphs
+    when the section has more than ``max_tokens`` tokens.  Token counting
+    runs on plain columns (never inside a lambda), so ``count_tokens`` may
+    also be a Pandas UDF."""
+    s = (sections.withColumn("_n", count_tokens(F.col("text")))
+         .withColumn("_is_para", F.col("_n") > max_tokens))
+    parts = F.when(F.col("_is_para"), paragraphs("text")).otherwise(F.array(F.col("text")))
+    ex = s.select(*keys, "section_no", "_n", "_is_para", F.posexplode(parts).alias("_j", "_t"))
+    n = F.when(F.col("_is_para"), count_tokens(F.col("_t"))).otherwise(F.col("_n"))
+    return ex.select(*keys, F.struct(
+        F.col("section_no").cast("bigint").alias("sec"), F.col("_j").cast("int").alias("para"),
+        n.cast("bigint").alias("n"), F.col("_is_para").alias("is_para"),
+        F.col("_t").alias("text")).alias("item"))
 
 
 def _step(target: int, max_tokens: int):
