@@ -23,6 +23,7 @@ def test_jobs_end_to_end(spark):
     processed = sum(r["processed"] for r in p1.values())
     assert processed == sum(r["processed"] for r in c1.values())
     assert sum(r["total_chunks"] for r in p1.values()) == store.vectors.read().count()
+    staged_versions = store.vectors.latest_versions()
 
     # golden queries: chunk texts must find their own page
     staged = store.vectors.read().where("namespace = 'staging'")
@@ -34,6 +35,9 @@ def test_jobs_end_to_end(spark):
     result = {r["dataset"]: r for r in J.promote_job(store, report).collect()}
     assert all(r["success"] and r["n_copied"] > 0 for r in result.values())
     assert store.vectors.read().where("namespace = 'production'").count() == staged.count()
+    # promotion added production partitions and left the staging versions alone
+    after = store.vectors.latest_versions()
+    assert {k: v for k, v in after.items() if k[0] == "staging"} == staged_versions
 
     questions = golden.select("qid", "dataset", "query")
     res = J.retrieve(store, questions).collect()

@@ -3,7 +3,8 @@ one store folder of tables:
 
     {store}/raw        raw pages, append-only, partitioned by run and dataset
     {store}/state      url state, versioned snapshots
-    {store}/vectors    vectors (staging + production), versioned snapshots
+    {store}/vectors    vectors, partitioned by namespace and dataset, each
+                       partition versioned (only touched partitions rewritten)
     {store}/golden     golden queries as JSON lines, partitioned by dataset
     {store}/answers    precomputed answers, partitioned by dataset
 
@@ -14,10 +15,9 @@ so a job that dies half-way is re-run from its inputs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from webcorpus.functions.keys import raw_key
 from webcorpus.operators import answers as AN
 from webcorpus.operators import evaluate as EV
 from webcorpus.operators import search as Q
@@ -27,7 +27,7 @@ from webcorpus.operators.promote import promote
 from webcorpus.sources import raw_store as R
 from webcorpus.sources.robots import robots_allowed
 from webcorpus.sources.seeds import crawl_frontier
-from webcorpus.sources.snapshots import SnapshotTable
+from webcorpus.sources.snapshots import SnapshotTable, VersionedPartitions
 from webcorpus.streaming.pages_stream import STATE_SCHEMA, VECTOR_SCHEMA, process_pages
 
 
@@ -35,7 +35,7 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self.state = SnapshotTable(spark, f"{self.root}/state")
-        self.vectors = SnapshotTable(spark, f"{self.root}/vectors")
+        self.vectors = VersionedPartitions(spark, f"{self.root}/vectors", ("namespace", "dataset"))
 
     def current(self, table: SnapshotTable, schema) -> tuple[DataFrame, int]:
         vs = table.versions()
@@ -43,6 +43,10 @@ class Store:
             return self.spark.createDataFrame([], schema), 0
         return table.read(), vs[-1]
 
+    def current_vectors(self) -> DataFrame:
+        v = self.vectors.read()
+        return v if v is not None else self.spark.createDataFrame([], VECTOR_SCHEMA)
+
     def raw(self) -> DataFrame | None:
         try:
             return self.spark.read.parquet(f"{self.root}/raw")
@@ -91,23 +95,26 @@ def process(store: Store, keys: DataFrame | None, as_of: str, embed=None) -> Dat
         last = raw.agg(F.max("run")).first()[0]
         keys = raw.where(F.col("run") == last).select("dataset", "raw_key")
     state, version = store.current(store.state, STATE_SCHEMA)
-    vectors, vversion = store.current(store.vectors, VECTOR_SCHEMA)
+    vectors = store.current_vectors()
     pages = latest_raw(raw, keys).select("dataset", "url", "raw_key", "html")
     known = S.state_by_raw_key(keys.select("dataset", "raw_key").distinct(), state)
     ready = pages.join(known.select("dataset", "raw_key", F.col("url").alias("_surl")),
                        ["dataset", "raw_key"]).drop("_surl")
     ready = ready.withColumn("page_id", F.xxhash64("dataset", "url"))
+    # only the staging partitions of the datasets in this run are read and rewritten
+    touched = ready.select("dataset").distinct()
+    mine = (vectors.where(F.col("namespace") == "staging").join(touched, "dataset", "left_semi"))
     next_vectors, next_state = process_pages(ready.select("page_id", "dataset", "url", "html"),
-                                             state, vectors, as_of)
-    store.vectors.write(next_vectors, max(version, vversion) + 1)      # vectors first
-    store.state.write(next_state, max(version, vversion) + 1)
+                                             state, mine.select(*VECTOR_SCHEMA.fieldNames()), as_of)
+    store.vectors.write(next_vectors)                                  # vectors first
+    store.state.write(next_state, version + 1)
     after = store.state.read()
     done = (known.join(pages.select("dataset", "raw_key"), ["dataset", "raw_key"], "left_semi")
             .select("dataset", "raw_key", "url"))
     stamp = F.to_timestamp(F.lit(as_of))
     fresh = after.where((F.col("updated_at") == stamp) & (F.col("status") == "processed"))
-    chunks = store.vectors.read().where((F.col("namespace") == "staging") &
-                                        (F.col("updated_at") == stamp))
+    chunks = store.current_vectors().where((F.col("namespace") == "staging") &
+                                           (F.col("updated_at") == stamp))
     n_chunks = chunks.groupBy("dataset", "url").agg(F.count(F.lit(1)).alias("n_chunks"))
     outcome = (keys.select("dataset", "raw_key").distinct()
                .join(done, ["dataset", "raw_key"], "left")
@@ -131,7 +138,7 @@ def evaluate(store: Store, golden: DataFrame, namespace: str = "staging", k: int
              embed=None) -> tuple[DataFrame, DataFrame]:
     """Golden queries (``qid, dataset, query, expected_citations,
     min_score``) → top-k in ``namespace`` → checks and per-dataset report."""
-    vectors = store.vectors.read()
+    vectors = store.current_vectors()
     g = with_query_embedding(golden, embed)
     hits = Q.topk_search(g.select("qid", "dataset", F.lit(namespace).alias("namespace"),
                                   F.lit(k).alias("top_k"), "embedding"), vectors, k=k, payload=("url",))
@@ -140,11 +147,14 @@ def evaluate(store: Store, golden: DataFrame, namespace: str = "staging", k: int
 
 
 def promote_job(store: Store, report: DataFrame) -> DataFrame:
-    """Copy the passed datasets' staging vectors into production."""
-    vectors = store.vectors.read()
-    snapshot, result = promote(vectors, report)
-    store.vectors.write(snapshot, store.vectors.versions()[-1] + 1)
-    return result
+    """Copy the passed datasets' staging vectors into production; only
+    the production partitions of those datasets are rewritten."""
+    vectors = store.current_vectors()
+    passed = report.where("passed").select("dataset")
+    involved = vectors.join(passed, "dataset", "left_semi")
+    snapshot, result = promote(involved, report)
+    store.vectors.write(snapshot.where(F.col("namespace") == "production"))
+    return result       # reads are pinned to the versions listed before the write
 
 
 def retrieve(store: Store, questions: DataFrame, k: int = 5, embed=None) -> DataFrame:
@@ -156,7 +166,7 @@ def retrieve(store: Store, questions: DataFrame, k: int = 5, embed=None) -> Data
         q = q.withColumn("top_k", F.lit(k))
     if "namespace" not in q.columns:
         q = q.withColumn("namespace", F.lit("production"))
-    hits = Q.with_citation(Q.topk_search(q, store.vectors.read(), k=k, payload=("url", "title", "text")))
+    hits = Q.with_citation(Q.topk_search(q, store.current_vectors(), k=k, payload=("url", "title", "text")))
     per_q = hits.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct(
         "rank", "id", "score", "text", "url", "title", "citation"))).alias("results"))
     out = q.select("qid", "dataset", "query").join(per_q, "qid", "left")

@@ -45,3 +45,63 @@ class SnapshotTable:
 
     def write(self, df: DataFrame, version: int) -> None:
         df.write.mode("overwrite").parquet(self.version_path(version))
+
+
+class VersionedPartitions:
+    """A table partitioned by ``parts`` whose every partition keeps numbered
+    versions: ``{root}/{p1}=a/{p2}=b/v=N``.
+
+    A write carries the full new content of the partitions it touches and
+    lands as version ``latest + 1`` of each of them (one job, dynamic
+    partition overwrite, so a replayed write rewrites the same versions);
+    untouched partitions are not rewritten.  A read takes the latest version
+    of every partition.  Partition values must be path-safe strings.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, parts: tuple[str, ...] = ("namespace", "dataset")):
+        self.spark, self.root, self.parts = spark, root.rstrip("/"), tuple(parts)
+
+    def latest_versions(self) -> dict[tuple[str, ...], int]:
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return {}
+        found: dict[tuple[str, ...], int] = {}
+
+        def walk(path, depth, values):
+            for st in fs.listStatus(path):
+                name = st.getPath().getName()
+                if not st.isDirectory() or "=" not in name:
+                    continue
+                col, val = name.split("=", 1)
+                if depth < len(self.parts) and col == self.parts[depth]:
+                    walk(st.getPath(), depth + 1, values + (val,))
+                elif depth == len(self.parts) and col == "v":
+                    found[values] = max(found.get(values, 0), int(val))
+
+        walk(root, 0, ())
+        return found
+
+    def _path(self, values: tuple[str, ...], version: int) -> str:
+        inner = "/".join(f"{c}={v}" for c, v in zip(self.parts, values))
+        return f"{self.root}/{inner}/v={version}"
+
+    def read(self) -> DataFrame | None:
+        latest = self.latest_versions()
+        if not latest:
+            return None
+        paths = [self._path(k, v) for k, v in sorted(latest.items())]
+        df = self.spark.read.option("basePath", self.root).parquet(*paths)
+        return df.drop("v")
+
+    def write(self, df: DataFrame) -> None:
+        from pyspark.sql import functions as F
+        latest = self.latest_versions()
+        rows = [(*k, v) for k, v in latest.items()]
+        schema = ", ".join(f"{c} string" for c in self.parts) + ", _cur int"
+        current = self.spark.createDataFrame(rows, schema)      # one row per partition
+        out = (df.join(F.broadcast(current), list(self.parts), "left")
+               .withColumn("v", (F.coalesce(F.col("_cur"), F.lit(0)) + 1).cast("int")).drop("_cur"))
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*self.parts, "v").parquet(self.root))
