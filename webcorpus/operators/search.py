@@ -22,7 +22,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -157,7 +157,11 @@ def topk_search(queries: DataFrame, vectors: DataFrame, k: int = TOP_K,
         rows = [r.asDict() for r in part.collect()]      # at most ~block_rows rows
         if not rows:
             continue
-        block = spark.sparkContext.broadcast(_block(rows, k))
+        data = _block(rows, k)
+        try:
+            block = spark.sparkContext.broadcast(data)
+        except Exception:   # Spark Connect has no broadcast variables: ship with the function
+            block = _Shipped(data)
         fn = _scorer_from_broadcast(block, k, tuple(payload), arrow_schema)
         parts.append(v.mapInArrow(fn, schema))
     if not parts:
@@ -171,6 +175,14 @@ def topk_search(queries: DataFrame, vectors: DataFrame, k: int = TOP_K,
             .select("qid", "rank", "id", "score", *payload))
 
 
+class _Shipped:
+    """Stand-in for a broadcast variable: the (bounded) block travels with
+    the task closure."""
+
+    def __init__(self, value):
+        self.value = value
+
+
 def _scorer_from_broadcast(block, k, payload, arrow_schema):
     def run(batches):
         return _scorer(block.value, k, payload, arrow_schema)(batches)

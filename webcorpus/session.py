@@ -36,7 +36,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts: the session's
     ``spark.checkpoint.dir`` if set (as on a cluster); otherwise — only in
     local runs and tests — a fresh local folder is set."""
-    current = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None) or \
+    try:
+        sc = spark.sparkContext
+    except Exception:       # Spark Connect: the server owns the checkpoint folder
+        sc = None
+    current = (sc.getConf().get(CHECKPOINT_CONF, None) if sc is not None else None) or \
         spark.conf.get(CHECKPOINT_CONF, None)
     if not current:
         current = tempfile.mkdtemp(prefix="webcorpus-ckpt-")
@@ -44,5 +48,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             spark.conf.set(CHECKPOINT_CONF, current)
         except Exception:  # some deployments refuse runtime changes of core confs
             pass
-    spark.sparkContext.setCheckpointDir(current)
+    if sc is not None:
+        sc.setCheckpointDir(current)
     return current

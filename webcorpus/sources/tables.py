@@ -25,7 +25,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     would add is the one spent here).  A scan with enough splits — the
     normal case on big inputs — is left as it is.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:       # e.g. a Spark Connect session: leave planning to Spark
+        return df
+    if have >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)
