@@ -29,9 +29,12 @@ LINE_TIDY = HS + r"*\n" + WS + r"*"
 # letters, runs of up to three digits, runs of other non-space symbols.
 TOKEN = r"\p{L}+|\p{N}{1,3}|[^\p{L}\p{N}" + WS[1:-1] + r"]+"
 
+# Marks a step of the chain as a plain (non-regex) text replacement.
+LITERAL = "literal"
+
 # HTML → text rewrite chain, applied in this order.
 _HEADINGS = [(r"(?i)<h%d\b[^>]*>" % n, "\n" + "#" * n + " ") for n in range(1, 7)]
-CLEAN_STEPS: list[tuple[str, str]] = [
+CLEAN_STEPS: list[tuple[str, ...]] = [
     (r"(?s)<!--.*?-->", ""),
     (r"(?is)<head\b.*?</head\s*>", ""),
     (r"(?is)<script\b.*?</script\s*>", ""),
@@ -47,15 +50,15 @@ CLEAN_STEPS: list[tuple[str, str]] = [
     (r"(?i)</?(p|div|br|article|section|nav|footer|header|ul|ol|table|blockquote|hr|li)\b[^>]*>",
      "\n"),
     (r"<[^>]*>", ""),
-    # Named entities decoded, &amp; last.
-    (r"&nbsp;", " "),
-    (r"&copy;", "©"),
-    (r"&middot;", "·"),
-    (r"&lt;", "<"),
-    (r"&gt;", ">"),
-    (r"&quot;", '"'),
-    (r"&#39;", "'"),
-    (r"&amp;", "&"),
+    # Named entities decoded (plain text replacement), &amp; last.
+    (LITERAL, "&nbsp;", " "),
+    (LITERAL, "&copy;", "©"),
+    (LITERAL, "&middot;", "·"),
+    (LITERAL, "&lt;", "<"),
+    (LITERAL, "&gt;", ">"),
+    (LITERAL, "&quot;", '"'),
+    (LITERAL, "&#39;", "'"),
+    (LITERAL, "&amp;", "&"),
     (LINE_TIDY, "\n"),
     (STRIP, ""),
 ]

@@ -50,16 +50,22 @@ def clean_html(col) -> Column:
     entity list is decoded; lines are stripped and blank lines dropped.
     """
     out = _c(col)
-    for pattern, template in P.CLEAN_STEPS:
-        out = F.regexp_replace(out, pattern, P.spark_replacement(template))
+    for step in P.CLEAN_STEPS:
+        if step[0] == P.LITERAL:
+            out = F.replace(out, F.lit(step[1]), F.lit(step[2]))
+        else:
+            out = F.regexp_replace(out, step[0], P.spark_replacement(step[1]))
     return out
 
 
 def clean_html_sql(expr: str) -> str:
     out = expr
-    for pattern, template in P.CLEAN_STEPS:
-        out = (f"regexp_replace({out}, {sql_str(pattern)}, "
-               f"{sql_str(P.duck_replacement(template))}, 'g')")
+    for step in P.CLEAN_STEPS:
+        if step[0] == P.LITERAL:
+            out = f"replace({out}, {sql_str(step[1])}, {sql_str(step[2])})"
+        else:
+            out = (f"regexp_replace({out}, {sql_str(step[0])}, "
+                   f"{sql_str(P.duck_replacement(step[1]))}, 'g')")
     return out
 
 
