@@ -81,13 +81,15 @@ def process_outcomes(keys: DataFrame, store: DataFrame, state: DataFrame,
     """J3 + J2 per requested raw key: ``failed`` when the raw page or its
     state row is missing, ``skipped`` when the state already holds the same
     text hash as processed, else ``processed``.  ``text_hash`` is computed on
-    the joined ``html`` column (the cleaning chain runs once per page)."""
+    the store's ``html`` column — on the store side, before the join, so the
+    cleaning chain runs where the pages are spread rather than behind a
+    shuffle of small keys (which adaptive execution may pack into one task)."""
     k = keys.select("dataset", "raw_key").dropDuplicates(["dataset", "raw_key"])
-    with_html = k.join(store.select("raw_key", "html"), "raw_key", "left")
+    hashed = store.select("raw_key", F.lit(True).alias("_found"), text_hash.alias("_new_hash"))
+    with_html = k.join(hashed, "raw_key", "left")
     with_state = state_by_raw_key(with_html, state.select(*STATE_COLUMNS))
-    th = F.when(F.col("html").isNotNull(), text_hash)
-    out = with_state.withColumn("_new_hash", th)
-    outcome = (F.when(F.col("html").isNull() | F.col("key").isNull(), F.lit("failed"))
+    out = with_state
+    outcome = (F.when(F.col("_found").isNull() | F.col("key").isNull(), F.lit("failed"))
                .when((F.col("status") == "processed") & (F.col("text_hash") == F.col("_new_hash")),
                      F.lit("skipped"))
                .otherwise(F.lit("processed")))

@@ -23,7 +23,7 @@ from webcorpus.operators.cleaning import clean_pages
 from webcorpus.operators.sections import explode_lines, line_kinds, sections
 from webcorpus.plans import oracle as O
 from webcorpus.sources import fixtures as X
-from webcorpus.sources.tables import read_table, spread
+from webcorpus.sources.tables import read_table, spread, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -271,9 +271,10 @@ def _probe_keys_ds(spark, base):
     return _probe_keys(spark, base).withColumn("dataset", F.substring_index("raw_key", "/", 1))
 
 
-def _process_outcomes(spark, base):
+def _process_outcomes(spark, base, state=None):
+    state = state if state is not None else X.process_state(spark, base)
     return S.process_outcomes(_probe_keys_ds(spark, base), _raw_store(spark, base),
-                              X.process_state(spark, base), F.sha2(T.clean_html("html"), 256))
+                              state, F.sha2(T.clean_html("html"), 256))
 
 
 @register("state_by_raw_key", O.with_ctes("""
@@ -303,10 +304,11 @@ SELECT key, dataset, url, text_hash, status, strftime(updated_at, {TS_FMT_SQL})
     FROM probe_outcomes p WHERE outcome = 'processed'))
 WHERE rn = 1""", "probe_outcomes", "process_state"))
 def q_state_upsert(spark, base):
-    done = _process_outcomes(spark, base).where(F.col("outcome") == "processed")
+    state = stored(X.process_state(spark, base))      # read by two branches
+    done = _process_outcomes(spark, base, state).where(F.col("outcome") == "processed")
     new = S.new_state_rows(done.withColumn("raw_hash", F.lit(None).cast("string")), "processed",
                            F.to_timestamp(F.lit(X.AS_OF)))
-    snap = S.upsert_state(X.process_state(spark, base), new)
+    snap = S.upsert_state(state, new)
     return snap.select("key", "dataset", "url", "text_hash", "status",
                        F.date_format("updated_at", TS_FMT).alias("updated_at"))
 

@@ -33,3 +33,13 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if have >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Materialise a derived input that several branches of one plan read:
+    a reliable checkpoint into the shared folder named by
+    ``spark.checkpoint.dir`` — computed once, read back by every branch, and
+    safe to re-read after an executor is lost."""
+    from webcorpus.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
