@@ -10,20 +10,26 @@ from pyspark.sql import functions as F
 from webcorpus.operators.vectors import VECTOR_COLUMNS, upsert_vectors
 
 
-def promote(vectors: DataFrame, report: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Returns ``(next vector snapshot, result per dataset)``.
-
-    ``report``: ``dataset, passed`` from the evaluation.  Datasets that
-    passed have their staging rows copied to production (``left_semi`` on the
-    passed datasets); the others are refused with ``evaluation_failed``.
-    """
+def promoted_rows(vectors: DataFrame, report: DataFrame) -> DataFrame:
+    """The production copies of the staging rows of every dataset that passed
+    (``left_semi`` on the passed datasets — a small, size-checked side)."""
     passed = report.where("passed").select("dataset")
     staged = vectors.where(F.col("namespace") == "staging").join(passed, "dataset", "left_semi")
-    copies = staged.withColumn("namespace", F.lit("production"))
-    snapshot = upsert_vectors(vectors.select(*VECTOR_COLUMNS), copies.select(*VECTOR_COLUMNS))
+    return staged.withColumn("namespace", F.lit("production"))
+
+
+def promotion_result(copies: DataFrame, report: DataFrame) -> DataFrame:
+    """Per dataset: ``success``, ``reason`` (``evaluation_failed``) and
+    ``n_copied``."""
     copied = copies.groupBy("dataset").agg(F.count(F.lit(1)).alias("n_copied"))
-    result = (report.select("dataset", "passed").join(copied, "dataset", "left")
-              .select("dataset", F.col("passed").alias("success"),
-                      F.when(~F.col("passed"), F.lit("evaluation_failed")).alias("reason"),
-                      F.coalesce("n_copied", F.lit(0)).cast("bigint").alias("n_copied")))
-    return snapshot, result
+    return (report.select("dataset", "passed").join(copied, "dataset", "left")
+            .select("dataset", F.col("passed").alias("success"),
+                    F.when(~F.col("passed"), F.lit("evaluation_failed")).alias("reason"),
+                    F.coalesce("n_copied", F.lit(0)).cast("bigint").alias("n_copied")))
+
+
+def promote(vectors: DataFrame, report: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Returns ``(next vector snapshot, result per dataset)``."""
+    copies = promoted_rows(vectors, report)
+    snapshot = upsert_vectors(vectors.select(*VECTOR_COLUMNS), copies.select(*VECTOR_COLUMNS))
+    return snapshot, promotion_result(copies, report)

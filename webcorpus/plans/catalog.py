@@ -271,10 +271,12 @@ def _probe_keys_ds(spark, base):
     return _probe_keys(spark, base).withColumn("dataset", F.substring_index("raw_key", "/", 1))
 
 
-def _process_outcomes(spark, base, state=None):
-    state = state if state is not None else X.process_state(spark, base)
-    return S.process_outcomes(_probe_keys_ds(spark, base), _raw_store(spark, base),
-                              state, F.sha2(T.clean_html("html"), 256))
+def _process_outcomes(spark, base, clean=None):
+    """Outcomes of the probe keys; ``clean`` (pages cleaned once, with
+    ``raw_key`` and ``text_hash``) is shared with the state fixture."""
+    clean = clean if clean is not None else X.cleaned_pages(spark, base)
+    return S.process_outcomes(_probe_keys_ds(spark, base), clean, X.process_state_from(clean),
+                              F.col("text_hash"))
 
 
 @register("state_by_raw_key", O.with_ctes("""
@@ -304,11 +306,11 @@ SELECT key, dataset, url, text_hash, status, strftime(updated_at, {TS_FMT_SQL})
     FROM probe_outcomes p WHERE outcome = 'processed'))
 WHERE rn = 1""", "probe_outcomes", "process_state"))
 def q_state_upsert(spark, base):
-    state = stored(X.process_state(spark, base))      # read by two branches
-    done = _process_outcomes(spark, base, state).where(F.col("outcome") == "processed")
+    clean = stored(X.cleaned_pages(spark, base))      # read by several branches
+    done = _process_outcomes(spark, base, clean).where(F.col("outcome") == "processed")
     new = S.new_state_rows(done.withColumn("raw_hash", F.lit(None).cast("string")), "processed",
                            F.to_timestamp(F.lit(X.AS_OF)))
-    snap = S.upsert_state(state, new)
+    snap = S.upsert_state(X.process_state_from(clean), new)
     return snap.select("key", "dataset", "url", "text_hash", "status",
                        F.date_format("updated_at", TS_FMT).alias("updated_at"))
 
@@ -323,8 +325,10 @@ LEFT JOIN (SELECT page_id, count(*) AS n_chunks FROM {PAGE_CHUNKS_SQL} GROUP BY
   ON n.page_id = (SELECT c.page_id FROM clean_keyed c WHERE c.raw_key = o.raw_key)
 GROUP BY o.dataset""", "probe_outcomes", "clean_keyed"))
 def q_process_counts(spark, base):
-    outcomes = _process_outcomes(spark, base)
-    chunks = page_chunks(spark, base).groupBy("dataset", "url").agg(F.count(F.lit(1)).alias("n_chunks"))
+    clean = stored(X.cleaned_pages(spark, base))      # read by several branches
+    outcomes = _process_outcomes(spark, base, clean)
+    chunks = (chunk_documents(clean, ["page_id"], carry=["dataset", "url"])
+              .groupBy("dataset", "url").agg(F.count(F.lit(1)).alias("n_chunks")))
     joined = outcomes.join(chunks, ["dataset", "url"], "left")
     return S.outcome_counts(joined, {"total_chunks": F.coalesce(
         F.sum(F.when(F.col("outcome") == "processed", F.col("n_chunks"))), F.lit(0)).cast("bigint")})
@@ -464,7 +468,7 @@ def q_retrieval(spark, base):
 
 # ======================================================= 5. evaluation and promotion
 from webcorpus.operators import evaluate as EV  # noqa: E402
-from webcorpus.operators.promote import promote  # noqa: E402
+from webcorpus.operators import promote as PR  # noqa: E402
 
 
 def _golden_json(spark, base):
@@ -506,13 +510,20 @@ def q_golden_checks(spark, base):
                     F.array_join("issues", " | ").alias("issues"))
 
 
-def _all_vectors(spark, base):
-    staged = _staged_chunks(spark, base)
-    return V.upsert_vectors(X.vectors(spark, base), staged)
+def _vector_meta(spark, base):
+    """The vector table without embeddings: the upsert's winners by id over
+    just the columns the checks read (so no embedding is computed)."""
+    cols = ["namespace", "id", "dataset", "url", "chunk_index", "updated_at"]
+    chunks = page_chunks(spark, base).select(
+        F.lit("staging").alias("namespace"), "id", "dataset", "url",
+        F.col("chunk_index").cast("int").alias("chunk_index"),
+        F.to_timestamp(F.lit(X.AS_OF)).alias("updated_at"))
+    return V.dedup_vectors(X.vectors(spark, base).select(*cols).unionByName(chunks.select(*cols)))
 
 
 def _report(spark, base):
-    datasets = _all_vectors(spark, base).select("dataset")
+    datasets = (X.vectors(spark, base).select("dataset")
+                .unionByName(page_chunks(spark, base).select("dataset")))
     return EV.eval_report(_checks(spark, base), datasets)
 
 
@@ -530,7 +541,7 @@ FROM (SELECT dataset, url FROM vectors UNION ALL
         FROM page_vectors) WHERE rn = 1))
 GROUP BY dataset""", "vectors", "page_vectors"))
 def q_validate_citations(spark, base):
-    return EV.citation_report(_all_vectors(spark, base))
+    return EV.citation_report(_vector_meta(spark, base))
 
 
 @register("chunk_integrity", O.with_ctes(f"""
@@ -553,8 +564,9 @@ FROM report r LEFT JOIN (
                                      UNION ALL SELECT id, dataset FROM page_vectors)) GROUP BY dataset) n
   ON n.dataset = r.dataset AND r.passed""", "report", "vectors", "page_vectors"))
 def q_promote(spark, base):
-    _, result = promote(_all_vectors(spark, base), _report(spark, base))
-    return result
+    report = _report(spark, base)
+    copies = PR.promoted_rows(_vector_meta(spark, base), report)
+    return PR.promotion_result(copies, report)
 
 
 # ======================================================= 6. answers

@@ -23,6 +23,9 @@ def get_session(app: str = "webcorpus", cores: int | None = None,
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
+               # small local inputs, CPU-heavy tasks (regex, windows, folds): let AQE
+               # coalesce small shuffles, but not below ~256 KB per task
+               .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true")
                .config("spark.driver.memory", "16g"))

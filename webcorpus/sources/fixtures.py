@@ -237,14 +237,25 @@ def process_state(spark: SparkSession, base: str) -> DataFrame:
     """State when processing starts: every page scraped; page_id % 3 = 0 also
     processed with the current text hash, 1 scraped with the current text
     hash recorded, 2 scraped without a text hash."""
-    from webcorpus.functions.keys import raw_key, state_key
-    from webcorpus.functions.text import clean_html
-    pages = web_pages(spark, base)
+    return process_state_from(cleaned_pages(spark, base))
+
+
+def cleaned_pages(spark: SparkSession, base: str) -> DataFrame:
+    """``web_pages`` cleaned once: ``page_id, dataset, url, raw_key, raw_hash,
+    text, text_hash, title, description``."""
+    from webcorpus.functions.keys import raw_key
+    from webcorpus.operators.cleaning import clean_pages
+    pages = (web_pages(spark, base).withColumn("raw_hash", F.sha2("html", 256))
+             .withColumn("raw_key", raw_key(F.col("dataset"), F.col("url"))))
+    return clean_pages(pages)
+
+
+def process_state_from(clean: DataFrame) -> DataFrame:
+    from webcorpus.functions.keys import state_key
     pid = F.col("page_id")
-    return pages.select(
+    return clean.select(
         state_key(F.col("dataset"), F.col("url")).alias("key"), "dataset", "url",
-        url_hash(F.col("url")).alias("url_hash"), F.sha2("html", 256).alias("raw_hash"),
-        F.when(pid % 3 != 2, F.sha2(clean_html("html"), 256)).alias("text_hash"),
-        raw_key(F.col("dataset"), F.col("url")).alias("raw_key"),
+        url_hash(F.col("url")).alias("url_hash"), "raw_hash",
+        F.when(pid % 3 != 2, F.col("text_hash")).alias("text_hash"), "raw_key",
         F.when(pid % 3 == 0, F.lit("processed")).otherwise(F.lit("scraped")).alias("status"),
         F.to_timestamp(F.lit(PREVIOUS_AS_OF)).alias("updated_at"))
