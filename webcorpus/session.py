@@ -44,7 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     except Exception:       # Spark Connect: the server owns the checkpoint folder
         sc = None
     current = (sc.getConf().get(CHECKPOINT_CONF, None) if sc is not None else None) or \
-        spark.conf.get(CHECKPOINT_CONF, None)
+        spark.conf.get(CHECKPOINT_CONF, None) or \
+        (sc.getCheckpointDir() if sc is not None else None)
     if not current:
         current = tempfile.mkdtemp(prefix="webcorpus-ckpt-")
         try:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from webcorpus.sources.tables import cut_lineage
+
 PAGE_LOCS = "/urlset/url/loc/text()"
 CHILD_LOCS = "/sitemapindex/sitemap/loc/text()"
 MAX_DEPTH = 16
@@ -48,10 +50,10 @@ def expand_sitemaps(seeds: DataFrame, sitemaps: DataFrame, max_depth: int = MAX_
                                    .alias("sitemap_url"))
                     .select("dataset", F.trim("sitemap_url").alias("sitemap_url"))
                     .distinct())
-        frontier = children.join(seen, ["dataset", "sitemap_url"], "left_anti").checkpoint()
+        frontier = cut_lineage(children.join(seen, ["dataset", "sitemap_url"], "left_anti"))
         if depth >= max_depth or frontier.isEmpty():
             break
-        seen = seen.unionByName(frontier).checkpoint()
+        seen = cut_lineage(seen.unionByName(frontier))
     visited = seen.unionByName(frontier).distinct()
     pages = sitemap_urls(docs)
     return visited.join(pages, "sitemap_url").select("dataset", "url").distinct()

@@ -35,6 +35,14 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(target, *keys) if keys else df.repartition(target)
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint into the folder named by ``spark.checkpoint.dir``
+    (set to a local folder only when the session has none, as in tests)."""
+    from webcorpus.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Materialise a derived input that several branches of one plan read:
     a reliable checkpoint into the shared folder named by
