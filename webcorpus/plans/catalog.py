@@ -387,9 +387,16 @@ SELECT namespace, id, dataset, url, title, CAST(chunk_index AS INTEGER) AS chunk
         SELECT namespace, id, dataset, url, title, chunk_index, updated_at FROM {CHUNK_VECTORS_SQL}))
 WHERE rn = 1""", "vectors", "clean_pages"))
 def q_vector_upsert(spark, base):
+    """A14 upsert by id over the vector metadata (the winner per id does not
+    depend on the embedding, so none is computed for this report)."""
     old, again = _reupserted(spark, base)
-    new = again.select(*V.VECTOR_COLUMNS).unionByName(_staged_chunks(spark, base).select(*V.VECTOR_COLUMNS))
-    snap = V.upsert_vectors(old, new)
+    cols = ["namespace", "id", "dataset", "url", "title", "chunk_index", "updated_at"]
+    chunks = page_chunks(spark, base).select(
+        F.lit("staging").alias("namespace"), "id", "dataset", "url", "title",
+        F.col("chunk_index").cast("int").alias("chunk_index"),
+        F.to_timestamp(F.lit(X.AS_OF)).alias("updated_at"))
+    rows = old.select(*cols).unionByName(again.select(*cols)).unionByName(chunks.select(*cols))
+    snap = V.dedup_vectors(rows)
     return snap.select("namespace", "id", "dataset", "url", "title", "chunk_index")
 
 
