@@ -85,3 +85,14 @@ def test_single_query_topk_matches_batch_search(spark):
     qs = X.questions(spark, SF01).where("qid = 7")
     many = [(r["rank"], r["id"]) for r in topk_search(qs, vecs, k=5).orderBy("rank").collect()]
     assert one == many and len(one) == 5
+
+
+def test_many_query_blocks_equal_one(spark):
+    from tests.conftest import SF01
+    from webcorpus.operators.search import topk_search
+    from webcorpus.sources import fixtures as X
+    qs, vecs = X.questions(spark, SF01), X.vectors(spark, SF01)
+    one = topk_search(qs, vecs, k=5, payload=("url",))
+    many = topk_search(qs, vecs, k=5, payload=("url",), block_bytes=8 * 64 * 60)   # ~9 blocks
+    key = lambda r: (r["qid"], r["rank"], r["id"])
+    assert sorted(map(key, one.collect())) == sorted(map(key, many.collect()))

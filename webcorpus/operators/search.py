@@ -1,9 +1,9 @@
 """K1–K3 exact top-k similarity search, P3/P4 filters, C13 citations.
 
 Many queries against many vectors without materialising query × vector
-pairs: the queries go out in blocks of at most ``block_rows`` rows (a proven
-bound, so each block can be broadcast), the vector table is scanned once per
-block by ``mapInArrow``, and every task scores its Arrow batches with one
+pairs: the queries go out in blocks of at most ``block_bytes`` of vectors (a
+proven bound, so each block can be broadcast), the vector table is scanned
+once per block by ``mapInArrow``, and every task scores its Arrow batches with one
 matrix product per (namespace, dataset) group, keeping only the ``k`` best
 per query (ties at the k-th score kept, so the cut is exact).  A final
 ``row_number() <= k`` per query (partial + final ``WindowGroupLimit``) picks
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-QUERY_BLOCK_ROWS = 4096     # queries per broadcast block
+QUERY_BLOCK_BYTES = 128 << 20   # query vectors per broadcast block (float64)
 VECTOR_TILE_ROWS = 2048     # vectors per matrix product inside a task
 TOP_K = 5
 
@@ -133,7 +133,7 @@ def _block(rows: list, k: int) -> dict:
 
 def topk_search(queries: DataFrame, vectors: DataFrame, k: int = TOP_K,
                 payload: Sequence[str] = ("url", "title", "text", "chunk_index"),
-                block_rows: int = QUERY_BLOCK_ROWS) -> DataFrame:
+                block_bytes: int = QUERY_BLOCK_BYTES) -> DataFrame:
     """``qid, rank, id, score, payload…`` — the ``top_k`` (≤ ``k``) vectors of
     each query within the query's namespace and dataset.
 
@@ -142,7 +142,9 @@ def topk_search(queries: DataFrame, vectors: DataFrame, k: int = TOP_K,
     """
     spark = queries.sparkSession
     q = queries.select("qid", "namespace", "dataset", "top_k", "embedding")
-    n = q.count()
+    stats = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dim")).first()
+    n, dim = stats["n"], max(1, stats["dim"] or 1)
+    block_rows = max(1, block_bytes // (8 * dim))      # a proven bound on each broadcast
     v = vectors.select("namespace", "dataset", "id", "embedding", *payload)
     fields = [T.StructField("qid", T.LongType()), T.StructField("id", T.StringType()),
               T.StructField("score", T.DoubleType()), T.StructField("top_k", T.IntegerType())]
