@@ -61,7 +61,7 @@ class VersionedPartitions:
     def __init__(self, spark: SparkSession, root: str, parts: tuple[str, ...] = ("namespace", "dataset")):
         self.spark, self.root, self.parts = spark, root.rstrip("/"), tuple(parts)
 
-    def latest_versions(self) -> dict[tuple[str, ...], int]:
+    def latest_versions(self, at_most: int | None = None) -> dict[tuple[str, ...], int]:
         jvm = self.spark.sparkContext._jvm
         root = jvm.org.apache.hadoop.fs.Path(self.root)
         fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
@@ -78,7 +78,8 @@ class VersionedPartitions:
                 if depth < len(self.parts) and col == self.parts[depth]:
                     walk(st.getPath(), depth + 1, values + (val,))
                 elif depth == len(self.parts) and col == "v":
-                    found[values] = max(found.get(values, 0), int(val))
+                    if at_most is None or int(val) <= at_most:
+                        found[values] = max(found.get(values, 0), int(val))
 
         walk(root, 0, ())
         return found
@@ -87,21 +88,35 @@ class VersionedPartitions:
         inner = "/".join(f"{c}={v}" for c, v in zip(self.parts, values))
         return f"{self.root}/{inner}/v={version}"
 
-    def read(self) -> DataFrame | None:
-        latest = self.latest_versions()
+    def read(self, at_most: int | None = None) -> DataFrame | None:
+        """The latest version (≤ ``at_most`` when given) of every partition;
+        partition values come back as strings."""
+        latest = self.latest_versions(at_most)
         if not latest:
             return None
         paths = [self._path(k, v) for k, v in sorted(latest.items())]
-        df = self.spark.read.option("basePath", self.root).parquet(*paths)
+        conf = "spark.sql.sources.partitionColumnTypeInference.enabled"
+        before = self.spark.conf.get(conf, "true")
+        self.spark.conf.set(conf, "false")
+        try:
+            df = self.spark.read.option("basePath", self.root).parquet(*paths)
+        finally:
+            self.spark.conf.set(conf, before)
         return df.drop("v")
 
-    def write(self, df: DataFrame) -> None:
+    def write(self, df: DataFrame, version: int | None = None) -> None:
+        """Write the full new content of the partitions present in ``df`` as
+        version ``version`` (default: each partition's latest + 1)."""
         from pyspark.sql import functions as F
-        latest = self.latest_versions()
-        rows = [(*k, v) for k, v in latest.items()]
-        schema = ", ".join(f"{c} string" for c in self.parts) + ", _cur int"
-        current = self.spark.createDataFrame(rows, schema)      # one row per partition
-        out = (df.join(F.broadcast(current), list(self.parts), "left")
-               .withColumn("v", (F.coalesce(F.col("_cur"), F.lit(0)) + 1).cast("int")).drop("_cur"))
+        if version is not None:
+            out = df.withColumn("v", F.lit(int(version)))
+        else:
+            latest = self.latest_versions()
+            rows = [(*k, v) for k, v in latest.items()]
+            schema = ", ".join(f"{c} string" for c in self.parts) + ", _cur int"
+            current = self.spark.createDataFrame(rows, schema)      # one row per partition
+            out = (df.join(F.broadcast(current), list(self.parts), "left")
+                   .withColumn("v", (F.coalesce(F.col("_cur"), F.lit(0)) + 1).cast("int"))
+                   .drop("_cur"))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.parts, "v").parquet(self.root))

@@ -5,9 +5,11 @@ html``); each micro-batch runs the process job (W2) against the state and
 vector snapshots left by the previous epoch: clean → skip pages whose text
 hash is already processed (anti join on the state) → chunk → embed → upsert
 vectors (staging), then upsert the state — vectors first, as the reference
-commits them.  Epoch ``e`` reads version ``e`` and writes version ``e + 1``,
-so a replayed epoch rewrites the same versions: the sink is idempotent and
-the stream's final snapshots equal one batch run over all the pages.
+commits them.  Both tables are versioned per partition (vectors by namespace
+and dataset, state by dataset): epoch ``e`` reads versions ``≤ e`` of the
+partitions of the datasets in its batch and writes them as version ``e + 1``,
+so other partitions are not rewritten, a replayed epoch rewrites the same
+versions, and the stream's final tables equal one batch run over all pages.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from webcorpus.operators.chunking import chunk_documents
 from webcorpus.operators.cleaning import clean_pages
 from webcorpus.operators.state import STATE_COLUMNS, new_state_rows, process_delta, upsert_state
 from webcorpus.operators.vectors import VECTOR_COLUMNS, chunk_vectors, upsert_vectors
-from webcorpus.sources.snapshots import SnapshotTable
+from webcorpus.sources.snapshots import VersionedPartitions
 
 PAGE_SCHEMA = T.StructType([
     T.StructField("page_id", T.LongType()), T.StructField("dataset", T.StringType()),
@@ -58,13 +60,22 @@ def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def tables(spark: SparkSession, store: str) -> tuple[VersionedPartitions, VersionedPartitions]:
+    return (VersionedPartitions(spark, f"{store}/vectors", ("namespace", "dataset")),
+            VersionedPartitions(spark, f"{store}/state", ("dataset",)))
+
+
 def run_batch(spark: SparkSession, pages: DataFrame, store: str, version: int, as_of: str) -> None:
-    """One epoch: read version ``version`` of the snapshots, write ``version + 1``."""
-    vt, st = SnapshotTable(spark, f"{store}/vectors"), SnapshotTable(spark, f"{store}/state")
+    """One epoch: read versions ``≤ version`` of the touched partitions, write
+    them as ``version + 1``."""
+    vt, st = tables(spark, store)
+    touched = pages.select("dataset").distinct()
     vectors = vt.read(at_most=version)
     state = st.read(at_most=version)
-    vectors = vectors if vectors is not None else _empty(spark, VECTOR_SCHEMA)
-    state = state if state is not None else _empty(spark, STATE_SCHEMA)
+    vectors = (vectors.where(F.col("namespace") == "staging").join(touched, "dataset", "left_semi")
+               if vectors is not None else _empty(spark, VECTOR_SCHEMA))
+    state = (state.join(touched, "dataset", "left_semi")
+             if state is not None else _empty(spark, STATE_SCHEMA))
     next_vectors, next_state = process_pages(pages, state.select(*STATE_COLUMNS),
                                              vectors.select(*VECTOR_COLUMNS), as_of)
     vt.write(next_vectors, version + 1)
@@ -92,4 +103,5 @@ def start_page_stream(spark: SparkSession, source_dir: str, store: str, checkpoi
 
 
 def latest(spark: SparkSession, store: str, table: str) -> DataFrame | None:
-    return SnapshotTable(spark, f"{store}/{table}").read()
+    vt, st = tables(spark, store)
+    return (vt if table == "vectors" else st).read()
