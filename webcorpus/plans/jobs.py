@@ -2,7 +2,7 @@
 one store folder of tables:
 
     {store}/raw        raw pages, append-only, partitioned by run and dataset
-    {store}/state      url state, versioned snapshots
+    {store}/state      url state, partitioned by dataset, each partition versioned
     {store}/vectors    vectors, partitioned by namespace and dataset, each
                        partition versioned (only touched partitions rewritten)
     {store}/golden     golden queries as JSON lines, partitioned by dataset
@@ -27,21 +27,23 @@ from webcorpus.operators.promote import promote
 from webcorpus.sources import raw_store as R
 from webcorpus.sources.robots import robots_allowed
 from webcorpus.sources.seeds import crawl_frontier
-from webcorpus.sources.snapshots import SnapshotTable, VersionedPartitions
+from webcorpus.sources.snapshots import VersionedPartitions
 from webcorpus.streaming.pages_stream import STATE_SCHEMA, VECTOR_SCHEMA, process_pages
 
 
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self.state = SnapshotTable(spark, f"{self.root}/state")
+        self.state = VersionedPartitions(spark, f"{self.root}/state", ("dataset",))
         self.vectors = VersionedPartitions(spark, f"{self.root}/vectors", ("namespace", "dataset"))
 
-    def current(self, table: SnapshotTable, schema) -> tuple[DataFrame, int]:
-        vs = table.versions()
-        if not vs:
-            return self.spark.createDataFrame([], schema), 0
-        return table.read(), vs[-1]
+    def current_state(self, datasets: DataFrame | None = None) -> DataFrame:
+        """The state rows (of ``datasets`` only, when given)."""
+        s = self.state.read()
+        if s is None:
+            return self.spark.createDataFrame([], STATE_SCHEMA)
+        s = s.select(*STATE_SCHEMA.fieldNames())
+        return s.join(datasets, "dataset", "left_semi") if datasets is not None else s
 
     def current_vectors(self) -> DataFrame:
         v = self.vectors.read()
@@ -63,7 +65,7 @@ def harvest(store: Store, seeds: DataFrame, sitemaps: DataFrame, base_urls: Data
     got = robots_allowed(got, rules, agent)
     ok = F.col("allowed") & F.lower(F.coalesce("content_type", F.lit(""))).contains("text/html")
     got = got.withColumn("raw_hash", F.sha2("html", 256)).withColumn("ok", ok)
-    state, version = store.current(store.state, STATE_SCHEMA)
+    state = store.current_state(frontier.select("dataset").distinct())
     outcomes = S.crawl_outcomes(frontier, got, state)
     changed = (R.with_raw_keys(got.where("ok"))
                .join(outcomes.where(F.col("outcome") == "processed").select("dataset", "url"),
@@ -74,8 +76,8 @@ def harvest(store: Store, seeds: DataFrame, sitemaps: DataFrame, base_urls: Data
     stamp = F.to_timestamp(F.lit(as_of))
     new_rows = S.new_state_rows(changed.withColumn("text_hash", F.lit(None).cast("string")),
                                 "scraped", stamp)
-    # keep a processed row's text hash when the raw page is unchanged
-    store.state.write(S.upsert_state(state, new_rows), version + 1)
+    # the state partitions of the datasets in this crawl, as their next version
+    store.state.write(S.upsert_state(state, new_rows))
     return S.outcome_counts(outcomes)
 
 
@@ -94,7 +96,7 @@ def process(store: Store, keys: DataFrame | None, as_of: str, embed=None) -> Dat
     if keys is None:
         last = raw.agg(F.max("run")).first()[0]
         keys = raw.where(F.col("run") == last).select("dataset", "raw_key")
-    state, version = store.current(store.state, STATE_SCHEMA)
+    state = store.current_state(keys.select("dataset").distinct())
     vectors = store.current_vectors()
     pages = latest_raw(raw, keys).select("dataset", "url", "raw_key", "html")
     known = S.state_by_raw_key(keys.select("dataset", "raw_key").distinct(), state)
@@ -107,8 +109,8 @@ def process(store: Store, keys: DataFrame | None, as_of: str, embed=None) -> Dat
     next_vectors, next_state = process_pages(ready.select("page_id", "dataset", "url", "html"),
                                              state, mine.select(*VECTOR_SCHEMA.fieldNames()), as_of)
     store.vectors.write(next_vectors)                                  # vectors first
-    store.state.write(next_state, version + 1)
-    after = store.state.read()
+    store.state.write(next_state)
+    after = store.current_state()
     done = (known.join(pages.select("dataset", "raw_key"), ["dataset", "raw_key"], "left_semi")
             .select("dataset", "raw_key", "url"))
     stamp = F.to_timestamp(F.lit(as_of))
