@@ -10,9 +10,11 @@ from webcorpus.functions import patterns as P
 from webcorpus.functions.patterns import sql_str
 from webcorpus.functions.text import strip, strip_sql
 
+# Facts per text, facts in the summary, summary length.
 MAX_FACTS = 10
 SUMMARY_FACTS = 3
 SUMMARY_CHARS = 200
+FACT_TYPE = "statement"
 
 
 def facts(text: Column, max_facts: int = MAX_FACTS) -> Column:
@@ -33,7 +35,7 @@ def facts_sql(expr: str, max_facts: int = MAX_FACTS) -> str:
 
 def fact_card(fact: Column, url: Column, title: Column) -> Column:
     return F.struct(fact.alias("fact"), F.coalesce(url, F.lit("")).alias("source"),
-                    F.coalesce(title, F.lit("")).alias("title"), F.lit("statement").alias("type"))
+                    F.coalesce(title, F.lit("")).alias("title"), F.lit(FACT_TYPE).alias("type"))
 
 
 def summary(fact_texts: Column) -> Column:

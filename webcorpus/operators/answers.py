@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from webcorpus.functions.facts import fact_card, facts, handoff_url, summary
 from webcorpus.functions.keys import query_hash
 
+# Facts taken per hit, cards per answer.
 FACTS_PER_HIT = 3
 MAX_CARDS = 10
 

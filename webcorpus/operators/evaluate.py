@@ -16,9 +16,12 @@ from pyspark.sql import types as T
 
 from webcorpus.functions import patterns as P
 
+# Default minimum top score and the report / issue texts.
 DEFAULT_MIN_SCORE = 0.7
 NO_QUERIES_WARNING = "No golden queries defined for dataset"
 NO_RESULTS = "No results found for query"
+LOW_SCORE = "Top result score %.3f below minimum %s"
+MISSING_CITATIONS = "Missing expected citations: "
 
 GOLDEN_SCHEMA = T.StructType([
     T.StructField("query", T.StringType()),
@@ -49,10 +52,10 @@ def golden_checks(golden: DataFrame, hits: DataFrame) -> DataFrame:
     missing = F.array_sort(F.array_except(F.coalesce(F.col("expected_citations"), F.array()), found))
     issues = F.filter(F.array(
         F.when(n_hits == 0, F.lit(NO_RESULTS))
-         .when(top < min_score, F.format_string("Top result score %.3f below minimum %s",
+         .when(top < min_score, F.format_string(LOW_SCORE,
                                                 top, min_score.cast("string"))),
         F.when((F.size(F.coalesce(F.col("expected_citations"), F.array())) > 0) & (F.size(missing) > 0),
-               F.concat(F.lit("Missing expected citations: "), _quoted_list(missing)))),
+               F.concat(F.lit(MISSING_CITATIONS), _quoted_list(missing)))),
         lambda x: x.isNotNull())
     out = g.select("qid", "dataset", "query", issues.alias("issues"), found.alias("citations_found"),
                    top.alias("top_score"))

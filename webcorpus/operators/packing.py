@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from webcorpus.functions.text import paragraphs, token_count
 
+# Chunk target and maximum size in tokens.
 TARGET_TOKENS = 500
 MAX_TOKENS = 800
 FOLD_BLOCK = 256
