@@ -15,7 +15,6 @@ from webcorpus.sources.tables import cut_lineage
 
 PAGE_LOCS = "/urlset/url/loc/text()"
 CHILD_LOCS = "/sitemapindex/sitemap/loc/text()"
-MAX_DEPTH = 16
 
 
 def sitemap_urls(sitemaps: DataFrame) -> DataFrame:
@@ -28,16 +27,17 @@ def sitemap_urls(sitemaps: DataFrame) -> DataFrame:
             .distinct())
 
 
-def expand_sitemaps(seeds: DataFrame, sitemaps: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def expand_sitemaps(seeds: DataFrame, sitemaps: DataFrame, max_depth: int | None = None) -> DataFrame:
     """``dataset, url``: follow ``sitemapindex`` entries from each seed's
     sitemap and union the page URLs of every ``urlset`` reached.
 
     A breadth-first loop on the driver, one join per level: the frontier of
     not-yet-seen ``(dataset, sitemap_url)`` pairs is joined to the sitemap
     table; children already seen are dropped by an anti join (the cycle
-    guard), and the walk stops when the frontier is empty or at
-    ``max_depth``.  Each level's visited set is checkpointed to the shared
-    checkpoint folder so lineage stays flat.
+    guard: every sitemap is visited once per dataset, so the walk ends), and
+    the walk stops when the frontier is empty — or at ``max_depth`` levels if
+    the caller asks for a limit.  Each level's visited set is checkpointed to
+    the shared checkpoint folder so lineage stays flat.
     """
     docs = sitemaps.select("sitemap_url", "xml")
     frontier = seeds.select("dataset", "sitemap_url").distinct()
@@ -51,7 +51,7 @@ def expand_sitemaps(seeds: DataFrame, sitemaps: DataFrame, max_depth: int = MAX_
                     .select("dataset", F.trim("sitemap_url").alias("sitemap_url"))
                     .distinct())
         frontier = cut_lineage(children.join(seen, ["dataset", "sitemap_url"], "left_anti"))
-        if depth >= max_depth or frontier.isEmpty():
+        if (max_depth is not None and depth >= max_depth) or frontier.isEmpty():
             break
         seen = cut_lineage(seen.unionByName(frontier))
     visited = seen.unionByName(frontier).distinct()
