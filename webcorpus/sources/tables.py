@@ -10,9 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("pages", "documents", "embeddings", "benchmark", "labels", "conversations", "events")
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def read_table(spark: SparkSession, base: str, name: str,
-               columns: Sequence[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+               columns: Sequence[str] | None = None, fresh: bool = False) -> DataFrame:
+    """Scan ``{base}/{name}.parquet``.  Inputs are taken as immutable for the
+    life of the process: the schema found on the first scan of a path is
+    given to later scans (no footer reads while planning); ``fresh`` forces
+    discovery again."""
+    path = f"{base.rstrip('/')}/{name}.parquet"
+    schema = None if fresh else _SCHEMAS.get(path)
+    df = spark.read.schema(schema).parquet(path) if schema is not None else spark.read.parquet(path)
+    _SCHEMAS[path] = df.schema
     return df.select(*columns) if columns else df
 
 
