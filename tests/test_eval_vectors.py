@@ -96,3 +96,14 @@ def test_many_query_blocks_equal_one(spark):
     many = topk_search(qs, vecs, k=5, payload=("url",), block_bytes=8 * 64 * 60)   # ~9 blocks
     key = lambda r: (r["qid"], r["rank"], r["id"])
     assert sorted(map(key, one.collect())) == sorted(map(key, many.collect()))
+
+
+def test_small_score_tiles_equal_default(spark):
+    from tests.conftest import SF01
+    from webcorpus.operators.search import topk_search
+    from webcorpus.sources import fixtures as X
+    qs, vecs = X.questions(spark, SF01), X.vectors(spark, SF01)
+    one = topk_search(qs, vecs, k=5, payload=("url",))
+    tiny = topk_search(qs, vecs, k=5, payload=("url",), tiles=(7, 5))
+    key = lambda r: (r["qid"], r["rank"], r["id"])
+    assert sorted(map(key, one.collect())) == sorted(map(key, tiny.collect()))

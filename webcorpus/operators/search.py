@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 QUERY_BLOCK_BYTES = 128 << 20   # query vectors per broadcast block (float64)
 VECTOR_TILE_ROWS = 2048     # vectors per matrix product inside a task
+QUERY_TILE_ROWS = 4096      # queries per matrix product: a score tile is ≤ 64 MB
 TOP_K = 5
 
 
@@ -56,6 +57,7 @@ def _scorer(block: dict, k: int, payload: Sequence[str], out_schema: pa.Schema):
     groups = block["groups"]          # group key -> (query positions, unit query matrix)
     qids = block["qids"]
     qk = block["k"]
+    q_tile, v_tile = block["tiles"]
 
     def candidates(batch: pa.RecordBatch) -> pa.Table | None:
         ns = batch.column("namespace").to_pylist()
@@ -69,21 +71,23 @@ def _scorer(block: dict, k: int, payload: Sequence[str], out_schema: pa.Schema):
         for key in np.unique(keys):
             if key not in groups:
                 continue
-            qpos, qmat = groups[key]
+            qpos_all, qmat_all = groups[key]
             vpos = np.nonzero(keys == key)[0]
-            for t0 in range(0, len(vpos), VECTOR_TILE_ROWS):
-                tile = vpos[t0:t0 + VECTOR_TILE_ROWS]
-                scores = qmat @ vecs[tile].T            # (queries, tile)
-                width = scores.shape[1]
-                if width > k:
-                    # k-th best score per query; ties at the cut are all kept
-                    thr = np.partition(scores, width - k, axis=1)[:, width - k]
-                    qi, vi = np.nonzero(scores >= thr[:, None])
-                else:
-                    qi, vi = np.nonzero(np.ones_like(scores, dtype=bool))
-                out_q.append(qpos[qi])
-                out_v.append(tile[vi])
-                out_s.append(scores[qi, vi])
+            for q0 in range(0, len(qpos_all), q_tile):
+                qpos, qmat = qpos_all[q0:q0 + q_tile], qmat_all[q0:q0 + q_tile]
+                for t0 in range(0, len(vpos), v_tile):
+                    tile = vpos[t0:t0 + v_tile]
+                    scores = qmat @ vecs[tile].T            # (query tile, vector tile)
+                    width = scores.shape[1]
+                    if width > k:
+                        # k-th best score per query; ties at the cut are all kept
+                        thr = np.partition(scores, width - k, axis=1)[:, width - k]
+                        qi, vi = np.nonzero(scores >= thr[:, None])
+                    else:
+                        qi, vi = np.nonzero(np.ones_like(scores, dtype=bool))
+                    out_q.append(qpos[qi])
+                    out_v.append(tile[vi])
+                    out_s.append(scores[qi, vi])
         if not out_q:
             return None
         v = pa.array(np.concatenate(out_v), type=pa.int64())
@@ -117,7 +121,7 @@ def _scorer(block: dict, k: int, payload: Sequence[str], out_schema: pa.Schema):
     return run
 
 
-def _block(rows: list, k: int) -> dict:
+def _block(rows: list, k: int, tiles: tuple[int, int] = (QUERY_TILE_ROWS, VECTOR_TILE_ROWS)) -> dict:
     groups: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     qids = np.asarray([r["qid"] for r in rows], dtype=np.int64)
     ks = np.asarray([min(int(r["top_k"] if r["top_k"] is not None else k), k) for r in rows],
@@ -128,12 +132,13 @@ def _block(rows: list, k: int) -> dict:
     for key, pos in by_key.items():
         mat = np.asarray([rows[i]["embedding"] for i in pos], dtype=np.float64)
         groups[key] = (np.asarray(pos, dtype=np.int64), _unit(mat))
-    return {"groups": groups, "qids": qids, "k": ks}
+    return {"groups": groups, "qids": qids, "k": ks, "tiles": tiles}
 
 
 def topk_search(queries: DataFrame, vectors: DataFrame, k: int = TOP_K,
                 payload: Sequence[str] = ("url", "title", "text", "chunk_index"),
-                block_bytes: int = QUERY_BLOCK_BYTES) -> DataFrame:
+                block_bytes: int = QUERY_BLOCK_BYTES,
+                tiles: tuple[int, int] = (QUERY_TILE_ROWS, VECTOR_TILE_ROWS)) -> DataFrame:
     """``qid, rank, id, score, payload…`` — the ``top_k`` (≤ ``k``) vectors of
     each query within the query's namespace and dataset.
 
@@ -159,7 +164,7 @@ def topk_search(queries: DataFrame, vectors: DataFrame, k: int = TOP_K,
         rows = [r.asDict() for r in part.collect()]      # at most ~block_rows rows
         if not rows:
             continue
-        data = _block(rows, k)
+        data = _block(rows, k, tiles)
         try:
             block = spark.sparkContext.broadcast(data)
         except Exception:   # Spark Connect has no broadcast variables: ship with the function
