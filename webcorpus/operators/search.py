@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 QUERY_BLOCK_BYTES = 128 << 20   # query vectors per broadcast block (float64)
+QUERY_BLOCK_ROWS = 65536        # queries per block: a task keeps ≤ rows × k candidates
 VECTOR_TILE_ROWS = 2048     # vectors per matrix product inside a task
 QUERY_TILE_ROWS = 4096      # queries per matrix product: a score tile is ≤ 64 MB
 TOP_K = 5
@@ -149,7 +150,8 @@ def topk_search(queries: DataFrame, vectors: DataFrame, k: int = TOP_K,
     q = queries.select("qid", "namespace", "dataset", "top_k", "embedding")
     stats = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dim")).first()
     n, dim = stats["n"], max(1, stats["dim"] or 1)
-    block_rows = max(1, block_bytes // (8 * dim))      # a proven bound on each broadcast
+    # a proven bound on each broadcast and on each task's candidate table
+    block_rows = max(1, min(block_bytes // (8 * dim), QUERY_BLOCK_ROWS))
     v = vectors.select("namespace", "dataset", "id", "embedding", *payload)
     fields = [T.StructField("qid", T.LongType()), T.StructField("id", T.StringType()),
               T.StructField("score", T.DoubleType()), T.StructField("top_k", T.IntegerType())]
