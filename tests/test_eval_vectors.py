@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from webcorpus.operators import evaluate as EV
 from webcorpus.operators.promote import promote
-from webcorpus.operators.vectors import VECTOR_COLUMNS, chunk_vectors, dedup_vectors, upsert_vectors
+from webcorpus.operators.vectors import chunk_vectors, dedup_vectors, upsert_vectors
 
 
 def test_report_without_queries_passes_with_warning(spark):

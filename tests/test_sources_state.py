@@ -1,6 +1,5 @@
 """A1–A4 sources, P1, J1–J3, A10, A11, G1/G2 properties."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF01

@@ -15,7 +15,7 @@ from webcorpus.functions import patterns as P
 from webcorpus.functions import text as T
 from webcorpus.functions.patterns import sql_str
 from webcorpus.operators.packing import MAX_TOKENS, TARGET_TOKENS
-from webcorpus.sources.fixtures import (AGENT, AS_OF, PREVIOUS_AS_OF, SITEMAP_MAX_URLS, SITEMAP_NS,
+from webcorpus.sources.fixtures import (AGENT, AS_OF, PREVIOUS_AS_OF, SITEMAP_MAX_URLS,
                                         ZERO_HASH)
 
 NL = "chr(10)"
