@@ -32,8 +32,13 @@ from webcorpus.functions.text import has_text, strip
 
 
 def explode_lines(docs: DataFrame, keys: Sequence[str], text_col: str = "text") -> DataFrame:
-    """One row per ``\\n``-separated line: ``keys…, pos, line`` (narrow)."""
-    return docs.select(*keys, F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "line"))
+    """One row per ``\\n``-separated line: ``keys…, pos, line, next_line``
+    (narrow: the successor comes from the line array itself, not a window)."""
+    lines = docs.select(*keys, F.split(F.col(text_col), "\n").alias("_lines"))
+    nxt = F.slice("_lines", 2, F.greatest(F.size("_lines") - 1, F.lit(0)))
+    zipped = F.arrays_zip(F.col("_lines").alias("line"), nxt.alias("next_line"))
+    out = lines.select(*keys, F.posexplode(zipped).alias("pos", "_z"))
+    return out.select(*keys, "pos", F.col("_z.line").alias("line"), F.col("_z.next_line").alias("next_line"))
 
 
 def line_kind(line: Column, next_line: Column, pos: Column) -> Column:
@@ -56,7 +61,8 @@ def line_kinds(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
     pos = F.col("pos")
     kind = F.col("kind")
     pipe = F.col("line").contains("|")
-    df = lines.withColumn("kind", line_kind(F.col("line"), F.lead("line").over(w), pos))
+    nxt = F.col("next_line") if "next_line" in lines.columns else F.lead("line").over(w)
+    df = lines.withColumn("kind", line_kind(F.col("line"), nxt, pos))
     # in-list state before line i: the last L-or-N kind seen, L meaning "in".
     df = df.withColumn(
         "in_list",
@@ -74,7 +80,7 @@ def line_kinds(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
                & (F.col("cp").isNull() | ((F.col("c") - F.col("nb")) > F.col("cp"))))
     df = df.withColumn("starts", ((F.col("nb") == 1) | t_start).cast("int"))
     df = df.withColumn("section_no", F.sum("starts").over(upto).cast("bigint"))
-    return df.drop("in_list", "nb", "c", "cp", "starts")
+    return df.drop("in_list", "nb", "c", "cp", "starts", "next_line")
 
 
 def ordered_concat(order_col: str, text_col: str, sep: str) -> Column:
