@@ -107,7 +107,8 @@ def process(store: Store, keys: DataFrame | None, as_of: str, embed=None) -> Dat
     touched = ready.select("dataset").distinct()
     mine = (vectors.where(F.col("namespace") == "staging").join(touched, "dataset", "left_semi"))
     next_vectors, next_state = process_pages(ready.select("page_id", "dataset", "url", "html"),
-                                             state, mine.select(*VECTOR_SCHEMA.fieldNames()), as_of)
+                                             state, mine.select(*VECTOR_SCHEMA.fieldNames()), as_of,
+                                             embed)
     store.vectors.write(next_vectors)                                  # vectors first
     store.state.write(next_state)
     after = store.current_state()

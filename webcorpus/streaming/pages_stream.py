@@ -44,13 +44,14 @@ VECTOR_SCHEMA = T.StructType([
 
 
 def process_pages(pages: DataFrame, state: DataFrame, vectors: DataFrame,
-                  as_of: str) -> tuple[DataFrame, DataFrame]:
-    """W2 over a batch of pages: returns the next (vectors, state) snapshots."""
+                  as_of: str, embed=None) -> tuple[DataFrame, DataFrame]:
+    """W2 over a batch of pages: returns the next (vectors, state) snapshots;
+    ``embed`` is the embedding provider (default: hashed tokens)."""
     stamp = F.to_timestamp(F.lit(as_of))
     clean = clean_pages(pages.withColumn("raw_hash", F.sha2("html", 256)))
     todo = process_delta(clean, state)
     chunks = chunk_documents(todo, ["page_id"], carry=["dataset", "url", "title"])
-    staged = chunk_vectors(chunks, "staging", stamp)
+    staged = chunk_vectors(chunks, "staging", stamp, embed)
     next_vectors = upsert_vectors(vectors, staged)
     next_state = upsert_state(state, new_state_rows(todo, "processed", stamp))
     return next_vectors, next_state
