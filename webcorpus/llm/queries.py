@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webcorpus.llm import mixing, sharding, simhash
+from webcorpus.llm import chat, mixing, sharding, simhash
 from webcorpus.sources.tables import read_table
 
 SHARD_BYTES = 32 << 20
@@ -28,6 +28,14 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_rows(mixing.mix(docs)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
+    hostile = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return chat.digests(chat.read_back(chat.windows(rows.unionByName(hostile))))
+
+
 OP4_SQL = f"""
 WITH d AS (
   SELECT doc_id, ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT AS h,
@@ -46,5 +54,6 @@ SELECT doc_id, CASE WHEN depth = 0 THEN '' ELSE right(lpad(bin(bucket), 64, '0')
 FROM f
 """
 
-QUERIES = {"op1_simhash": op1_simhash, "op4_sharding": op4_sharding, "op5_mixing": op5_mixing}
+QUERIES = {"op1_simhash": op1_simhash, "op4_sharding": op4_sharding, "op5_mixing": op5_mixing,
+           "op10_chat": op10_chat}
 ORACLE = {"op4_sharding": OP4_SQL}
