@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webcorpus.llm import chat, mixing, sharding, simhash
+from webcorpus.llm import chat, mixing, sharding, simhash, warc
 from webcorpus.sources.tables import read_table
 
 SHARD_BYTES = 32 << 20
@@ -18,6 +18,13 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
+    index = warc.write_archives(pages, warc.archive_folder(spark))
+    read = warc.read_records(index, with_payload=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     return sharding.assign_shards(docs, SHARD_BYTES).drop("text")
@@ -54,6 +61,20 @@ SELECT doc_id, CASE WHEN depth = 0 THEN '' ELSE right(lpad(bin(bucket), 64, '0')
 FROM f
 """
 
-QUERIES = {"op1_simhash": op1_simhash, "op4_sharding": op4_sharding, "op5_mixing": op5_mixing,
+OP3_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+q AS (SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha1(payload) AS hexed,
+             min(page_id) OVER (PARTITION BY payload) AS first_id FROM p),
+b AS (SELECT *, array_to_string(list_transform(string_split(hexed, ''), lambda c:
+        right(lpad(bin(instr('0123456789abcdef', c) - 1), 64, '0'), 4)), '') AS bits FROM q)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         (1 + list_sum(list_transform(range(0, 5), lambda j: substr(bits, (i * 5 + j + 1)::INTEGER, 1)::INTEGER * (16 >> j::INTEGER))))::INTEGER, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM b
+"""
+
+QUERIES = {"op1_simhash": op1_simhash, "op3_warc": op3_warc, "op4_sharding": op4_sharding, "op5_mixing": op5_mixing,
            "op10_chat": op10_chat}
-ORACLE = {"op4_sharding": OP4_SQL}
+ORACLE = {"op3_warc": OP3_SQL, "op4_sharding": OP4_SQL}
