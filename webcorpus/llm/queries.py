@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webcorpus.llm import chat, mixing, sharding, simhash, warc
+from webcorpus.llm import chat, mixing, quality, sharding, simhash, toxicity, warc
+from webcorpus.llm.common import crc_mod
 from webcorpus.sources.tables import read_table
 
 SHARD_BYTES = 32 << 20
@@ -35,6 +36,20 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_rows(mixing.mix(docs)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return quality.judge(docs).select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                                      "n_repeat_words", "base_failed", "kept")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    labels = read_table(spark, sf_dir, "labels", ["doc_id", "toxic"])
+    scored = toxicity.scores(docs, toxicity.fit(docs, labels))
+    return scored.select(F.col("id").alias("doc_id"), (crc_mod(F.col("id"), 5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
     hostile = spark.range(2).select(
@@ -76,5 +91,5 @@ FROM b
 """
 
 QUERIES = {"op1_simhash": op1_simhash, "op3_warc": op3_warc, "op4_sharding": op4_sharding, "op5_mixing": op5_mixing,
-           "op10_chat": op10_chat}
+           "op6_quality": op6_quality, "op8_toxicity": op8_toxicity, "op10_chat": op10_chat}
 ORACLE = {"op3_warc": OP3_SQL, "op4_sharding": OP4_SQL}

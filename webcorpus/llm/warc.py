@@ -182,8 +182,11 @@ def read_records(index: DataFrame, with_payload: bool = True) -> DataFrame:
     ``path, offset, page_id, url, record_type, refers_to, payload_bytes,
     payload_digest`` and ``payload`` (null for revisits), all taken from the
     archives.  A record listed twice is returned twice."""
+    # as many tasks as there are stretches of archive to read: rows of the index say little of that
+    tasks = -(-(index.agg(F.sum("length")).first()[0] or 0) // STRETCH)
+    tasks = max(tasks, index.sparkSession.sparkContext.defaultParallelism)
     wanted = index.select("path", F.floor(F.col("offset") / STRETCH).alias("stretch"), "offset", "length")
-    wanted = wanted.repartition("path", "stretch").sortWithinPartitions("path", "offset").select("path", "offset", "length")
+    wanted = wanted.repartition(min(tasks, 1 << 17), "path", "stretch").sortWithinPartitions("path", "offset").select("path", "offset", "length")
     names = ["path", "offset", "page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest"]
     kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
     schema = "path string, offset long, page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string"
