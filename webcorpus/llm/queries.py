@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webcorpus.llm import chat, mixing, quality, sharding, simhash, toxicity, warc
+from webcorpus.llm import chat, decontam, mixing, quality, sharding, simhash, toxicity, warc
 from webcorpus.llm.common import crc_mod
 from webcorpus.sources.tables import read_table
 
@@ -42,6 +42,12 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       "n_repeat_words", "base_failed", "kept")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    found = decontam.contaminated(docs, read_table(spark, sf_dir, "benchmark", ["item_id", "text"]))
+    return found.select(F.col("id").alias("doc_id"), "item_id", "pos", "covered", "exact", "n_slots")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     labels = read_table(spark, sf_dir, "labels", ["doc_id", "toxic"])
@@ -91,5 +97,6 @@ FROM b
 """
 
 QUERIES = {"op1_simhash": op1_simhash, "op3_warc": op3_warc, "op4_sharding": op4_sharding, "op5_mixing": op5_mixing,
-           "op6_quality": op6_quality, "op8_toxicity": op8_toxicity, "op10_chat": op10_chat}
+           "op6_quality": op6_quality, "op7_decontamination": op7_decontamination,
+           "op8_toxicity": op8_toxicity, "op10_chat": op10_chat}
 ORACLE = {"op3_warc": OP3_SQL, "op4_sharding": OP4_SQL}
