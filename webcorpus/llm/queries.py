@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webcorpus.llm import chat, decontam, mixing, quality, sharding, simhash, toxicity, warc
+from webcorpus.llm import chat, decontam, lm, mixing, quality, sharding, simhash, toxicity, warc
 from webcorpus.llm.common import crc_mod
 from webcorpus.sources.tables import read_table
 
@@ -19,6 +19,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return lm.score(docs).withColumnRenamed("id", "doc_id")
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
     index = warc.write_archives(pages, warc.archive_folder(spark))
@@ -96,7 +101,7 @@ SELECT page_id, payload_bytes,
 FROM b
 """
 
-QUERIES = {"op1_simhash": op1_simhash, "op3_warc": op3_warc, "op4_sharding": op4_sharding, "op5_mixing": op5_mixing,
+QUERIES = {"op1_simhash": op1_simhash, "op2_lm": op2_lm, "op3_warc": op3_warc, "op4_sharding": op4_sharding, "op5_mixing": op5_mixing,
            "op6_quality": op6_quality, "op7_decontamination": op7_decontamination,
            "op8_toxicity": op8_toxicity, "op10_chat": op10_chat}
 ORACLE = {"op3_warc": OP3_SQL, "op4_sharding": OP4_SQL}
