@@ -50,6 +50,10 @@ def word_kind(word: bytes) -> tuple[int, bool, bool, bool, str, str]:
     be a unit or a name, whether it closes a sentence, its value, and the
     unit written together with a number."""
     raw = word.decode("utf-8", "replace")
+    plain = raw.rstrip(".,;:!?")
+    if plain.isalpha():     # most words: letters and a mark
+        value = plain.lower()
+        return WORD, value in UNITS, len(plain) > 1 and plain[0].isupper() and plain[1].islower(), raw.endswith(_CLOSES), value, ""
     closes, bare = raw.endswith(_CLOSES), _EDGE.sub("", raw)
     value = _INNER.sub("", bare).lower()
     if not bare:
@@ -63,6 +67,18 @@ def word_kind(word: bytes) -> tuple[int, bool, bool, bool, str, str]:
     return WORD, value in UNITS, name, closes, value, ""
 
 
+class Codes(dict):
+    """Word → its number, given at the first look; the new words are kept aside."""
+
+    def __init__(self) -> None:
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+
 class Templates:
     """Template tokens of texts.  Kinds of words seen before are remembered, and
     context (sentence starts, units after numbers) is worked out for a whole
@@ -75,11 +91,24 @@ class Templates:
         self.forget()
 
     def forget(self) -> None:
-        self.code: dict[bytes, int] = {}
+        self.code = Codes()
         self.seen: list[tuple[int, bool, bool, bool, str, str]] = []
-        self.rows: list[tuple[int, bool, bool, bool, int]] = []
-        self.table = np.empty((0, 4), np.int8)
-        self.hashes = np.empty(0, np.uint64)
+        self.filled = 0
+        self.table = np.empty((1 << 12, 4), np.int8)
+        self.hashes = np.empty(1 << 12, np.uint64)
+
+    def fill(self) -> None:
+        """Bring the arrays up to the words seen (they double when full)."""
+        new = [word_kind(w) for w in self.code.new]
+        self.code.new = []
+        self.seen += new
+        while len(self.seen) > len(self.table):
+            self.table = np.concatenate([self.table, np.empty_like(self.table)])
+            self.hashes = np.concatenate([self.hashes, np.empty_like(self.hashes)])
+        if new:
+            self.table[self.filled:len(self.seen)] = [x[:4] for x in new]
+            self.hashes[self.filled:len(self.seen)] = [xxhash.xxh64_intdigest(x[4]) for x in new]
+        self.filled = len(self.seen)
 
     def tokens(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per template token: its hash, the code of its word, and its form (0
@@ -91,18 +120,10 @@ class Templates:
         for line in text.split(b"\n"):
             lines.append(len(words))
             words += line.split()
-        code = self.code
-        for w in words:
-            if w not in code:
-                code[w] = len(code)
-                self.seen.append(word_kind(w))
         if not words:
             return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int8)
-        if len(self.table) < len(self.seen):
-            new = self.seen[len(self.table):]
-            self.table = np.concatenate([self.table, np.array([x[:4] for x in new], np.int8)])
-            self.hashes = np.concatenate([self.hashes, np.array([xxhash.xxh64_intdigest(x[4]) for x in new], np.uint64)])
-        c = np.fromiter(map(code.__getitem__, words), np.int64, len(words))
+        c = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+        self.fill()
         kind, unit, name, closes = self.table[c].T
         ends = np.r_[0, np.cumsum(closes)]
         breaks = np.bincount(np.array(lines), minlength=len(words) + 1)[:len(words)].cumsum()
