@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webcorpus.llm import chat, decontam, lm, mixing, quality, sharding, simhash, toxicity, warc
+from webcorpus.llm import chat, decontam, lm, mixing, passages, quality, sharding, simhash, toxicity, warc
 from webcorpus.llm.common import crc_mod
 from webcorpus.sources.tables import read_table
 
@@ -61,6 +61,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
 
 
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return passages.repeated_passages(docs).withColumnRenamed("id", "doc_id").withColumnRenamed("other_id", "other_doc_id")
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
     hostile = spark.range(2).select(
@@ -103,5 +108,6 @@ FROM b
 
 QUERIES = {"op1_simhash": op1_simhash, "op2_lm": op2_lm, "op3_warc": op3_warc, "op4_sharding": op4_sharding, "op5_mixing": op5_mixing,
            "op6_quality": op6_quality, "op7_decontamination": op7_decontamination,
-           "op8_toxicity": op8_toxicity, "op10_chat": op10_chat}
+           "op8_toxicity": op8_toxicity, "op9_passages": op9_passages,
+           "op10_chat": op10_chat}
 ORACLE = {"op3_warc": OP3_SQL, "op4_sharding": OP4_SQL}
