@@ -67,7 +67,8 @@ def answer_records(ans: DataFrame) -> DataFrame:
 def lookup_answers(questions: DataFrame, store: DataFrame) -> DataFrame:
     """The stored answer of each question, null on a miss."""
     q = questions.withColumn("query_hash", query_hash(F.col("query")))
-    s = store.select("dataset", "query_hash", F.from_json("json", ANSWER).alias("cached"))
+    one = store.groupBy("dataset", "query_hash").agg(F.min("json").alias("json"))     # one answer per key
+    s = one.select("dataset", "query_hash", F.from_json("json", ANSWER).alias("cached"))
     return q.join(s, ["dataset", "query_hash"], "left")
 
 

@@ -125,8 +125,7 @@ def _scorer(block: dict, k: int, payload: Sequence[str], out_schema: pa.Schema):
 def _block(rows: list, k: int, tiles: tuple[int, int] = (QUERY_TILE_ROWS, VECTOR_TILE_ROWS)) -> dict:
     groups: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     qids = np.asarray([r["qid"] for r in rows], dtype=np.int64)
-    ks = np.asarray([min(int(r["top_k"] if r["top_k"] is not None else k), k) for r in rows],
-                    dtype=np.int64)
+    ks = np.asarray([int(r["top_k"] if r["top_k"] is not None else k) for r in rows], dtype=np.int64)
     by_key: dict[str, list[int]] = {}
     for i, r in enumerate(rows):
         by_key.setdefault(f"{r['namespace']}\x00{r['dataset']}", []).append(i)
@@ -140,19 +139,23 @@ def topk_search(queries: DataFrame, vectors: DataFrame, k: int = TOP_K,
                 payload: Sequence[str] = ("url", "title", "text", "chunk_index"),
                 block_bytes: int = QUERY_BLOCK_BYTES,
                 tiles: tuple[int, int] = (QUERY_TILE_ROWS, VECTOR_TILE_ROWS)) -> DataFrame:
-    """``qid, rank, id, score, payload…`` — the ``top_k`` (≤ ``k``) vectors of
-    each query within the query's namespace and dataset.
+    """``qid, rank, id, score, payload…`` — the ``top_k`` vectors (null:
+    ``k``) of each query within the query's namespace and dataset.  Vectors
+    and queries without an embedding of the queries' dimension match nothing.
 
     ``queries``: ``qid bigint, namespace, dataset, top_k, embedding``;
     ``vectors``: ``namespace, dataset, id, embedding, payload…``.
     """
     spark = queries.sparkSession
     q = queries.select("qid", "namespace", "dataset", "top_k", "embedding")
-    stats = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dim")).first()
+    stats = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dim"),
+                  F.max(F.coalesce("top_k", F.lit(k))).alias("most")).first()
     n, dim = stats["n"], max(1, stats["dim"] or 1)
+    most = int(stats["most"] or k)
+    q = q.where(F.size("embedding") == dim)
     # a proven bound on each broadcast and on each task's candidate table
     block_rows = max(1, min(block_bytes // (8 * dim), QUERY_BLOCK_ROWS))
-    v = vectors.select("namespace", "dataset", "id", "embedding", *payload)
+    v = vectors.select("namespace", "dataset", "id", "embedding", *payload).where(F.size("embedding") == dim)
     fields = [T.StructField("qid", T.LongType()), T.StructField("id", T.StringType()),
               T.StructField("score", T.DoubleType()), T.StructField("top_k", T.IntegerType())]
     fields += [v.schema[name] for name in payload]
@@ -179,7 +182,7 @@ def topk_search(queries: DataFrame, vectors: DataFrame, k: int = TOP_K,
     for p in parts[1:]:
         cand = cand.unionByName(p)
     w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("id").asc())
-    ranked = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    ranked = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= most)
     return (ranked.where(F.col("rank") <= F.col("top_k"))
             .select("qid", "rank", "id", "score", *payload))
 

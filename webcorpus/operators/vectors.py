@@ -57,9 +57,10 @@ def write_vectors(snapshot: DataFrame, path: str) -> None:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    """K1 cosine similarity of two equal-length arrays, in double."""
+    """K1 cosine similarity of two equal-length arrays, in double (0 where either
+    has no length)."""
     dot = F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")),
                       F.lit(0.0), lambda acc, v: acc + v)
     na = F.aggregate(a, F.lit(0.0), lambda acc, v: acc + v.cast("double") * v.cast("double"))
     nb = F.aggregate(b, F.lit(0.0), lambda acc, v: acc + v.cast("double") * v.cast("double"))
-    return dot / F.sqrt(na * nb)
+    return F.when(na * nb == 0, F.lit(0.0)).otherwise(dot / F.sqrt(na * nb))

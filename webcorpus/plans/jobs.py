@@ -6,7 +6,7 @@ one store folder of tables:
     {store}/vectors    vectors, partitioned by namespace and dataset, each
                        partition versioned (only touched partitions rewritten)
     {store}/golden     golden queries as JSON lines, partitioned by dataset
-    {store}/answers    precomputed answers, partitioned by dataset
+    {store}/answers    precomputed answers, partitioned by dataset, each partition versioned
 
 Each job is a Spark plan end to end; the driver only sequences jobs and
 picks snapshot versions.  Writes go to new versions (or new run partitions),
@@ -35,6 +35,7 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self.state = VersionedPartitions(spark, f"{self.root}/state", ("dataset",))
+        self.answers = VersionedPartitions(spark, f"{self.root}/answers", ("dataset",))
         self.vectors = VersionedPartitions(spark, f"{self.root}/vectors", ("namespace", "dataset"))
 
     def current_state(self, datasets: DataFrame | None = None) -> DataFrame:
@@ -185,12 +186,7 @@ def answer(store: Store, questions: DataFrame, use_precomputed: bool = True, emb
         hits = res.select("qid", F.explode("results").alias("h")).select("qid", "h.*")
         return AN.answers(missing, hits)
 
-    store_df = None
-    if use_precomputed:
-        try:
-            store_df = store.spark.read.parquet(f"{store.root}/answers")
-        except Exception:
-            store_df = None
+    store_df = store.answers.read() if use_precomputed else None
     if store_df is None:
         return generate(questions).withColumn("source", F.lit("generated"))
     return AN.cached_or_generated(questions, store_df, generate)
@@ -199,5 +195,10 @@ def answer(store: Store, questions: DataFrame, use_precomputed: bool = True, emb
 def precompute_answers(store: Store, questions: DataFrame, embed=None) -> None:
     """the missing caller of the answer store — generate and store."""
     ans = answer(store, questions, use_precomputed=False, embed=embed)
-    (AN.answer_records(ans).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("dataset").parquet(f"{store.root}/answers"))
+    new = AN.answer_records(ans).groupBy("dataset", "query_hash").agg(F.min("json").alias("json"))
+    old = store.answers.read()
+    if old is not None:     # upsert by (dataset, query_hash): the other answers of the touched datasets stay
+        stay = (old.select(*new.columns).join(new.select("dataset").distinct(), "dataset", "left_semi")
+                .join(new.select("dataset", "query_hash"), ["dataset", "query_hash"], "left_anti"))
+        new = new.unionByName(stay)
+    store.answers.write(new)

@@ -313,7 +313,7 @@ def topk_sql(queries: str, vectors: str, k: int = 5, cols: str = "v.url, v.title
    SELECT q.qid, v.id, {cosine('q.embedding', 'v.embedding')} AS score, {cols},
           CAST(row_number() OVER (PARTITION BY q.qid ORDER BY {cosine('q.embedding', 'v.embedding')} DESC, v.id)
                AS INTEGER) AS rank,
-          least(coalesce(q.top_k, {k}), {k}) AS _k
+          coalesce(q.top_k, {k}) AS _k
    FROM {queries} q JOIN {vectors} v ON v.namespace = q.namespace AND v.dataset = q.dataset)
  WHERE rank <= _k)"""
 

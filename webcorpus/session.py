@@ -46,6 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = (sc.getConf().get(CHECKPOINT_CONF, None) if sc is not None else None) or \
         spark.conf.get(CHECKPOINT_CONF, None) or \
         (sc.getCheckpointDir() if sc is not None else None)
+    if not current and sc is not None and not sc.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
     if not current:
         current = tempfile.mkdtemp(prefix="webcorpus-ckpt-")
         try:

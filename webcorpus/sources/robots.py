@@ -44,13 +44,14 @@ def host_rules(rules: DataFrame, agent: str) -> DataFrame:
 def robots_allowed(urls: DataFrame, rules: DataFrame, agent: str,
                    url_col: str = "url", base_col: str | None = None) -> DataFrame:
     """Adds ``allowed``: may ``agent`` fetch the URL under the robots rules of
-    the base URL's host (the URL's own host when ``base_col`` is None)?"""
+    the base URL's host (the URL's own host when ``base_col`` is None)?
+    A rule without a path says nothing (``Disallow:`` allows everything)."""
     hr = host_rules(rules, agent).withColumnRenamed("host", "_rhost")
     base = F.col(base_col) if base_col else F.col(url_col)
     u = urls.withColumn("_rhost", authority(base)).withColumn("_path", robots_path(F.col(url_col)))
     joined = u.join(hr, "_rhost", "left")
     first = F.try_element_at(
-        F.filter("rules", lambda r: F.col("_path").startswith(r["path_prefix"])), F.lit(1))
+        F.filter("rules", lambda r: (r["path_prefix"] != "") & F.col("_path").startswith(r["path_prefix"])), F.lit(1))
     decision = (F.when(F.col("outcome").isNull() | F.col("outcome").isin("unreachable", "denied"),
                        F.lit(False))
                 .when(F.col("outcome") == "missing", F.lit(True))
