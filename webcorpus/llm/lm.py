@@ -263,7 +263,16 @@ def score(docs: DataFrame, held_out_of: int = 7, held_out: int = 2, id_col: str
     counts = cut(token_counts(training))
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n_all, n_types = int(total["n"]), int(total["v"])
-    top = [(bytes(r["token"]), r["c"]) for r in counts.orderBy(F.col("c").desc(), "token").select("token", "c").limit(KNOWN).collect()]
+    # frequent tokens: down to the least count of which (in steps of a sixteenth power of two) at most KNOWN tokens have as much
+    step = F.floor(F.log2("c") * 16).cast("int")
+    least, held = 1 << 20, 0
+    for r in sorted(counts.groupBy(step.alias("s")).count().collect(), key=lambda r: -r["s"]):     # at most 16 x 63 rows
+        held += r["count"]
+        if held > KNOWN:
+            break
+        least = r["s"]
+    top = [(bytes(r["token"]), r["c"]) for r in counts.where(step >= least).select("token", "c").collect()]   # at most KNOWN rows
+    top.sort(key=lambda x: (-x[1], x[0]))
     vocab = [END, *(t for t, _ in top if t != END)][:VOCAB]
     vocab += [b" %d" % i for i in range(VOCAB - len(vocab))]         # never read: small corpora have fewer words
     inside = set(vocab)
@@ -318,7 +327,7 @@ def score(docs: DataFrame, held_out_of: int = 7, held_out: int = 2, id_col: str
     # one row per document and rare token; the document's own columns ride on its first
     rare = rows.select("row", F.struct("id", "held_out", "n_tokens", "known", "base", "log_p").alias("d"), F.posexplode(F.arrays_zip("h", "n")).alias("at", "x"))
     rare = rare.select("row", F.when(F.col("at") == 0, F.col("d")).alias("d"), F.col("x.h").alias("h"), F.col("x.n").alias("n"))
-    cold = counts.where(F.col("c") <= (top[-1][1] if len(top) == KNOWN else 0)).select("h", "c")
+    cold = counts.where(step < least).select("h", "c")
     met = rare.join(cold, "h", "left").select("row", "d", "n", F.coalesce("c", F.lit(0)).alias("c"))
     more = F.sum(F.col("n") * F.log10(F.col("c") + 1))
     per = met.groupBy("row").agg(F.max("d").alias("d"), more.alias("more"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("found"))
