@@ -53,3 +53,69 @@ def test_jobs_end_to_end(spark):
     c2 = J.harvest(store, run=2, as_of="2024-01-02 00:00:00", **args).collect()
     assert sum(r["processed"] for r in c2) == 0
     assert sum(r["skipped"] for r in c2) == sum(r["processed"] for r in c1.values())
+
+
+PAGE = "<title>{t}</title><body><h1>Head</h1><p>{p}</p></body>"
+SAME = "The very same paragraph stands on two pages of this site, word for word."
+
+
+def crawl(spark, store, pages, run):
+    """One harvest of ``pages`` (url → html) of dataset ``a:b``, and its processing."""
+    fetched = spark.createDataFrame([("a:b", u, h, "text/html") for u, h in pages.items()],
+                                    "dataset string, url string, html string, content_type string")
+    seeds = fetched.select("dataset", F.lit("url").alias("source_type"), F.col("url").alias("source"))
+    rules = spark.createDataFrame([("h.org", "*", 0, None, None, "missing")], "host string, agent string, seq int, allow boolean, path_prefix string, outcome string")
+    maps = spark.createDataFrame([], "sitemap_url string, xml string")
+    bases = spark.createDataFrame([("a:b", "https://h.org/")], "dataset string, base_url string")
+    c = J.harvest(store, seeds, maps, bases, fetched, rules, agent="bot", run=run, as_of=f"2024-01-0{run} 00:00:00")
+    p = J.process(store, None, f"2024-01-0{run} 01:00:00")
+    return c.collect()[0].asDict(), p.collect()[0].asDict()
+
+
+def test_recrawl_skips_equal_text(spark):
+    store = J.Store(spark, tempfile.mkdtemp(prefix="wc-jobs-"))
+    u = [f"https://h.org/{i}" for i in range(4)]
+    first = {u[0]: PAGE.format(t="x", p=SAME), u[1]: PAGE.format(t="x", p=SAME),
+             u[2]: PAGE.format(t="x", p="Another text that will change with the next crawl of it."), u[3]: ""}
+    c, p = crawl(spark, store, first, 1)
+    assert (c["processed"], c["failed"]) == (4, 0)
+    # an empty page fails; two equal chunks count as two and are one vector
+    assert p == {"dataset": "a:b", "processed": 3, "skipped": 0, "failed": 1, "total": 4, "total_chunks": 3}
+    assert store.current_vectors().count() == 2
+    # other HTML with the same text is fetched but not processed; a changed text is
+    second = {**first, u[0]: PAGE.format(t="x", p=SAME).replace("<p>", "<p class='new'>"),
+              u[2]: PAGE.format(t="x", p="A different text, as promised, at the same address.")}
+    c, p = crawl(spark, store, second, 2)
+    assert (c["processed"], c["skipped"]) == (2, 2)
+    assert (p["processed"], p["skipped"], p["failed"], p["total_chunks"]) == (1, 1, 0, 1)
+    state = {r["url"]: r for r in store.current_state().collect()}
+    assert len(state) == 4 and {state[x]["status"] for x in u[:3]} == {"processed"}
+    assert state[u[0]]["text_hash"] == state[u[1]]["text_hash"] and state[u[0]]["raw_hash"] != state[u[1]]["raw_hash"]
+    # the dataset's name needs escaping in paths; its versions still count up
+    assert set(store.state.latest_versions().values()) == {4}
+    # once more the same: nothing fetched anew, the newest run has no page left to process
+    assert crawl_counts_only(store, spark, second)["skipped"] == 3
+
+
+def crawl_counts_only(store, spark, pages):
+    """Processing every raw key again skips all pages that have text."""
+    keys = store.raw().select("dataset", "raw_key").distinct()
+    return J.process(store, keys, "2024-01-03 01:00:00").collect()[0].asDict()
+
+
+def test_hooks_and_citations(spark):
+    store = J.Store(spark, tempfile.mkdtemp(prefix="wc-jobs-"))
+    crawl(spark, store, {"https://h.org/1": PAGE.format(t="One", p=SAME)}, 1)
+    golden = spark.createDataFrame([(1, "a:b", "q", ["https://h.org/1"], None)],
+                                   "qid long, dataset string, query string, expected_citations array<string>, min_score double")
+
+    def search(g, vectors):
+        return g.join(vectors, "dataset").select("qid", F.lit(1).alias("rank"), F.lit(0.9).alias("score"), "url")
+
+    checks, report = J.evaluate(store, golden, search=search)
+    assert checks.first()["top_score"] == 0.9 and report.first()["passed"]
+    J.promote_job(store, report).collect()
+    ans = J.answer(store, golden.select("qid", "dataset", "query"), fact_extractor=lambda t: F.array(F.upper(F.substring(t, 1, 3)))).first()
+    assert [c["fact"] for c in ans["fact_cards"]] == ["ONE"]
+    good, issues = J.validate_citations(store)
+    assert good.first()["passed"] and issues.count() == 0

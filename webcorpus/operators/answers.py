@@ -28,17 +28,21 @@ ANSWER = T.StructType([
     T.StructField("handoff_url", T.StringType()), T.StructField("qr_url", T.StringType())])
 
 
-def hit_cards(hits: DataFrame) -> DataFrame:
-    """C10 + C11 per hit: ``qid, rank, cards`` (the hit's first three facts)."""
+def hit_cards(hits: DataFrame, fact_extractor=None) -> DataFrame:
+    """C10 + C11 per hit: ``qid, rank, cards`` (the hit's first three facts).
+    ``fact_extractor`` maps the text column to an array of strings (default:
+    the fact sentences)."""
+    found = facts(F.col("text"), FACTS_PER_HIT) if fact_extractor is None else F.slice(
+        F.coalesce(fact_extractor(F.col("text")), F.array().cast("array<string>")), 1, FACTS_PER_HIT)
     return hits.select("qid", "rank", F.transform(
-        facts(F.col("text"), FACTS_PER_HIT), lambda f: fact_card(f, F.col("url"), F.col("title")))
+        found, lambda f: fact_card(f, F.col("url"), F.col("title")))
         .alias("cards"), "url", "title")
 
 
-def answers(questions: DataFrame, hits: DataFrame) -> DataFrame:
+def answers(questions: DataFrame, hits: DataFrame, fact_extractor=None) -> DataFrame:
     """``qid, dataset, query, query_hash, summary, fact_cards, citations,
     handoff_url, qr_url`` for every question (no hits → empty answer)."""
-    per = hit_cards(hits).groupBy("qid").agg(
+    per = hit_cards(hits, fact_extractor).groupBy("qid").agg(
         F.array_sort(F.collect_list(F.struct("rank", "cards", "url", "title"))).alias("_h"))
     all_cards = F.flatten(F.transform("_h", lambda h: h["cards"]))
     urls = F.array_distinct(F.filter(F.transform("_h", lambda h: F.coalesce(h["url"], F.lit(""))),

@@ -66,6 +66,30 @@ def process_delta(clean: DataFrame, state: DataFrame) -> DataFrame:
     return with_state_key(clean).join(s, ["key", "text_hash"], "left_anti")
 
 
+def keep_text_hash(rows: DataFrame, state: DataFrame) -> DataFrame:
+    """Fetched pages with the text hash that processing last left in their state
+    row (null when none): a crawl replaces the state row, and without the hash
+    a page whose HTML changed but not its text would be processed again."""
+    old = state.select("key", "text_hash")
+    return with_state_key(rows.drop("text_hash")).join(old, "key", "left").drop("key")
+
+
+def page_outcomes(keys: DataFrame, pages: DataFrame, state: DataFrame) -> DataFrame:
+    """W2 outcome per requested ``(dataset, raw_key)``, with the page's columns:
+    ``failed`` (no page, no HTML in it, or no state row), ``skipped`` (the
+    state's text hash, which only processing writes, equals the page's) or
+    ``processed``.  ``pages``: ``raw_key, html, text_hash, …`` of clean pages, with ``html``
+    reduced to whether there is any (``has_html``)."""
+    known = state_by_raw_key(keys.select("dataset", "raw_key").distinct(), state).select(
+        "dataset", "raw_key", F.col("url").alias("_url"), F.col("raw_hash").alias("_raw_hash"),
+        F.col("text_hash").alias("_known"))
+    rows = known.join(pages.drop("url"), ["dataset", "raw_key"], "left").withColumnRenamed("_url", "url")
+    outcome = (F.when(~F.coalesce("has_html", F.lit(False)) | F.col("url").isNull(), F.lit("failed"))
+               .when(F.col("_known") == F.col("text_hash"), F.lit("skipped"))
+               .otherwise(F.lit("processed")))
+    return rows.withColumn("outcome", outcome).drop("_raw_hash", "_known")
+
+
 def state_by_raw_key(keys: DataFrame, state: DataFrame) -> DataFrame:
     """A10: the state row of each ``(dataset, raw_key)``, null when none.  When
     several rows share a raw key the smallest state key wins (deterministic)."""

@@ -7,6 +7,7 @@ one store folder of tables:
                        partition versioned (only touched partitions rewritten)
     {store}/golden     golden queries as JSON lines, partitioned by dataset
     {store}/answers    precomputed answers, partitioned by dataset, each partition versioned
+    {store}/work       pages and chunks of a processing run, a folder for each run
 
 Each job is a Spark plan end to end; the driver only sequences jobs and
 picks snapshot versions.  Writes go to new versions (or new run partitions),
@@ -15,6 +16,9 @@ so a job that dies half-way is re-run from its inputs.
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,13 +26,16 @@ from webcorpus.operators import answers as AN
 from webcorpus.operators import evaluate as EV
 from webcorpus.operators import search as Q
 from webcorpus.operators import state as S
+from webcorpus.operators.chunking import chunk_documents
+from webcorpus.operators.cleaning import clean_pages
 from webcorpus.operators.embed import hashed_embedder
 from webcorpus.operators.promote import promote
+from webcorpus.operators.vectors import chunk_vectors, upsert_vectors
 from webcorpus.sources import raw_store as R
 from webcorpus.sources.robots import robots_allowed
 from webcorpus.sources.seeds import crawl_frontier
 from webcorpus.sources.snapshots import VersionedPartitions
-from webcorpus.streaming.pages_stream import STATE_SCHEMA, VECTOR_SCHEMA, process_pages
+from webcorpus.streaming.pages_stream import STATE_SCHEMA, VECTOR_SCHEMA
 
 
 class Store:
@@ -53,8 +60,15 @@ class Store:
     def raw(self) -> DataFrame | None:
         try:
             return self.spark.read.parquet(f"{self.root}/raw")
-        except Exception:       # no run written yet
-            return None
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):    # no run written yet
+                return None
+            raise
+
+    def written(self, df: DataFrame, path: str) -> DataFrame:
+        """``df`` written to ``path`` and read back: computed once for all its readers."""
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
 
 def harvest(store: Store, seeds: DataFrame, sitemaps: DataFrame, base_urls: DataFrame,
@@ -63,7 +77,10 @@ def harvest(store: Store, seeds: DataFrame, sitemaps: DataFrame, base_urls: Data
     hash against state) → raw pages of this run + state rows → counts."""
     frontier = crawl_frontier(seeds, sitemaps, base_urls)
     got = fetched.join(frontier, ["dataset", "url"], "left_semi")
-    got = robots_allowed(got, rules, agent)
+    # the robots file read is that of the dataset's base URL, also for URLs of other hosts
+    bases = base_urls.groupBy("dataset").agg(F.min("base_url").alias("_base"))
+    got = got.join(bases, "dataset", "left").withColumn("_base", F.coalesce("_base", "url"))
+    got = robots_allowed(got, rules, agent, base_col="_base").drop("_base")
     ok = F.col("allowed") & F.lower(F.coalesce("content_type", F.lit(""))).contains("text/html")
     got = got.withColumn("raw_hash", F.sha2("html", 256)).withColumn("ok", ok)
     state = store.current_state(frontier.select("dataset").distinct())
@@ -75,8 +92,7 @@ def harvest(store: Store, seeds: DataFrame, sitemaps: DataFrame, base_urls: Data
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("run", "dataset").parquet(f"{store.root}/raw"))
     stamp = F.to_timestamp(F.lit(as_of))
-    new_rows = S.new_state_rows(changed.withColumn("text_hash", F.lit(None).cast("string")),
-                                "scraped", stamp)
+    new_rows = S.new_state_rows(S.keep_text_hash(changed, state), "scraped", stamp)
     # the state partitions of the datasets in this crawl, as their next version
     store.state.write(S.upsert_state(state, new_rows))
     return S.outcome_counts(outcomes)
@@ -92,42 +108,40 @@ def latest_raw(raw: DataFrame, keys: DataFrame) -> DataFrame:
 def process(store: Store, keys: DataFrame | None, as_of: str, embed=None) -> DataFrame:
     """Raw keys (default: every key of the newest run) → pages → clean →
     skip unchanged text → chunks → vectors (staging) → state; returns counts
-    ``processed, skipped, failed, total, total_chunks`` per dataset."""
+    ``processed, skipped, failed, total, total_chunks`` per dataset.
+
+    Cleaned pages and embedded chunks are written once under ``work``; the
+    vector table, the state and the counts are all read from there.
+    ``total_chunks`` counts chunks before equal ones of two pages become one
+    vector.  A page whose text is unchanged keeps its vectors and only has its
+    state row marked as processed again."""
     raw = store.raw()
+    if raw is None:
+        empty = store.spark.createDataFrame([], "dataset string, outcome string")
+        return S.outcome_counts(empty, {"total_chunks": F.lit(0).cast("bigint")})
     if keys is None:
         last = raw.agg(F.max("run")).first()[0]
         keys = raw.where(F.col("run") == last).select("dataset", "raw_key")
+    work = f"{store.root}/work/{uuid.uuid4().hex}"
     state = store.current_state(keys.select("dataset").distinct())
-    vectors = store.current_vectors()
-    pages = latest_raw(raw, keys).select("dataset", "url", "raw_key", "html")
-    known = S.state_by_raw_key(keys.select("dataset", "raw_key").distinct(), state)
-    ready = pages.join(known.select("dataset", "raw_key", F.col("url").alias("_surl")),
-                       ["dataset", "raw_key"]).drop("_surl")
-    ready = ready.withColumn("page_id", F.xxhash64("dataset", "url"))
-    # only the staging partitions of the datasets in this run are read and rewritten
-    touched = ready.select("dataset").distinct()
-    mine = (vectors.where(F.col("namespace") == "staging").join(touched, "dataset", "left_semi"))
-    next_vectors, next_state = process_pages(ready.select("page_id", "dataset", "url", "html"),
-                                             state, mine.select(*VECTOR_SCHEMA.fieldNames()), as_of,
-                                             embed)
-    store.vectors.write(next_vectors)                                  # vectors first
-    store.state.write(next_state)
-    after = store.current_state()
-    done = (known.join(pages.select("dataset", "raw_key"), ["dataset", "raw_key"], "left_semi")
-            .select("dataset", "raw_key", "url"))
+    pages = latest_raw(raw, keys).select(
+        "dataset", "url", "raw_key", "raw_hash", "html",
+        (F.length(F.coalesce("html", F.lit(""))) > 0).alias("has_html"))
+    done = store.written(S.page_outcomes(keys, clean_pages(pages), state), f"{work}/pages")
     stamp = F.to_timestamp(F.lit(as_of))
-    fresh = after.where((F.col("updated_at") == stamp) & (F.col("status") == "processed"))
-    chunks = store.current_vectors().where((F.col("namespace") == "staging") &
-                                           (F.col("updated_at") == stamp))
-    n_chunks = chunks.groupBy("dataset", "url").agg(F.count(F.lit(1)).alias("n_chunks"))
-    outcome = (keys.select("dataset", "raw_key").distinct()
-               .join(done, ["dataset", "raw_key"], "left")
-               .join(fresh.select("dataset", "url", F.lit(True).alias("_new")), ["dataset", "url"], "left")
-               .join(n_chunks, ["dataset", "url"], "left"))
-    o = (F.when(F.col("url").isNull(), F.lit("failed"))
-         .when(F.col("_new"), F.lit("processed")).otherwise(F.lit("skipped")))
-    return S.outcome_counts(outcome.withColumn("outcome", o), {"total_chunks": F.coalesce(
-        F.sum(F.when(F.col("_new"), F.col("n_chunks"))), F.lit(0)).cast("bigint")})
+    todo = done.where(F.col("outcome") == "processed")
+    # keyed by the URL itself: a hash of it would let two pages' lines meet
+    chunks = chunk_documents(todo, ["dataset", "url"], carry=["title"])
+    staged = store.written(chunk_vectors(chunks, "staging", stamp, embed), f"{work}/chunks")
+    # only the staging partitions of the datasets with new chunks are read and rewritten
+    mine = (store.current_vectors().where(F.col("namespace") == "staging")
+            .join(staged.select("dataset").distinct(), "dataset", "left_semi"))
+    store.vectors.write(upsert_vectors(mine, staged))                  # vectors first
+    fresh = done.where(F.col("outcome") != "failed")
+    store.state.write(S.upsert_state(state, S.new_state_rows(fresh, "processed", stamp)))
+    n_chunks = staged.groupBy("dataset").agg(F.count(F.lit(1)).alias("total_chunks"))
+    return (S.outcome_counts(done).join(n_chunks, "dataset", "left")
+            .withColumn("total_chunks", F.coalesce("total_chunks", F.lit(0).cast("bigint"))))
 
 
 def with_query_embedding(df: DataFrame, embed=None) -> DataFrame:
@@ -139,17 +153,31 @@ def with_query_embedding(df: DataFrame, embed=None) -> DataFrame:
 
 
 def evaluate(store: Store, golden: DataFrame, namespace: str = "staging", k: int = 5,
-             embed=None) -> tuple[DataFrame, DataFrame]:
+             embed=None, search=None) -> tuple[DataFrame, DataFrame]:
     """Golden queries (``qid, dataset, query, expected_citations,
-    min_score``) → top-k in ``namespace`` → checks and per-dataset report."""
+    min_score``) → top-k in ``namespace`` → checks and per-dataset report.
+
+    ``search(golden, vectors)`` replaces the retrieval: it gets the golden
+    queries and the namespace's vectors and returns ``qid, rank, score, url``."""
     vectors = store.current_vectors()
-    g = with_query_embedding(golden, embed)
-    hits = Q.topk_search(g.select("qid", "dataset", F.lit(namespace).alias("namespace"),
-                                  F.lit(k).alias("top_k"), "embedding"), vectors, k=k, payload=("url",))
-    checks = EV.golden_checks(g.drop("embedding"), hits)
+    here = vectors.where(F.col("namespace") == namespace)       # prunes the partitions scanned
+    if search is not None:
+        hits = search(golden, here)
+    else:
+        g = with_query_embedding(golden, embed)
+        hits = Q.topk_search(g.select("qid", "dataset", F.lit(namespace).alias("namespace"),
+                                      F.lit(k).alias("top_k"), "embedding"), here, k=k, payload=("url",))
+    checks = EV.golden_checks(golden.drop("embedding"), hits)
     return checks, EV.eval_report(checks, vectors.select("dataset"))
 
 
+def validate_citations(store: Store, namespace: str = "staging") -> tuple[DataFrame, DataFrame]:
+    """W3, second action: whether every chunk of a dataset has its URL, and a
+    row with the issue for each chunk that has none."""
+    chunks = store.current_vectors().where(F.col("namespace") == namespace).select("dataset", "id", "url")
+    return EV.citation_report(chunks), EV.uncited_chunks(chunks)
+
+
 def promote_job(store: Store, report: DataFrame) -> DataFrame:
     """Copy the passed datasets' staging vectors into production; only
     the production partitions of those datasets are rewritten."""
@@ -168,9 +196,11 @@ def retrieve(store: Store, questions: DataFrame, k: int = 5, embed=None) -> Data
     q = with_query_embedding(questions, embed)
     if "top_k" not in q.columns:
         q = q.withColumn("top_k", F.lit(k))
+    vectors = store.current_vectors()
     if "namespace" not in q.columns:
         q = q.withColumn("namespace", F.lit("production"))
-    hits = Q.with_citation(Q.topk_search(q, store.current_vectors(), k=k, payload=("url", "title", "text")))
+        vectors = vectors.where(F.col("namespace") == "production")     # prunes the partitions scanned
+    hits = Q.with_citation(Q.topk_search(q, vectors, k=k, payload=("url", "title", "text")))
     per_q = hits.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct(
         "rank", "id", "score", "text", "url", "title", "citation"))).alias("results"))
     out = q.select("qid", "dataset", "query").join(per_q, "qid", "left")
@@ -178,13 +208,14 @@ def retrieve(store: Store, questions: DataFrame, k: int = 5, embed=None) -> Data
     return out.withColumn("count", F.size("results").cast("bigint"))
 
 
-def answer(store: Store, questions: DataFrame, use_precomputed: bool = True, embed=None) -> DataFrame:
+def answer(store: Store, questions: DataFrame, use_precomputed: bool = True, embed=None,
+           fact_extractor=None) -> DataFrame:
     """Stored answers where present (when ``use_precomputed``), generated
-    ones for the rest."""
+    ones for the rest; ``fact_extractor`` as in ``answers``."""
     def generate(missing: DataFrame) -> DataFrame:
         res = retrieve(store, missing, embed=embed)
         hits = res.select("qid", F.explode("results").alias("h")).select("qid", "h.*")
-        return AN.answers(missing, hits)
+        return AN.answers(missing, hits, fact_extractor)
 
     store_df = store.answers.read() if use_precomputed else None
     if store_df is None:
@@ -192,9 +223,9 @@ def answer(store: Store, questions: DataFrame, use_precomputed: bool = True, emb
     return AN.cached_or_generated(questions, store_df, generate)
 
 
-def precompute_answers(store: Store, questions: DataFrame, embed=None) -> None:
+def precompute_answers(store: Store, questions: DataFrame, embed=None, fact_extractor=None) -> None:
     """the missing caller of the answer store — generate and store."""
-    ans = answer(store, questions, use_precomputed=False, embed=embed)
+    ans = answer(store, questions, use_precomputed=False, embed=embed, fact_extractor=fact_extractor)
     new = AN.answer_records(ans).groupBy("dataset", "query_hash").agg(F.min("json").alias("json"))
     old = store.answers.read()
     if old is not None:     # upsert by (dataset, query_hash): the other answers of the touched datasets stay

@@ -162,15 +162,6 @@ def previous_crawl_state(spark: SparkSession, base: str) -> DataFrame:
     return _state_rows(pages, raw_hash, F.lit(None).cast("string"), F.lit("scraped"))
 
 
-def previous_process_state(spark: SparkSession, base: str, text_hash: Column) -> DataFrame:
-    """State left by an earlier processing run (``text_hash`` is the hash of
-    the cleaned page): page_id % 3 = 0 same hash and processed, 1 same hash but
-    only scraped, 2 no row."""
-    pages = web_pages(spark, base).where(F.col("page_id") % 3 != 2)
-    status = F.when(F.col("page_id") % 3 == 0, F.lit("processed")).otherwise(F.lit("scraped"))
-    return _state_rows(pages, F.sha2("html", 256), text_hash, status)
-
-
 def _state_rows(pages: DataFrame, raw_hash: Column, text_hash: Column, status: Column) -> DataFrame:
     from webcorpus.functions.keys import raw_key, state_key
     return pages.select(

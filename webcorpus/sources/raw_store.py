@@ -21,15 +21,6 @@ def with_raw_keys(pages: DataFrame) -> DataFrame:
             .withColumn("raw_hash", F.sha2("html", 256)))
 
 
-def write_raw(pages: DataFrame, path: str) -> None:
-    """A6 sink: later puts of a key overwrite earlier ones — here, one
-    dynamic-partition overwrite per dataset of the latest row per key."""
-    (pages.select("dataset", "url", "raw_key", "raw_hash", "html")
-     .dropDuplicates(["raw_key"])
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("dataset").parquet(path))
-
-
 def lookup_raw(keys: DataFrame, store: DataFrame) -> DataFrame:
     """The HTML of each key, null when the key is missing."""
     return keys.join(store.select("raw_key", "html"), "raw_key", "left")

@@ -27,7 +27,7 @@ def sitemap_urls(sitemaps: DataFrame) -> DataFrame:
             .distinct())
 
 
-def expand_sitemaps(seeds: DataFrame, sitemaps: DataFrame, max_depth: int | None = None) -> DataFrame:
+def expand_sitemaps(seeds: DataFrame, sitemaps: DataFrame) -> DataFrame:
     """``dataset, url``: follow ``sitemapindex`` entries from each seed's
     sitemap and union the page URLs of every ``urlset`` reached.
 
@@ -35,23 +35,20 @@ def expand_sitemaps(seeds: DataFrame, sitemaps: DataFrame, max_depth: int | None
     not-yet-seen ``(dataset, sitemap_url)`` pairs is joined to the sitemap
     table; children already seen are dropped by an anti join (the cycle
     guard: every sitemap is visited once per dataset, so the walk ends), and
-    the walk stops when the frontier is empty — or at ``max_depth`` levels if
-    the caller asks for a limit.  Each level's visited set is checkpointed to
+    the walk stops when the frontier is empty.  Each level's visited set is checkpointed to
     the shared checkpoint folder so lineage stays flat.
     """
     docs = sitemaps.select("sitemap_url", "xml")
     frontier = seeds.select("dataset", "sitemap_url").distinct()
     seen = frontier
-    depth = 0
     while True:
-        depth += 1
         reached = frontier.join(docs, "sitemap_url")
         children = (reached.select("dataset", F.explode(F.xpath("xml", F.lit(CHILD_LOCS)))
                                    .alias("sitemap_url"))
                     .select("dataset", F.trim("sitemap_url").alias("sitemap_url"))
                     .distinct())
         frontier = cut_lineage(children.join(seen, ["dataset", "sitemap_url"], "left_anti"))
-        if (max_depth is not None and depth >= max_depth) or frontier.isEmpty():
+        if frontier.isEmpty():
             break
         seen = cut_lineage(seen.unionByName(frontier))
     visited = seen.unionByName(frontier).distinct()

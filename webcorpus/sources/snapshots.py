@@ -1,50 +1,16 @@
-"""Versioned snapshot tables for the upsert sinks (url state, vectors).
+"""Versioned tables for the upsert sinks (url state, vectors, answers).
 
 Spark cannot overwrite a path it is reading, so every upsert writes the next
-version to its own folder ``{path}/v=NNNNNNNN`` and readers take the highest
-complete version (one with ``_SUCCESS``).  Writing version ``n`` again
-replaces it, which makes a replayed job (or stream epoch) idempotent.
+version of the partitions it touches and readers take the highest one.
 Listing goes through the Hadoop FileSystem of the path, so the same code
 works on local disk and on a cluster's shared storage.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-class SnapshotTable:
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
+from urllib.parse import unquote
 
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
-    def versions(self) -> list[int]:
-        fs, root, jvm = self._fs()
-        if not fs.exists(root):
-            return []
-        out = []
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("v="):
-                if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                    out.append(int(name[2:]))
-        return sorted(out)
-
-    def version_path(self, version: int) -> str:
-        return f"{self.path}/v={version:08d}"
-
-    def read(self, at_most: int | None = None) -> DataFrame | None:
-        """The latest complete version (≤ ``at_most`` when given), or None."""
-        vs = [v for v in self.versions() if at_most is None or v <= at_most]
-        return self.spark.read.parquet(self.version_path(vs[-1])) if vs else None
-
-    def write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(self.version_path(version))
+from pyspark.sql import DataFrame, SparkSession
 
 
 class VersionedPartitions:
@@ -55,7 +21,7 @@ class VersionedPartitions:
     lands as version ``latest + 1`` of each of them (one job, dynamic
     partition overwrite, so a replayed write rewrites the same versions);
     untouched partitions are not rewritten.  A read takes the latest version
-    of every partition.  Partition values must be path-safe strings.
+    of every partition.  Partition values are strings.
     """
 
     def __init__(self, spark: SparkSession, root: str, parts: tuple[str, ...] = ("namespace", "dataset")):
@@ -112,7 +78,8 @@ class VersionedPartitions:
             out = df.withColumn("v", F.lit(int(version)))
         else:
             latest = self.latest_versions()
-            rows = [(*k, v) for k, v in latest.items()]
+            # folder names are escaped (%XX), column values are not
+            rows = [(*map(unquote, k), v) for k, v in latest.items()]
             schema = ", ".join(f"{c} string" for c in self.parts) + ", _cur int"
             current = self.spark.createDataFrame(rows, schema)      # one row per partition
             out = (df.join(F.broadcast(current), list(self.parts), "left")

@@ -50,7 +50,7 @@ def process_pages(pages: DataFrame, state: DataFrame, vectors: DataFrame,
     stamp = F.to_timestamp(F.lit(as_of))
     clean = clean_pages(pages.withColumn("raw_hash", F.sha2("html", 256)))
     todo = process_delta(clean, state)
-    chunks = chunk_documents(todo, ["page_id"], carry=["dataset", "url", "title"])
+    chunks = chunk_documents(todo, ["dataset", "url", "page_id"], carry=["title"])
     staged = chunk_vectors(chunks, "staging", stamp, embed)
     next_vectors = upsert_vectors(vectors, staged)
     next_state = upsert_state(state, new_state_rows(todo, "processed", stamp))
