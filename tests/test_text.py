@@ -28,6 +28,30 @@ def test_metadata(spark):
     assert one(spark, T.html_description("html")) == "About it"
 
 
+ENTITY_CASES = [    # worked out by hand: text, decoded
+    ("a &amp; b", "a & b"), ("&amp;lt;", "&lt;"), ("it&#8217;s", "it’s"), ("x &mdash; y", "x — y"), ("&#x1F600;!", "😀!"),
+    ("&#X41;&#65;", "AA"), ("&bogus; & &", "&bogus; & &"), ("&#0; &#55296; &#1114112;", "&#0; &#55296; &#1114112;"),
+    ("&eacute;&Eacute;", "éÉ"), ("a&nbsp;b&#160;c", "a b c"), ("&lt", "&lt"), ("", ""), ("&&copy;", "&©"), ("&apos;", "'")]
+
+
+def test_entities(spark):
+    df = spark.createDataFrame([(t,) for t, _ in ENTITY_CASES], "t string")
+    got = [r["v"] for r in df.select(T.decode_entities("t").alias("v")).collect()]
+    assert got == [want for _, want in ENTITY_CASES]
+    import duckdb
+    for t, want in ENTITY_CASES:
+        assert duckdb.execute(f"SELECT {T.decode_entities_sql('t')} FROM (SELECT ? AS t)", [t]).fetchone()[0] == want
+
+
+def test_quotes_and_entities_in_pages(spark):
+    page = ("<title>A &amp; B &#8211; C</title><meta name='description' content='it&#39;s \"so\"'>"
+            "<p><a href='/k'>k</a> <a class=x href=/u>u</a> <a href=\"/d?a=1&amp;b=2\">d</a></p>")
+    row = spark.createDataFrame([(page,)], "h string").select(
+        T.html_title("h").alias("t"), T.html_description("h").alias("d"), T.clean_html("h").alias("c")).first()
+    assert (row["t"], row["d"]) == ("A & B – C", "it's \"so\"")
+    assert "[k](/k) [u](/u) [d](/d?a=1&b=2)" in row["c"]
+
+
 def test_description_missing_is_empty(spark):
     df = spark.createDataFrame([("<html><title>x</title></html>",)], "html string")
     assert df.select(T.html_description("html").alias("d")).first()["d"] == ""

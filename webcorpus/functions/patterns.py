@@ -9,6 +9,8 @@ for groups and are rendered as ``$1`` (Spark) or ``\\1`` (DuckDB).
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 # The characters Python's str.strip() / str.isspace() treat as
 # whitespace, in code-point order.
 WS = (r"[\t\n\x0B\f\r\x1C-\x1F \x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}"
@@ -29,8 +31,15 @@ LINE_TIDY = HS + r"*\n" + WS + r"*"
 # letters, runs of up to three digits, runs of other non-space symbols.
 TOKEN = r"\p{L}+|\p{N}{1,3}|[^\p{L}\p{N}" + WS[1:-1] + r"]+"
 
-# Marks a step of the chain as a plain (non-regex) text replacement.
-LITERAL = "literal"
+# Marks the step of the chain that decodes entities.
+ENTITIES = "entities"
+
+# What follows "&" in an entity: a decimal, a hexadecimal or a named one.
+ENTITY = r"\A(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,15});"
+# The named entities of HTML 4; a no-break space becomes a space, as does &#160;.
+NAMED_ENTITIES = {name: chr(point) for name, point in name2codepoint.items()}
+NAMED_ENTITIES |= {"apos": "'", "nbsp": " "}
+NO_BREAK_SPACE = "160"
 
 # HTML → text rewrite chain, applied in this order.
 _HEADINGS = [(r"(?i)<h%d\b[^>]*>" % n, "\n" + "#" * n + " ") for n in range(1, 7)]
@@ -46,19 +55,13 @@ CLEAN_STEPS: list[tuple[str, ...]] = [
     (r"(?i)<li\b[^>]*>", "\n* "),
     (r"(?i)</t[dh]\s*>\s*<t[dh]\b[^>]*>", " | "),
     (r"(?i)<tr\b[^>]*>", "\n"),
-    (r'(?is)<a\b[^>]*href="([^"]*)"[^>]*>(.*?)</a\s*>', "[{2}]({1})"),
+    (r'(?is)<a\b[^>]*\bhref\s*=\s*"([^"]*)"[^>]*>(.*?)</a\s*>', "[{2}]({1})"),
+    (r"(?is)<a\b[^>]*\bhref\s*=\s*'([^']*)'[^>]*>(.*?)</a\s*>", "[{2}]({1})"),
+    (r"(?is)<a\b[^>]*\bhref\s*=\s*([^\s\"'>]+)[^>]*>(.*?)</a\s*>", "[{2}]({1})"),
     (r"(?i)</?(p|div|br|article|section|nav|footer|header|ul|ol|table|blockquote|hr|li)\b[^>]*>",
      "\n"),
     (r"<[^>]*>", ""),
-    # Named entities decoded (plain text replacement), &amp; last.
-    (LITERAL, "&nbsp;", " "),
-    (LITERAL, "&copy;", "©"),
-    (LITERAL, "&middot;", "·"),
-    (LITERAL, "&lt;", "<"),
-    (LITERAL, "&gt;", ">"),
-    (LITERAL, "&quot;", '"'),
-    (LITERAL, "&#39;", "'"),
-    (LITERAL, "&amp;", "&"),
+    (ENTITIES,),
     (LINE_TIDY, "\n"),
     (STRIP, ""),
 ]
@@ -66,7 +69,7 @@ CLEAN_STEPS: list[tuple[str, ...]] = [
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 META_TAG = r"(?is)<meta\b[^>]*>"
 META_IS_DESCRIPTION = r"(?is)\bname\s*=\s*[\"']?description[\"'\s/>]"
-META_CONTENT = r"(?is)\bcontent\s*=\s*\"([^\"]*)\""
+META_CONTENT = r"(?is)\bcontent\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
 
 # Line kinds of the structure splitter.
 UNDERLINE_EQ = r"\A={3,}\z"
@@ -84,7 +87,6 @@ SENTENCE_END = r"[.!?]\z"
 AUTHORITY = r"\A[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
 # Path, query and fragment after the authority (robots matching).
 PATH_REST = r"\A[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(.*)\z"
-SITEMAP_LOC = r"<loc>([^<]*)</loc>"
 
 
 def spark_replacement(template: str) -> str:

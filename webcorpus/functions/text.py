@@ -40,19 +40,56 @@ def has_text_sql(expr: str) -> str:
     return f"regexp_matches({expr}, {sql_str(P.NON_WS)})"
 
 
+# ---------------------------------------------------------------- entities
+def decode_entities(col) -> Column:
+    """Decimal, hexadecimal and named entities → characters, in one pass (so
+    ``&amp;lt;`` gives ``&lt;``).  What is no entity, or names no character, stays.
+
+    The text is cut at ``&``; the entity at the start of each piece is read
+    from its code point's four bytes, or from the table of names."""
+    names = F.create_map(*[F.lit(x) for pair in P.NAMED_ENTITIES.items() for x in pair])
+
+    def piece(p: Column, i: Column) -> Column:
+        body = F.regexp_extract(p, P.ENTITY, 1)
+        low = F.lower(body)
+        point = (F.when(low.startswith("#x"), F.conv(F.substring(low, 3, 6), 16, 10))
+                 .when(low.startswith("#"), F.substring(low, 2, 7))).cast("int")
+        good = point.between(1, 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
+        char = (F.when(point == int(P.NO_BREAK_SPACE), F.lit(" "))
+                .when(good, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")))
+        char = F.coalesce(char, F.when(body.rlike("^[A-Za-z]"), F.try_element_at(names, body)))
+        rest = F.substr(p, F.length(body) + 2)
+        return (F.when(i == 0, p).when((body != "") & char.isNotNull(), F.concat(char, rest))
+                .otherwise(F.concat(F.lit("&"), p)))
+
+    return F.array_join(F.transform(F.split(_c(col), "&", -1), piece), "")
+
+
+def decode_entities_sql(expr: str) -> str:
+    names = "MAP {" + ", ".join(f"{sql_str(k)}: {sql_str(v)}" for k, v in P.NAMED_ENTITIES.items()) + "}"
+    body = f"regexp_extract(p, {sql_str(P.ENTITY)}, 1)"
+    point = (f"CASE WHEN lower({body}) LIKE '#x%' THEN CAST('0x' || substr({body}, 3) AS INTEGER) "
+             f"WHEN {body} LIKE '#%' THEN CAST(substr({body}, 2) AS INTEGER) END")
+    char = (f"CASE WHEN ({point}) = {P.NO_BREAK_SPACE} THEN ' ' WHEN ({point}) BETWEEN 1 AND 1114111 AND ({point}) NOT BETWEEN 55296 AND 57343 "
+            f"THEN chr({point}) WHEN {body} <> '' AND {body} NOT LIKE '#%' THEN map_extract({names}, {body})[1] END")
+    piece = (f"CASE WHEN i = 1 THEN p WHEN {body} = '' THEN '&' || p "
+             f"ELSE coalesce(({char}) || substr(p, length({body}) + 2), '&' || p) END")
+    return f"array_to_string(list_transform(string_split({expr}, '&'), lambda p, i: {piece}), '')"
+
+
 # ---------------------------------------------------------------- C1 clean_html
 def clean_html(col) -> Column:
     """HTML → markdown-like text: one ordered chain of regex rewrites.
 
     Drops comments, head, script, style, meta/link/img; headings become
     ``#`` lines, list items ``* `` lines, table cells `` | ``-joined rows,
-    links ``[text](href)``; block tags break lines; other tags vanish; a fixed
-    entity list is decoded; lines are stripped and blank lines dropped.
+    links ``[text](href)``; block tags break lines; other tags vanish;
+    entities are decoded; lines are stripped and blank lines dropped.
     """
     out = _c(col)
     for step in P.CLEAN_STEPS:
-        if step[0] == P.LITERAL:
-            out = F.replace(out, F.lit(step[1]), F.lit(step[2]))
+        if step[0] == P.ENTITIES:
+            out = decode_entities(out)
         else:
             out = F.regexp_replace(out, step[0], P.spark_replacement(step[1]))
     return out
@@ -61,8 +98,8 @@ def clean_html(col) -> Column:
 def clean_html_sql(expr: str) -> str:
     out = expr
     for step in P.CLEAN_STEPS:
-        if step[0] == P.LITERAL:
-            out = f"replace({out}, {sql_str(step[1])}, {sql_str(step[2])})"
+        if step[0] == P.ENTITIES:
+            out = decode_entities_sql(out)
         else:
             out = (f"regexp_replace({out}, {sql_str(step[0])}, "
                    f"{sql_str(P.duck_replacement(step[1]))}, 'g')")
@@ -71,26 +108,30 @@ def clean_html_sql(expr: str) -> str:
 
 # ---------------------------------------------------------------- C2 metadata
 def html_title(col) -> Column:
-    return strip(F.regexp_extract(_c(col), P.TITLE, 1))
+    """Text of the first ``<title>``, entities decoded, or ``""``."""
+    return strip(decode_entities(F.regexp_extract(_c(col), P.TITLE, 1)))
 
 
 def html_title_sql(expr: str) -> str:
-    return strip_sql(f"regexp_extract({expr}, {sql_str(P.TITLE)}, 1)")
+    return strip_sql(decode_entities_sql(f"regexp_extract({expr}, {sql_str(P.TITLE)}, 1)"))
 
 
 def html_description(col) -> Column:
-    """Content of the first ``<meta name="description">`` tag, or ``""``."""
+    """Content of the first ``<meta name="description">`` tag (either kind of
+    quotes, entities decoded), or ``""``."""
     metas = F.regexp_extract_all(_c(col), F.lit(P.META_TAG), 0)
     desc = F.filter(metas, lambda m: m.rlike(P.META_IS_DESCRIPTION))
     first = F.try_element_at(desc, F.lit(1))
-    return F.coalesce(strip(F.regexp_extract(first, P.META_CONTENT, 1)), F.lit(""))
+    content = F.concat(F.regexp_extract(first, P.META_CONTENT, 1), F.regexp_extract(first, P.META_CONTENT, 2))
+    return F.coalesce(strip(decode_entities(content)), F.lit(""))
 
 
 def html_description_sql(expr: str) -> str:
     metas = f"regexp_extract_all({expr}, {sql_str(P.META_TAG)})"
     first = (f"list_filter({metas}, lambda m: "
              f"regexp_matches(m, {sql_str(P.META_IS_DESCRIPTION)}))[1]")
-    return (f"coalesce({strip_sql(f'regexp_extract({first}, {sql_str(P.META_CONTENT)}, 1)')}, '')")
+    content = " || ".join(f"regexp_extract({first}, {sql_str(P.META_CONTENT)}, {g})" for g in (1, 2))
+    return f"coalesce({strip_sql(decode_entities_sql(content))}, '')"
 
 
 # ---------------------------------------------------------------- C7 tokens
