@@ -91,26 +91,25 @@ def token_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return counted.mapInArrow(marks, "token binary, h long, cls short, c long")
 
 
+class Symbols(dict):
+    """Symbols by token; a token met for the first time is entered with its class."""
+
+    def __missing__(self, token: bytes) -> int:
+        s = self[token] = VOCAB + token_class(token)
+        return s
+
+
 class Reader:
     """Texts to symbols: frequent tokens by table, others by class."""
 
     def __init__(self, vocab: list[bytes]):
         self.symbol = {t: i for i, t in enumerate(vocab)}
-        self.known: dict[bytes, int] = {}
+        self.known = Symbols(self.symbol)
 
     def __call__(self, tokens: list[bytes]) -> np.ndarray:
-        get, known = self.symbol.get, self.known
-        if len(known) > 400_000:
-            known.clear()
-        out = []
-        for t in tokens:
-            s = get(t)
-            if s is None:
-                s = known.get(t)
-                if s is None:
-                    s = known[t] = VOCAB + token_class(t)
-            out.append(s)
-        return np.array(out, np.int64)
+        if len(self.known) > 400_000:
+            self.known = Symbols(self.symbol)
+        return np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
 
 
 def contexts(s: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -126,9 +125,17 @@ def start_parameters(unigram: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def add_rows(index: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Sums of rows by symbol."""
-    flat = index[:, None] * DIM + np.arange(DIM)
-    return np.bincount(flat.ravel(), rows.ravel(), SYMBOLS * DIM).reshape(SYMBOLS, DIM)
+    """Sums of rows by symbol, a column at a time."""
+    return np.stack([np.bincount(index, column, SYMBOLS) for column in np.ascontiguousarray(rows.T)], 1)
+
+
+def sigmoid(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-x)), in place."""
+    np.negative(x, out=x)
+    np.clip(x, -30, 30, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 class Trainer:
@@ -139,16 +146,17 @@ class Trainer:
     def __init__(self, p: dict[str, np.ndarray], unigram: np.ndarray, seed: int):
         self.p = {k: v.copy() for k, v in p.items()}
         self.square = {k: np.full(v.shape, 1e-2) for k, v in p.items()}
-        self.log_noise, self.unigram, self.rng, self.seen = np.log(NOISE * unigram), unigram, np.random.default_rng(seed), 0
+        self.log_noise, self.unigram, self.rng, self.seen = np.log(NOISE * unigram).astype(np.float32), unigram, np.random.default_rng(seed), 0
 
     def step(self, one: np.ndarray, two: np.ndarray, word: np.ndarray) -> None:
-        p, n = self.p, len(word)
+        # products in single precision, sums and parameters in double
+        p, n = {k: v.astype(np.float32) for k, v in self.p.items()}, len(word)
         noise = self.rng.choice(SYMBOLS, NOISE, p=self.unigram)
         a, b = p["context"][one], p["context"][two]
         guess = a * p["scale"][0] + b * p["scale"][1]
         rows, other = p["target"][word], p["target"][noise]
-        true = 1 / (1 + np.exp(-np.clip((guess * rows).sum(1) + p["bias"][word] - self.log_noise[word], -30, 30)))
-        false = 1 / (1 + np.exp(-np.clip(guess @ other.T + p["bias"][noise] - self.log_noise[noise], -30, 30)))
+        true = sigmoid((guess * rows).sum(1) + p["bias"][word] - self.log_noise[word])
+        false = sigmoid(guess @ other.T + (p["bias"][noise] - self.log_noise[noise]))
         d_true = (1 - true)[:, None]
         d_guess = d_true * rows - false @ other
         grad = {"target": add_rows(word, d_true * guess) - add_rows(noise, false.T @ guess),
@@ -158,7 +166,7 @@ class Trainer:
         for k, g in grad.items():
             g /= n ** 0.5
             self.square[k] += g * g
-            p[k] += (RATE if k != "scale" else RATE / 10) * g / np.sqrt(self.square[k])
+            self.p[k] += (RATE if k != "scale" else RATE / 10) * g / np.sqrt(self.square[k])
         self.seen += n
 
 
