@@ -93,7 +93,7 @@ def test_many_query_blocks_equal_one(spark):
     from webcorpus.sources import fixtures as X
     qs, vecs = X.questions(spark, SF01), X.vectors(spark, SF01)
     one = topk_search(qs, vecs, k=5, payload=("url",))
-    many = topk_search(qs, vecs, k=5, payload=("url",), block_bytes=8 * 64 * 60)   # ~9 blocks
+    many = topk_search(qs, vecs, k=5, payload=("url",), query_rows=60)   # ~9 blocks
     key = lambda r: (r["qid"], r["rank"], r["id"])
     assert sorted(map(key, one.collect())) == sorted(map(key, many.collect()))
 
@@ -104,6 +104,37 @@ def test_small_score_tiles_equal_default(spark):
     from webcorpus.sources import fixtures as X
     qs, vecs = X.questions(spark, SF01), X.vectors(spark, SF01)
     one = topk_search(qs, vecs, k=5, payload=("url",))
-    tiny = topk_search(qs, vecs, k=5, payload=("url",), tiles=(7, 5))
+    tiny = topk_search(qs, vecs, k=5, payload=("url",), query_rows=7, vector_rows=5, salts=3)
     key = lambda r: (r["qid"], r["rank"], r["id"])
     assert sorted(map(key, one.collect())) == sorted(map(key, tiny.collect()))
+
+
+def test_ties_are_cut_by_id(spark):
+    """Zero queries and equal vectors: every score ties, the smallest ids win, and
+    each question's own ``top_k`` holds."""
+    from webcorpus.operators.search import topk_search
+    emb = "namespace string, dataset string, id string, url string, embedding array<float>"
+    vecs = spark.createDataFrame([("p", "d", f"{i:04d}", f"u{i}", [1.0, 0.0]) for i in range(3000)]
+                                 + [("p", "d", "odd", "u", [1.0, None]), ("p", "d", "long", "u", [1.0, 2.0, 3.0]),
+                                    ("p", "d", "none", "u", None), ("p", "e", "e", "u", [1.0, 0.0])], emb)
+    qs = spark.createDataFrame([(1, "p", "d", 3, [0.0, 0.0]), (2, "p", "d", 2100, [2.0, 0.0]), (3, "p", "d", None, [0.0, 1.0]),
+                                (4, "p", "x", 3, [1.0, 0.0]), (5, "p", "d", 3, None), (6, "p", "d", 0, [1.0, 0.0])],
+                               "qid bigint, namespace string, dataset string, top_k int, embedding array<float>")
+    hits = topk_search(qs, vecs, k=4, payload=("url",)).orderBy("qid", "rank").collect()
+    got = {}
+    for r in hits:
+        got.setdefault(r["qid"], []).append(r["id"])
+    assert got == {1: ["0000", "0001", "0002"], 2: [f"{i:04d}" for i in range(2100)], 3: ["0000", "0001", "0002", "0003"]}
+    assert topk_search(qs.limit(0), vecs, payload=("url",)).count() == 0
+    assert topk_search(qs, vecs.limit(0), payload=()).count() == 0
+
+
+def test_stored_vectors_are_pruned_by_namespace(spark, tmp_path):
+    from webcorpus.operators.search import topk_search
+    from webcorpus.operators.vectors import write_vectors
+    from webcorpus.sources import fixtures as X
+    from tests.conftest import SF01
+    write_vectors(X.vectors(spark, SF01).drop("vec_id", "lang"), str(tmp_path / "v"))
+    stored = spark.read.parquet(str(tmp_path / "v"))
+    plan = topk_search(X.questions(spark, SF01), stored, payload=("url",))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(namespace" in plan or "PartitionFilters: [namespace" in plan

@@ -1,14 +1,14 @@
 """K1–K3 exact top-k similarity search, P3/P4 filters, C13 citations.
 
-Many queries against many vectors without materialising query × vector
-pairs: the queries go out in blocks of at most ``block_bytes`` of vectors (a
-proven bound, so each block can be broadcast), the vector table is scanned
-once per block by ``mapInArrow``, and every task scores its Arrow batches with one
-matrix product per (namespace, dataset) group, keeping only the ``k`` best
-per query (ties at the k-th score kept, so the cut is exact).  A final
-``row_number() <= k`` per query (partial + final ``WindowGroupLimit``) picks
-the global top k from the per-task candidates.  Ranking is by score
-descending, then id ascending.
+Many queries against many vectors, in blocks: both sides are packed into
+blocks of unit vectors, each of one namespace, dataset and dimension, of
+bounded rows and bytes.  Blocks of the same key meet in a join (vector blocks
+are spread over ``salts``, query blocks go to every salt, so that one large
+dataset is scored by many tasks), and each pair of blocks is one matrix
+product that keeps the ``top_k`` best per query, ties cut by id.  Only ids
+and scores leave it.  ``row_number() <= top_k`` per query (partial and final
+``WindowGroupLimit``) picks the global top k, and the winners alone fetch
+their payload (URL, title, text) from the vector table.
 
 Filters on vector metadata and the namespace are plain ``where`` clauses on
 the vector scan, so Parquet pushdown / partition pruning applies before any
@@ -17,20 +17,20 @@ scoring.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-QUERY_BLOCK_BYTES = 128 << 20   # query vectors per broadcast block (float64)
-QUERY_BLOCK_ROWS = 65536        # queries per block: a task keeps ≤ rows × k candidates
-VECTOR_TILE_ROWS = 2048     # vectors per matrix product inside a task
-QUERY_TILE_ROWS = 4096      # queries per matrix product: a score tile is ≤ 64 MB
+BLOCK_BYTES = 4 << 20       # of vectors in a block, at most
+QUERY_BLOCK_ROWS = 1024     # a tile of scores is ≤ 1,024 × 2,048 doubles
+VECTOR_BLOCK_ROWS = 2048
+HELD_BYTES = 64 << 20       # of vectors that a packing task holds in unfinished blocks
+SALTS = 16                  # tasks a dataset's vector blocks are dealt to before AQE splits further
 TOP_K = 5
+KEY = ("namespace", "dataset", "dim")
 
 
 def _unit(m: np.ndarray) -> np.ndarray:
@@ -40,165 +40,122 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return out
 
 
-def _prune(table: pa.Table, qk: np.ndarray) -> pa.Table:
-    """Keep each query's best ``k`` rows (score desc, id asc) of a candidate table."""
-    q = table.column("_q").to_numpy()
-    s = table.column("score").to_numpy()
-    ids = np.asarray(table.column("id").to_pylist(), dtype=str)
-    order = np.lexsort((ids, -s, q))
-    q = q[order]
-    first = np.r_[0, np.nonzero(np.diff(q))[0] + 1]
-    rank = np.arange(len(q)) - np.repeat(first, np.diff(np.r_[first, len(q)]))
-    return table.take(pa.array(order[rank < qk[q]], type=pa.int64()))
-
-
-def _scorer(block: dict, k: int, payload: Sequence[str], out_schema: pa.Schema):
-    """The per-task function: Arrow batches of vectors in, one batch of
-    candidates out (a running top-k per query over the whole task)."""
-    groups = block["groups"]          # group key -> (query positions, unit query matrix)
-    qids = block["qids"]
-    qk = block["k"]
-    q_tile, v_tile = block["tiles"]
-
-    def candidates(batch: pa.RecordBatch) -> pa.Table | None:
-        ns = batch.column("namespace").to_pylist()
-        ds = batch.column("dataset").to_pylist()
-        flat = np.asarray(batch.column("embedding").flatten().to_numpy(zero_copy_only=False),
-                          dtype=np.float64)
-        dim = len(flat) // batch.num_rows
-        vecs = _unit(flat.reshape(batch.num_rows, dim))
-        keys = np.asarray([f"{a}\x00{b}" for a, b in zip(ns, ds)], dtype=object)
-        out_q, out_v, out_s = [], [], []
-        for key in np.unique(keys):
-            if key not in groups:
-                continue
-            qpos_all, qmat_all = groups[key]
-            vpos = np.nonzero(keys == key)[0]
-            for q0 in range(0, len(qpos_all), q_tile):
-                qpos, qmat = qpos_all[q0:q0 + q_tile], qmat_all[q0:q0 + q_tile]
-                for t0 in range(0, len(vpos), v_tile):
-                    tile = vpos[t0:t0 + v_tile]
-                    scores = qmat @ vecs[tile].T            # (query tile, vector tile)
-                    width = scores.shape[1]
-                    if width > k:
-                        # k-th best score per query; ties at the cut are all kept
-                        thr = np.partition(scores, width - k, axis=1)[:, width - k]
-                        qi, vi = np.nonzero(scores >= thr[:, None])
-                    else:
-                        qi, vi = np.nonzero(np.ones_like(scores, dtype=bool))
-                    out_q.append(qpos[qi])
-                    out_v.append(tile[vi])
-                    out_s.append(scores[qi, vi])
-        if not out_q:
-            return None
-        v = pa.array(np.concatenate(out_v), type=pa.int64())
-        cols = {"_q": pa.array(np.concatenate(out_q), type=pa.int64()),
-                "id": batch.column("id").take(v),
-                "score": pa.array(np.concatenate(out_s), type=pa.float64())}
-        for name in payload:
-            cols[name] = batch.column(name).take(v)
-        return pa.table(cols)
+def _packed(df: DataFrame, key: Sequence[str], ident: str, kind: str, rows: int) -> DataFrame:
+    """``(*key, ids array<kind>, vectors binary)``: the rows of ``df`` (``*key, ident,
+    embedding``; ``dim`` in the key) in blocks of at most ``rows`` rows and
+    ``BLOCK_BYTES``, sorted by ``ident``.  Narrow: blocks are filled within a task."""
+    key = list(key)
+    df = df.select(*key, ident, "embedding")
+    at = key.index("dim")
+    schema = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in key) + f", ids array<{kind}>, vectors binary"
+    arrow_kind = pa.int64() if kind == "bigint" else pa.string()
+    kinds = [pa.int32() if c in ("dim", "top_k") else pa.string() for c in key]
+
+    def block(k: tuple, parts: list) -> Iterator[pa.RecordBatch]:
+        ids = np.concatenate([p[0] for p in parts])
+        order = np.argsort(ids, kind="stable")
+        ids, m = ids[order], np.concatenate([p[1] for p in parts])[order]
+        step = max(1, min(rows, BLOCK_BYTES // (8 * k[at])))
+        for i in range(0, len(ids), step):
+            cols = [pa.array([v], t) for v, t in zip(k, kinds)]
+            cols += [pa.array([ids[i:i + step].tolist()], pa.list_(arrow_kind)), pa.array([m[i:i + step].tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=[*key, "ids", "vectors"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = None
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            cand = candidates(batch)
-            if cand is None:
+        held: dict[tuple, list] = {}
+        size = 0
+        for b in batches:
+            groups: dict[tuple, list[int]] = {}
+            for i, k in enumerate(zip(*(b.column(c).to_pylist() for c in key))):
+                groups.setdefault(k, []).append(i)
+            for k, pos in groups.items():
+                picked = b.take(pa.array(pos, pa.int64()))
+                flat = picked.column("embedding").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+                ids = np.array(picked.column(ident).to_pylist(), dtype=np.int64 if kind == "bigint" else object)
+                held.setdefault(k, []).append((ids, _unit(flat.reshape(len(pos), k[at]))))
+                size += flat.nbytes
+                if sum(len(p[0]) for p in held[k]) >= rows:
+                    full = held.pop(k)
+                    size -= sum(p[1].nbytes for p in full)
+                    yield from block(k, full)
+            if size > HELD_BYTES:
+                for k, parts in held.items():
+                    yield from block(k, parts)
+                held, size = {}, 0
+        for k, parts in held.items():
+            yield from block(k, parts)
+
+    return df.mapInArrow(run, schema)
+
+
+def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of each row's ``k`` greatest scores; of equal scores at
+    the cut the leftmost stay."""
+    width = scores.shape[1]
+    if width <= k:
+        return np.nonzero(np.ones_like(scores, dtype=bool))
+    cut = np.partition(scores, width - k, axis=1)[:, width - k, None]
+    keep = scores >= cut
+    for r in np.flatnonzero(keep.sum(axis=1) > k):
+        ties = np.flatnonzero(scores[r] == cut[r])
+        keep[r, ties[k - int((scores[r] > cut[r]).sum()):]] = False
+    return np.nonzero(keep)
+
+
+def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of blocks → each query's best within the vector block."""
+    for b in batches:
+        for i in range(b.num_rows):
+            k, dim = b.column("top_k")[i].as_py(), b.column("dim")[i].as_py()
+            q, v = (np.frombuffer(b.column(c)[i].as_buffer()).reshape(-1, dim) for c in ("q_vectors", "vectors"))
+            if k <= 0:
                 continue
-            best = cand if best is None else pa.concat_tables([best, cand])
-            best = _prune(best, qk)
-        if best is None:
-            return
-        q = best.column("_q").to_numpy()
-        out = {"qid": pa.array(qids[q], type=pa.int64()), "id": best.column("id"),
-               "score": best.column("score"), "top_k": pa.array(qk[q], type=pa.int32())}
-        for name in payload:
-            out[name] = best.column(name)
-        table = pa.table({f.name: out[f.name] for f in out_schema}).cast(out_schema)
-        yield from table.to_batches()
-
-    return run
-
-
-def _block(rows: list, k: int, tiles: tuple[int, int] = (QUERY_TILE_ROWS, VECTOR_TILE_ROWS)) -> dict:
-    groups: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-    qids = np.asarray([r["qid"] for r in rows], dtype=np.int64)
-    ks = np.asarray([int(r["top_k"] if r["top_k"] is not None else k) for r in rows], dtype=np.int64)
-    by_key: dict[str, list[int]] = {}
-    for i, r in enumerate(rows):
-        by_key.setdefault(f"{r['namespace']}\x00{r['dataset']}", []).append(i)
-    for key, pos in by_key.items():
-        mat = np.asarray([rows[i]["embedding"] for i in pos], dtype=np.float64)
-        groups[key] = (np.asarray(pos, dtype=np.int64), _unit(mat))
-    return {"groups": groups, "qids": qids, "k": ks, "tiles": tiles}
+            scores = q @ v.T
+            row, col = _best(scores, k)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("qids")[i].values.take(pa.array(row)), b.column("ids")[i].values.take(pa.array(col)),
+                 pa.array(scores[row, col]), pa.array(np.full(len(row), k, dtype=np.int32)),
+                 pa.array([b.column("namespace")[i].as_py()] * len(row), pa.string()),
+                 pa.array([b.column("dataset")[i].as_py()] * len(row), pa.string())],
+                names=["qid", "id", "score", "top_k", "namespace", "dataset"])
 
 
 def topk_search(queries: DataFrame, vectors: DataFrame, k: int = TOP_K,
                 payload: Sequence[str] = ("url", "title", "text", "chunk_index"),
-                block_bytes: int = QUERY_BLOCK_BYTES,
-                tiles: tuple[int, int] = (QUERY_TILE_ROWS, VECTOR_TILE_ROWS)) -> DataFrame:
+                query_rows: int = QUERY_BLOCK_ROWS, vector_rows: int = VECTOR_BLOCK_ROWS,
+                salts: int = SALTS) -> DataFrame:
     """``qid, rank, id, score, payload…`` — the ``top_k`` vectors (null:
-    ``k``) of each query within the query's namespace and dataset.  Vectors
-    and queries without an embedding of the queries' dimension match nothing.
+    ``k``) of each query within the query's namespace and dataset, by score
+    descending, then id.  A query and a vector meet only if their embeddings
+    have the same dimension; null and empty embeddings, and those with a null
+    in them, match nothing.
 
     ``queries``: ``qid bigint, namespace, dataset, top_k, embedding``;
-    ``vectors``: ``namespace, dataset, id, embedding, payload…``.
+    ``vectors``: ``namespace, dataset, id, embedding, payload…``, an id once in
+    a namespace and dataset (as an upsert leaves them).
     """
-    spark = queries.sparkSession
-    q = queries.select("qid", "namespace", "dataset", "top_k", "embedding")
-    stats = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dim"),
-                  F.max(F.coalesce("top_k", F.lit(k))).alias("most")).first()
-    n, dim = stats["n"], max(1, stats["dim"] or 1)
-    most = int(stats["most"] or k)
-    q = q.where(F.size("embedding") == dim)
-    # a proven bound on each broadcast and on each task's candidate table
-    block_rows = max(1, min(block_bytes // (8 * dim), QUERY_BLOCK_ROWS))
-    v = vectors.select("namespace", "dataset", "id", "embedding", *payload).where(F.size("embedding") == dim)
-    fields = [T.StructField("qid", T.LongType()), T.StructField("id", T.StringType()),
-              T.StructField("score", T.DoubleType()), T.StructField("top_k", T.IntegerType())]
-    fields += [v.schema[name] for name in payload]
-    schema = T.StructType(fields)
-    from pyspark.sql.pandas.types import to_arrow_schema
-    arrow_schema = to_arrow_schema(schema)
-    n_blocks = max(1, math.ceil(n / block_rows))
-    parts = []
-    for b in range(n_blocks):
-        part = q if n_blocks == 1 else q.where(F.pmod(F.xxhash64("qid"), F.lit(n_blocks)) == b)
-        rows = [r.asDict() for r in part.collect()]      # at most ~block_rows rows
-        if not rows:
-            continue
-        data = _block(rows, k, tiles)
-        try:
-            block = spark.sparkContext.broadcast(data)
-        except Exception:   # Spark Connect has no broadcast variables: ship with the function
-            block = _Shipped(data)
-        fn = _scorer_from_broadcast(block, k, tuple(payload), arrow_schema)
-        parts.append(v.mapInArrow(fn, schema))
-    if not parts:
-        return spark.createDataFrame([], schema.add("rank", T.IntegerType()))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
+    whole = (F.size("embedding") > 0) & ~F.exists("embedding", lambda x: x.isNull())
+    dim = F.size("embedding").alias("dim")
+    asked = queries.withColumn("top_k", F.coalesce("top_k", F.lit(k)).cast("int"))
+    # one row: the greatest top_k and the few namespaces (staging, production) to be scanned
+    most, names = asked.agg(F.max("top_k"), F.collect_set("namespace")).first()
+    here = vectors.where(F.col("namespace").isin(names or [""]))
+    q = asked.where(whole & F.col("qid").isNotNull()).select("namespace", "dataset", dim, "top_k", "qid", "embedding")
+    v = here.where(whole & F.col("id").isNotNull()).select("namespace", "dataset", dim, "id", "embedding")
+    v = v.join(queries.select("namespace", "dataset").distinct(), ["namespace", "dataset"], "left_semi")
+    salt = F.pmod(F.xxhash64("ids"), F.lit(salts)).cast("int")
+    v_blocks = _packed(v, KEY, "id", "string", vector_rows).withColumn("salt", salt)
+    q_blocks = (_packed(q, (*KEY, "top_k"), "qid", "bigint", query_rows)
+                .withColumnsRenamed({"ids": "qids", "vectors": "q_vectors"})
+                .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
+    cand = q_blocks.join(v_blocks, [*KEY, "salt"]).mapInArrow(
+        _score, "qid bigint, id string, score double, top_k int, namespace string, dataset string")
     w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("id").asc())
-    ranked = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= most)
-    return (ranked.where(F.col("rank") <= F.col("top_k"))
-            .select("qid", "rank", "id", "score", *payload))
-
-
-class _Shipped:
-    """Stand-in for a broadcast variable: the (bounded) block travels with
-    the task closure."""
-
-    def __init__(self, value):
-        self.value = value
-
-
-def _scorer_from_broadcast(block, k, payload, arrow_schema):
-    def run(batches):
-        return _scorer(block.value, k, payload, arrow_schema)(batches)
-    return run
+    ranked = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= int(most or k))
+    won = ranked.where(F.col("rank") <= F.col("top_k")).drop("top_k")
+    if payload:
+        won = won.join(here.select("namespace", "dataset", "id", *payload), ["namespace", "dataset", "id"])
+    return won.select("qid", "rank", "id", "score", *payload)
 
 
 def with_citation(hits: DataFrame) -> DataFrame:

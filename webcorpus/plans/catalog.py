@@ -446,6 +446,18 @@ def q_topk_per_query(spark, base):
     return _golden_hits(spark, base).select("qid", "rank", "id", F.round("score", 6).alias("score"), "url")
 
 
+@register("retrieval_mixed_k", O.with_ctes(f"""
+SELECT qid, rank, id, round(score, 6) AS score, url FROM {O.topk_sql(
+    """(SELECT qid, dataset, namespace, [1, 5, 20, NULL][qid % 4 + 1] AS top_k, embedding FROM questions)""",
+    'vectors', 5, 'v.url')}""", "questions", "vectors"))
+def q_retrieval_mixed_k(spark, base):
+    """Questions that ask for 1, 5, 20 or (null) the default number of results."""
+    asked = F.element_at(F.array(F.lit(1), F.lit(5), F.lit(20), F.lit(None)), (F.col("qid") % 4 + 1).cast("int"))
+    hits = Q.topk_search(X.questions(spark, base).withColumn("top_k", asked), X.vectors(spark, base), k=5,
+                         payload=("url",))
+    return hits.select("qid", "rank", "id", F.round("score", 6).alias("score"), "url")
+
+
 def retrieval_results(spark, base):
     """Questions → top-k in production with citations, one row per
     question with its ``results`` array and ``count``."""
