@@ -119,3 +119,29 @@ def test_hooks_and_citations(spark):
     assert [c["fact"] for c in ans["fact_cards"]] == ["ONE"]
     good, issues = J.validate_citations(store)
     assert good.first()["passed"] and issues.count() == 0
+
+
+def test_versions_are_seen_once_committed(spark, tmp_path):
+    """What a writer that died left behind is not read; names are escaped; old versions go."""
+    from webcorpus.sources.snapshots import VersionedPartitions
+    t = VersionedPartitions(spark, str(tmp_path / "t"), ("dataset",))
+
+    def rows(*pairs):
+        return spark.createDataFrame(pairs, "dataset string, x int")
+
+    def content():
+        return sorted(map(tuple, t.read().select("dataset", "x").collect()))
+
+    assert t.read() is None
+    t.write(rows(("a:b", 1), ("c", 1)))
+    t.write(rows(("a:b", 2)))
+    assert content() == [("a:b", 2), ("c", 1)] and t.latest_versions() == {("a:b",): 2, ("c",): 1}
+    # a write that never came to its commit
+    rows(("a:b", 9), ("c", 9)).selectExpr("*", "'3-dead' v").write.mode("append").partitionBy("dataset", "v").parquet(t.root)
+    assert content() == [("a:b", 2), ("c", 1)]
+    t.write(rows(("c", 3)))
+    assert content() == [("a:b", 2), ("c", 3)]
+    t.write(rows(("c", 3)), version=3)      # replayed
+    assert content() == [("a:b", 2), ("c", 3)]
+    assert sorted(map(tuple, t.read(at_most=2).select("dataset", "x").collect())) == [("a:b", 2), ("c", 1)]
+    assert t.vacuum(keep=1) == 5 and content() == [("a:b", 2), ("c", 3)]

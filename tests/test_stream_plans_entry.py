@@ -73,3 +73,12 @@ def test_entry_and_contract(spark):
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
     assert {"chunk_pipeline", "retrieval", "answers", "promote"} <= set(E.queries())
+
+
+def test_stream_query_reads_a_folder_of_files(spark, tmp_path):
+    """The pages table as a folder of part files: several epochs, same result as from one file."""
+    import __spark_entry__ as E
+    pages = spark.read.parquet(f"{SF01}/pages.parquet")
+    pages.repartition(3).write.parquet(str(tmp_path / "pages.parquet"))
+    want, got = (E.queries()["stream_process"](spark, d).collect() for d in (SF01, str(tmp_path)))
+    assert want and sorted(map(tuple, want)) == sorted(map(tuple, got))

@@ -78,3 +78,38 @@ def test_authority_and_path(spark):
     rows = df.select(T.authority("u").alias("a"), T.robots_path("u").alias("p")).collect()
     assert [(r["a"], r["p"]) for r in rows] == [
         ("u:p@Host.com:8080", "/x/y?q=1#f"), ("h", "/"), ("", "/")]
+
+
+def test_unclosed_tags_take_linear_time(spark):
+    """Pages of megabytes of openers without closers; what is never closed stays text, as before."""
+    import time
+    pages = ["<a href='/x'>" * 100_000, "<!--" * 300_000 + "x", "<script>" * 150_000, "<li " * 300_000, "<p>a <b" * 100_000]
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, html string").repartition(5, "i")
+    start = time.perf_counter()
+    out = {r["i"]: r["text"] for r in df.select("i", T.clean_html("html").alias("text")).collect()}
+    assert time.perf_counter() - start < 60
+    assert out[0] == "" and out[1] == pages[1] and out[2] == "" and out[3] == pages[3].strip() and out[4].startswith("a")
+
+
+def test_what_is_never_closed(spark):
+    cases = {'<a href="/a">ok</a> <a href="/b">open': "[ok](/a) open", "a <!-- b --> c <!-- d": "a c <!-- d",
+             "<p>x</p> 1 < 2  and\n3": "x\n1 < 2 and 3", "no tags,\n one   line": "no tags, one line", "": ""}
+    df = spark.createDataFrame(list(cases.items()), "html string, want string")
+    for r in df.select("want", T.clean_html("html").alias("text")).collect():
+        assert r["text"] == r["want"]
+
+
+def test_tokens_of_scripts_without_spaces(spark):
+    cases = {"漢字かな": 4, "abc漢字 de": 4, "ไทย": 3, "héllo wörld": 2, "привет мир 1234": 4, "": 0}
+    df = spark.createDataFrame(list(cases.items()), "t string, n long")
+    for r in df.select("t", "n", T.token_count("t").alias("got")).collect():
+        assert r["got"] == r["n"], r["t"]
+
+
+def test_hashed_embedding_is_the_histogram_of_buckets(spark):
+    from webcorpus.operators.embed import hashed_embedding, token_buckets
+    df = spark.createDataFrame([("a b b c c c " * 40,), ("one",), ("",), (None,)], "t string")
+    for r in df.select(token_buckets(F.col("t"), 64).alias("b"), hashed_embedding(F.col("t")).alias("e")).collect():
+        n = [r["b"].count(i) for i in range(64)]
+        size = sum(x * x for x in n) ** 0.5 or 1.0
+        assert len(r["e"]) == 64 and all(abs(x / size - y) < 1e-12 for x, y in zip(n, r["e"]))

@@ -27,10 +27,17 @@ STRIP = r"\A" + WS + r"+|" + WS + r"+\z"
 # written as one substitution over the whole text followed by STRIP.
 LINE_TIDY = HS + r"*\n" + WS + r"*"
 
+# Letters of scripts written without spaces (Thai to Tibetan, Myanmar, Khmer, kana
+# and bopomofo, Han, half-width kana): each is a token of its own.
+UNSPACED = (r"\x{0E00}-\x{0FFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{312F}\x{31A0}-\x{31BF}"
+            r"\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{FF66}-\x{FF9D}\x{20000}-\x{3FFFF}")
 # Default token counter (the BPE vocabulary is not available offline): runs of
-# letters, runs of up to three digits, runs of other non-space symbols.
-TOKEN = r"\p{L}+|\p{N}{1,3}|[^\p{L}\p{N}" + WS[1:-1] + r"]+"
+# letters, letters of unspaced scripts, runs of up to three digits, runs of other
+# non-space symbols.
+TOKEN = r"[^\P{L}" + UNSPACED + r"]+|\p{L}|\p{N}{1,3}|[^\p{L}\p{N}" + WS[1:-1] + r"]+"
 
+ANY_TAG = r"<[^>]*>"
+LINK_END = r"</a\s*>"
 # Marks the step of the chain that decodes entities.
 ENTITIES = "entities"
 
@@ -60,7 +67,7 @@ CLEAN_STEPS: list[tuple[str, ...]] = [
     (r"(?is)<a\b[^>]*\bhref\s*=\s*([^\s\"'>]+)[^>]*>(.*?)</a\s*>", "[{2}]({1})"),
     (r"(?i)</?(p|div|br|article|section|nav|footer|header|ul|ol|table|blockquote|hr|li)\b[^>]*>",
      "\n"),
-    (r"<[^>]*>", ""),
+    (ANY_TAG, ""),
     (ENTITIES,),
     (LINE_TIDY, "\n"),
     (STRIP, ""),
@@ -89,6 +96,14 @@ AUTHORITY = r"\A[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
 PATH_REST = r"\A[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(.*)\z"
 
 
+def or_unclosed(pattern: str) -> str:
+    """A pattern that deletes from an opener to the nearest closer, with a second
+    branch (group 1): an opener that is never closed, with all that follows."""
+    opener = pattern.split(".*?")[0] + ".*" if ".*?" in pattern else pattern.removesuffix(">")
+    flags, _, opener = opener.rpartition(")") if opener.startswith("(?") else ("", "", opener)
+    return f"{pattern}|({opener}" + r"\z)"
+
+
 def spark_replacement(template: str) -> str:
     out = template.replace("\\", "\\\\").replace("$", "\\$")
     return out.replace("{1}", "$1").replace("{2}", "$2")

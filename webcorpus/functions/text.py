@@ -87,7 +87,24 @@ def clean_html(col) -> Column:
     entities are decoded; lines are stripped and blank lines dropped.
     """
     out = _c(col)
-    for step in P.CLEAN_STEPS:
+    steps = list(P.CLEAN_STEPS)
+    while steps[0][1] == "" and ".*?" in steps[0][0]:
+        out = _delete(out, steps.pop(0)[0])
+    strip_tags = next(i for i, s in enumerate(steps) if s[0] == P.ANY_TAG)
+    links = [i for i, s in enumerate(steps[:strip_tags]) if ".*?" in s[0]]
+    first, last = links[0], links[-1] + 1
+
+    def tags(head: Column) -> Column:
+        head = _before_last(_chain(head, steps[:first]), lambda h: _chain(h, steps[first:last]), P.LINK_END)
+        return _chain(head, steps[last:strip_tags])
+
+    # a tag needs a ">": in what follows the last one, only spaces are tidied
+    out = _before_last(out, tags, change_rest=lambda rest: F.regexp_replace(rest, P.WS + "+", " "))
+    return _chain(_delete(out, P.ANY_TAG), steps[strip_tags + 1:])
+
+
+def _chain(out: Column, steps: list[tuple[str, ...]]) -> Column:
+    for step in steps:
         if step[0] == P.ENTITIES:
             out = decode_entities(out)
         else:
@@ -95,6 +112,25 @@ def clean_html(col) -> Column:
     return out
 
 
+def _delete(col: Column, pattern: str) -> Column:
+    """Matches removed.  The first opener that is never closed ends the search and
+    stays with all that follows (nothing there could match); else each such
+    opener would make the search read on to the end, quadratic on a hostile page."""
+    return F.regexp_replace(col, P.or_unclosed(pattern), "$1")
+
+
+def _before_last(col: Column, change, closer: str = ">", change_rest=lambda rest: rest) -> Column:
+    """``change`` applied to the text up to its last ``closer`` (``>`` or a pattern),
+    ``change_rest`` to what follows: openers there are never closed, see ``_delete``."""
+    def split(text: Column) -> Column:
+        head = (F.substr(text, F.lit(1), F.length(text) - F.length(F.substring_index(text, ">", -1))) if closer == ">"
+                else F.regexp_extract(text, r"(?is)\A.*" + closer, 0))
+        return F.get(F.transform(F.array(head), lambda h: F.concat(
+            change(h), change_rest(F.substr(text, F.length(h) + 1)))), 0)
+
+    return F.get(F.transform(F.array(col), split), 0)
+
+
 def clean_html_sql(expr: str) -> str:
     out = expr
     for step in P.CLEAN_STEPS:

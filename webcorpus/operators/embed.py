@@ -25,7 +25,7 @@ DIM = 64
 
 def token_buckets(text: Column, dim: int = DIM) -> Column:
     """Bucket number of every token of ``text``."""
-    toks = F.regexp_extract_all(F.lower(text), F.lit(P.TOKEN), 0)
+    toks = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(P.TOKEN), 0)
     return F.transform(toks, lambda t: F.pmod(
         F.conv(F.substring(F.sha2(t, 256), 1, 8), 16, 10).cast("bigint"), F.lit(dim)).cast("int"))
 
@@ -34,16 +34,30 @@ def hashed_embedding(text: Column, dim: int = DIM) -> Column:
     """Unit-length bag-of-hashed-tokens vector (``array<double>``; all zeros
     for a text without tokens).
 
-    Intermediates enter the higher-order functions as *arguments*, which are
-    evaluated once per row (a lambda body is evaluated once per element), so
-    the optimizer may inline them freely without recomputing token hashes
-    per bucket."""
-    buckets = token_buckets(text, dim)
-    counts = F.transform(F.array_repeat(buckets, dim),
-                         lambda bs, i: F.size(F.filter(bs, lambda x: x == i)).cast("double"))
-    norm = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda acc, c: acc + c * c))
-    return F.zip_with(counts, F.array_repeat(norm, dim),
-                      lambda c, n: F.when(n > 0, c / n).otherwise(F.lit(0.0)))
+    The buckets are sorted once; the places where they change end the runs
+    of equal ones, whose lengths are the counts."""
+    def counted(s: Column) -> Column:
+        last = F.zip_with(s, F.concat(F.slice(s, 2, F.greatest(F.size(s), F.lit(1))), F.array(F.lit(-1))),
+                          lambda a, b: F.when(a != b, a))
+        ends = F.filter(F.transform(last, lambda b, i: F.struct(b.alias("b"), (i + 1).alias("e"))),
+                        lambda x: x["b"].isNotNull())
+        return _let(ends, by_bucket)
+
+    def by_bucket(ends: Column) -> Column:
+        runs = F.transform(ends, lambda x, i: x["e"] - F.when(i > 0, F.get(ends, i - 1)["e"]).otherwise(F.lit(0)))
+        norm = F.sqrt(F.aggregate(runs, F.lit(0.0), lambda acc, c: acc + c.cast("double") * c))
+        values = F.zip_with(runs, F.array_repeat(norm, dim), lambda c, n: c / n)
+        return _let(F.map_from_arrays(F.transform(ends, lambda x: x["b"]), F.filter(values, lambda v: v.isNotNull())),
+                    lambda m: F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
+                                          lambda d: F.coalesce(F.try_element_at(m, d), F.lit(0.0))))
+
+    return _let(F.array_sort(token_buckets(text, dim)), counted)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once per row: a lambda's variable, which the
+    optimizer does not inline."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), 0)
 
 
 def with_hashed_embedding(df: DataFrame, text_col: str = "text", out_col: str = "embedding",

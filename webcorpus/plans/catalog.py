@@ -23,7 +23,7 @@ from webcorpus.operators.cleaning import clean_pages
 from webcorpus.operators.sections import explode_lines, line_kinds, sections
 from webcorpus.plans import oracle as O
 from webcorpus.sources import fixtures as X
-from webcorpus.sources.tables import read_table, spread, stored
+from webcorpus.sources.tables import cut_lineage, read_table, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -296,22 +296,29 @@ def q_process_outcomes(spark, base):
     return _process_outcomes(spark, base).select("raw_key", "url", "outcome")
 
 
+def _clean_hashes(spark, base):
+    """Keys and hashes of the cleaned pages, written once: several branches read
+    them, and none should clean all HTML again.  No text is kept."""
+    return cut_lineage(X.cleaned_pages(spark, base).select(
+        "page_id", "dataset", "url", "raw_key", "raw_hash", "text_hash"))
+
+
 @register("state_upsert", O.with_ctes(f"""
-SELECT key, dataset, url, text_hash, status, strftime(updated_at, {TS_FMT_SQL}) AS updated_at FROM (
+SELECT key, dataset, url, url_hash, raw_hash, text_hash, raw_key, status, strftime(updated_at, {TS_FMT_SQL}) AS updated_at FROM (
   SELECT *, row_number() OVER (PARTITION BY key ORDER BY updated_at DESC, src DESC) AS rn FROM (
-    SELECT key, dataset, url, text_hash, status, updated_at, 0 AS src FROM process_state
+    SELECT key, dataset, url, url_hash, raw_hash, text_hash, raw_key, status, updated_at, 0 AS src FROM process_state
     UNION ALL
-    SELECT {O.state_key('p.dataset', 'p.url')}, p.dataset, p.url, p.new_text_hash, 'processed',
-           TIMESTAMP '{O.AS_OF}', 1
-    FROM probe_outcomes p WHERE outcome = 'processed'))
+    SELECT {O.state_key('p.dataset', 'p.url')}, p.dataset, p.url, sha256(p.url), sha256(r.html), p.new_text_hash,
+           p.raw_key, 'processed', TIMESTAMP '{O.AS_OF}', 1
+    FROM probe_outcomes p JOIN raw_store r USING (raw_key) WHERE outcome = 'processed'))
 WHERE rn = 1""", "probe_outcomes", "process_state"))
 def q_state_upsert(spark, base):
-    clean = stored(X.cleaned_pages(spark, base))      # read by several branches
+    clean = _clean_hashes(spark, base)
     done = _process_outcomes(spark, base, clean).where(F.col("outcome") == "processed")
-    new = S.new_state_rows(done.withColumn("raw_hash", F.lit(None).cast("string")), "processed",
-                           F.to_timestamp(F.lit(X.AS_OF)))
+    done = done.join(clean.select("raw_key", "raw_hash"), "raw_key")
+    new = S.new_state_rows(done, "processed", F.to_timestamp(F.lit(X.AS_OF)))
     snap = S.upsert_state(X.process_state_from(clean), new)
-    return snap.select("key", "dataset", "url", "text_hash", "status",
+    return snap.select("key", "dataset", "url", "url_hash", "raw_hash", "text_hash", "raw_key", "status",
                        F.date_format("updated_at", TS_FMT).alias("updated_at"))
 
 
@@ -325,9 +332,9 @@ LEFT JOIN (SELECT page_id, count(*) AS n_chunks FROM {PAGE_CHUNKS_SQL} GROUP BY
   ON n.page_id = (SELECT c.page_id FROM clean_keyed c WHERE c.raw_key = o.raw_key)
 GROUP BY o.dataset""", "probe_outcomes", "clean_keyed"))
 def q_process_counts(spark, base):
-    clean = stored(X.cleaned_pages(spark, base))      # read by several branches
+    clean = _clean_hashes(spark, base)
     outcomes = _process_outcomes(spark, base, clean)
-    chunks = (chunk_documents(clean, ["page_id"], carry=["dataset", "url"])
+    chunks = (chunk_documents(_clean(spark, base), ["page_id"], carry=["dataset", "url"])
               .groupBy("dataset", "url").agg(F.count(F.lit(1)).alias("n_chunks")))
     joined = outcomes.join(chunks, ["dataset", "url"], "left")
     return S.outcome_counts(joined, {"total_chunks": F.coalesce(
@@ -350,6 +357,15 @@ def q_embed_hashed(spark, base):
         "item_id", F.col("dim").cast("bigint").alias("dim"), F.round("value", 6).alias("value"))
 
 
+@register("embed_documents", O.with_ctes(
+    f"SELECT doc_id, dim, round(value, 6) AS value FROM {O.hashed_embedding_rows('documents', 'doc_id')}"))
+def q_embed_documents(spark, base):
+    docs = spread(read_table(spark, base, "documents", ["doc_id", "text"]), "doc_id")
+    emb = E.with_hashed_embedding(docs).select("doc_id", F.posexplode("embedding").alias("dim", "value"))
+    return emb.where(F.col("value") != 0).select(
+        "doc_id", F.col("dim").cast("bigint").alias("dim"), F.round("value", 6).alias("value"))
+
+
 def _staged_chunks(spark, base):
     return V.chunk_vectors(page_chunks(spark, base), "staging", F.to_timestamp(F.lit(X.AS_OF)))
 
@@ -377,27 +393,28 @@ def _reupserted(spark, base):
 
 
 @register("vector_upsert", O.with_ctes(f"""
-SELECT namespace, id, dataset, url, title, CAST(chunk_index AS INTEGER) AS chunk_index FROM (
+SELECT namespace, id, dataset, url, title, CAST(chunk_index AS INTEGER) AS chunk_index, sha256(text) AS text_hash,
+       n_set FROM (
   SELECT *, row_number() OVER (PARTITION BY namespace, id ORDER BY updated_at DESC, url DESC, chunk_index DESC) AS rn
-  FROM (SELECT namespace, id, dataset, url, title, chunk_index, updated_at FROM vectors
+  FROM (SELECT namespace, id, dataset, url, title, chunk_index, updated_at, text, {O.n_set('embedding')} AS n_set FROM vectors
         UNION ALL
-        SELECT namespace, id, dataset, url, title || ' v2', chunk_index, TIMESTAMP '{O.AS_OF}' FROM vectors
+        SELECT namespace, id, dataset, url, title || ' v2', chunk_index, TIMESTAMP '{O.AS_OF}', text,
+               {O.n_set('embedding')} FROM vectors
         WHERE namespace = 'staging' AND vec_id % 5 = 0
         UNION ALL
-        SELECT namespace, id, dataset, url, title, chunk_index, updated_at FROM {CHUNK_VECTORS_SQL}))
+        SELECT namespace, id, dataset, url, title, chunk_index, updated_at, text, {O.n_buckets('text')}
+        FROM {CHUNK_VECTORS_SQL}))
 WHERE rn = 1""", "vectors", "clean_pages"))
 def q_vector_upsert(spark, base):
-    """A14 upsert by id over the vector metadata (the winner per id does not
-    depend on the embedding, so none is computed for this report)."""
+    """A14 upsert by id of whole vector rows: stored ones, changed ones and the
+    embedded chunks of the pages.  Text and embedding are reported by their hash
+    and their number of entries that are not 0."""
     old, again = _reupserted(spark, base)
-    cols = ["namespace", "id", "dataset", "url", "title", "chunk_index", "updated_at"]
-    chunks = page_chunks(spark, base).select(
-        F.lit("staging").alias("namespace"), "id", "dataset", "url", "title",
-        F.col("chunk_index").cast("int").alias("chunk_index"),
-        F.to_timestamp(F.lit(X.AS_OF)).alias("updated_at"))
-    rows = old.select(*cols).unionByName(again.select(*cols)).unionByName(chunks.select(*cols))
-    snap = V.dedup_vectors(rows)
-    return snap.select("namespace", "id", "dataset", "url", "title", "chunk_index")
+    snap = V.upsert_vectors(old.select(*V.VECTOR_COLUMNS).unionByName(again.select(*V.VECTOR_COLUMNS)),
+                            _staged_chunks(spark, base))
+    n_set = F.size(F.filter("embedding", lambda x: x != 0)).cast("bigint")
+    return snap.select("namespace", "id", "dataset", "url", "title", "chunk_index",
+                       F.sha2("text", 256).alias("text_hash"), n_set.alias("n_set"))
 
 
 @register("cosine_scores", O.with_ctes(f"""
@@ -697,13 +714,13 @@ SELECT namespace, id, dataset, url, CAST(chunk_index AS INTEGER) AS chunk_index
   SELECT *, row_number() OVER (PARTITION BY namespace, id ORDER BY updated_at DESC, url DESC, chunk_index DESC) rn
   FROM page_vectors) WHERE rn = 1""", "page_vectors"))
 def q_stream_process(spark, base):
-    """The pages table arrives as a file stream; every micro-batch runs the
+    """The pages table, a file or a folder of files (the glob allows both), arrives as a file stream; every micro-batch runs the
     process job against the previous epoch's snapshots (foreachBatch)."""
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     src_schema = read_table(spark, base, "pages", ["page_id", "url", "html"]).schema
     query = start_page_stream(
-        spark, base, f"{root}/store", f"{root}/checkpoint", X.AS_OF,
-        schema=src_schema, glob="pages.parquet",
+        spark, f"{base.rstrip('/')}/[p]ages.parquet", f"{root}/store", f"{root}/checkpoint", X.AS_OF,
+        schema=src_schema,
         prepare=lambda df: df.withColumn("dataset", X.page_dataset(F.col("page_id"))))
     query.awaitTermination()
     vectors = latest(spark, f"{root}/store", "vectors")

@@ -89,6 +89,7 @@ def harvest(store: Store, seeds: DataFrame, sitemaps: DataFrame, base_urls: Data
                .join(outcomes.where(F.col("outcome") == "processed").select("dataset", "url"),
                      ["dataset", "url"], "left_semi"))
     (changed.select("dataset", "url", "raw_key", "raw_hash", "html").withColumn("run", F.lit(run))
+     .hint("rebalance", "dataset")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("run", "dataset").parquet(f"{store.root}/raw"))
     stamp = F.to_timestamp(F.lit(as_of))

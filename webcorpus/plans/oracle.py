@@ -327,6 +327,17 @@ def hashed_embedding_rows(src: str, key: str, dim: int = 64) -> str:
  SELECT {key}, CAST(dim AS BIGINT) AS dim, c / n AS value FROM cnt JOIN nrm USING ({key}))"""
 
 
+def n_set(embedding: str) -> str:
+    """Entries of an embedding that are not 0."""
+    return f"CAST(len(list_filter({embedding}, lambda x: x <> 0)) AS BIGINT)"
+
+
+def n_buckets(text: str, dim: int = 64) -> str:
+    """The same of a text's hashed embedding: its tokens' distinct buckets."""
+    tokens = f"regexp_extract_all(lower({text}), {sql_str(P.TOKEN)})"
+    return f"CAST(len(list_distinct(list_transform({tokens}, lambda t: {hex_bucket('t', dim)}))) AS BIGINT)"
+
+
 # ------------------------------------------------------------------ step 5
 def golden_checks_sql(golden: str, hits: str) -> str:
     """Checks of ``golden(qid, dataset, query, expected_citations, min_score)``

@@ -28,6 +28,8 @@ def get_session(app: str = "webcorpus", cores: int | None = None,
                .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+               # test tables are single row groups, which no scan can split
+               .config("webcorpus.scan.partitions", str(cores))
                .config("spark.driver.memory", "16g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

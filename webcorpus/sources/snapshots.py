@@ -1,66 +1,87 @@
 """Versioned tables for the upsert sinks (url state, vectors, answers).
 
 Spark cannot overwrite a path it is reading, so every upsert writes the next
-version of the partitions it touches and readers take the highest one.
-Listing goes through the Hadoop FileSystem of the path, so the same code
-works on local disk and on a cluster's shared storage.
+version of the partitions it touches and readers take the highest committed
+one.  Listing goes through the Hadoop FileSystem of the path, so the same
+code works on local disk and on a cluster's shared storage.
 """
 
 from __future__ import annotations
 
+import uuid
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 class VersionedPartitions:
     """A table partitioned by ``parts`` whose every partition keeps numbered
-    versions: ``{root}/{p1}=a/{p2}=b/v=N``.
+    versions: ``{root}/{p1}=a/{p2}=b/v={N}-{token}``.
 
     A write carries the full new content of the partitions it touches and
-    lands as version ``latest + 1`` of each of them (one job, dynamic
-    partition overwrite, so a replayed write rewrites the same versions);
-    untouched partitions are not rewritten.  A read takes the latest version
-    of every partition.  Partition values are strings.
+    lands as version ``N`` of the table, greater than all committed ones, under
+    a token of its own; untouched partitions are not rewritten.  Once all
+    files are there, the empty file ``{root}/_commits/{N}-{token}`` makes
+    the version visible, in all its partitions at once.  A read takes the
+    latest committed version of every partition, so what a job that died left
+    behind is never read; ``vacuum`` removes it.  A replayed write of a given
+    version is a second commit of the same content.  One writer at a time.
+    Partition values are strings.
     """
 
     def __init__(self, spark: SparkSession, root: str, parts: tuple[str, ...] = ("namespace", "dataset")):
         self.spark, self.root, self.parts = spark, root.rstrip("/"), tuple(parts)
 
-    def latest_versions(self, at_most: int | None = None) -> dict[tuple[str, ...], int]:
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return {}
-        found: dict[tuple[str, ...], int] = {}
+    def _fs(self, path: str):
+        jvm_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return jvm_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm_path
+
+    def commits(self, at_most: int | None = None) -> dict[str, int]:
+        """Committed ``N-token`` → ``N`` (``≤ at_most`` when given)."""
+        fs, path = self._fs(f"{self.root}/_commits")
+        names = [st.getPath().getName() for st in fs.listStatus(path)] if fs.exists(path) else []
+        found = {name: int(name.split("-")[0]) for name in names}
+        return {name: n for name, n in found.items() if at_most is None or n <= at_most}
+
+    def _folders(self) -> dict[tuple[str, ...], list[str]]:
+        """Partition values (as their folders spell them) → the ``N-token`` of its versions, committed or not."""
+        fs, root = self._fs(self.root)
+        found: dict[tuple[str, ...], list[str]] = {}
 
         def walk(path, depth, values):
             for st in fs.listStatus(path):
-                name = st.getPath().getName()
-                if not st.isDirectory() or "=" not in name:
+                col, eq, val = st.getPath().getName().partition("=")
+                if not eq or not st.isDirectory():
                     continue
-                col, val = name.split("=", 1)
                 if depth < len(self.parts) and col == self.parts[depth]:
                     walk(st.getPath(), depth + 1, values + (val,))
                 elif depth == len(self.parts) and col == "v":
-                    if at_most is None or int(val) <= at_most:
-                        found[values] = max(found.get(values, 0), int(val))
+                    found.setdefault(values, []).append(val)
 
-        walk(root, 0, ())
+        if fs.exists(root):
+            walk(root, 0, ())
         return found
 
-    def _path(self, values: tuple[str, ...], version: int) -> str:
+    def _latest(self, at_most: int | None = None) -> dict[tuple[str, ...], str]:
+        known = self.commits(at_most)
+        versions = {k: [v for v in vs if v in known] for k, vs in self._folders().items()}
+        return {k: max(vs, key=lambda v: (known[v], v)) for k, vs in versions.items() if vs}
+
+    def latest_versions(self, at_most: int | None = None) -> dict[tuple[str, ...], int]:
+        """Partition values → number of its latest committed version."""
+        return {tuple(map(unquote, k)): int(v.split("-")[0]) for k, v in self._latest(at_most).items()}
+
+    def _path(self, values: tuple[str, ...], version: str) -> str:
         inner = "/".join(f"{c}={v}" for c, v in zip(self.parts, values))
         return f"{self.root}/{inner}/v={version}"
 
     def read(self, at_most: int | None = None) -> DataFrame | None:
-        """The latest version (≤ ``at_most`` when given) of every partition;
-        partition values come back as strings."""
-        latest = self.latest_versions(at_most)
-        if not latest:
+        """The latest committed version (≤ ``at_most`` when given) of every
+        partition; partition values come back as strings."""
+        paths = [self._path(k, v) for k, v in sorted(self._latest(at_most).items())]
+        if not paths:
             return None
-        paths = [self._path(k, v) for k, v in sorted(latest.items())]
         conf = "spark.sql.sources.partitionColumnTypeInference.enabled"
         before = self.spark.conf.get(conf, "true")
         self.spark.conf.set(conf, "false")
@@ -72,18 +93,26 @@ class VersionedPartitions:
 
     def write(self, df: DataFrame, version: int | None = None) -> None:
         """Write the full new content of the partitions present in ``df`` as
-        version ``version`` (default: each partition's latest + 1)."""
-        from pyspark.sql import functions as F
-        if version is not None:
-            out = df.withColumn("v", F.lit(int(version)))
-        else:
-            latest = self.latest_versions()
-            # folder names are escaped (%XX), column values are not
-            rows = [(*map(unquote, k), v) for k, v in latest.items()]
-            schema = ", ".join(f"{c} string" for c in self.parts) + ", _cur int"
-            current = self.spark.createDataFrame(rows, schema)      # one row per partition
-            out = (df.join(F.broadcast(current), list(self.parts), "left")
-                   .withColumn("v", (F.coalesce(F.col("_cur"), F.lit(0)) + 1).cast("int"))
-                   .drop("_cur"))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*self.parts, "v").parquet(self.root))
+        version ``version`` (default: the latest committed one + 1).  Rows of a
+        partition are gathered to few files; a large one is split."""
+        number = int(version) if version is not None else max(self.commits().values(), default=0) + 1
+        name = f"{number}-{uuid.uuid4().hex}"
+        (df.hint("rebalance", *self.parts).withColumn("v", F.lit(name))
+         .write.mode("append").partitionBy(*self.parts, "v").parquet(self.root))
+        fs, path = self._fs(f"{self.root}/_commits/{name}")
+        fs.create(path, False).close()
+
+    def vacuum(self, keep: int = 2) -> int:
+        """Remove all but the latest ``keep`` committed versions of each partition,
+        and versions that were never committed; returns how many.  Only
+        when no job reads or writes the table."""
+        known = self.commits()
+        old = []
+        for values, versions in self._folders().items():
+            done = sorted((v for v in versions if v in known), key=lambda v: (known[v], v))
+            stay = set(done[-keep:])
+            old += [self._path(values, v) for v in versions if v not in stay]
+        for path in old:
+            fs, folder = self._fs(path)
+            fs.delete(folder, True)
+        return len(old)

@@ -10,39 +10,22 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("pages", "documents", "embeddings", "benchmark", "labels", "conversations", "events")
 
 
-_SCHEMAS: dict[str, object] = {}
-
-
-def read_table(spark: SparkSession, base: str, name: str,
-               columns: Sequence[str] | None = None, fresh: bool = False) -> DataFrame:
-    """Scan ``{base}/{name}.parquet``.  Inputs are taken as immutable for the
-    life of the process: the schema found on the first scan of a path is
-    given to later scans (no footer reads while planning); ``fresh`` forces
-    discovery again."""
-    path = f"{base.rstrip('/')}/{name}.parquet"
-    schema = None if fresh else _SCHEMAS.get(path)
-    df = spark.read.schema(schema).parquet(path) if schema is not None else spark.read.parquet(path)
-    _SCHEMAS[path] = df.schema
+def read_table(spark: SparkSession, base: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Scan ``{base}/{name}.parquet`` (a file or a folder)."""
+    df = spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
 
 
+SCAN_CONF = "webcorpus.scan.partitions"
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a CPU-heavy row stage enough tasks.
-
-    A scan of a few large files can yield fewer partitions than the cluster
-    has cores; then hash-partition on the row's key (the partitioning the
-    later per-key windows and aggregates need anyway, so the shuffle they
-    would add is the one spent here).  A scan with enough splits — the
-    normal case on big inputs — is left as it is.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:       # e.g. a Spark Connect session: leave planning to Spark
-        return df
-    if have >= target:
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
+    """The scan as it is, or, in a session that sets ``webcorpus.scan.partitions``,
+    hash-partitioned on ``keys`` to that many partitions.  That is for inputs
+    whose files cannot be split (a table in one row group, as in local tests); large
+    inputs have splits enough, and there the setting stays unset."""
+    n = df.sparkSession.conf.get(SCAN_CONF, None)
+    return df.repartition(int(n), *keys) if n else df
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -51,13 +34,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     from webcorpus.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """Materialise a derived input that several branches of one plan read:
-    a reliable checkpoint into the shared folder named by
-    ``spark.checkpoint.dir`` — computed once, read back by every branch, and
-    safe to re-read after an executor is lost."""
-    from webcorpus.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -85,13 +85,10 @@ def run_batch(spark: SparkSession, pages: DataFrame, store: str, version: int, a
 
 def start_page_stream(spark: SparkSession, source_dir: str, store: str, checkpoint: str,
                       as_of: str, files_per_trigger: int = 1, available_now: bool = True,
-                      schema: T.StructType = PAGE_SCHEMA, prepare=None, glob: str | None = None):
+                      schema: T.StructType = PAGE_SCHEMA, prepare=None):
     """Start the stream; returns the ``StreamingQuery``.  ``prepare`` maps the
-    files' rows to ``page_id, dataset, url, html`` when they differ; ``glob``
-    limits the folder's files taken."""
+    files' rows to ``page_id, dataset, url, html`` when they differ."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
     stream = reader.parquet(source_dir)
 
     def each(batch: DataFrame, epoch_id: int) -> None:
