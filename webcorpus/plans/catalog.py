@@ -558,8 +558,9 @@ def _vector_meta(spark, base):
 
 
 def _report(spark, base):
+    # a page has chunks if its text is not blank: no need to make them
     datasets = (X.vectors(spark, base).select("dataset")
-                .unionByName(page_chunks(spark, base).select("dataset")))
+                .unionByName(_clean(spark, base).where(T.has_text("text")).select("dataset")))
     return EV.eval_report(_checks(spark, base), datasets)
 
 
