@@ -339,3 +339,33 @@ def test_pipeline_stages_hold_their_contracts(spark):
         assert 0 < after.count() <= 2 * docs.count()
         docs = after
     assert cp.STAGES[-1][1](spark, docs, sf).count() == docs.count()
+
+
+CLASHING = ["doc", "h", "fp", "size", "n", "rank", "key", "value", "row", "hash", "bytes", "words", "copies", "kept_by", "sig", "component_id"]
+
+
+def test_filters_keep_clashing_columns_and_take_empty_tables(spark, corpus):
+    """Operators that return the rows they got: columns named as their own
+    intermediates come back untouched, and an empty table stays empty."""
+    bench = spark.createDataFrame([(1, " ".join(f"word{i}" for i in range(30))), (2, None), (3, "")], "item_id long, text string")
+    docs = frame(spark, corpus)
+    docs = docs.select("*", *[F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(c)
+                              for c in CLASHING])
+    for keep in (simhash.keep_one, mixing.mixed_rows, lambda d: decontam.keep_clean(d, bench),
+                 lambda d: decontam.keep_clean(d, bench.limit(0))):
+        out = keep(docs)
+        assert out.columns == docs.columns and keep(docs.limit(0)).collect() == []
+        for r in out.collect():
+            known = "none" if r["doc_id"] is None else str(r["doc_id"])
+            assert all(r[c] == f"{c} of {known}" for c in CLASHING)
+
+
+def test_empty_tables_give_empty_results(spark):
+    docs = frame(spark, [])
+    assert simhash.near_duplicates(docs).collect() == []
+    assert passages.repeated_passages(docs).collect() == []
+    assert quality.judge(docs).collect() == []
+    assert lm.score(docs).collect() == []
+    assert mixing.mix(docs).collect() == []
+    talk = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert chat.digests(chat.read_back(chat.windows(talk))).collect() == []
