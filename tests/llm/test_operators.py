@@ -301,6 +301,33 @@ def test_passages_shared_between_documents(spark):
     assert passages.repeated_passages(df.limit(0)).collect() == []
 
 
+def test_passages_whose_first_holder_fails(spark):
+    """An earlier document holds only a 45-word run, a frequent line is in all:
+    later documents that share the whole passage are linked all the same, as
+    comparing all pairs finds them."""
+    rng = random.Random(4)
+    line, docs, want = prose(rng, 30), [], set()
+    for k in range(40):
+        words, at = prose(rng, (50, 55, 60)[k % 3]).split(), 10 * len(docs)
+        part, whole = " ".join(words[3:48]), " ".join(words)
+        if k % 2:
+            whole = " ".join(words[:10]) + f" {line} " + " ".join(words[40:])
+            part = " ".join(words[:8]) + f" {line} " + " ".join(words[45:])
+        docs += [(at + i, f"{prose(rng, 70)} {x} {prose(rng, 70)}") for i, x in enumerate([part, whole, whole])]
+        want.add((at + 2, at + 1))
+    docs += [(10000 + i, f"{prose(rng, 70)} {line} {prose(rng, 70)}") for i in range(30)]
+    shingles = {d: [tuple(t.split()[i:i + 50]) for i in range(len(t.split()) - 49)] for d, t in docs}
+    holders = collections.defaultdict(set)
+    for d, runs in shingles.items():
+        for run in runs:
+            holders[run].add(d)
+    assert {(max(h), min(h)) for h in holders.values() if len(h) > 1} == want
+    got = passages.repeated_passages(frame(spark, docs, "doc_id long, text string")).collect()
+    assert want <= {(r.id, r.other_id) for r in got}
+    for r in got:
+        assert r.stop - r.start >= 50 and r.similarity >= 0.8
+
+
 def test_chat_windows_read_back(spark):
     rng = random.Random(1)
     bs = chr(92)
