@@ -237,6 +237,22 @@ def test_decontamination_of_exchanged_values(spark):
     assert decontam.contaminated(docs.limit(0), items).collect() == []
 
 
+def test_decontamination_of_items_with_tokens_put_in_and_left_out(spark):
+    rng = random.Random(6)
+    item = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(40)]
+    one = f"{' '.join(item[:20])} Paris {' '.join(item[20:])}"
+    items = spark.createDataFrame([(1, " ".join(item)), (2, one.replace("w", "v")), (3, "only three words"),
+                                   (4, "Alice has 5 apples. Alice eats 2. Alice keeps 3.")], "item_id long, text string")
+    rows = [(1, " ".join([*item[:20], "added", *item[20:]])), (2, " ".join([*item[:20], *item[21:]])),
+            (3, one.replace("w", "v").replace("Paris", "New York")), (4, " ".join([*item[:20], prose(rng, 12), *item[20:]])),
+            (5, " ".join(item[20:] + item[:20])), (6, f"{prose(rng, 9)} only three words {prose(rng, 9)}"), (7, "only three other words"),
+            (8, " ".join(item[:20])), (9, "on. Bob has 7 apples. Bob eats 4. Bob keeps 3. The"), (10, "on. alice has 5 apples. alice eats 2. alice keeps 3. The"),
+            (11, "on. Bob has 7 apples. Bob eats 4. Carl keeps 3. The")]
+    docs = spark.createDataFrame([(i, f"so {t} end") for i, t in rows], "doc_id long, text string")
+    found = {(r.id, r.item_id) for r in decontam.contaminated(docs, items).collect()}
+    assert found == {(1, 1), (2, 1), (3, 2), (6, 3), (9, 4), (10, 4)}
+
+
 def test_nearest_examples_are_exact():
     rng = np.random.default_rng(5)
     terms = {b"%d" % i: i for i in range(40)}
