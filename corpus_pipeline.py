@@ -46,7 +46,7 @@ def deal_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("toxicity", drop_toxic), ("simhash_near_dedup", drop_near_copies), ("benchmark_decontamination", drop_benchmark),
           ("mixing", mix_sources), ("sharding", deal_shards)]
 
-#: Nearest examples, fingerprints and rounding are not SQL; tests compare each stage with brute force.
+#: Nearest examples, fingerprints and rounding are not SQL; tests check columns and row counts of each stage, and the operators on their own.
 ORACLE_SQL = None
 
 
