@@ -23,7 +23,7 @@ from webcorpus.operators.cleaning import clean_pages
 from webcorpus.operators.sections import explode_lines, line_kinds, sections
 from webcorpus.plans import oracle as O
 from webcorpus.sources import fixtures as X
-from webcorpus.sources.tables import cut_lineage, read_table, spread
+from webcorpus.sources.tables import read_table, spread, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -299,7 +299,7 @@ def q_process_outcomes(spark, base):
 def _clean_hashes(spark, base):
     """Keys and hashes of the cleaned pages, written once: several branches read
     them, and none should clean all HTML again.  No text is kept."""
-    return cut_lineage(X.cleaned_pages(spark, base).select(
+    return written(X.cleaned_pages(spark, base).select(
         "page_id", "dataset", "url", "raw_key", "raw_hash", "text_hash"))
 
 
@@ -332,9 +332,11 @@ LEFT JOIN (SELECT page_id, count(*) AS n_chunks FROM {PAGE_CHUNKS_SQL} GROUP BY
   ON n.page_id = (SELECT c.page_id FROM clean_keyed c WHERE c.raw_key = o.raw_key)
 GROUP BY o.dataset""", "probe_outcomes", "clean_keyed"))
 def q_process_counts(spark, base):
-    clean = _clean_hashes(spark, base)
+    # one cleaning pass: texts and hashes are written, the text is read by the chunker alone
+    clean = written(X.cleaned_pages(spark, base).select(
+        "page_id", "dataset", "url", "raw_key", "raw_hash", "text_hash", "text"))
     outcomes = _process_outcomes(spark, base, clean)
-    chunks = (chunk_documents(_clean(spark, base), ["page_id"], carry=["dataset", "url"])
+    chunks = (chunk_documents(clean, ["page_id"], carry=["dataset", "url"])
               .groupBy("dataset", "url").agg(F.count(F.lit(1)).alias("n_chunks")))
     joined = outcomes.join(chunks, ["dataset", "url"], "left")
     return S.outcome_counts(joined, {"total_chunks": F.coalesce(
