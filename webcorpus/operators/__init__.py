@@ -1,0 +1,8 @@
+"""Operators.  Their functions are sent to Python workers by value, so executors
+need numpy, pandas and pyarrow but no copy of this repository."""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -10,7 +10,7 @@ queries, so its checks stay a table of their own instead of an array.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -111,9 +111,20 @@ def golden_to_json(golden: DataFrame) -> DataFrame:
 
 
 def write_golden(golden: DataFrame, path: str) -> None:
-    """Replace the golden queries of the datasets present (dynamic overwrite)."""
-    (golden_to_json(golden).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("dataset").parquet(path))
+    """Replace the stored golden queries of the datasets present (JSON lines, a folder per dataset)."""
+    (golden.select("dataset", *GOLDEN_SCHEMA.fieldNames()).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("dataset").json(path))
+
+
+def read_golden(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The stored golden queries (no expected citations: an empty list), and ``dataset, line`` of
+    the lines that aren't golden queries."""
+    lines = spark.read.schema("value string, dataset string").text(path).where(F.trim("value") != "")
+    schema = T.StructType([*GOLDEN_SCHEMA.fields, T.StructField("_bad", T.StringType())])
+    rows = lines.select("dataset", "value", F.from_json("value", schema, {"columnNameOfCorruptRecord": "_bad"}).alias("g"))
+    good = rows.where("g._bad is null").select(
+        "dataset", "g.query", F.coalesce("g.expected_citations", F.array().cast("array<string>")).alias("expected_citations"), "g.min_score")
+    return good, rows.where("g._bad is not null").select("dataset", F.col("value").alias("line"))
 
 
 def golden_from_json(lines: DataFrame) -> DataFrame:

@@ -50,6 +50,17 @@ def upsert_vectors(existing: DataFrame, new: DataFrame) -> DataFrame:
     return dedup_vectors(existing.select(*VECTOR_COLUMNS).unionByName(new.select(*VECTOR_COLUMNS)))
 
 
+def live_vectors(chunks: DataFrame, pages: DataFrame) -> DataFrame:
+    """F12 with deletes: vector rows after pages were processed again.
+
+    ``chunks``: vector rows with the ``run`` that made them, one per page and chunk; ``pages``
+    (``dataset, url, run``): the run that last processed each page, also one that found no text.  Only chunks of their page's last
+    run count, so those that left a changed page are gone; a chunk that
+    another page still holds stays, cited from that page."""
+    here = chunks.join(pages.select("dataset", "url", "run"), ["dataset", "url", "run"], "left_semi")
+    return dedup_vectors(here.select(*VECTOR_COLUMNS))
+
+
 def write_vectors(snapshot: DataFrame, path: str) -> None:
     """Write a snapshot partitioned for pruning by namespace and dataset."""
     (snapshot.sortWithinPartitions("namespace", "dataset")

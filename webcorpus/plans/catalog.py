@@ -728,3 +728,7 @@ def q_stream_process(spark, base):
     query.awaitTermination()
     vectors = latest(spark, f"{root}/store", "vectors")
     return vectors.select("namespace", "id", "dataset", "url", "chunk_index")
+
+
+# ======================================================= 8. stored tables and their changes
+from webcorpus.plans import catalog_store  # noqa: E402, F401

@@ -1,26 +1,23 @@
 """User-level jobs, composed of the operators and run against
-one store folder of tables:
-
-    {store}/raw        raw pages, append-only, partitioned by run and dataset
-    {store}/state      url state, partitioned by dataset, each partition versioned
-    {store}/vectors    vectors, partitioned by namespace and dataset, each
-                       partition versioned (only touched partitions rewritten)
-    {store}/golden     golden queries as JSON lines, partitioned by dataset
-    {store}/answers    precomputed answers, partitioned by dataset, each partition versioned
-    {store}/work       pages and chunks of a processing run, a folder for each run
-
-Each job is a Spark plan end to end; the driver only sequences jobs and
-picks snapshot versions.  Writes go to new versions (or new run partitions),
-so a job that dies half-way is re-run from its inputs.
+one store folder of tables that grow by runs (``sources/runs.py``):
+
+    {store}/raw          raw pages of each crawl run
+    {store}/raw_index    raw key → run, so that a read opens only the runs it needs
+    {store}/state        url state; a key's newest row counts
+    {store}/chunks       staging vectors of each processing run, one row per page and chunk
+    {store}/pages        page → processing run; makes that run's chunks of the page count
+    {store}/production   promoted vectors; a dataset's newest promotion counts
+    {store}/answers      precomputed answers, and in answer_hits what they rest on
+
+Each job is a Spark plan end to end; the driver only sequences jobs.  Jobs
+add files and rewrite none, so a job that dies half-way is re-run from its inputs.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from webcorpus.operators import answers as AN
 from webcorpus.operators import evaluate as EV
@@ -29,53 +26,67 @@ from webcorpus.operators import state as S
 from webcorpus.operators.chunking import chunk_documents
 from webcorpus.operators.cleaning import clean_pages
 from webcorpus.operators.embed import hashed_embedder
-from webcorpus.operators.promote import promote
-from webcorpus.operators.vectors import chunk_vectors, upsert_vectors
+from webcorpus.operators.promote import promoted_rows, promotion_result
+from webcorpus.operators.vectors import chunk_vectors, live_vectors
 from webcorpus.sources import raw_store as R
 from webcorpus.sources.robots import robots_allowed
+from webcorpus.sources.runs import RunTable
 from webcorpus.sources.seeds import crawl_frontier
-from webcorpus.sources.snapshots import VersionedPartitions
+from webcorpus.sources.tables import written
 from webcorpus.streaming.pages_stream import STATE_SCHEMA, VECTOR_SCHEMA
 
 
+def _strings(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self.state = VersionedPartitions(spark, f"{self.root}/state", ("dataset",))
-        self.answers = VersionedPartitions(spark, f"{self.root}/answers", ("dataset",))
-        self.vectors = VersionedPartitions(spark, f"{self.root}/vectors", ("namespace", "dataset"))
+
+        def table(name: str, schema: T.StructType, *key: str) -> RunTable:
+            return RunTable(spark, f"{self.root}/{name}", schema, key, ("dataset",))
+
+        self.raw = table("raw", _strings("dataset", "url", "raw_key", "raw_hash", "html"), "raw_key")
+        self.raw_index = table("raw_index", _strings("dataset", "raw_key"), "raw_key")
+        self.state = table("state", STATE_SCHEMA, "key")
+        self.chunks = table("chunks", VECTOR_SCHEMA, "dataset", "url")
+        self.pages = table("pages", _strings("dataset", "url"), "dataset", "url")
+        self.production = table("production", VECTOR_SCHEMA, "dataset")
+        self.answers = table("answers", _strings("dataset", "query_hash", "query", "json"), "dataset", "query_hash")
+        self.answer_hits = table("answer_hits", T.StructType([*_strings("dataset", "query_hash", "id").fields, T.StructField("score", T.DoubleType())]),
+                                 "dataset", "query_hash")
 
     def current_state(self, datasets: DataFrame | None = None) -> DataFrame:
         """The state rows (of ``datasets`` only, when given)."""
-        s = self.state.read()
-        if s is None:
-            return self.spark.createDataFrame([], STATE_SCHEMA)
-        s = s.select(*STATE_SCHEMA.fieldNames())
+        s = self.state.newest().select(*STATE_SCHEMA.fieldNames())
         return s.join(datasets, "dataset", "left_semi") if datasets is not None else s
 
-    def current_vectors(self) -> DataFrame:
-        v = self.vectors.read()
-        return v if v is not None else self.spark.createDataFrame([], VECTOR_SCHEMA)
+    def current_vectors(self, namespace: str | None = None) -> DataFrame:
+        """The vectors that count, of both namespaces or one."""
+        cols = VECTOR_SCHEMA.fieldNames()
+        staging = live_vectors(self.chunks.rows(), self.pages.newest()).select(*cols)
+        production = self.production.newest().select(*cols)
+        return {"staging": staging, "production": production}.get(namespace) if namespace else staging.unionByName(production)
 
-    def raw(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(f"{self.root}/raw")
-        except AnalysisException as e:
-            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):    # no run written yet
-                return None
-            raise
+    def datasets(self) -> DataFrame:
+        """``dataset`` of every live vector row, as many times."""
+        staging = self.chunks.rows().select("dataset", "url", "run").join(self.pages.newest(), ["dataset", "url", "run"], "left_semi")
+        return staging.select("dataset").unionByName(self.production.newest().select("dataset"))
 
-    def written(self, df: DataFrame, path: str) -> DataFrame:
-        """``df`` written to ``path`` and read back: computed once for all its readers."""
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+    def raw_pages(self, keys: DataFrame) -> DataFrame:
+        """The newest page of each raw key of ``keys(dataset, raw_key)``.  The index names the runs that
+        hold them (the driver sees run numbers), and only those runs' files are read."""
+        at = self.raw_index.newest().join(keys.select("raw_key").distinct(), "raw_key", "left_semi").select("raw_key", "run")
+        runs = [r.run for r in at.select("run").distinct().collect()]
+        return self.raw.rows().where(F.col("run").isin(runs)).join(at, ["raw_key", "run"], "left_semi")
 
 
 def harvest(store: Store, seeds: DataFrame, sitemaps: DataFrame, base_urls: DataFrame,
             fetched: DataFrame, rules: DataFrame, agent: str, run: int, as_of: str) -> DataFrame:
     """Seeds → frontier → robots + HTML admission → skip unchanged (raw
     hash against state) → raw pages of this run + state rows → counts."""
-    frontier = crawl_frontier(seeds, sitemaps, base_urls)
+    frontier = written(crawl_frontier(seeds, sitemaps, base_urls))
     got = fetched.join(frontier, ["dataset", "url"], "left_semi")
     # the robots file read is that of the dataset's base URL, also for URLs of other hosts
     bases = base_urls.groupBy("dataset").agg(F.min("base_url").alias("_base"))
@@ -84,63 +95,48 @@ def harvest(store: Store, seeds: DataFrame, sitemaps: DataFrame, base_urls: Data
     ok = F.col("allowed") & F.lower(F.coalesce("content_type", F.lit(""))).contains("text/html")
     got = got.withColumn("raw_hash", F.sha2("html", 256)).withColumn("ok", ok)
     state = store.current_state(frontier.select("dataset").distinct())
-    outcomes = S.crawl_outcomes(frontier, got, state)
+    outcomes = written(S.crawl_outcomes(frontier, got, state))
     changed = (R.with_raw_keys(got.where("ok"))
                .join(outcomes.where(F.col("outcome") == "processed").select("dataset", "url"),
                      ["dataset", "url"], "left_semi"))
-    (changed.select("dataset", "url", "raw_key", "raw_hash", "html").withColumn("run", F.lit(run))
-     .hint("rebalance", "dataset")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run", "dataset").parquet(f"{store.root}/raw"))
+    store.raw.append(changed, run)
+    mine = store.raw.rows().where(F.col("run") == run)      # what the run wrote: nothing is worked out again
+    store.raw_index.append(mine, run)
     stamp = F.to_timestamp(F.lit(as_of))
-    new_rows = S.new_state_rows(S.keep_text_hash(changed, state), "scraped", stamp)
-    # the state partitions of the datasets in this crawl, as their next version
-    store.state.write(S.upsert_state(state, new_rows))
+    store.state.append(S.new_state_rows(S.keep_text_hash(mine.drop("html", "run"), state), "scraped", stamp))
     return S.outcome_counts(outcomes)
 
 
-def latest_raw(raw: DataFrame, keys: DataFrame) -> DataFrame:
-    """A7 over the append-only store: the newest run's page for each key."""
-    hit = raw.join(keys.select("raw_key").distinct(), "raw_key", "left_semi")
-    w = Window.partitionBy("raw_key").orderBy(F.col("run").desc())
-    return hit.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-
-
 def process(store: Store, keys: DataFrame | None, as_of: str, embed=None) -> DataFrame:
     """Raw keys (default: every key of the newest run) → pages → clean →
     skip unchanged text → chunks → vectors (staging) → state; returns counts
     ``processed, skipped, failed, total, total_chunks`` per dataset.
 
-    Cleaned pages and embedded chunks are written once under ``work``; the
-    vector table, the state and the counts are all read from there.
+    The run's chunks count once ``pages`` has its pages: until then, and if the job dies, those of
+    the run before do.  A page that lost chunks, or all its text, loses their vectors (F12).
     ``total_chunks`` counts chunks before equal ones of two pages become one
     vector.  A page whose text is unchanged keeps its vectors and only has its
     state row marked as processed again."""
-    raw = store.raw()
-    if raw is None:
-        empty = store.spark.createDataFrame([], "dataset string, outcome string")
-        return S.outcome_counts(empty, {"total_chunks": F.lit(0).cast("bigint")})
     if keys is None:
-        last = raw.agg(F.max("run")).first()[0]
-        keys = raw.where(F.col("run") == last).select("dataset", "raw_key")
-    work = f"{store.root}/work/{uuid.uuid4().hex}"
+        index = store.raw_index.rows()
+        last = index.agg(F.max("run")).first()[0]
+        keys = index.where(F.col("run") == F.lit(last)).select("dataset", "raw_key")
     state = store.current_state(keys.select("dataset").distinct())
-    pages = latest_raw(raw, keys).select(
+    pages = store.raw_pages(keys).select(
         "dataset", "url", "raw_key", "raw_hash", "html",
         (F.length(F.coalesce("html", F.lit(""))) > 0).alias("has_html"))
-    done = store.written(S.page_outcomes(keys, clean_pages(pages), state), f"{work}/pages")
+    done = written(S.page_outcomes(keys, clean_pages(pages), state))
     stamp = F.to_timestamp(F.lit(as_of))
     todo = done.where(F.col("outcome") == "processed")
     # keyed by the URL itself: a hash of it would let two pages' lines meet
     chunks = chunk_documents(todo, ["dataset", "url"], carry=["title"])
-    staged = store.written(chunk_vectors(chunks, "staging", stamp, embed), f"{work}/chunks")
-    # only the staging partitions of the datasets with new chunks are read and rewritten
-    mine = (store.current_vectors().where(F.col("namespace") == "staging")
-            .join(staged.select("dataset").distinct(), "dataset", "left_semi"))
-    store.vectors.write(upsert_vectors(mine, staged))                  # vectors first
+    run = store.pages.next_run()
+    store.chunks.append(chunk_vectors(chunks, "staging", stamp, embed), run)            # vectors first
+    # a page whose HTML is empty now has failed, and has no text left either
+    store.pages.append(done.where("outcome = 'processed' or (not has_html and url is not null)"), run)
     fresh = done.where(F.col("outcome") != "failed")
-    store.state.write(S.upsert_state(state, S.new_state_rows(fresh, "processed", stamp)))
-    n_chunks = staged.groupBy("dataset").agg(F.count(F.lit(1)).alias("total_chunks"))
+    store.state.append(S.new_state_rows(fresh, "processed", stamp))
+    n_chunks = store.chunks.rows().where(F.col("run") == run).groupBy("dataset").agg(F.count(F.lit(1)).alias("total_chunks"))
     return (S.outcome_counts(done).join(n_chunks, "dataset", "left")
             .withColumn("total_chunks", F.coalesce("total_chunks", F.lit(0).cast("bigint"))))
 
@@ -160,8 +156,7 @@ def evaluate(store: Store, golden: DataFrame, namespace: str = "staging", k: int
 
     ``search(golden, vectors)`` replaces the retrieval: it gets the golden
     queries and the namespace's vectors and returns ``qid, rank, score, url``."""
-    vectors = store.current_vectors()
-    here = vectors.where(F.col("namespace") == namespace)       # prunes the partitions scanned
+    here = store.current_vectors(namespace)
     if search is not None:
         hits = search(golden, here)
     else:
@@ -169,25 +164,21 @@ def evaluate(store: Store, golden: DataFrame, namespace: str = "staging", k: int
         hits = Q.topk_search(g.select("qid", "dataset", F.lit(namespace).alias("namespace"),
                                       F.lit(k).alias("top_k"), "embedding"), here, k=k, payload=("url",))
     checks = EV.golden_checks(golden.drop("embedding"), hits)
-    return checks, EV.eval_report(checks, vectors.select("dataset"))
+    return checks, EV.eval_report(checks, store.datasets())
 
 
 def validate_citations(store: Store, namespace: str = "staging") -> tuple[DataFrame, DataFrame]:
     """W3, second action: whether every chunk of a dataset has its URL, and a
     row with the issue for each chunk that has none."""
-    chunks = store.current_vectors().where(F.col("namespace") == namespace).select("dataset", "id", "url")
+    chunks = store.current_vectors(namespace).select("dataset", "id", "url")
     return EV.citation_report(chunks), EV.uncited_chunks(chunks)
 
 
 def promote_job(store: Store, report: DataFrame) -> DataFrame:
-    """Copy the passed datasets' staging vectors into production; only
-    the production partitions of those datasets are rewritten."""
-    vectors = store.current_vectors()
-    passed = report.where("passed").select("dataset")
-    involved = vectors.join(passed, "dataset", "left_semi")
-    snapshot, result = promote(involved, report)
-    store.vectors.write(snapshot.where(F.col("namespace") == "production"))
-    return result       # reads are pinned to the versions listed before the write
+    """Copy the passed datasets' staging vectors into production, whole rows; a dataset's newest
+    promotion is what production serves, so vectors that left staging leave it too."""
+    run = store.production.append(promoted_rows(store.current_vectors("staging"), report))
+    return promotion_result(store.production.rows().where(F.col("run") == run), report)
 
 
 def retrieve(store: Store, questions: DataFrame, k: int = 5, embed=None) -> DataFrame:
@@ -197,10 +188,9 @@ def retrieve(store: Store, questions: DataFrame, k: int = 5, embed=None) -> Data
     q = with_query_embedding(questions, embed)
     if "top_k" not in q.columns:
         q = q.withColumn("top_k", F.lit(k))
-    vectors = store.current_vectors()
+    vectors = store.current_vectors(None if "namespace" in q.columns else "production")
     if "namespace" not in q.columns:
         q = q.withColumn("namespace", F.lit("production"))
-        vectors = vectors.where(F.col("namespace") == "production")     # prunes the partitions scanned
     hits = Q.with_citation(Q.topk_search(q, vectors, k=k, payload=("url", "title", "text")))
     per_q = hits.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct(
         "rank", "id", "score", "text", "url", "title", "citation"))).alias("results"))
@@ -218,19 +208,58 @@ def answer(store: Store, questions: DataFrame, use_precomputed: bool = True, emb
         hits = res.select("qid", F.explode("results").alias("h")).select("qid", "h.*")
         return AN.answers(missing, hits, fact_extractor)
 
-    store_df = store.answers.read() if use_precomputed else None
-    if store_df is None:
+    if not use_precomputed:
         return generate(questions).withColumn("source", F.lit("generated"))
-    return AN.cached_or_generated(questions, store_df, generate)
-
-
-def precompute_answers(store: Store, questions: DataFrame, embed=None, fact_extractor=None) -> None:
-    """the missing caller of the answer store — generate and store."""
-    ans = answer(store, questions, use_precomputed=False, embed=embed, fact_extractor=fact_extractor)
-    new = AN.answer_records(ans).groupBy("dataset", "query_hash").agg(F.min("json").alias("json"))
-    old = store.answers.read()
-    if old is not None:     # upsert by (dataset, query_hash): the other answers of the touched datasets stay
-        stay = (old.select(*new.columns).join(new.select("dataset").distinct(), "dataset", "left_semi")
-                .join(new.select("dataset", "query_hash"), ["dataset", "query_hash"], "left_anti"))
-        new = new.unionByName(stay)
-    store.answers.write(new)
+    return AN.cached_or_generated(questions, store.answers.newest(), generate)
+
+
+def precompute_answers(store: Store, questions: DataFrame, embed=None, fact_extractor=None) -> int:
+    """the missing caller of the answer store — generate and store, with the hits that each answer rests on;
+    returns the run."""
+    res = written(retrieve(store, questions, embed=embed))
+    hits = res.select("qid", F.explode("results").alias("h")).select("qid", "h.*")
+    ans = AN.answers(questions, hits, fact_extractor)
+    run = store.answers.next_run()
+    based = questions.select("qid", "dataset", AN.query_hash(F.col("query")).alias("query_hash")).join(hits.select("qid", "id", "score"), "qid")
+    store.answer_hits.append(based.dropDuplicates(["dataset", "query_hash", "id"]), run)
+    new = AN.answer_records(ans).join(ans.select("dataset", "query_hash", "query").distinct(), ["dataset", "query_hash"])
+    # questions asked twice have one answer
+    one = new.groupBy("dataset", "query_hash").agg(F.min(F.struct("json", "query")).alias("a")).select("dataset", "query_hash", "a.*")
+    return store.answers.append(one, run)
+
+
+#: Scores of one pair may differ by so much between runs, as sums of products are added in another order.
+SAME_SCORE = 1e-9
+
+
+def stale_answers(store: Store, k: int = 5, embed=None) -> DataFrame:
+    """``dataset, query_hash, query`` of the stored answers that production no longer bears out: one of their
+    hits is gone, or a vector that came with a later promotion belongs among them.  Only such new
+    vectors are searched: of a question's best ``k + 1`` at most ``k`` are hits already, so if any other beats
+    the last hit (by score, then id) or fills a free place, one is seen."""
+    answers = store.answers.newest()
+    hits = store.answer_hits.rows().join(answers.select("dataset", "query_hash", "run"), ["dataset", "query_hash", "run"], "left_semi")
+    live = store.current_vectors("production")
+    gone = hits.join(live.select("dataset", "id"), ["dataset", "id"], "left_anti").select("dataset", "query_hash")
+    every = store.production.rows().select("dataset", "id", "run")
+    first = every.groupBy("dataset", "id").agg(F.min("run").alias("since")).join(every.groupBy("dataset").agg(F.min("run").alias("oldest")), "dataset")
+    new = live.join(first.where("since > oldest").select("dataset", "id"), ["dataset", "id"], "left_semi")
+    asked = with_query_embedding(answers.select("dataset", "query_hash", "query"), embed).withColumns(
+        {"qid": F.xxhash64("dataset", "query_hash"), "namespace": F.lit("production"), "top_k": F.lit(k + 1)})
+    best = Q.topk_search(asked, new, k=k + 1, payload=()).select("qid", "id", "score")
+    worst = F.max(F.struct((-F.col("score")).alias("score"), "id"))
+    held = hits.groupBy("dataset", "query_hash").agg(F.count(F.lit(1)).alias("n"), worst.alias("last"))
+    others = (asked.select("qid", "dataset", "query_hash").join(best, "qid")
+              .join(hits.select("dataset", "query_hash", "id"), ["dataset", "query_hash", "id"], "left_anti")
+              .join(held, ["dataset", "query_hash"], "left"))
+    ahead = F.col("score") + F.col("last.score")
+    enters = F.col("n").isNull() | (F.col("n") < k) | (ahead > SAME_SCORE) | ((F.abs(ahead) <= SAME_SCORE) & (F.col("id") < F.col("last.id")))
+    touched = gone.unionByName(others.where(enters).select("dataset", "query_hash")).distinct()
+    return answers.select("dataset", "query_hash", "query").join(touched, ["dataset", "query_hash"], "left_semi")
+
+
+def refresh_answers(store: Store, embed=None, fact_extractor=None) -> DataFrame:
+    """Make the stale answers anew and leave the others; returns ``dataset, query_hash`` of those made."""
+    stale = written(stale_answers(store, embed=embed))
+    precompute_answers(store, stale.select(F.xxhash64("dataset", "query_hash").alias("qid"), "dataset", "query"), embed, fact_extractor)
+    return stale.select("dataset", "query_hash")

@@ -154,6 +154,67 @@ def robots_rules(spark: SparkSession, base: str) -> DataFrame:
             .select("host", "agent", "seq", "allow", "path_prefix", "outcome"))
 
 
+#: Robots files by host bucket (hash mod 8), saying what the rule templates say.
+ROBOTS_FILES = {
+    1: "# every robot\nUser-Agent: *   # all\nAllow: /fr/1\nDisallow: /fr\n",
+    2: "Disallow: /outside-a-group\n\nUser-agent: *\n\nDisallow: /after-an-empty-line\nSitemap: /sitemap.xml\n",
+    3: "user-agent: otherbot\ndisallow: /other\n\nUSER-AGENT : *\nno field here\ndisallow : /\n",
+    5: "User-agent: thirdbot\nUser-agent: *\nCrawl-delay: 5\n# a comment isn't an empty line\nAllow: /fr/1\nDisallow: /fr\nUser-agent: *\nDisallow: /\n",
+    6: "",
+    7: "User-agent: *\nDisallow: /\n\nUser-agent: lastbot\nUser-agent: WebCorpus\nDisallow: /fr\nRequest-rate: 1/5\n\nUser-agent: webcorpusbot\nDisallow: /\n",
+}
+
+
+def robots_files(spark: SparkSession, base: str) -> DataFrame:
+    """``host, text, outcome``: every page host with the robots file of its bucket; none was read in buckets 0 and 4."""
+    hosts = web_pages(spark, base).select(authority(F.col("url")).alias("host")).distinct()
+    bucket = hex_bucket(F.col("host"), 8)
+    text = F.lit(None).cast("string")
+    for b, body in ROBOTS_FILES.items():
+        text = F.when(bucket == b, F.lit(body)).otherwise(text)
+    return hosts.select("host", text.alias("text"), F.when(text.isNull(), "unreachable").otherwise("ok").alias("outcome"))
+
+
+def broken_sitemaps(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+    """``(seeds, sitemaps)`` with failures: every host has an extra index that lists the host's first
+    ``urlset``, and by host bucket (mod 4) a sitemap that isn't there (0, 1) or is cut off (0, 2); in bucket 3 a seed
+    that isn't there."""
+    hosts = web_pages(spark, base).select("dataset", authority(F.col("url")).alias("host")).distinct()
+    k = hex_bucket(F.col("host"), 4)
+
+    def at(name: str) -> Column:
+        return F.concat(F.lit("https://"), F.col("host"), F.lit(f"/{name}.xml"))
+
+    def entry(name: str) -> Column:
+        return F.concat(F.lit("<sitemap><loc> "), at(name), F.lit(" </loc></sitemap>"))
+
+    body = F.concat(F.lit(f'<sitemapindex xmlns="{SITEMAP_NS}">'), entry("sitemap-0"), F.when(k.isin(0, 1), entry("gone")).otherwise(""),
+                    F.when(k.isin(0, 2), entry("broken")).otherwise(""), F.lit("</sitemapindex>"))
+    one = hosts.select("host").distinct()
+    cut = F.concat(F.lit("<urlset><url><loc>"), at("never"), F.lit("</loc>"))
+    docs = one.select(at("extra_index").alias("sitemap_url"), body.alias("xml")).unionByName(
+        one.where(k.isin(0, 2)).select(at("broken").alias("sitemap_url"), cut.alias("xml")))
+    seeds = hosts.select("dataset", at("extra_index").alias("sitemap_url")).unionByName(
+        hosts.where(k == 3).select("dataset", at("none").alias("sitemap_url")))
+    return seeds, docs.unionByName(sitemap_documents(spark, base))
+
+
+def page_arrivals(spark: SparkSession, base: str) -> DataFrame:
+    """Pages as they arrive, ``seq, dataset, url, html, file``: all in file 0; every second once more in file 1, its
+    HTML unchanged (page_id % 4 = 2) or with a paragraph more (0); every fifth in file 2, emptied (page_id % 15 = 0) or with
+    another paragraph; and every seventh page's first state again in file 2, late (its number is that of file 0)."""
+    p = web_pages(spark, base)
+    n = 10_000_000_000
+    more = F.concat("html", F.lit("<p>A paragraph that came later.</p>"))
+    other = F.when(F.col("page_id") % 15 == 0, "").otherwise(F.concat("html", F.lit("<p>Another paragraph, later still.</p>")))
+    first = p.select(F.col("page_id").alias("seq"), "dataset", "url", "html", F.lit(0).alias("file"))
+    again = p.where("page_id % 2 = 0").select((F.col("page_id") + n).alias("seq"), "dataset", "url",
+                                              F.when(F.col("page_id") % 4 == 0, more).otherwise(F.col("html")).alias("html"), F.lit(1).alias("file"))
+    third = p.where("page_id % 5 = 0").select((F.col("page_id") + 2 * n).alias("seq"), "dataset", "url", other.alias("html"), F.lit(2).alias("file"))
+    late = first.where("seq % 7 = 0").withColumn("file", F.lit(2))
+    return first.unionByName(again).unionByName(third).unionByName(late)
+
+
 def previous_crawl_state(spark: SparkSession, base: str) -> DataFrame:
     """State left by an earlier crawl: page_id % 3 = 0 same raw hash,
     1 another hash, 2 no row."""

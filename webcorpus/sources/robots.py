@@ -16,10 +16,52 @@ rules table is broadcast by Spark's own size check.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from webcorpus.functions.text import authority, robots_path
+from webcorpus.functions.text import authority, robots_path, strip
+
+LINE_END = r"\r\n|[\n\r\x0B\f\x1C-\x1E\x{0085}\x{2028}\x{2029}]"
+#: Lines of a group that aren't agents; a group needs one of them to count.
+GROUP_LINES = ("allow", "disallow", "crawl-delay", "request-rate")
+
+
+def robots_rules(files: DataFrame, agent: str) -> DataFrame:
+    """Robots files ``host, text, outcome`` (one a host) → the rules that ``robots_allowed`` takes.
+
+    The grammar is a scan over lines.  What follows ``#`` is a comment, and
+    lines that aren't ``field: value`` say nothing.  A group is a run of user-agent
+    lines and the lines after it; it ends at the next user-agent line or at an empty line (a line with only a
+    comment isn't empty), and is dropped if it has agents alone.  Rules outside a group say nothing.  Our
+    group is the first one with an agent that our name (up to ``/``) contains, else the first
+    one for ``*``; the first rule whose path starts ours decides.  No path is every
+    path, and ``Disallow:`` without one allows.  Paths are prefixes: ``*`` is an ordinary character, and escapes are
+    compared as written.  Hosts without a group for us get one row without a rule."""
+    name = agent.split("/")[0].lower()
+    lines = files.select("host", F.posexplode(F.split(F.coalesce("text", F.lit("")), LINE_END)).alias("seq", "raw"))
+    body = strip(F.substring_index("raw", "#", 1))
+    lines = lines.select("host", "seq", F.lower(strip(F.substring_index(body, ":", 1))).alias("field"),
+                         F.when(F.instr(body, ":") > 0, strip(F.substr(body, F.instr(body, ":") + 1))).alias("value"), (F.col("raw") == "").alias("empty"))
+    known = F.when(F.col("empty"), "end").when(F.col("value").isNull(), None).when(F.col("field") == "user-agent", "agent").when(
+        F.col("field").isin(*GROUP_LINES), "rule")
+    lines = lines.withColumn("kind", known).where("kind is not null")
+    order = Window.partitionBy("host").orderBy("seq")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.last(F.when(F.col("kind") != "rule", F.col("kind")), ignorenulls=True).over(before) == "agent"
+    lines = lines.withColumn("inside", F.coalesce(inside, F.lit(False))).where("kind <> 'rule' or inside")
+    starts = (F.col("kind") == "agent") & (F.coalesce(F.lag("kind").over(order), F.lit("end")) != "agent")
+    lines = lines.withColumn("grp", F.sum(starts.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    value = F.lower("value")
+    groups = lines.groupBy("host", "grp").agg(
+        F.bool_or((F.col("kind") == "agent") & (value == "*")).alias("star"),
+        F.bool_or((F.col("kind") == "agent") & F.lit(name).contains(value)).alias("own"), F.bool_or(F.col("kind") == "rule").alias("whole"))
+    mine = groups.where("whole and (own or star)").select("host", "grp", F.when(F.col("star"), "*").otherwise(agent).alias("agent"))
+    mine = mine.groupBy("host", "agent").agg(F.min("grp").alias("grp"))
+    paths = lines.where(F.col("field").isin("allow", "disallow") & (F.col("kind") == "rule")).select(
+        "host", "grp", "seq", ((F.col("field") == "allow") | (F.col("value") == "")).alias("allow"),
+        F.when(F.col("value") == "", "/").otherwise(F.col("value")).alias("path_prefix"))
+    return (files.select("host", "outcome").join(mine, "host", "left").join(paths, ["host", "grp"], "left")
+            .select("host", "agent", "seq", "allow", "path_prefix", "outcome"))
 
 
 def host_rules(rules: DataFrame, agent: str) -> DataFrame:

@@ -34,3 +34,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     from webcorpus.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table of its own in the folder named by ``spark.checkpoint.dir``, read back: a lineage
+    cut whose later scans read only the columns they need."""
+    import uuid
+
+    from webcorpus.session import ensure_checkpoint_dir
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
