@@ -1,14 +1,15 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max
 inverted index, distance-weighted votes, calibrated scores and evidence.
 
-Terms are words (A-Z lower-cased, ASCII punctuation stripped) and the letter
-groups that words begin with; the vocabulary is chosen from the labelled
-rows by how much a term's presence says about the label, so that invented or
-misspelt words still meet a known beginning.  Labelled examples (a bounded,
-documented sample) are weighted by TF-IDF and stored as posting lists in
-blocks; each term keeps its largest weight per block.  A text is compared
-with blocks in the order of their bounds until no block can hold a nearer
-example, so the nearest examples are exact.
+Labelled examples (a bounded, documented sample) are indexed under all their words
+(A-Z lower-cased, ASCII punctuation stripped), weighted by TF-IDF with document frequencies over all
+documents.  Words, and letter groups that words begin with, whose presence among the labelled rows speaks for
+the label are terms once more, with ``EXTRA`` times the weight: invented or
+misspelt words then meet a known beginning, and a few telling words aren't
+drowned in a long text.  The index holds posting lists by blocks of similar examples, with
+each term's largest weight per block; words that many examples have are columns of a small
+dense matrix instead.  A text visits blocks in the order of their bounds until no block can
+hold a nearer example, so the nearest examples are exact.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +34,14 @@ TERMS, STEMS, LEAST_ROWS = 2_000, (4, 5, 6, 7), 4
 DENSE = 150
 #: A term must be so many times as frequent under label 1, and its likelihood ratio (chi-square) so large.
 LIFT, RATIO = 8.0, 20.0
-#: Examples in a block; neighbours that vote.
-BLOCK, K = 64, 25
+#: Weight of a telling term beside that of a word.
+EXTRA = 10.0
+#: Letters of example texts at most (fewer examples are taken of longer texts).
+LETTERS = 48 << 20
+#: Examples nearer than this are taken for copies, surely so at 1.
+COPY = 0.9
+#: Examples in a block; neighbours that vote; words that are columns, and blocks visited first.
+BLOCK, K, COLUMNS, FIRST = 64, 25, 512, 6
 #: Words whose terms a task remembers.
 MEMORY = 200_000
 STRIP = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -44,34 +52,51 @@ def word_terms(word: bytes) -> tuple[bytes, ...]:
     w = word.strip(STRIP)
     if not w:
         return ()
+    if w.isascii():
+        size = len(w)
+        return (w, *[w[:n] + b"-" for n in STEMS if size >= n])
     letters = w.decode("utf-8", "replace")
-    return (w, *(letters[:n].encode() + b"-" for n in STEMS if len(letters) >= n))
+    return (w, *[letters[:n].encode() + b"-" for n in STEMS if len(letters) >= n])
 
 
 @dataclass
 class Index:
-    """Vocabulary with IDF, examples as block-max posting lists, and calibration."""
-    terms: dict[bytes, int]
-    idf: np.ndarray
+    """Terms with IDF, examples as block-max posting lists, and calibration."""
+    lean: dict[bytes, int]   # telling term → its term number
+    words: np.ndarray        # sorted hashes of words; a word's place is its term number
+    idf: np.ndarray          # by term: words, then telling terms
     ids: np.ndarray          # example → document id (evidence)
     label: np.ndarray        # example → 0 or 1
     weight: np.ndarray       # example → rows of its label that it stands for
-    post_start: np.ndarray   # term, block → first posting
+    column: np.ndarray       # term → column of the dense matrix, or -1
+    dense: np.ndarray        # example, column → value
+    entry_start: np.ndarray  # term → its first entry; an entry is a block that has it
+    entry_block: np.ndarray
+    entry_max: np.ndarray    # largest value of the term in the block
+    post_start: np.ndarray   # entry → its first posting
     post_example: np.ndarray
     post_value: np.ndarray
-    block_max: np.ndarray    # term, block → largest value
-    n_blocks: int
-    prior: float             # share of label 1 among texts without any term
+    prior: float             # share of label 1 among the labelled rows
     slope: float = 1.0
     offset: float = 0.0
 
 
-def vector(counts: Counter, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Term counts → (terms, unit-length TF-IDF weights)."""
-    if not counts:
+def word_hash(word: bytes) -> int:
+    """Words are told apart by 64-bit hashes (two of a million words agree with a chance of 3e-8)."""
+    return xxhash.xxh64_intdigest(word)
+
+
+def ranges(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges ``start..end``, in order."""
+    size = end - start
+    return np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
+
+
+def vector(t: np.ndarray, n: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Terms and counts → (terms, unit-length TF-IDF weights)."""
+    if not len(t):
         return np.empty(0, np.int64), np.empty(0)
-    t = np.fromiter(counts, np.int64, len(counts))
-    v = (1 + np.log(np.fromiter(counts.values(), np.float64, len(counts)))) * idf[t]
+    v = (1 + np.log(n)) * idf[t]
     order = np.argsort(t)
     t, v = t[order], v[order]
     return t, v / np.sqrt((v * v).sum())
@@ -88,62 +113,114 @@ def all_terms(text: bytes) -> set[bytes]:
 
 
 class TermCounter:
-    """Counts a text's vocabulary terms, remembering the terms of frequent words."""
+    """A text's words (``place`` of their hash, count) and telling terms (number, count), remembering frequent words.
+    Words whose place is -1 are left out."""
 
-    def __init__(self, terms: dict[bytes, int]):
-        self.terms, self.known = terms, {}
+    def __init__(self, terms: dict[bytes, int], place=lambda h: h):
+        self.terms, self.place, self.known = terms, place, {}
         # beginnings are counted even where only their dense term is in the vocabulary
         stems = {t.removesuffix(b"!") for t in terms if t.endswith(b"-") or t.endswith(b"-!")}
         self.local = {t: i for i, t in enumerate({*terms, *stems})}
         self.own = {i: terms[t] for t, i in self.local.items() if t in terms}
         self.dense = {self.local[t]: terms[t + b"!"] for t in stems if t + b"!" in terms}
 
-    def __call__(self, text: bytes) -> Counter:
+    def look(self, word: bytes) -> tuple:
+        terms, local = word_terms(word), self.local
+        got = (self.place(word_hash(terms[0])), [local[t] for t in terms if t in local] or None) if terms else (-1, None)
+        got = () if got == (-1, None) else got
+        if len(self.known) < MEMORY:
+            self.known[word] = got
+        return got
+
+    def __call__(self, text: bytes) -> tuple[dict[int, int], dict[int, int]]:
         seen: Counter = Counter()
-        known, local, total = self.known, self.local, 0
-        for w, n in Counter(lower_words(text)).items():
-            total += n
+        plain: dict[int, int] = {}
+        words = lower_words(text)
+        known, look = self.known, self.look
+        for w, n in Counter(words).items():
             got = known.get(w)
             if got is None:
-                got = tuple(local[t] for t in word_terms(w) if t in local)
-                if len(known) < MEMORY:
-                    known[w] = got
-            for t in got:
-                seen[t] += n
-        out: Counter = Counter({self.own[t]: n for t, n in seen.items() if t in self.own})
+                got = look(w)
+            if got:
+                at, telling = got
+                if at != -1:
+                    plain[at] = plain.get(at, 0) + n
+                if telling:
+                    for t in telling:
+                        seen[t] += n
+        out = {self.own[t]: n for t, n in seen.items() if t in self.own}
         for t, n in seen.items():
-            if t in self.dense and n * DENSE >= total:
+            if t in self.dense and n * DENSE >= len(words):
                 out[self.dense[t]] = n
-        return out
+        return plain, out
+
+
+def place_in(words: np.ndarray):
+    """Hash → its place among ``words``, or -1."""
+    places = dict(zip(words.tolist(), range(len(words))))
+    return lambda h: places.get(h, -1)
+
+
+def arrays(plain: dict[int, int], told: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Term numbers and counts."""
+    n = len(plain) + len(told)
+    return np.fromiter((*plain, *told), np.int64, n), np.fromiter((*plain.values(), *told.values()), np.float64, n)
+
 
+def dense_scores(ix: Index, vecs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Per vector its product with every example over the dense columns: one matrix product for all."""
+    q = np.zeros((len(vecs), ix.dense.shape[1]))
+    for row, (t, v) in zip(q, vecs):
+        col = ix.column[t]
+        row[col[col >= 0]] = v[col >= 0]
+    return q @ ix.dense.T
 
-def nearest(ix: Index, t: np.ndarray, v: np.ndarray, k: int, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
+
+def nearest(ix: Index, t: np.ndarray, v: np.ndarray, k: int, leave: int = -1, base: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The ``k`` examples of largest cosine with a unit vector (ties: the first
     example), and their cosines; ``leave`` is left out.  Exact: a block is
-    skipped only if its bound is below the k-th cosine found."""
-    bound = v @ ix.block_max[t]
+    skipped only if its bound is below the k-th cosine found.  The bound is the
+    block's best dense score (``base``, of ``dense_scores``) and the largest value of each other term."""
+    base = dense_scores(ix, [(t, v)])[0] if base is None else base
+    sparse = ix.column[t] < 0
+    t, v = t[sparse], v[sparse]
+    start, end = ix.entry_start[t], ix.entry_start[t + 1]
+    entry, x = ranges(start, end), np.repeat(v, end - start)
+    block = ix.entry_block[entry]
+    n_blocks = len(base) // BLOCK
+    bound = base.reshape(n_blocks, BLOCK).max(axis=1) + np.bincount(block, ix.entry_max[entry] * x, n_blocks)
+    order = np.argsort(-bound, kind="stable")
     best_i, best_s = np.empty(0, np.int64), np.empty(0)
-    for b in np.argsort(-bound, kind="stable"):
-        if bound[b] <= 0 or (len(best_s) == k and bound[b] < best_s[-1] - 1e-12):
+    done, step = 0, FIRST
+    while done < n_blocks:
+        least = best_s[-1] - 1e-9 if len(best_s) == k else 0.0
+        take = order[done:done + step]      # a few blocks, then all others that can hold a nearer example
+        take = take[(bound[take] >= least) & (bound[take] > 0)]
+        if not len(take):
             break
-        score = np.zeros(BLOCK)
-        for term, x in zip(t, v):
-            s, e = ix.post_start[term * ix.n_blocks + b], ix.post_start[term * ix.n_blocks + b + 1]
-            score[ix.post_example[s:e] - b * BLOCK] += x * ix.post_value[s:e]
-        hit = np.flatnonzero(score > 0)
-        hit = hit[hit + b * BLOCK != leave]
-        i, s = np.r_[best_i, hit + b * BLOCK], np.r_[best_s, score[hit]]
-        order = np.lexsort((i, -np.round(s, 12)))[:k]
-        best_i, best_s = i[order], s[order]
+        place = np.full(n_blocks, -1)
+        place[take] = np.arange(len(take))
+        pick = place[block] >= 0
+        lo, hi = ix.post_start[entry[pick]], ix.post_start[entry[pick] + 1]
+        post = ranges(lo, hi)
+        example = ix.post_example[post]
+        score = np.bincount(place[example // BLOCK] * BLOCK + example % BLOCK, ix.post_value[post] * np.repeat(x[pick], hi - lo), len(take) * BLOCK)
+        rows = (take[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+        s = np.round(score + base[rows], 10)
+        hit = (s > max(least, 0)) & (rows != leave) & (rows < len(ix.label))
+        i, s = np.r_[best_i, rows[hit]], np.r_[best_s, s[hit]]
+        by = np.lexsort((i, -s))[:k]
+        best_i, best_s = i[by], s[by]
+        done, step = done + step, n_blocks
     return best_i, best_s
 
 
-def votes(ix: Index, t: np.ndarray, v: np.ndarray, k: int, leave: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
-    """Distance-weighted share of label 1 among the nearest examples, smoothed
-    by the prior as one more, far neighbour."""
-    i, s = nearest(ix, t, v, k, leave) if len(t) else (np.empty(0, np.int64), np.empty(0))
-    w = s * s * ix.weight[i]
-    far = 0.05 * float(ix.weight.min(initial=1.0))
+def votes(ix: Index, t: np.ndarray, v: np.ndarray, k: int, leave: int = -1, base: np.ndarray | None = None) -> tuple[float, np.ndarray, np.ndarray]:
+    """Distance-weighted share of label 1 among the nearest examples (a copy counts fifty times as much as an
+    example at a right angle would), smoothed by the prior as one more, far neighbour."""
+    i, s = nearest(ix, t, v, k, leave, base) if len(t) else (np.empty(0, np.int64), np.empty(0))
+    w = s * s / (1.02 - np.minimum(s, 1.0)) * ix.weight[i]
+    far = 0.002 * float(ix.weight.min(initial=1.0))
     return (float((w * ix.label[i]).sum()) + far * ix.prior) / (float(w.sum()) + far), i, s
 
 
@@ -156,13 +233,17 @@ def score_of(ix: Index, share: float) -> float:
     return float(1 / (1 + np.exp(-(ix.slope * logit(share) + ix.offset))))
 
 
-def build_index(terms: dict[bytes, int], idf: np.ndarray, examples: list[tuple[int, int, dict[int, int]]],
+def build_index(lean: dict[bytes, int], words: np.ndarray, idf: np.ndarray, examples: list[tuple[int, int, np.ndarray, np.ndarray]],
                 totals: tuple[int, int]) -> Index:
-    """Examples (id, label, term counts) and the number of labelled rows by
+    """Examples (id, label, terms, counts) and the number of labelled rows by
     label → index.  Similar examples are put next to each other (by their
-    heaviest terms), which makes the bounds of blocks tight."""
-    vecs = [vector(Counter(c), idf) for _, _, c in examples]
-    lead = [tuple(t[np.argsort(-v, kind="stable")][:4]) for t, v in vecs]
+    heaviest shared terms), which makes the bounds of blocks tight."""
+    vecs = [vector(t, n, idf) for _, _, t, n in examples]
+    held = np.bincount(np.concatenate([t for t, _ in vecs] or [np.empty(0, np.int64)]), minlength=len(idf))
+    lead = []
+    for t, v in vecs:
+        common = np.flatnonzero(held[t] * 100 >= len(vecs))
+        lead.append(tuple(t[common[np.argsort(-v[common], kind="stable")][:6]].tolist()))
     order = sorted(range(len(examples)), key=lambda j: (lead[j], examples[j][0]))
     label = np.array([examples[j][1] for j in order], np.int64)
     vecs = [vecs[j] for j in order]
@@ -172,19 +253,29 @@ def build_index(terms: dict[bytes, int], idf: np.ndarray, examples: list[tuple[i
     term = np.concatenate([t for t, _ in vecs] or [np.empty(0, np.int64)])
     value = np.concatenate([v for _, v in vecs] or [np.empty(0)])
     example = np.repeat(np.arange(len(vecs)), [len(t) for t, _ in vecs])
+    # terms that many examples have: columns
+    wide = np.argsort(-held, kind="stable")[:COLUMNS]
+    wide = wide[held[wide] * 20 >= max(1, len(vecs))]
+    column = np.full(len(idf), -1)
+    column[wide] = np.arange(len(wide))
+    dense = np.zeros((n_blocks * BLOCK, len(wide)))
+    inside = column[term] >= 0
+    dense[example[inside], column[term[inside]]] = value[inside]
+    term, value, example = term[~inside], value[~inside], example[~inside]
     cell = term * n_blocks + example // BLOCK
     by = np.lexsort((example, cell))
     cell, example, value = cell[by], example[by], value[by]
-    start = np.searchsorted(cell, np.arange(len(idf) * n_blocks + 1))
-    block_max = np.zeros(len(idf) * n_blocks)
-    np.maximum.at(block_max, cell, value)
-    blank = np.array([not len(t) for t, _ in vecs], bool)
-    w = weight[blank]
-    prior = (float((w * label[blank]).sum()) + 0.5) / (float(w.sum()) + 1)
-    ix = Index(terms, idf, np.array([examples[j][0] for j in order], np.int64), label, weight, start, example, value,
-               block_max.reshape(len(idf), n_blocks), n_blocks, prior)
+    entry, post_start = np.unique(cell, return_index=True)
+    entry_max = np.maximum.reduceat(value, post_start) if len(entry) else np.empty(0)
+    entry_start = np.searchsorted(entry, np.arange(len(idf) + 1) * n_blocks)
+    prior = (totals[1] + 0.5) / (sum(totals) + 1)
+    ix = Index(lean, words, idf, np.array([examples[j][0] for j in order], np.int64), label, weight, column, dense,
+               entry_start, (entry % n_blocks).astype(np.int32), entry_max, np.r_[post_start, len(value)], example.astype(np.int32), value, prior)
+    # words that no other example has would not be in the index if the example weren't
+    vecs = [vector(*(x[held[examples[j][2]] > 1] for x in examples[j][2:]), idf) for j in order]
     # calibration: a logistic curve through the leave-one-out votes, each label at its own weight
-    x = np.array([logit(votes(ix, t, v, K, j)[0]) for j, (t, v) in enumerate(vecs)])
+    x = np.array([logit(votes(ix, *vecs[j + i], K, j + i, base)[0]) for j in range(0, len(vecs), BLOCK)
+                  for i, base in enumerate(dense_scores(ix, vecs[j:j + BLOCK]))])
     a, b = 1.0, 0.0
     if len(set(label.tolist())) == 2:
         w = weight / weight.sum()
@@ -202,7 +293,7 @@ def build_index(terms: dict[bytes, int], idf: np.ndarray, examples: list[tuple[i
 def fit(docs: DataFrame, labels: DataFrame, fold: int | None = 5, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", sample: int = SAMPLE, examples: int = EXAMPLES) -> Index:
     """Index of labelled rows (those whose crc32 of the id mod ``fold`` is 0 are
-    left out).  ``sample`` bounds the rows whose terms are counted and
+    left out); document frequencies are counted over all of ``docs``.  ``sample`` bounds the rows whose terms are counted and
     ``examples`` the examples of each label; both are taken by a hash of the
     id.  Null labels and ids are no labels; an id labelled twice counts once,
     as toxic if either row says so.  Without labelled rows every score is
@@ -246,29 +337,76 @@ def fit(docs: DataFrame, labels: DataFrame, fold: int | None = 5, id_col: str =
     lift = ((n1 + 0.5) / (m[1] + 1)) / ((n0 + 0.5) / (m[0] + 1))
     chosen = (counted.withColumn("ratio", ratio).where((lift > LIFT) & (F.col("ratio") > RATIO))
               .orderBy(F.round("ratio", 6).desc(), "term").limit(TERMS).select("term", "n0", "n1").collect())
-    terms = {bytes(r["term"]): j for j, r in enumerate(chosen)}
-    # document frequencies at the labels' true shares
-    total = max(1, sum(n.values()))
-    df = np.array([r["n0"] / max(share[0], 1e-12) + r["n1"] / max(share[1], 1e-12) for r in chosen])
-    idf = np.log((1 + total) / (1 + np.minimum(df, total))) + 1.0
+    lean = {bytes(r["term"]): j for j, r in enumerate(chosen)}
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = TermCounter(terms)
+        counter = TermCounter(lean)
         for b in slices(batches):
             got = [counter(x) for x in as_bytes(b.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("label"), pa.array([list(c) for c in got], pa.list_(pa.int64())),
-                 pa.array([list(c.values()) for c in got], pa.list_(pa.int64()))], names=["id", "label", "t", "n"])
+            lists = [pa.array([np.fromiter(f(d), np.uint64 if x == 0 and f is dict.keys else np.int64, len(d)).view(np.int64) for d in (g[x] for g in got)],
+                              pa.list_(pa.int64())) for x in (0, 1) for f in (dict.keys, dict.values)]
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("label"), *lists], names=["id", "label", "w", "wn", "t", "tn"])
 
     near = {x: min(1.0, examples / max(1, n.get(x, 0))) for x in (0, 1)}
-    few = rows.where(F.col("u") < F.when(F.col("label") == 1, near[1]).otherwise(near[0])).select("id", "label", "text")
-    got = few.mapInArrow(vectors, "id long, label int, t array<long>, n array<long>").collect()   # about 2 x ``examples`` sparse rows
-    seen = {r["id"]: (r["id"], r["label"], dict(zip(r["t"], r["n"]))) for r in sorted(got, key=lambda r: (r["id"], r["t"], r["n"]))}
-    return build_index(terms, idf, [seen[i] for i in sorted(seen)], (n.get(0, 0), n.get(1, 0)))
+    closest = rows.where(F.col("u") < F.when(F.col("label") == 1, near[1]).otherwise(near[0])).select("id", "label", "u", "text")
+    letters = closest.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    if letters > LETTERS:
+        near = {x: share * LETTERS / letters for x, share in near.items()}
+        closest = closest.where(F.col("u") < F.when(F.col("label") == 1, near[1]).otherwise(near[0]))
+    got = closest.select("id", "label", "text").mapInArrow(vectors, "id long, label int, w array<long>, wn array<long>, t array<long>, tn array<long>").toArrow()
+    by = sorted(range(got.num_rows), key=lambda i: (got["id"][i].as_py(), got["w"][i].as_py()))
+    last = {got["id"][i].as_py(): i for i in reversed(by)}     # a repeated id is one example
+    cells = {c: [got[c][i].values.to_numpy() for i in last.values()] for c in ("w", "wn", "t", "tn")}
+    ids, marks = list(last), [got["label"][i].as_py() for i in last.values()]
+    words = np.unique(np.concatenate([np.empty(0, np.int64), *cells["w"]]).view(np.uint64))
+    # document frequencies: of words over all documents, of telling terms over the labelled rows at the labels' true shares
+    df, n_docs = document_frequencies(docs, words, text_col)
+    idf_words = np.log((1 + n_docs) / (1 + df)) + 1.0
+    total = max(1, sum(n.values()))
+    told = np.array([r["n0"] / max(share[0], 1e-12) + r["n1"] / max(share[1], 1e-12) for r in chosen])
+    idf = np.r_[idf_words, EXTRA * (np.log((1 + total) / (1 + np.minimum(told, total))) + 1.0)]
+    lean = {t: len(words) + j for t, j in lean.items()}
+    made = [(i, x, np.r_[np.searchsorted(words, w.view(np.uint64)), len(words) + t], np.r_[wn, tn].astype(np.float64))
+            for i, x, w, wn, t, tn in zip(ids, marks, cells["w"], cells["wn"], cells["t"], cells["tn"])]
+    order = sorted(range(len(made)), key=lambda j: made[j][0])
+    return build_index(lean, words, idf, [made[j] for j in order], (n.get(0, 0), n.get(1, 0)))
+
+
+def document_frequencies(docs: DataFrame, words: np.ndarray, text_col: str) -> tuple[np.ndarray, int]:
+    """In how many of all documents each word of the index occurs, and how many documents there are; tasks send counts of the
+    index's words alone."""
+    sent = docs.sparkSession.sparkContext.broadcast(words)      # as many as the examples have
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = sent.value
+        place, known = place_in(vocabulary), {}
+        df, n = np.zeros(len(vocabulary) + 1, np.int64), 0
+        for b in slices(batches):
+            n += b.num_rows
+            for text in as_bytes(b.column("text")):
+                have = set()
+                for w in set(lower_words(text)):
+                    at = known.get(w)
+                    if at is None:
+                        bare = w.strip(STRIP)
+                        at = place(word_hash(bare)) if bare else -1
+                        if len(known) < MEMORY:
+                            known[w] = at
+                    have.add(at)
+                df[np.fromiter(have, np.int64, len(have))] += 1     # -1, other words, falls on the last cell
+        df[len(vocabulary)] = n
+        used = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(df[used])], names=["term", "n"])
+
+    src = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    got = src.mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(len(words) + 1, np.int64)
+    df[got["term"].to_numpy()] = got["n"].to_numpy()
+    return df[:-1], int(df[-1])
 
 
 def ship(spark: SparkSession, ix: Index):
-    return spark.sparkContext.broadcast(dict(vars(ix)))    # at most TERMS terms and 2 x EXAMPLES sparse examples
+    return spark.sparkContext.broadcast(dict(vars(ix)))    # the words of at most ``LETTERS`` letters, and at most TERMS telling terms
 
 
 def blank_score(ix: Index) -> float:
@@ -276,31 +414,37 @@ def blank_score(ix: Index) -> float:
 
 
 def scorer(ix: Index, evidence: int):
-    counter = TermCounter(ix.terms)
+    counter = TermCounter(ix.lean, place_in(ix.words))
     empty = blank_score(ix)
 
-    def one(text: bytes) -> tuple[float, list[int]]:
-        c = counter(text)
-        if not c or not len(ix.label):
-            return empty, []
-        share, i, s = votes(ix, *vector(c, ix.idf), K)
-        return score_of(ix, share), ix.ids[i[:evidence]].tolist()
+    def some(texts: list[bytes]) -> Iterator[tuple[float, list[int]]]:
+        for j in range(0, len(texts), BLOCK):
+            vecs = [vector(*arrays(*counter(x)), ix.idf) for x in texts[j:j + BLOCK]]
+            for (t, v), base in zip(vecs, dense_scores(ix, vecs)):
+                if not len(t) or not len(ix.label):
+                    yield empty, []
+                    continue
+                share, i, s = votes(ix, t, v, K, -1, base)
+                p, sure = score_of(ix, share), min(1.0, max(0.0, float(s[0]) - COPY) / (1 - COPY)) if len(s) else 0.0
+                if sure:    # a labelled copy speaks for itself, whatever far neighbours are worth
+                    same = ix.label[i[s > COPY]]
+                    p = (1 - sure) * p + sure * (same.sum() + 0.02) / (len(same) + 0.04)
+                yield p, ix.ids[i[:evidence]].tolist()
 
-    return one
+    return some
 
 
 def scores(docs: DataFrame, ix: Index, id_col: str = "doc_id", text_col: str = "text", evidence: int = 3) -> DataFrame:
     """``(id, score, evidence)`` per row: the calibrated chance of label 1 and the
     ids of the nearest labelled examples.  A null or empty text, or one
-    without any term of the vocabulary, has the score of such texts among
-    the examples.  Ids are carried, never looked at."""
+    without any word of the examples, has the score of the prior.  Ids are carried, never looked at."""
     sent = ship(docs.sparkSession, ix)
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = scorer(Index(**sent.value), evidence)
+        some = scorer(Index(**sent.value), evidence)
         for b in slices(batches):
-            got = [one(x) for x in as_bytes(b.column("text"))]
+            got = list(some(as_bytes(b.column("text"))))
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], pa.list_(pa.int64()))],
                 names=["id", "score", "evidence"])
@@ -313,8 +457,8 @@ def keep_clean(docs: DataFrame, ix: Index, text_col: str = "text", threshold: fl
     sent = ship(docs.sparkSession, ix)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = scorer(Index(**sent.value), 0)
+        some = scorer(Index(**sent.value), 0)
         for b in slices(batches):
-            yield b.filter(pa.array([one(x)[0] < threshold for x in as_bytes(b.column(text_col))], pa.bool_()))
+            yield b.filter(pa.array([x[0] < threshold for x in some(as_bytes(b.column(text_col)))], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
