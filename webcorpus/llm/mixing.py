@@ -7,8 +7,9 @@ on mass (fraction x words): two documents trade mass at random, without bias,
 until one of them is taken or left for good, so the words taken by a source
 stay equal to its target.  Documents trade inside small blocks; each block
 leaves at most one fractional document, and the leftovers of the blocks trade
-again, level by level, until one per source remains and is rounded by its own
-chance.  A source therefore misses its target by less than one document.
+again, level by level, until at most ``2 * BLOCK`` a source remain.  Those are rounded long before
+short, each handing its rounding error to the next, so a source misses its
+target by about half a short document.
 """
 
 from __future__ import annotations
@@ -80,10 +81,18 @@ def trade(seed: int, level: int):
     return step
 
 
+def round_on(acc: Column, x: Column) -> Column:
+    """One step of the last fold: a document and the error so far, in words, are rounded together."""
+    mass = x["p"] * x["size"] + acc["error"]
+    up = F.when(mass * 2 >= x["size"], 1).otherwise(0)
+    return F.struct((mass - up * x["size"]).cast("double").alias("error"),
+                    F.concat(acc["done"], F.array(F.struct(x["key"].alias("key"), up.cast("int").alias("up")))).alias("done"))
+
+
 def pivotal(items: DataFrame, seed: int) -> DataFrame:
     """``items(source, key, size, p)``, 0 < p < 1 → ``(source, key, up)``, one
     row per item; ``up`` is 0 or 1.  Sums of size * p per source are kept but
-    for the last item's rounding."""
+    for what the last, short items can't make up."""
     live = cut(items)
     done: list[DataFrame] = []
     level = 0
@@ -97,9 +106,15 @@ def pivotal(items: DataFrame, seed: int) -> DataFrame:
         dealt = live.withColumnRenamed("source", "s").join(
             hinted(counts), F.col("s").eqNullSafe(F.col("source"))).drop("s")
         dealt = dealt.withColumn("block", F.pmod(F.xxhash64(F.lit(seed), F.lit(level), F.col("key")), blocks))
-        met = F.array_sort(F.collect_list(F.struct(F.xxhash64(F.lit(seed + level), F.col("key")).alias("o"), "key", "size", "p")))
+        turn = (-F.col("size")) if last else F.xxhash64(F.lit(seed + level), F.col("key"))
+        met = F.array_sort(F.collect_list(F.struct(turn.alias("o"), F.xxhash64(F.lit(seed), F.col("key")).alias("o2"), "key", "size", "p")))
         folded = dealt.groupBy("source", "block").agg(F.transform(met, lambda m: F.struct(
             m["key"].alias("key"), m["size"].alias("size"), m["p"].alias("p"))).alias("met"))
+        if last:
+            start = F.struct(F.lit(0.0).alias("error"), F.array().cast("array<struct<key:bigint,up:int>>").alias("done"))
+            settled = folded.select("source", F.explode(F.aggregate("met", start, round_on, lambda acc: acc["done"])).alias("d"))
+            done.append(settled.select("source", "d.key", "d.up"))
+            break
         empty = F.struct(F.lit(None).cast(ITEM).alias("open"), F.array().cast(f"array<{ITEM}>").alias("done"))
         folded = folded.withColumn("f", F.aggregate("met", empty, trade(seed, level)))
         both = F.concat(F.transform("f.done", lambda d: F.struct(d.alias("i"), F.lit(True).alias("settled"))),
@@ -108,10 +123,6 @@ def pivotal(items: DataFrame, seed: int) -> DataFrame:
             "source", "e.i.key", "e.i.size", "e.i.p", "e.settled"))
         done.append(after.where("settled").select("source", "key", F.col("p").cast("int").alias("up")))
         live = after.where("not settled").select("source", "key", "size", "p")
-        if last:
-            luck = chance(F.lit(seed), F.lit("last"), F.col("key")) < F.col("p")
-            done.append(live.select("source", "key", luck.cast("int").alias("up")))
-            break
         level += 1
     if not done:
         return items.select("source", "key", F.lit(0).alias("up"))
