@@ -10,7 +10,8 @@ from webcorpus.llm import chat, decontam, lm, mixing, passages, quality, repair,
 from webcorpus.llm.common import crc_mod
 from webcorpus.sources.tables import read_table
 
-SHARD_BYTES = 32 << 20
+#: Bytes of a shard: small enough that also the smallest tables split.
+SHARD_BYTES = 1 << 20
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,6 +18,8 @@ from webcorpus.llm.common import cut, hinted, spare
 
 #: Hash bits a directory can use: the first 15 hex digits of an MD5.
 BITS = 60
+#: Rows of one hash that are numbered together.
+PART = 100_000
 #: More bits looked at in each pass over buckets that are still too large.
 STEP = 8
 
@@ -42,6 +44,10 @@ def directory_pass(rows: DataFrame, lo: int, hi: int, limit: int) -> DataFrame:
     # a bucket is done when it fits, or when all its documents share one hash
     done = (at.groupBy("depth", "bucket").agg(*sums)
             .where((F.col("bytes") <= limit) | (F.col("least") == F.col("most"))))
+    done = cut(done)
+    # only depths at which some bucket is done are looked up: above them all cells share a few buckets
+    used = [r["depth"] for r in done.select("depth").distinct().collect()]
+    at = at.where(F.col("depth").isin(used))
     first = (at.select("cell", "depth", "bucket").join(done, ["depth", "bucket"])
              .groupBy("cell").agg(F.min_by(F.struct("depth", "bucket", "bytes", "n", "biggest"), "depth").alias("b")))
     return cut(cells.select("cell").join(first, "cell", "left").select("cell", "b.*"))
@@ -90,15 +96,23 @@ def assign_shards(docs: DataFrame, limit: int = 128 << 20, id_col: str = "doc_id
     over = (b["bytes"] > limit) & (b["n"] > 1)
     page = spare(rows, "page")
     whole = rows.where(~over).withColumn(page, F.lit(None).cast("long"))
+    own = spare(rows, "page_bytes")
     if not narrow.where((F.col("bytes") > limit) & (F.col("n") > 1)).isEmpty():
-        w = Window.partitionBy(h).orderBy(F.col(size), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-        paged = rows.where(over).withColumn(page, F.floor((F.row_number().over(w) - 1) / per_page).cast("long"))
-        held = (paged.groupBy(F.col(h).alias("_ph"), F.col(page).alias("_pp")).agg(F.sum(size).alias("_pb")))
-        paged = (paged.join(held, (F.col(h) == F.col("_ph")) & (F.col(page) == F.col("_pp"))).drop("_ph", "_pp"))
-        whole = whole.withColumn("_pb", F.lit(None).cast("long")).unionByName(paged)
+        # rows of one hash (a repeated id, or none) are spread over parts of about PART rows, each with pages of its own
+        part, ph, pp = (spare(rows, c) for c in ("part", "of_hash", "of_page"))
+        parts = F.greatest(F.lit(1), F.ceil(b["n"] / PART)).cast("long")
+        text = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.spark_partition_id())
+        paged = rows.where(over).withColumn(part, F.pmod(text, parts))
+        w = Window.partitionBy(h, part).orderBy(F.col(size), text)
+        nth = F.floor((F.row_number().over(w) - 1) / per_page).cast("long")
+        paged = paged.withColumn(page, nth * parts + F.col(part)).drop(part)
+        paged = cut(paged)
+        held = paged.groupBy(F.col(h).alias(ph), F.col(page).alias(pp)).agg(F.sum(size).alias(own))
+        paged = paged.join(held, (F.col(h) == F.col(ph)) & (F.col(page) == F.col(pp))).drop(ph, pp)
+        whole = whole.withColumn(own, F.lit(None).cast("long")).unionByName(paged)
     else:
-        whole = whole.withColumn("_pb", F.lit(None).cast("long"))
-    p, n_bytes = F.col(page), F.coalesce(F.col("_pb"), b["bytes"])
+        whole = whole.withColumn(own, F.lit(None).cast("long"))
+    p, n_bytes = F.col(page), F.coalesce(F.col(own), b["bytes"])
     return whole.select(*keep, F.concat(bits, F.when(p.isNull(), F.lit("")).otherwise(F.concat(F.lit("+"), p.cast("string")))).alias("shard"),
                         b["depth"].cast("long").alias("depth"), F.col(size).alias("bytes"), n_bytes.alias("shard_bytes"),
                         (n_bytes > limit).alias("oversize"))
