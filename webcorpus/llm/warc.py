@@ -231,7 +231,8 @@ def read_records(index: DataFrame, with_payload: bool = True) -> DataFrame:
 
 
 def archive_folder(spark: SparkSession) -> str:
-    """A new folder for archives in the shared folder, as a URI."""
-    shared = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{shared if re.match(r'[a-z][a-z0-9+.-]*:', shared) else f'file://{shared}'}/warc-{uuid.uuid4().hex}"
-
+    """A new folder for archives in the shared folder, as a URI: a path without a scheme is one of the session's default
+    file system, as Spark itself takes it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark).rstrip("/"))
+    whole = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return f"{re.sub('^file:/+', 'file:///', whole)}/warc-{uuid.uuid4().hex}"
