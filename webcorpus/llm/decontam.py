@@ -30,6 +30,8 @@ from webcorpus.llm.common import as_bytes, cut, hinted, mixed, slices, spare
 WINDOW, COVER = 5, 0.8
 #: Tokens by which the place of an item may move where tokens were put in or left out.
 DRIFT = 5
+#: Bytes of text whose tokens are worked out together.
+LETTERS = 1 << 20
 #: Bits of the window bitmap (8 MB), whatever the size of the benchmark.
 BITMAP = 1 << 26
 #: Units that are a slot after a number.
@@ -123,42 +125,48 @@ class Templates:
     def tokens(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per template token: its hash, the code of its word (or words, of a name),
         and its form (0 word, 1 ``<num>``, 2 ``<unit>``, 3 ``<name>``)."""
-        return self.readings(text)[0]
+        return self.readings([text])[0][0][:3]
 
-    def readings(self, text: bytes) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Tokens with words at sentence starts as plain words; and, if the text has
-        any that may be one, with those as names."""
+    def readings(self, texts: list[bytes]) -> tuple[list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], np.ndarray]:
+        """Tokens of many texts behind each other (hash, code, form, and the text's number), with words at sentence
+        starts as plain words, and once more with those that may be names as names; and which texts have such words
+        (the others read the same both ways)."""
         if len(self.code) > self.MEMORY:
             self.forget()
         words: list[bytes] = []
         lines: list[int] = []
-        for line in text.split(b"\n"):
-            lines.append(len(words))
-            words += line.split()
+        first: list[int] = []
+        for text in texts:
+            first.append(len(words))
+            for line in text.split(b"\n"):
+                lines.append(len(words))
+                words += line.split()
         if not words:
-            return [(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int8))]
+            none = (np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int8), np.empty(0, np.int64))
+            return [none, none], np.zeros(len(texts), bool)
         c = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
         self.fill()
         kind, unit, name, closes, function, marked = self.table[c].T
         ends = np.r_[0, np.cumsum(closes)]
         breaks = np.bincount(np.array(lines), minlength=len(words) + 1)[:len(words)].cumsum()
         at = np.flatnonzero(kind != SKIP)
+        doc = np.searchsorted(np.array(first), at, "right") - 1
         c, kind, unit, name, function, marked = c[at], kind[at], unit[at], name[at], function[at], marked[at]
-        # a sentence starts here if a word closes one, or a line ends, since the token before
+        # a sentence starts here if a word closes one, or a line (or a text) ends, since the token before
         before = np.r_[0, at[:-1]] if len(at) else at
-        start = (ends[at] > ends[before]) | (breaks[at] > breaks[before])
-        start[:1] = True
-        after_number = np.r_[False, kind[:-1] == NUMBER] if len(at) else np.empty(0, bool)
+        fresh = np.r_[True, doc[1:] != doc[:-1]] if len(at) else np.empty(0, bool)
+        start = fresh | (ends[at] > ends[before]) | (breaks[at] > breaks[before])
+        after_number = np.r_[False, kind[:-1] == NUMBER] & ~fresh if len(at) else np.empty(0, bool)
         own = [words[i] for i in at.tolist()] if name.any() else []
-        out = [self.shaped(c, own, kind, unit, name, marked, start, after_number)]
-        if (start & (name == 1) & (function == 0)).any():
-            out.append(self.shaped(c, own, kind, unit, name, marked, start & (function == 1), after_number))
-        return out
+        maybe = start & (name == 1) & (function == 0)
+        two = np.bincount(doc[maybe], minlength=len(texts)) > 0
+        plain = self.shaped(c, own, kind, unit, name, marked, start, fresh, after_number, doc)
+        return [plain, self.shaped(c, own, kind, unit, name, marked, start & (function == 1), fresh, after_number, doc) if two.any() else plain], two
 
-    def shaped(self, c, words, kind, unit, name, marked, start, after_number) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def shaped(self, c, words, kind, unit, name, marked, start, fresh, after_number, doc) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Forms of the words; names that follow each other without a mark are one."""
         form = np.where(kind != WORD, 1, np.where((unit == 1) & after_number, 2, np.where((name == 1) & ~start, 3, 0))).astype(np.int8)
-        goes_on = np.r_[False, (form[1:] == 3) & (form[:-1] == 3) & (marked[:-1] == 0) & ~start[1:]] if len(form) else np.empty(0, bool)
+        goes_on = np.r_[False, (form[1:] == 3) & (form[:-1] == 3) & (marked[:-1] == 0) & ~start[1:] & ~fresh[1:]] if len(form) else np.empty(0, bool)
         if goes_on.any():
             head = np.flatnonzero(~goes_on)
             long = np.flatnonzero(np.diff(np.r_[head, len(form)]) > 1)
@@ -167,14 +175,14 @@ class Templates:
             for k in long.tolist():
                 c[head[k]] = self.code[b" ".join(words[ends[k]:ends[k + 1]])]
             self.fill()
-            c, form, kind = c[head], form[head], kind[head]
+            c, form, kind, doc = c[head], form[head], kind[head], doc[head]
         joined = kind == JOINED
         if joined.any():
             twice = 1 + joined
             second = np.cumsum(twice)[joined] - 1
-            c, form = np.repeat(c, twice), np.repeat(form, twice)
+            c, form, doc = np.repeat(c, twice), np.repeat(form, twice), np.repeat(doc, twice)
             form[second] = 2
-        return np.where(form == 0, self.hashes[c], FORM_HASH[form]), c, form
+        return np.where(form == 0, self.hashes[c], FORM_HASH[form]), c, form, doc
 
     def strings(self, c: np.ndarray, form: np.ndarray) -> tuple[list[str], list[str]]:
         """Codes and forms → template tokens and their own values."""
@@ -202,13 +210,12 @@ def template(text: str) -> tuple[list[str], list[str]]:
     return t.strings(c, form)
 
 
-def window_hashes(tokens: np.ndarray, form: np.ndarray, window: int) -> np.ndarray:
-    """Hash of each window of tokens (the whole sequence, if shorter); windows
+def window_hashes(tokens: np.ndarray, form: np.ndarray, width: int) -> np.ndarray:
+    """Hash of each window of ``width`` tokens; windows
     of placeholders alone say nothing and get no hash (0)."""
     n = len(tokens)
-    if not n:
+    if n < width:
         return np.empty(0, np.uint64)
-    width = min(window, n)
     h, said = np.full(n - width + 1, width, np.uint64), np.zeros(n - width + 1, bool)
     for k in range(width):
         h = mixed(h ^ tokens[k:n - width + 1 + k], k)
@@ -216,6 +223,21 @@ def window_hashes(tokens: np.ndarray, form: np.ndarray, window: int) -> np.ndarr
     return np.where(said, h | np.uint64(1), np.uint64(0))
 
 
+def windows_of(tokens: np.ndarray, form: np.ndarray, doc: np.ndarray, size: np.ndarray, window: int, short: tuple[int, ...]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``(width, first tokens, hashes)`` of the windows of many texts behind each other (``doc``: a token's text, ``size``: a
+    text's tokens): all of ``window`` tokens and of the ``short`` widths, and a shorter text as a whole."""
+    every = set(np.unique(size[(size > 0) & (size < window)]).tolist())
+    for width in sorted({window, *short, *every}):
+        pick = slice(None)
+        if width not in short and width < window:      # only texts of just this length
+            pick = np.flatnonzero(size[doc] == width)
+        t, f, d = tokens[pick], form[pick], doc[pick]
+        h = window_hashes(t, f, width)
+        inside = d[:len(h)] == d[width - 1:]
+        at = np.flatnonzero(inside & (h != 0))
+        yield width, at if isinstance(pick, slice) else pick[at], h[at]
+
+
 def slots_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The two bits of the bitmap that stand for a hash."""
     return h % np.uint64(BITMAP), (h >> np.uint64(32)) % np.uint64(BITMAP)
@@ -226,38 +248,51 @@ WINDOWS = "id {kind}, reading int, n_tokens int, pos int, h long, template strin
 
 def template_windows(texts: DataFrame, window: int, bitmap: np.ndarray | None = None, short: tuple[int, ...] = ()) -> DataFrame:
     """``texts(id, text)`` → a row per window (of those in ``bitmap`` alone, if given),
-    and per window of the ``short`` widths; for both readings of the text (without
-    a bitmap, also if they are the same)."""
+    and per window of the ``short`` widths; for both readings of the text, also if they are the same."""
     kind = dict(texts.dtypes)["id"]
     sent = None if bitmap is None else texts.sparkSession.sparkContext.broadcast(bitmap)   # BITMAP bits
 
+    def some(maker: Templates, bits: np.ndarray | None, ids: pa.Array, part: list[bytes]) -> pa.RecordBatch:
+        row, kinds, size, pos, hashes, forms, vals = [], [], [], [], [], [], []
+        both, two = maker.readings(part)
+        for reading, (tokens, c, form, doc) in enumerate(both):
+            held = np.bincount(doc, minlength=len(part))
+            first = np.cumsum(held) - held
+            # texts that read the same both ways are hashed once, and reported under both
+            mine = np.arange(len(tokens)) if reading == 0 else np.flatnonzero(two[doc])
+            for width, at, h in windows_of(tokens[mine], form[mine], doc[mine], held, window, short):
+                if bits is not None:
+                    hit = np.ones(len(h), bool)
+                    for slot in slots_of(h):
+                        hit &= (bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                    at, h = at[hit], h[hit]
+                for p, x in zip(mine[at].tolist(), h.view(np.int64).tolist()):
+                    f, v = maker.strings(c[p:p + width], form[p:p + width])
+                    d = int(doc[p])
+                    for r in (0, 1) if reading == 0 and not two[d] else (reading,):
+                        row.append(d)
+                        kinds.append(r)
+                        size.append(int(held[d]))
+                        pos.append(p - int(first[d]))
+                        hashes.append(x)
+                        forms.append(" ".join(f))
+                        vals.append(v)
+        return pa.RecordBatch.from_arrays(
+            [ids.take(pa.array(row, pa.int64())), pa.array(kinds, pa.int32()), pa.array(size, pa.int32()), pa.array(pos, pa.int32()),
+             pa.array(hashes, pa.int64()), pa.array(forms, pa.string()), pa.array(vals, pa.list_(pa.string()))],
+            names=["id", "reading", "n_tokens", "pos", "h", "template", "vals"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if sent is None else sent.value
         maker = Templates()
         for b in slices(batches):
-            row, kinds, size, pos, hashes, forms, vals = [], [], [], [], [], [], []
-            for i, text in enumerate(as_bytes(b.column("text"))):
-                readings = maker.readings(text)
-                for reading, (tokens, c, form) in enumerate(readings if bits is not None else [readings[0], readings[-1]]):
-                    for width in (window, *(w for w in short if w < min(window, len(tokens)))):
-                        h = window_hashes(tokens, form, width)
-                        hit = h != 0
-                        if bits is not None:
-                            for slot in slots_of(h):
-                                hit &= (bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                        for p in np.flatnonzero(hit).tolist():
-                            f, v = maker.strings(c[p:p + width], form[p:p + width])
-                            row.append(i)
-                            kinds.append(reading)
-                            size.append(len(tokens))
-                            pos.append(p)
-                            hashes.append(h[p].view(np.int64))
-                            forms.append(" ".join(f))
-                            vals.append(v)
-            ids = b.column("id").take(pa.array(row, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(kinds, pa.int32()), pa.array(size, pa.int32()), pa.array(pos, pa.int32()), pa.array(hashes, pa.int64()), pa.array(forms, pa.string()),
-                 pa.array(vals, pa.list_(pa.string()))], names=["id", "reading", "n_tokens", "pos", "h", "template", "vals"])
+            texts_of = as_bytes(b.column("text"))
+            ends = np.cumsum([len(t) for t in texts_of])
+            at = 0
+            while at < len(texts_of):     # about LETTERS bytes of text at a time, one text at least
+                end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + LETTERS, "right")))
+                yield some(maker, bits, b.column("id").slice(at, end - at), texts_of[at:end])
+                at = end
 
     return texts.select("id", "text").mapInArrow(run, WINDOWS.format(kind=kind))
 
