@@ -242,33 +242,53 @@ def test_decontamination_of_items_with_tokens_put_in_and_left_out(spark):
     item = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(40)]
     one = f"{' '.join(item[:20])} Paris {' '.join(item[20:])}"
     items = spark.createDataFrame([(1, " ".join(item)), (2, one.replace("w", "v")), (3, "only three words"),
-                                   (4, "Alice has 5 apples. Alice eats 2. Alice keeps 3.")], "item_id long, text string")
+                                   (4, "Alice has 5 apples. Alice eats 2. Alice keeps 3."), (5, "Alice knows 5 pears")], "item_id long, text string")
     rows = [(1, " ".join([*item[:20], "added", *item[20:]])), (2, " ".join([*item[:20], *item[21:]])),
             (3, one.replace("w", "v").replace("Paris", "New York")), (4, " ".join([*item[:20], prose(rng, 12), *item[20:]])),
             (5, " ".join(item[20:] + item[:20])), (6, f"{prose(rng, 9)} only three words {prose(rng, 9)}"), (7, "only three other words"),
             (8, " ".join(item[:20])), (9, "on. Bob has 7 apples. Bob eats 4. Bob keeps 3. The"), (10, "on. alice has 5 apples. alice eats 2. alice keeps 3. The"),
-            (11, "on. Bob has 7 apples. Bob eats 4. Carl keeps 3. The")]
+            (11, "on. Bob has 7 apples. Bob eats 4. Carl keeps 3. The"), (12, "Bob knows 9 pears"), (13, "said Bob knows 9 pears and"),
+            (14, "So Bob knows 9 pears")]
     docs = spark.createDataFrame([(i, f"so {t} end") for i, t in rows], "doc_id long, text string")
     found = {(r.id, r.item_id) for r in decontam.contaminated(docs, items).collect()}
-    assert found == {(1, 1), (2, 1), (3, 2), (6, 3), (9, 4), (10, 4)}
+    assert found == {(1, 1), (2, 1), (3, 2), (6, 3), (9, 4), (10, 4), (12, 5), (13, 5), (14, 5)}
 
 
-def test_nearest_examples_are_exact():
+def test_nearest_examples_are_exact(monkeypatch):
+    monkeypatch.setattr(toxicity, "COLUMNS", 7)     # some words are columns, the others posting lists
     rng = np.random.default_rng(5)
-    terms = {b"%d" % i: i for i in range(40)}
-    examples = [(i, int(rng.random() < 0.3), {int(t): int(rng.integers(1, 4)) for t in rng.choice(40, rng.integers(0, 6), replace=False)}) for i in range(500)]
-    ix = toxicity.build_index(terms, rng.random(40) + 1, examples, (3500, 1500))
-    by_id = {e[0]: toxicity.vector(collections.Counter(e[2]), ix.idf) for e in examples}
-    dense = np.zeros((len(ix.ids), 40))
+    examples = []
+    for i in range(500):
+        t = rng.choice(60, rng.integers(0, 7), replace=False, p=np.r_[np.full(10, 0.05), np.full(50, 0.01)])
+        examples.append((i, int(rng.random() < 0.3), t.astype(np.int64), rng.integers(1, 4, len(t)).astype(float)))
+    examples += [(500 + i, 1, *examples[i][2:]) for i in range(0, 100, 5)]      # equal examples: ties
+    ix = toxicity.build_index({}, np.arange(60, dtype=np.uint64), rng.random(60) + 1, examples, (3500, 1500))
+    by_id = {e[0]: toxicity.vector(e[2], e[3], ix.idf) for e in examples}
+    dense = np.zeros((len(ix.ids), 60))
     for j, i in enumerate(ix.ids):
         dense[j, by_id[int(i)][0]] = by_id[int(i)][1]
-    for i in range(0, 500, 25):
+    assert (ix.column >= 0).sum() == 7
+    for i in range(0, 500, 5):
         t, v = by_id[i]
         if len(t):
-            got, score = toxicity.nearest(ix, t, v, 9)
-            full = np.round(dense[:, t] @ v, 12)
-            want = np.lexsort((np.arange(len(full)), -full))[:9]
-            assert np.allclose(score, full[want]) and got.tolist() == want.tolist()
+            leave = int(np.flatnonzero(ix.ids == i)[0]) if i % 2 else -1
+            got, score = toxicity.nearest(ix, t, v, 9, leave)
+            full = np.round(dense[:, t] @ v, 10)
+            full[leave] = full[leave] if leave < 0 else -1
+            want = [j for j in np.lexsort((np.arange(len(full)), -full))[:9] if full[j] > 0]
+            assert np.allclose(score, full[want]) and got.tolist() == want
+
+
+def test_copies_of_toxic_examples_are_found(spark, corpus):
+    """Copies of toxic examples, all of ordinary words, are scored as toxic, with the example as evidence."""
+    rng = random.Random(21)
+    texts = [prose(rng, 80) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(100 + i, texts[i]) for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 6 == 0)) for i in range(60)], "doc_id long, toxic int")
+    ix = toxicity.fit(docs, labels, fold=None)
+    got = {r.id: r for r in toxicity.scores(docs, ix).collect()}
+    for i in range(60):
+        assert (got[100 + i].score >= 0.5) == (i % 6 == 0) and got[100 + i].evidence[0] == i
 
 
 def test_toxicity_on_held_out_labels(spark):
@@ -278,6 +298,21 @@ def test_toxicity_on_held_out_labels(spark):
     assert right >= 0.97 * got.count()
 
 
+def test_mixing_comes_near_every_target(spark):
+    got = mixing.taken_rows(mixing.mix(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))).groupBy("source").agg(
+        F.sum("taken").alias("taken"), F.max("target").alias("target"))
+    assert all(abs(r.taken - r.target) <= 0.01 * r.target + 1 for r in got.collect())
+
+
+def test_shards_keep_columns_and_split_repeated_ids(spark):
+    rows = [(None if i % 3 else 7, "x" * (i % 50), i, -i, 2 * i) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _pb int, _ph int, _pp int")
+    got = sharding.assign_shards(docs, 500)
+    assert sorted((r._pb, r._ph, r._pp) for r in got.collect()) == sorted(r[2:] for r in rows)
+    assert got.groupBy("shard").agg(F.sum("bytes").alias("b")).where("b > 500").isEmpty() and got.where("oversize").isEmpty()
+    assert got.groupBy("shard").agg(F.sum("bytes").alias("b"), F.max("shard_bytes").alias("s")).where("b <> s").isEmpty()
+
+
 def test_toxicity_of_odd_rows(spark, corpus):
     docs = frame(spark, corpus).withColumn("score", F.lit("own"))
     labels = spark.createDataFrame([(1, 1), (2, 0), (2, 1), (None, 1), (4, None)], "doc_id long, toxic int")
