@@ -40,10 +40,10 @@ EXTRA = 10.0
 LETTERS = 48 << 20
 #: Examples nearer than this are taken for copies, surely so at 1.
 COPY = 0.9
-#: Examples in a block; neighbours that vote; words that are columns, and blocks visited first.
-BLOCK, K, COLUMNS, FIRST = 64, 25, 512, 6
+#: Examples in a block; neighbours that vote; words that are columns.
+BLOCK, K, COLUMNS = 64, 25, 512
 #: Words whose terms a task remembers.
-MEMORY = 200_000
+MEMORY = 400_000
 STRIP = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -112,47 +112,77 @@ def all_terms(text: bytes) -> set[bytes]:
     return {*seen, *(t + b"!" for t, n in seen.items() if t.endswith(b"-") and n * DENSE >= len(words))}
 
 
+class Codes(dict):
+    """Word → its number, given at the first look; the new words are kept aside."""
+
+    def __init__(self) -> None:
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+
 class TermCounter:
-    """A text's words (``place`` of their hash, count) and telling terms (number, count), remembering frequent words.
-    Words whose place is -1 are left out."""
+    """A text's words (``place`` of their hash; -1: left out) and telling terms.  What a word stands for is
+    worked out once and remembered, for up to ``MEMORY`` words."""
 
-    def __init__(self, terms: dict[bytes, int], place=lambda h: h):
-        self.terms, self.place, self.known = terms, place, {}
+    def __init__(self, terms: dict[bytes, int], place=lambda h: h - (1 << 64) if h >> 63 else h):
+        self.terms, self.place = terms, place
         # beginnings are counted even where only their dense term is in the vocabulary
         stems = {t.removesuffix(b"!") for t in terms if t.endswith(b"-") or t.endswith(b"-!")}
         self.local = {t: i for i, t in enumerate({*terms, *stems})}
         self.own = {i: terms[t] for t, i in self.local.items() if t in terms}
         self.dense = {self.local[t]: terms[t + b"!"] for t in stems if t + b"!" in terms}
+        #: first bytes of telling terms: most words begin otherwise, and are looked up no further
+        self.heads = {t[:3] for t in self.local}
+        self.forget()
+
+    def forget(self) -> None:
+        self.code = Codes()
+        self.at, self.tells, self.telling = np.empty(1 << 12, np.int64), np.zeros(1 << 12, bool), {}
+
+    def codes(self, words: list[bytes]) -> np.ndarray:
+        if len(self.code) > MEMORY:
+            self.forget()
+        first = len(self.code)
+        c = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+        new, self.code.new = self.code.new, []
+        while first + len(new) > len(self.at):
+            self.at, self.tells = np.concatenate([self.at, self.at]), np.concatenate([self.tells, np.zeros_like(self.tells)])
+        for i, word in enumerate(new, first):
+            bare = word.strip(STRIP)
+            self.at[i] = self.place(word_hash(bare)) if bare else -1
+            if bare[:3] in self.heads and (told := [self.local[t] for t in word_terms(word) if t in self.local]):
+                self.tells[i], self.telling[i] = True, told
+        return c
+
+    def places(self, text: bytes) -> np.ndarray:
+        """The distinct places of a text's words."""
+        words = lower_words(text)
+        c = np.unique(self.codes(words)) if words else np.empty(0, np.int64)
+        at = np.unique(self.at[c])
+        return at[at != -1]
 
-    def look(self, word: bytes) -> tuple:
-        terms, local = word_terms(word), self.local
-        got = (self.place(word_hash(terms[0])), [local[t] for t in terms if t in local] or None) if terms else (-1, None)
-        got = () if got == (-1, None) else got
-        if len(self.known) < MEMORY:
-            self.known[word] = got
-        return got
-
-    def __call__(self, text: bytes) -> tuple[dict[int, int], dict[int, int]]:
-        seen: Counter = Counter()
-        plain: dict[int, int] = {}
+    def __call__(self, text: bytes) -> tuple[np.ndarray, np.ndarray, dict[int, int]]:
+        """Places of words, how often each occurs, and telling term → count."""
         words = lower_words(text)
-        known, look = self.known, self.look
-        for w, n in Counter(words).items():
-            got = known.get(w)
-            if got is None:
-                got = look(w)
-            if got:
-                at, telling = got
-                if at != -1:
-                    plain[at] = plain.get(at, 0) + n
-                if telling:
-                    for t in telling:
-                        seen[t] += n
-        out = {self.own[t]: n for t, n in seen.items() if t in self.own}
-        for t, n in seen.items():
-            if t in self.dense and n * DENSE >= len(words):
-                out[self.dense[t]] = n
-        return plain, out
+        if not words:
+            return np.empty(0, np.int64), np.empty(0, np.int64), {}
+        c, n = np.unique(self.codes(words), return_counts=True)
+        at = self.at[c]
+        seen: Counter = Counter()
+        for j in np.flatnonzero(self.tells[c]).tolist():
+            for t in self.telling[int(c[j])]:
+                seen[t] += int(n[j])
+        out = {self.own[t]: x for t, x in seen.items() if t in self.own}
+        for t, x in seen.items():
+            if t in self.dense and x * DENSE >= len(words):
+                out[self.dense[t]] = x
+        have = at != -1
+        place, inverse = np.unique(at[have], return_inverse=True)
+        return place, np.bincount(inverse, n[have], len(place)).astype(np.int64), out
 
 
 def place_in(words: np.ndarray):
@@ -161,10 +191,10 @@ def place_in(words: np.ndarray):
     return lambda h: places.get(h, -1)
 
 
-def arrays(plain: dict[int, int], told: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+def arrays(place: np.ndarray, n: np.ndarray, told: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
     """Term numbers and counts."""
-    n = len(plain) + len(told)
-    return np.fromiter((*plain, *told), np.int64, n), np.fromiter((*plain.values(), *told.values()), np.float64, n)
+    return (np.r_[place, np.fromiter(told, np.int64, len(told))],
+            np.r_[n, np.fromiter(told.values(), np.int64, len(told))].astype(np.float64))
 
 
 def dense_scores(ix: Index, vecs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -178,10 +208,13 @@ def dense_scores(ix: Index, vecs: list[tuple[np.ndarray, np.ndarray]]) -> np.nda
 
 def nearest(ix: Index, t: np.ndarray, v: np.ndarray, k: int, leave: int = -1, base: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The ``k`` examples of largest cosine with a unit vector (ties: the first
-    example), and their cosines; ``leave`` is left out.  Exact: a block is
-    skipped only if its bound is below the k-th cosine found.  The bound is the
-    block's best dense score (``base``, of ``dense_scores``) and the largest value of each other term."""
+    example), and their cosines; ``leave`` is left out.  Exact: the k-th best dense score (``base``, of
+    ``dense_scores``) is a lower bound of the k-th cosine, as no value is negative, and a block is skipped only if its
+    own bound, its best dense score and the largest value of each other term, is below that."""
     base = dense_scores(ix, [(t, v)])[0] if base is None else base
+    n = len(ix.label)
+    own = base[:n] if leave < 0 else np.r_[base[:leave], base[leave + 1:n]]
+    least = max(0.0, float(np.partition(own, len(own) - k)[len(own) - k])) - 1e-9 if len(own) > k else 0.0
     sparse = ix.column[t] < 0
     t, v = t[sparse], v[sparse]
     start, end = ix.entry_start[t], ix.entry_start[t + 1]
@@ -189,30 +222,24 @@ def nearest(ix: Index, t: np.ndarray, v: np.ndarray, k: int, leave: int = -1, ba
     block = ix.entry_block[entry]
     n_blocks = len(base) // BLOCK
     bound = base.reshape(n_blocks, BLOCK).max(axis=1) + np.bincount(block, ix.entry_max[entry] * x, n_blocks)
-    order = np.argsort(-bound, kind="stable")
-    best_i, best_s = np.empty(0, np.int64), np.empty(0)
-    done, step = 0, FIRST
-    while done < n_blocks:
-        least = best_s[-1] - 1e-9 if len(best_s) == k else 0.0
-        take = order[done:done + step]      # a few blocks, then all others that can hold a nearer example
-        take = take[(bound[take] >= least) & (bound[take] > 0)]
-        if not len(take):
-            break
-        place = np.full(n_blocks, -1)
-        place[take] = np.arange(len(take))
-        pick = place[block] >= 0
-        lo, hi = ix.post_start[entry[pick]], ix.post_start[entry[pick] + 1]
-        post = ranges(lo, hi)
-        example = ix.post_example[post]
-        score = np.bincount(place[example // BLOCK] * BLOCK + example % BLOCK, ix.post_value[post] * np.repeat(x[pick], hi - lo), len(take) * BLOCK)
-        rows = (take[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-        s = np.round(score + base[rows], 10)
-        hit = (s > max(least, 0)) & (rows != leave) & (rows < len(ix.label))
-        i, s = np.r_[best_i, rows[hit]], np.r_[best_s, s[hit]]
-        by = np.lexsort((i, -s))[:k]
-        best_i, best_s = i[by], s[by]
-        done, step = done + step, n_blocks
-    return best_i, best_s
+    here = (bound >= least) & (bound > 0)
+    if not here.all():
+        pick = here[block]
+        entry, x = entry[pick], x[pick]
+    lo, hi = ix.post_start[entry], ix.post_start[entry + 1]
+    post = ranges(lo, hi)
+    score = np.bincount(ix.post_example[post], ix.post_value[post] * np.repeat(x, hi - lo), len(base)) + base
+    score[~np.repeat(here, BLOCK)] = 0
+    score[n:] = 0
+    if leave >= 0:
+        score[leave] = 0
+    score = np.round(score, 10)
+    if len(score) > k:
+        i = np.flatnonzero(score >= max(np.partition(score, len(score) - k)[len(score) - k], 1e-10))
+    else:
+        i = np.flatnonzero(score > 0)
+    i = i[np.argsort(-score[i], kind="stable")][:k]
+    return i, score[i]
 
 
 def votes(ix: Index, t: np.ndarray, v: np.ndarray, k: int, leave: int = -1, base: np.ndarray | None = None) -> tuple[float, np.ndarray, np.ndarray]:
@@ -343,8 +370,7 @@ def fit(docs: DataFrame, labels: DataFrame, fold: int | None = 5, id_col: str =
         counter = TermCounter(lean)
         for b in slices(batches):
             got = [counter(x) for x in as_bytes(b.column("text"))]
-            lists = [pa.array([np.fromiter(f(d), np.uint64 if x == 0 and f is dict.keys else np.int64, len(d)).view(np.int64) for d in (g[x] for g in got)],
-                              pa.list_(pa.int64())) for x in (0, 1) for f in (dict.keys, dict.values)]
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in ([g[0] for g in got], [g[1] for g in got], [list(g[2]) for g in got], [list(g[2].values()) for g in got])]
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("label"), *lists], names=["id", "label", "w", "wn", "t", "tn"])
 
     near = {x: min(1.0, examples / max(1, n.get(x, 0))) for x in (0, 1)}
@@ -379,21 +405,12 @@ def document_frequencies(docs: DataFrame, words: np.ndarray, text_col: str) -> t
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = sent.value
-        place, known = place_in(vocabulary), {}
+        counter = TermCounter({}, place_in(vocabulary))
         df, n = np.zeros(len(vocabulary) + 1, np.int64), 0
         for b in slices(batches):
             n += b.num_rows
             for text in as_bytes(b.column("text")):
-                have = set()
-                for w in set(lower_words(text)):
-                    at = known.get(w)
-                    if at is None:
-                        bare = w.strip(STRIP)
-                        at = place(word_hash(bare)) if bare else -1
-                        if len(known) < MEMORY:
-                            known[w] = at
-                    have.add(at)
-                df[np.fromiter(have, np.int64, len(have))] += 1     # -1, other words, falls on the last cell
+                df[counter.places(text)] += 1
         df[len(vocabulary)] = n
         used = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(df[used])], names=["term", "n"])
