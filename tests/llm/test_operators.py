@@ -379,6 +379,70 @@ def test_passages_whose_first_holder_fails(spark):
         assert r.stop - r.start >= 50 and r.similarity >= 0.8
 
 
+def test_edited_passages_recall(spark):
+    """Lone pairs that share a passage with one to three words changed, dropped or
+    added: at least 0.9 of those whose shingles agree to 0.8 are found, also where
+    an earlier document holds a part of the passage; brute force on all pairs."""
+    rng = random.Random(12)
+    docs, near = [], set()
+
+    def shingled(words):
+        return {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
+
+    for k in range(150):
+        words, at = prose(rng, rng.choice([60, 80, 120, 200])).split(), 10 * k
+        other = list(words)
+        for _ in range(rng.randint(1, 3)):
+            i = rng.randrange(8, len(other) - 8)
+            other[i:i + 1] = rng.choice([["changed"], [], [other[i], "added"]])
+        x, y = shingled(words), shingled(other)
+        if len(x & y) >= 0.8 * len(x | y):
+            near.add((at + 1, at))
+        docs += [(at, f"{prose(rng, 70)} {' '.join(words)} {prose(rng, 40)}"), (at + 1, f"{prose(rng, 30)} {' '.join(other)} {prose(rng, 70)}")]
+        if k % 3 == 0:
+            docs.append((at + 2, f"{prose(rng, 60)} {' '.join(words[10:45])} {prose(rng, 60)}"))
+    got = {(r.id, r.other_id) for r in passages.repeated_passages(frame(spark, docs, "doc_id long, text string")).collect()}
+    assert len(near) > 80 and len(got & near) >= 0.9 * len(near)
+    assert all(a // 10 == b // 10 for a, b in got)
+
+
+def test_passages_of_named_repeated_and_very_long_rows(spark):
+    """Ids that are strings, an id with two texts, copies, extra columns with the
+    names used inside, and one very long text."""
+    rng = random.Random(13)
+    shared, tail = prose(rng, 60), prose(rng, 60)
+    long_text = f"{prose(rng, 60000)} {shared} {prose(rng, 60000)}"
+    rows = [("a", f"{prose(rng, 70)} {shared}"), ("b", f"{prose(rng, 70)} {tail}"), ("b", f"{shared} {prose(rng, 70)}"), ("c", f"{tail} {prose(rng, 70)}"),
+            ("d", f"{tail} {tail}"), ("long", long_text), (None, shared), ("e", prose(rng, 80))]
+    rows += [("f", rows[-1][1]), ("f", rows[-1][1]), ("g", " ".join(shared.split()[:49])), ("h", " ".join(shared.split()[:49]))]
+    df = frame(spark, rows, "doc_id string, text string").selectExpr("*", "1 AS sig", "2 AS doc", "3 AS id", "4 AS rep", "5 AS key")
+    got = passages.repeated_passages(df).collect()
+    ids = {(r.id, r.other_id) for r in got}
+    groups = [{"a", "b", "long"}, {"b", "c", "d"}, {"e", "f"}]
+    assert all(any({x, y} <= g for g in groups) and x > y for x, y in ids)
+    assert {x for p in ids for x in p} == {"a", "b", "c", "d", "e", "f", "long"}
+    text = collections.defaultdict(list)
+    for d, t in rows:
+        text[d].append(t.split())
+    for r in got:
+        assert any(t[r.start:r.stop] == u[r.other_start:r.other_stop] for t in text[r.id] for u in text[r.other_id]) or r.similarity < 1
+    assert [(r.start, r.stop) for r in got if r.id == "f"] == [(0, 80)]
+
+
+def test_joint_keys_are_an_interval_join(spark):
+    """Keys of two functions are made exactly where a range has both signatures."""
+    docs = frame(spark, [(i, prose(random.Random(20 + i), 400)) for i in range(3)], "doc long, text string")
+    windows = passages.signatures(docs, 46, 3).collect()
+    want = collections.Counter()
+    for a in windows:
+        for b in windows:
+            if a.doc == b.doc and b.f == (a.f + 1) % 3 and max(a.at - a.back, b.at - b.back) <= min(a.at - a.back + a.wide, b.at - b.back + b.wide):
+                want[a.doc, a.at, a.sig, b.sig] += 1
+    found = frame(spark, [tuple(w) for w in windows], "sig long, doc long, f byte, at int, back int, wide int")
+    got = collections.Counter((r.doc, r.at) for r in passages.joint_keys(found, 46, 3).collect())
+    assert got == collections.Counter((d, at) for d, at, *_ in want.elements())
+
+
 def test_chat_windows_read_back(spark):
     rng = random.Random(1)
     bs = chr(92)
