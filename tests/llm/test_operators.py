@@ -432,13 +432,13 @@ def test_passages_of_named_repeated_and_very_long_rows(spark):
 def test_joint_keys_are_an_interval_join(spark):
     """Keys of two functions are made exactly where a range has both signatures."""
     docs = frame(spark, [(i, prose(random.Random(20 + i), 400)) for i in range(3)], "doc long, text string")
-    windows = passages.signatures(docs, 46, 3).where("f >= 0").collect()
+    found = passages.signatures(docs, 46, 3).where("place >= 0")
+    windows = passages.unpacked(found).collect()
     want = collections.Counter()
     for a in windows:
         for b in windows:
-            if a.doc == b.doc and b.f == (a.f + 1) % 3 and max(a.at - a.back, b.at - b.back) <= min(a.at - a.back + a.wide, b.at - b.back + b.wide):
+            if a.doc == b.doc and b.f == (a.f + 1) % 3 and max(a.first, b.first) <= min(a.last, b.last):
                 want[a.doc, a.at, a.sig, b.sig] += 1
-    found = frame(spark, [tuple(w) for w in windows], "sig long, doc long, f byte, at int, back int, wide int")
     got = collections.Counter((r.doc, r.at) for r in passages.joint_keys(found, 46, 3).collect())
     assert got == collections.Counter((d, at) for d, at, *_ in want.elements())
 
