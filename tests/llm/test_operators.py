@@ -10,6 +10,7 @@ import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -429,6 +430,52 @@ def test_passages_of_named_repeated_and_very_long_rows(spark):
     assert [(r.start, r.stop) for r in got if r.id == "f"] == [(0, 80)]
 
 
+def test_passages_of_documents_that_both_have_another(spark):
+    """Two documents share 50 words, and each shares part of them, and more before it, with a
+    document of its own: the two are linked though neither is without a passage, and each has its rows."""
+    rng = random.Random(21)
+    docs, want = [], set()
+    for k in range(24):
+        run = prose(rng, 50).split()
+        for i in (0, 2):
+            more = prose(rng, 30)
+            docs += [(10 * k + i, f"{prose(rng, 40)} {more} {' '.join(run)} {prose(rng, 40)}"),
+                     (10 * k + i + 1, f"{prose(rng, 50)} {more} {' '.join(run[:45])} {prose(rng, 50)}")]
+            want.add((10 * k + i + 1, 10 * k + i))
+        want.add((10 * k + 2, 10 * k))
+    links = passages.repeated_passages(frame(spark, docs, "doc_id long, text string"))
+    got = links.collect()
+    assert want == {(r.id, r.other_id) for r in got}
+    rows = passages.both_sides(links).collect()
+    assert len(rows) == 2 * len(got) and {r.id for r in rows} == {d for d, _ in docs}
+    assert {tuple(r) for r in got} | {(r.other_id, r.other_start, r.other_stop, r.id, r.start, r.stop, r.similarity) for r in got} == {tuple(r) for r in rows}
+
+
+def test_shingles_of_many_texts_and_sliding_minima():
+    rng = random.Random(22)
+    texts = ["", None, "a b", " \t x  Y z\n w\x0bq \xa0É", "b"] + [" ".join(rng.choices("abcdefgh", k=n)) for n in (46, 49, 50, 300, 7000)] + [""]
+    tokens, offsets = passages.shingled(pa.array(["no"] + texts, pa.string()).slice(1))
+    assert np.diff(offsets).tolist() == [len((t or "").encode().split()) for t in texts] and offsets[-1] == len(tokens)
+    named = {}
+    for t, at in zip(texts, offsets):
+        words = (t or "").encode().lower().split()
+        for i in range(len(words) - 4):
+            assert named.setdefault(tuple(words[i:i + 5]), tokens[at + i]) == tokens[at + i]
+    assert len(set(named.values())) == len(named)
+    assert passages.shingled(pa.array([], pa.string()))[1].tolist() == [0]
+    rank = np.random.default_rng(3).permutation(6000).astype(np.uint64) << np.uint64(40)
+    for least in (1, 2, 7, 46, 64, 4096):
+        want = np.lib.stride_tricks.sliding_window_view(rank, least).argmin(axis=1) + np.arange(len(rank) - least + 1)
+        assert (passages.smallest(rank, least) == want).all()
+    rank = passages.mixed(tokens[offsets[8]:offsets[9] - 4], 0)
+    starts = {}
+    for s, at in enumerate(passages.smallest(rank, 46)):
+        starts.setdefault(int(at), []).append(s)
+    for lo, at, hi in passages.compact_windows(rank, 46):
+        if (rank == rank[at]).sum() == 1:
+            assert starts[at] == list(range(max(lo, at - 45), min(at, hi - 45) + 1))
+
+
 def test_joint_keys_are_an_interval_join(spark):
     """Keys of two functions are made exactly where a range has both signatures."""
     docs = frame(spark, [(i, prose(random.Random(20 + i), 400)) for i in range(3)], "doc long, text string")
