@@ -69,6 +69,32 @@ def test_approx_search_prunes_clusters_and_odd_vectors(spark):
     assert A.approx_search(queries, none, A.build_index(none, empty), empty, 1, payload=()).collect() == []
 
 
+def test_codes_are_compared_in_bands_of_cells(spark, monkeypatch):
+    """A query goes to a band of cells once, however many of them it probes; blocks of a band are few; the
+    nearest codes are those of comparing all codes of the probed cells, ties by id."""
+    monkeypatch.setattr(A, "BLOCK_ROWS", 100)
+    rng = np.random.default_rng(5)
+    rows = [("n", f"d{i % 2}", f"v{i % 350:04d}" if i < 700 else f"v{i:04d}", [float(x) for x in rng.integers(-2, 3, 6)]) for i in range(900)]
+    vectors = spark.createDataFrame(rows, "namespace string, dataset string, id string, embedding array<double>")
+    model = A.fit(vectors, cells=150, rounds=1)
+    index = written(A.build_index(vectors, model))
+    queries = spark.createDataFrame([(i, "n", "d0", 4, rows[i][3]) for i in range(0, 300, 5)] + [(1000, "n", "none", 4, rows[0][3])],
+                                    "qid long, namespace string, dataset string, keep int, embedding array<double>")
+    near = A.probed(queries, model, 60).collect()
+    asked = A.asked_cells(queries, model, 60).collect()
+    assert len(asked) <= 61 * 3 < len(near)
+    codes = {}
+    for r in index.collect():
+        codes.setdefault((r.dataset, r.cell), []).append((r.id, bytes(r.code)))
+    want = {}
+    for r in near:
+        for id, code in codes.get((r.dataset, r.cell), []):
+            far = (int.from_bytes(code) ^ int.from_bytes(bytes(r.code))).bit_count()
+            want.setdefault(r.qid, []).append((far, id))
+    got = sorted((r.qid, r.id) for r in A.candidates(queries, index, model, 60).collect())
+    assert got == sorted((q, id) for q, c in want.items() for _, id in sorted(c)[:4])
+
+
 def test_workers_need_no_repository_on_their_path(tmp_path):
     code = f"""
 import sys; sys.path.insert(0, {REPO!r})

@@ -9,7 +9,8 @@ of two codes estimates their angle.  The index holds codes, not vectors: 64
 bytes a vector whatever its dimension.
 
 A search probes the cells nearest to a query, compares codes there
-(``bitwise_count`` of xor, blocks against blocks), keeps per query the
+(``bitwise_count`` of xor, blocks against blocks; a block holds rows of up to 64
+cells, so a query goes to a block of cells once, with a bit per probed cell), keeps per query the
 ``shortlist`` nearest codes overall, fetches those vectors alone and scores them
 exactly.  Exactly scored pairs are thus at most ``shortlist`` a query, however many
 vectors there are.  ``calibrate`` measures, on a bounded sample of queries against
@@ -29,13 +30,14 @@ from pyspark.sql import functions as F
 
 from webcorpus.operators.search import TOP_K, topk_search
 from webcorpus.operators.vectors import cosine
+from webcorpus.sources.tables import written
 
 MAX_CELLS = 4096            # centres on the driver and in each task: at most 4,096 x dimension floats
 ROUNDS = 4
 BITS = 512
 SHORTLIST = 6               # codes kept per result wanted
-#: Rows of a block of codes or queries, queries of a calibration.
-BLOCK_ROWS, SAMPLE = 2048, 256
+#: Rows of a block of codes or queries, cells of a block (bits of a long), queries of a calibration.
+BLOCK_ROWS, BLOCK_CELLS, SAMPLE = 2048, 64, 256
 SEED = 7
 
 
@@ -53,6 +55,8 @@ class Cells:
 
     def nearest(self, m: np.ndarray, probes: int = 1) -> np.ndarray:
         """The ``probes`` nearest cells of each row, nearest first (ties: smaller cell)."""
+        if probes == 1:
+            return (m.astype(np.float32) @ self.centres[m.shape[1]].T).argmax(axis=1)[:, None]
         return np.argsort(-(m.astype(np.float32) @ self.centres[m.shape[1]].T), axis=1, kind="stable")[:, :probes]
 
 
@@ -152,20 +156,47 @@ def probed(queries: DataFrame, model: Cells, probes: int) -> DataFrame:
         run, "namespace string, dataset string, qid bigint, keep int, dim int, cell int, place int, code binary")
 
 
-CELL = ("namespace", "dataset", "dim", "cell")
+def asked_cells(queries: DataFrame, model: Cells, probes: int) -> DataFrame:
+    """``namespace, dataset, qid, keep, dim, band, cells, code``: each query once per band of
+    ``BLOCK_CELLS`` cells in which it probes any, with a bit per probed cell."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for rows, m in _matrices(b):
+                if m.shape[1] not in model.centres:  # no vector of this dimension: no result
+                    continue
+                near = model.nearest(m, probes)
+                bits = np.zeros((len(m), -(-len(model.centres[m.shape[1]]) // BLOCK_CELLS)), np.uint64)
+                for at in near.T:  # a query's probed cells differ
+                    bits[np.arange(len(m)), at // BLOCK_CELLS] |= np.uint64(1) << (at % BLOCK_CELLS).astype(np.uint64)
+                row, band = np.nonzero(bits)
+                picked = b.select(["namespace", "dataset", "qid", "keep"]).take(pa.array(rows[row]))
+                codes = pa.array([c.tobytes() for c in model.codes(m)], pa.binary()).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays(
+                    [*picked.columns, pa.array(np.full(len(row), m.shape[1], np.int32)), pa.array(band.astype(np.int32)), pa.array(bits[row, band].view(np.int64)), codes],
+                    names=["namespace", "dataset", "qid", "keep", "dim", "band", "cells", "code"])
+
+    return queries.select("namespace", "dataset", "qid", "keep", "embedding").mapInArrow(
+        run, "namespace string, dataset string, qid bigint, keep int, dim int, band int, cells bigint, code binary")
+
+
+BAND = ("namespace", "dataset", "dim", "band")
+
+
+def _parts(rows: DataFrame) -> DataFrame:
+    """``BAND, parts``: blocks of about ``BLOCK_ROWS`` rows that each band is dealt to."""
+    return rows.groupBy(*BAND).agg(F.greatest(F.lit(1), F.round(F.count(F.lit(1)) / BLOCK_ROWS)).cast("int").alias("parts"))
 
 
-def _blocks(df: DataFrame, *cols: str) -> DataFrame:
-    """Rows of a cell in lists of about ``BLOCK_ROWS`` (rows are numbered within their task, so no
-    cell is gathered whole): ``CELL, part`` and the lists."""
-    part = F.concat_ws("-", F.spark_partition_id(), F.floor(F.monotonically_increasing_id() % (1 << 33) / BLOCK_ROWS))
-    rows = df.withColumn("part", part)
-    return rows.groupBy(*CELL, "part").agg(F.collect_list(F.struct(*cols)).alias("rows")).select(
-        *CELL, "part", *(F.col(f"rows.{c}").alias(c) for c in cols))
+def _blocks(rows: DataFrame, parts: DataFrame, ident: str, *cols: str) -> DataFrame:
+    """Rows of a band in lists, dealt by the hash of ``ident`` (no band is gathered whole): ``BAND, part`` and the lists."""
+    part = F.pmod(F.xxhash64(ident), F.col("parts")).cast("int")
+    rows = rows.join(parts, [*BAND]).withColumn("part", part)
+    return rows.groupBy(*BAND, "part").agg(F.collect_list(F.struct(ident, *cols)).alias("rows")).select(
+        *BAND, "part", *(F.col(f"rows.{c}").alias(c) for c in (ident, *cols)))
 
 
 def _near_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of blocks → each query's nearest codes of the block, as many as it keeps
+    """Pairs of blocks → each query's nearest codes of the block in its cells, as many as it keeps
     (ties by id, so the result doesn't hang on how blocks were filled)."""
     for b in batches:
         for i in range(b.num_rows):
@@ -174,16 +205,23 @@ def _near_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids = ids.take(pa.array(by_id))
             q, v = (np.frombuffer(b"".join(b.column(c)[i].as_py()), np.uint8).reshape(len(b.column(c)[i].values), -1).view(np.uint64)
                     for c in ("q_code", "code"))
-            v = v[by_id]
-            far = np.zeros((len(q), len(v)), np.int64)
-            for w in range(q.shape[1]):
-                far += np.bitwise_count(q[:, w, None] ^ v[None, :, w])
-            far = far * len(v) + np.arange(len(v))
+            v, cell = v[by_id], b.column("cell")[i].values.to_numpy()[by_id] % BLOCK_CELLS
+            cells = b.column("cells")[i].values.to_numpy().view(np.uint64)
+            none = (q.shape[1] * 64 + 1) * len(v)
+            far = np.full((len(q), len(v)), none, np.int32)
+            for c in np.unique(cell):
+                row, col = np.flatnonzero(cells >> np.uint64(c) & np.uint64(1)), np.flatnonzero(cell == c)
+                differ = np.zeros((len(row), len(col)), np.int32)
+                for w in range(q.shape[1]):
+                    differ += np.bitwise_count(q[row, w, None] ^ v[None, col, w])
+                far[row[:, None], col] = differ * len(v) + col
             qids, keep = b.column("qid")[i].values, b.column("keep")[i].values.to_numpy()
             most = min(len(v), int(keep.max()))
             col = np.argpartition(far, most - 1, axis=1)[:, :most] if most < len(v) else np.tile(np.arange(len(v)), (len(q), 1))
             row = np.repeat(np.arange(len(q)), most)
             col = col.ravel()
+            met = far[row, col] < none
+            row, col = row[met], col[met]
             yield pa.RecordBatch.from_arrays(
                 [qids.take(pa.array(row)), pa.array(keep[row]), ids.take(pa.array(col)), pa.array((far[row, col] // len(v)).astype(np.int32))],
                 names=["qid", "keep", "id", "far"])
@@ -191,9 +229,15 @@ def _near_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def candidates(queries: DataFrame, index: DataFrame, model: Cells, probes: int) -> DataFrame:
     """``qid, id``: each query's (``keep``) nearest codes among its probed cells."""
-    q = _blocks(probed(queries, model, probes), "qid", "keep", "code").withColumnRenamed("code", "q_code").drop("part")
-    v = _blocks(index.join(queries.select("namespace", "dataset").distinct(), ["namespace", "dataset"], "left_semi"), "id", "code").drop("part")
-    near = q.join(v, [*CELL]).select("qid", "keep", "q_code", "id", "code").mapInArrow(
+    here = index.join(queries.select("namespace", "dataset").distinct(), ["namespace", "dataset"], "left_semi")
+    here = here.withColumn("band", F.floor(F.col("cell") / BLOCK_CELLS).cast("int"))
+    asked = written(asked_cells(queries, model, probes))
+    parts = _parts(here)
+    # each block of queries meets each block of codes of its band
+    q = _blocks(asked, _parts(asked), "qid", "keep", "cells", "code").withColumnRenamed("code", "q_code").drop("part")
+    q = q.join(parts.select(*BAND, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")), [*BAND])
+    v = _blocks(here, parts, "id", "cell", "code")
+    near = q.join(v, [*BAND, "part"]).select("qid", "keep", "cells", "q_code", "id", "cell", "code").mapInArrow(
         _near_codes, "qid bigint, keep int, id string, far int")
     w = Window.partitionBy("qid").orderBy("far", "id")
     return near.withColumn("place", F.row_number().over(w)).where(F.col("place") <= F.col("keep")).select("qid", "id")
