@@ -154,6 +154,15 @@ def test_a_giant_page_is_shared_by_tasks(spark):
     assert "windowspecdefinition(k" in plan and plan.count("windowspecdefinition(k#") >= 3
 
 
+def test_scans_of_segments_move_no_text(spark):
+    """Lines' text is not in the scans; it joins at the end, by a number of the line, and keys that repeat stay apart."""
+    docs = spark.createDataFrame([(1, "# a\nb\n\nc"), (1, "# a\nb\n\nc"), (2, "x")], "k long, text string").coalesce(1)
+    numbered = G.numbered_lines(docs, ["k"], segment=2)
+    assert "line" not in numbered.columns and numbered.count() == numbered.select("line_id").distinct().count() == 9
+    got = {r.k: r.text for r in G.chunk_segments(docs, ["k"], segment=2).collect()}
+    assert got[2] == "x" and sorted(got[1].split()) == sorted("# a b c # a b c".split())
+
+
 # ------------------------------------------------------------ robots files
 def test_robots_files_against_the_standard_library(spark):
     rng = random.Random(8)

@@ -16,6 +16,7 @@ starts in.  Three scans settle the sections, one the chunks:
    these states leads and how many chunks it closes.
 
 Tokens never span lines, so sections and paragraphs are counted by summing lines.
+The scans move numbers only; the text is moved twice, to its number and to its chunk.
 No group holds a page's lines: the largest are a segment, and the text of one
 chunk.  Results equal ``chunk_documents``.
 """
@@ -50,15 +51,22 @@ def _with(rows: DataFrame, other: DataFrame, on: Sequence[str], *cols: str) -> D
     return rows.alias("l").join(other.alias("r"), _equal("l", "r", on)).select("l.*", *(f"r.{c}" for c in cols))
 
 
-def numbered_lines(docs: DataFrame, keys: Sequence[str], text_col: str = "text", segment: int = SEGMENT_LINES) -> DataFrame:
-    """``keys…, seg, pos, line, n, section_no, para``: every line with its tokens, its section
-    and its paragraph (empty lines so far), by scans 1 to 3."""
+def split_lines(docs: DataFrame, keys: Sequence[str], text_col: str = "text", segment: int = SEGMENT_LINES) -> DataFrame:
+    """``keys…, seg, pos, line, line_id, n, kind, pipe, empty``: every line, with a number of its own, its tokens and what the
+    scans need to know of it."""
+    raw = explode_lines(docs, keys, text_col)
+    return written(raw.select(*keys, F.floor(F.col("pos") / segment).cast("int").alias("seg"), "pos", "line", F.monotonically_increasing_id().alias("line_id"), token_count("line").alias("n"),
+                              line_kind(F.col("line"), F.col("next_line"), F.col("pos")).alias("kind"),
+                              F.col("line").contains("|").alias("pipe"), (F.col("line") == "").alias("empty")))
+
+
+def numbered_lines(docs: DataFrame, keys: Sequence[str], text_col: str = "text", segment: int = SEGMENT_LINES, lines: DataFrame | None = None) -> DataFrame:
+    """``keys…, seg, pos, line_id, n, section_no, para``: every line's tokens, its section
+    and its paragraph (empty lines so far), by scans 1 to 3.  The text of ``lines`` (``split_lines`` of the
+    documents, made here if not given) stays behind."""
     keys = list(keys)
+    lines = split_lines(docs, keys, text_col, segment) if lines is None else lines
     at = [*keys, "seg"]
-    raw = explode_lines(docs, keys, text_col)
-    lines = written(raw.select(*keys, F.floor(F.col("pos") / segment).cast("int").alias("seg"), "pos", "line", token_count("line").alias("n"),
-                               line_kind(F.col("line"), F.col("next_line"), F.col("pos")).alias("kind"),
-                               F.col("line").contains("|").alias("pipe"), (F.col("line") == "").alias("empty")))
     order = Window.partitionBy(*at).orderBy("pos")
     before, upto = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = Window.partitionBy(*keys).orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)
@@ -86,8 +94,8 @@ def numbered_lines(docs: DataFrame, keys: Sequence[str], text_col: str = "text",
     counts = starts(lines.select(*at, "pos", "kind", "pipe", "empty")).groupBy(*at).agg(
         F.sum("starts").alias("s"), F.sum(F.col("empty").cast("long")).alias("e"))
     third = counts.select(*at, F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("s0"), F.coalesce(F.sum("e").over(earlier), F.lit(0)).alias("e0"))
-    out = _with(starts(lines), third, at, "s0", "e0")
-    return out.select(*at, "pos", "line", "n", (F.col("s0") + F.sum("starts").over(upto)).alias("section_no"),
+    out = _with(starts(lines.select(*at, "pos", "line_id", "n", "kind", "pipe", "empty")), third, at, "s0", "e0")
+    return out.select(*at, "pos", "line_id", "n", (F.col("s0") + F.sum("starts").over(upto)).alias("section_no"),
                       (F.col("e0") + F.sum(F.col("empty").cast("long")).over(upto)).alias("para"))
 
 
@@ -165,7 +173,8 @@ def chunk_segments(docs: DataFrame, keys: Sequence[str], text_col: str = "text",
     token counter (another counter may not add up over lines).  ``keys`` tell documents apart and may hold nulls; documents
     without a non-blank section (null, empty, spaces) give no rows."""
     keys = list(keys)
-    lines = written(numbered_lines(docs, keys, text_col, segment).drop("seg"))
+    split = split_lines(docs, keys, text_col, segment)
+    lines = written(numbered_lines(docs, keys, text_col, segment, split).drop("seg"))
     paras = lines.groupBy(*keys, "section_no", "para").agg(F.sum("n").alias("n"), F.min("pos").alias("pos"))
     totals = paras.groupBy(*keys, "section_no").agg(F.sum("n").alias("total"), F.min("pos").alias("start"))
     seg = lambda c: F.floor(F.col(c) / segment).cast("int").alias("seg")
@@ -178,9 +187,11 @@ def chunk_segments(docs: DataFrame, keys: Sequence[str], text_col: str = "text",
     own = [*keys, "section_no"]
     by_section = _with(lines, items.where("not is_para"), own, "chunk_no").withColumn("para", F.lit(-1).cast("long"))
     by_para = _with(lines, items.where("is_para"), [*own, "para"], "chunk_no")
+    # the text joins last, and moves once more, by chunk; an item's lines and a chunk's items are put together there
+    placed = by_section.unionByName(by_para).join(split.select("line_id", "line"), "line_id").repartition(*keys, "chunk_no")
     ordered = F.array_sort(F.collect_list(F.struct("pos", "line")))
     body = F.array_join(F.transform(ordered, lambda x: x["line"]), "\n")
-    texts = by_section.unionByName(by_para).groupBy(*own, "para", "chunk_no").agg(body.alias("text"), F.sum("n").alias("n"))
+    texts = placed.groupBy(*own, "para", "chunk_no").agg(body.alias("text"), F.sum("n").alias("n"))
     texts = texts.withColumn("text", F.when(F.col("para") >= 0, strip("text")).otherwise(F.col("text")))
     pieces = F.array_sort(F.collect_list(F.struct("section_no", "para", "text")))
     return (texts.groupBy(*keys, F.col("chunk_no").alias("chunk_index"))
