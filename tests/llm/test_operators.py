@@ -451,6 +451,39 @@ def test_passages_of_documents_that_both_have_another(spark):
     assert {tuple(r) for r in got} | {(r.other_id, r.other_start, r.other_stop, r.id, r.start, r.stop, r.similarity) for r in got} == {tuple(r) for r in rows}
 
 
+def test_every_place_of_a_shared_run_has_a_passage(spark):
+    """A document holds a run twice, or only a part of what further ones share, or parts of it in
+    another order, or it is one word over and over: each place of 50 words that documents share lies in
+    a row of its document, and the rows that hold it connect all its documents; brute force on all places."""
+    rng = random.Random(31)
+    texts = []
+    for k in range(20):
+        run, words, (a, b, c) = prose(rng, 60), prose(rng, rng.choice([56, 60, 70])).split(), (prose(rng, 30) for _ in range(3))
+        for parts in ([run, None, run], [run], [" ".join(words[:52])], [" ".join(words)], [" ".join(words)], [a, b, a, b], [a, b, a, c], [b, a, b]):
+            texts.append(" ".join([prose(rng, 40), *(x or prose(rng, 40) for x in parts), prose(rng, 40)]))
+    texts += [f"{prose(rng, 40)} {'of ' * n}{prose(rng, 40)}" for n in (55, 61, 400, 90)]
+    docs = list(enumerate(texts))
+    links = passages.repeated_passages(frame(spark, docs, "doc_id long, text string"))
+    rows = collections.defaultdict(list)
+    for r in passages.both_sides(links).collect():
+        assert r.similarity >= 0.8 and r.stop - r.start >= 50
+        rows[r.id].append(r)
+    places = collections.defaultdict(list)
+    for d, t in docs:
+        words = t.split()
+        for i in range(len(words) - 49):
+            places[tuple(words[i:i + 50])].append((d, i))
+    shared = [p for p in places.values() if len({d for d, _ in p}) > 1]
+    assert len(shared) > 600
+    for p in shared:
+        group = {d: d for d, _ in p}
+        for d, i in p:
+            holding = [r.other_id for r in rows[d] if r.start <= i and i + 50 <= r.stop]
+            assert holding, (d, i)
+            group = {x: group[d] if x in holding or g in [group.get(o) for o in holding] else g for x, g in group.items()}
+        assert len(set(group.values())) == 1, p
+
+
 def test_shingles_of_many_texts_and_sliding_minima():
     rng = random.Random(22)
     texts = ["", None, "a b", " \t x  Y z\n w\x0bq \xa0É", "b"] + [" ".join(rng.choices("abcdefgh", k=n)) for n in (46, 49, 50, 300, 7000)] + [""]
